@@ -158,3 +158,88 @@ SQL: dict[str, str] = {
     "multi_country_number_ones": MULTI_COUNTRY_NUMBER_ONES,
     "multi_country_number_ones_distinct": MULTI_COUNTRY_NUMBER_ONES_DISTINCT,
 }
+
+
+# -- trips ------------------------------------------------------------------------------
+TRIP_COLS = "pickup_ts, dropoff_ts, passenger_count, trip_distance, tip_amount, pu_location, do_location"
+
+SQL.update({
+    "daily_pickup_stats": _with(TRIPS) + r"""
+SELECT pu_location, CAST(pickup_ts AS DATE) AS pickup_date,
+       CAST(sum(passenger_count) AS BIGINT) AS passenger_sum,
+       CAST(sum(trip_distance) AS DOUBLE) / count(trip_distance) AS avg_trip_distance,
+       CAST(sum(tip_amount) AS DOUBLE) / count(tip_amount) AS avg_tip_amount
+FROM clean_trips GROUP BY pu_location, CAST(pickup_ts AS DATE)
+""",
+    "daily_dropoff_stats": _with(TRIPS) + r"""
+SELECT do_location, CAST(dropoff_ts AS DATE) AS dropoff_date,
+       CAST(sum(passenger_count) AS BIGINT) AS passenger_sum,
+       CAST(sum(trip_distance) AS DOUBLE) / count(trip_distance) AS avg_trip_distance,
+       CAST(sum(tip_amount) AS DOUBLE) / count(tip_amount) AS avg_tip_amount
+FROM clean_trips GROUP BY do_location, CAST(dropoff_ts AS DATE)
+""",
+    "trips_within_month": _with(TRIPS) + "SELECT * FROM clean_trips",
+    "trips_out_of_range": _with(TRIPS) + r"""
+SELECT *, CASE WHEN pickup_ts < date_trunc('month', pickup_ts) THEN 'start' ELSE 'end' END
+          AS broken_bound
+FROM trips
+WHERE pickup_ts < date_trunc('month', pickup_ts)
+   OR dropoff_ts > CAST(last_day(pickup_ts) AS TIMESTAMP) + INTERVAL 86399 SECOND
+""",
+    "trips_kept_months": _with(TRIPS) + r"""
+SELECT * FROM trips
+WHERE strftime(pickup_ts, '%Y-%m') IN (SELECT strftime(dropoff_ts, '%Y-%m') FROM trips)
+""",
+    "trip_seconds_sorted_sample": _with(TRIPS) + f"""
+SELECT *, CAST(epoch(dropoff_ts) - epoch(pickup_ts) AS BIGINT) AS trip_duration_sec
+FROM clean_trips
+ORDER BY pickup_ts, trip_duration_sec DESC, dropoff_ts, passenger_count, trip_distance,
+         tip_amount, pu_location, do_location
+LIMIT 1000
+""",
+    "trips_with_zone": _with(TRIPS, ZONES) + r"""
+SELECT t.*, z.borough, z.zone
+FROM clean_trips t LEFT JOIN zones z ON t.pu_location = z.location_id
+""",
+    "time_bounds_by_month": _with(TRIPS) + r"""
+SELECT year(pickup_ts) AS year, month(pickup_ts) AS month,
+       min(pickup_ts) AS min_pickup, max(pickup_ts) AS max_pickup,
+       min(pickup_ts) >= min(date_trunc('month', pickup_ts))
+       AND max(pickup_ts) <= max(CAST(last_day(pickup_ts) AS TIMESTAMP) + INTERVAL 86399 SECOND)
+       AS in_bounds
+FROM clean_trips GROUP BY year(pickup_ts), month(pickup_ts)
+""",
+    "months_present": _with(TRIPS) + r"""
+SELECT DISTINCT year(pickup_ts) AS year, month(pickup_ts) AS month FROM trips
+""",
+    "missing_months": _with(TRIPS) + r"""
+SELECT DISTINCT year(dropoff_ts) AS year, month(dropoff_ts) AS month FROM trips
+EXCEPT
+SELECT DISTINCT year(pickup_ts) AS year, month(pickup_ts) AS month FROM trips
+""",
+    "file_months": _with(TRIPS) + r"""
+SELECT year(pickup_ts) AS file_year, month(pickup_ts) AS file_month, count(*) AS n_trips
+FROM trips GROUP BY 1, 2
+""",
+    "partitioned_roundtrip": _with(TRIPS) + r"""
+SELECT *, year(pickup_ts) AS year, month(pickup_ts) AS month FROM clean_trips
+""",
+    "monthly_union": _with(TRIPS) + r"""
+SELECT year(pickup_ts) AS source_year, count(*) AS n_rows FROM clean_trips GROUP BY 1
+""",
+    "csv_roundtrip": _with(CHARTS) + "SELECT * FROM charts",
+    "null_rates": _with(CHARTS) + r"""
+SELECT column_name, null_rate FROM (
+  SELECT 'date' AS column_name, avg(CASE WHEN date IS NULL THEN 1 ELSE 0 END) AS null_rate FROM charts
+  UNION ALL SELECT 'country', avg(CASE WHEN country IS NULL THEN 1 ELSE 0 END) FROM charts
+  UNION ALL SELECT 'position', avg(CASE WHEN position IS NULL THEN 1 ELSE 0 END) FROM charts
+  UNION ALL SELECT 'streams', avg(CASE WHEN streams IS NULL THEN 1 ELSE 0 END) FROM charts
+  UNION ALL SELECT 'track_id', avg(CASE WHEN track_id IS NULL THEN 1 ELSE 0 END) FROM charts
+  UNION ALL SELECT 'artists', avg(CASE WHEN artists IS NULL THEN 1 ELSE 0 END) FROM charts
+  UNION ALL SELECT 'artist_genres', avg(CASE WHEN artist_genres IS NULL THEN 1 ELSE 0 END) FROM charts
+  UNION ALL SELECT 'duration', avg(CASE WHEN duration IS NULL THEN 1 ELSE 0 END) FROM charts
+  UNION ALL SELECT 'explicit', avg(CASE WHEN explicit IS NULL THEN 1 ELSE 0 END) FROM charts
+  UNION ALL SELECT 'name', avg(CASE WHEN name IS NULL THEN 1 ELSE 0 END) FROM charts
+)
+""",
+})

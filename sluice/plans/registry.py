@@ -61,3 +61,135 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "multi_country_number_ones": multi_country_number_ones,
     "multi_country_number_ones_distinct": multi_country_number_ones_distinct,
 }
+
+
+# -- trips (W1) ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from sluice.plans import trips as tr  # noqa: E402
+from sluice.plans.charts import type_charts  # noqa: E402
+from sluice.operators.quality import null_rates  # noqa: E402
+from sluice.operators.sets import union_all, union_counts  # noqa: E402
+from sluice.session import scratch_path  # noqa: E402
+from sluice.sinks.files import export_csv, write_partitioned  # noqa: E402
+from sluice.sources.files import read_csv, read_monthly, with_file_month  # noqa: E402
+
+SAMPLE_ROWS = 1000
+
+
+def clean_trips(spark, sf_dir):
+    return tr.within_month(rel.trips(spark, sf_dir))
+
+
+def daily_pickup_stats(spark, sf_dir):
+    return tr.daily_stats(clean_trips(spark, sf_dir), "pickup")
+
+
+def daily_dropoff_stats(spark, sf_dir):
+    return tr.daily_stats(clean_trips(spark, sf_dir), "dropoff")
+
+
+def trips_within_month(spark, sf_dir):
+    return clean_trips(spark, sf_dir)
+
+
+def trips_out_of_range(spark, sf_dir):
+    return tr.outliers(rel.trips(spark, sf_dir))
+
+
+def trips_kept_months(spark, sf_dir):
+    trips = rel.trips(spark, sf_dir)
+    return tr.keep_months(trips, tr.dropoff_month_set(trips))
+
+
+def trip_seconds_sorted_sample(spark, sf_dir):
+    return tr.sorted_sample(tr.with_trip_seconds(clean_trips(spark, sf_dir)), SAMPLE_ROWS)
+
+
+def trips_with_zone(spark, sf_dir):
+    return tr.attach_zone(clean_trips(spark, sf_dir), rel.zones(spark, sf_dir))
+
+
+def time_bounds_by_month(spark, sf_dir):
+    return tr.time_bounds(clean_trips(spark, sf_dir))
+
+
+def months_present(spark, sf_dir):
+    return tr.months_present(rel.trips(spark, sf_dir))
+
+
+def missing_months(spark, sf_dir):
+    return tr.missing_months(rel.trips(spark, sf_dir))
+
+
+TRIP_CSV_SCHEMA = ("pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, passenger_count int, "
+                   "trip_distance decimal(12,2), tip_amount decimal(12,2), pu_location bigint, "
+                   "do_location bigint")
+
+
+def file_months(spark, sf_dir):
+    """Trips written as one CSV folder per source month, read back as one set through a
+    file-name glob; the month is parsed from each file's path."""
+    root = scratch_path(spark, "monthly-csv")
+    trips = rel.trips(spark, sf_dir).withColumn("src_month", F.date_format("pickup_ts", "yyyy-MM"))
+    write_partitioned(trips, root, ["src_month"], fmt="csv")
+    back = with_file_month(read_monthly(spark, root, "*.csv", schema=_schema(TRIP_CSV_SCHEMA)))
+    return back.groupBy("file_year", "file_month").agg(F.count(F.lit(1)).alias("n_trips"))
+
+
+def partitioned_roundtrip(spark, sf_dir):
+    """Clean trips written as year=/month= Parquet partitions and read back whole."""
+    root = scratch_path(spark, "trips-by-month")
+    write_partitioned(tr.with_year_month(clean_trips(spark, sf_dir)), root, ["year", "month"])
+    return spark.read.parquet(root)
+
+
+def monthly_union(spark, sf_dir):
+    """Per-year relations read from the partitioned set (each read prunes to its own
+    partition: one pass over the data in total), unioned, rows counted per input."""
+    root = scratch_path(spark, "trips-by-year")
+    write_partitioned(tr.with_year_month(clean_trips(spark, sf_dir)), root, ["year"])
+    full = spark.read.parquet(root)
+    years = [r.year for r in full.select("year").distinct().orderBy("year").collect()]
+    parts = [full.filter(F.col("year") == y).withColumn("source_year", F.lit(y)) for y in years]
+    return union_counts(union_all(parts), "source_year")
+
+
+def _schema(ddl: str):
+    from pyspark.sql.types import StructType
+    return StructType.fromDDL(ddl)
+
+
+def _charts_csv(spark, sf_dir):
+    root = scratch_path(spark, "charts-csv")
+    export_csv(rel.charts(spark, sf_dir), root)
+    return read_csv(spark, root)
+
+
+def csv_roundtrip(spark, sf_dir):
+    """Chart rows -> header CSV -> read back as all strings -> typed at ingest."""
+    return type_charts(_charts_csv(spark, sf_dir))
+
+
+def null_rates_typed_charts(spark, sf_dir):
+    """Null rate per column after the typed CSV ingest (a data check)."""
+    return null_rates(type_charts(_charts_csv(spark, sf_dir)))
+
+
+QUERIES.update({
+    "daily_pickup_stats": daily_pickup_stats,
+    "daily_dropoff_stats": daily_dropoff_stats,
+    "trips_within_month": trips_within_month,
+    "trips_out_of_range": trips_out_of_range,
+    "trips_kept_months": trips_kept_months,
+    "trip_seconds_sorted_sample": trip_seconds_sorted_sample,
+    "trips_with_zone": trips_with_zone,
+    "time_bounds_by_month": time_bounds_by_month,
+    "months_present": months_present,
+    "missing_months": missing_months,
+    "file_months": file_months,
+    "partitioned_roundtrip": partitioned_roundtrip,
+    "monthly_union": monthly_union,
+    "csv_roundtrip": csv_roundtrip,
+    "null_rates": null_rates_typed_charts,
+})
