@@ -243,3 +243,44 @@ SELECT column_name, null_rate FROM (
 )
 """,
 })
+
+
+# -- upsert, paging, sales --------------------------------------------------------------
+_LAST_ORDER = r"""
+tgt AS (
+  SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
+    FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00') WHERE rn = 1
+),
+bat AS (
+  SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
+    FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00') WHERE rn = 1
+)"""
+
+_SALES = r"""
+bounds AS (
+  SELECT CAST(min(CAST(ts AS DATE)) AS TIMESTAMP) AS t0,
+         CAST(max(CAST(ts AS DATE)) AS TIMESTAMP) + INTERVAL 86399 SECOND AS t1
+  FROM events
+),
+msgs AS (
+  SELECT '{"product":"' || e.event_type || '","date":"' || strftime(e.ts, '%Y-%m-%d') || '"}' AS value,
+         CASE WHEN 2 * epoch_us(e.ts) > epoch_us(b.t0) + epoch_us(b.t1) THEN 1 ELSE 0 END AS partition,
+         e.event_type AS product, CAST(e.ts AS DATE) AS date
+  FROM events e CROSS JOIN bounds b
+)"""
+
+SQL.update({
+    "upsert_last_wins": _with(_LAST_ORDER) + r"""
+SELECT * FROM bat
+UNION ALL
+SELECT * FROM tgt WHERE o_custkey NOT IN (SELECT o_custkey FROM bat)
+""",
+    "orders_page": r"""
+SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 2000
+""",
+    "sales_messages": _with(_SALES) + "SELECT value, partition FROM msgs",
+    "sales_sink": _with(_SALES) + "SELECT product, date, partition FROM msgs",
+    "sales_decoded": _with(_SALES) + "SELECT product, date, partition FROM msgs",
+})

@@ -193,3 +193,67 @@ QUERIES.update({
     "csv_roundtrip": csv_roundtrip,
     "null_rates": null_rates_typed_charts,
 })
+
+
+# -- keyed upsert (W5), paging ---------------------------------------------------------------
+from sluice.operators.ordering import page  # noqa: E402
+from sluice.operators.upsert import dedup_last, upsert  # noqa: E402
+
+UPSERT_SPLIT = "1998-01-01"
+ORDER_COLS = ["o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+
+
+def upsert_last_wins(spark, sf_dir):
+    """Latest order per customer: a target built from orders before the split date, then
+    the later orders applied as one batch (key o_custkey, sequence o_orderkey)."""
+    orders = rel.table(spark, sf_dir, "orders").select(*ORDER_COLS)
+    split = F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
+    target = dedup_last(orders.filter(F.col("o_orderdate") < split), ["o_custkey"], "o_orderkey")
+    batch = orders.filter(F.col("o_orderdate") >= split)
+    return upsert(target, batch, ["o_custkey"], "o_orderkey")
+
+
+PAGE_OFFSET, PAGE_SIZE = 2000, 1000
+
+
+def orders_page(spark, sf_dir):
+    return page(rel.table(spark, sf_dir, "orders"), ["o_orderkey"], PAGE_OFFSET, PAGE_SIZE)
+
+
+# -- sales stream (W4) ---------------------------------------------------------------------
+from sluice.streaming import sales as st  # noqa: E402
+
+
+def _messages(spark, sf_dir):
+    events = rel.sales_events(spark, sf_dir)
+    start, end = st.period_bounds(events)
+    return st.sales_messages(events.withColumnRenamed("event_type", "product"), start, end)
+
+
+def sales_messages(spark, sf_dir):
+    return _messages(spark, sf_dir)
+
+
+def sales_sink(spark, sf_dir):
+    """Messages written as files, drained by the streaming sink in several micro-batches;
+    the sink table read back."""
+    root = scratch_path(spark, "sales")
+    _messages(spark, sf_dir).repartition(4).write.json(f"{root}/topic")
+    stream = st.sales_source(spark, "json", f"{root}/topic", max_files_per_trigger=1)
+    st.run_sales_sink(stream, f"{root}/sink", f"{root}/rejects", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/sink").select("product", "date", "partition")
+
+
+def sales_decoded(spark, sf_dir):
+    """Batch decode of the messages (the stream's per-batch logic on the whole set)."""
+    good, _ = st.decode_sales(_messages(spark, sf_dir))
+    return good
+
+
+QUERIES.update({
+    "upsert_last_wins": upsert_last_wins,
+    "orders_page": orders_page,
+    "sales_messages": sales_messages,
+    "sales_sink": sales_sink,
+    "sales_decoded": sales_decoded,
+})
