@@ -284,3 +284,33 @@ SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 2000
     "sales_sink": _with(_SALES) + "SELECT product, date, partition FROM msgs",
     "sales_decoded": _with(_SALES) + "SELECT product, date, partition FROM msgs",
 })
+
+
+# -- versioned table on orders ------------------------------------------------------------
+_EVOLVED = """SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate AS pickup_datetime,
+       o_orderpriority FROM orders"""
+
+SQL.update({
+    "lake_head": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority FROM orders""",
+    "lake_evolved_columns": _EVOLVED,
+    "lake_insert_probe": """SELECT CAST(-1 AS BIGINT) AS o_orderkey, CAST(1 AS BIGINT) AS o_custkey,
+       CAST(1.0 AS DOUBLE) AS o_totalprice, TIMESTAMP '2999-01-01 00:00:00' AS pickup_datetime,
+       '1-URGENT' AS o_orderpriority
+FROM (SELECT count(*) AS n FROM orders) WHERE n >= 0""",
+    "lake_rollback": _EVOLVED,
+    "lake_compacted": _EVOLVED,
+    "lake_partition_counts": """SELECT year(o_orderdate) AS pickup_datetime_year,
+       month(o_orderdate) AS pickup_datetime_month, count(*) AS record_count
+FROM orders GROUP BY 1, 2""",
+    "lake_staged_audit": """SELECT o_orderpriority, count(*) AS count FROM orders
+WHERE o_orderpriority <> '1-URGENT' GROUP BY 1""",
+    "lake_main_before_publish": """SELECT o_orderpriority, count(*) AS count FROM orders GROUP BY 1""",
+    "lake_published": _EVOLVED + " WHERE o_orderpriority <> '1-URGENT'",
+    "lake_branch_vs_main": """SELECT DISTINCT 'main' AS ref, o_orderpriority FROM orders
+WHERE o_orderpriority <> '1-URGENT'
+UNION ALL
+SELECT DISTINCT 'audit_branch' AS ref, o_orderpriority FROM orders
+WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')""",
+    "lake_final": _EVOLVED + " WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')",
+})

@@ -1,0 +1,177 @@
+"""The lake-table walk-through (W3) on the ``orders`` relation.
+
+Steps (each a method call on ``VersionedTable``):
+
+1. create from the borrowed schema, append two loads (orders before / from 1998);
+2. rename ``o_orderdate`` -> ``pickup_datetime``, drop ``o_orderstatus``;
+3. insert one literal row dated 2999;  4. roll back to the snapshot before it;
+5. partition by year and month of ``pickup_datetime`` and compact;
+6. staged delete of priority ``1-URGENT`` under an audit id, audit, publish;
+7. branch, delete priority ``5-LOW`` on it, compare with main, publish, drop the branch.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sluice.plans import relations as rel
+from sluice.session import scratch_path
+from sluice.tables.versioned import MAIN, VersionedTable
+
+SPLIT = "1998-01-01"
+AUDIT_ID = "audit-0001"
+BRANCH = "audit_branch"
+LITERAL_ROW = (-1, 1, 1.0, dt.datetime(2999, 1, 1), "1-URGENT")
+
+STEP_LOADED, STEP_EVOLVED, STEP_INSERTED, STEP_ROLLED_BACK, STEP_COMPACTED = 1, 2, 3, 4, 5
+STEP_STAGED, STEP_PUBLISHED, STEP_BRANCHED, STEP_FINAL = 6, 7, 8, 9
+
+
+def run_scenario(spark: SparkSession, sf_dir: str, upto: int = STEP_FINAL):
+    """Build a fresh table in scratch space and run the walk-through up to ``upto``.
+
+    Returns the table and a dict of the snapshot ids it produced.
+    """
+    orders = rel.lake_orders(spark, sf_dir)
+    split = F.lit(SPLIT).cast("timestamp_ntz")
+    table = VersionedTable.create(spark, scratch_path(spark, "lake"), orders.schema)
+    ids: dict[str, int] = {}
+    ids["load1"] = table.append(orders.filter(F.col("o_orderdate") < split))
+    ids["load2"] = table.append(orders.filter(F.col("o_orderdate") >= split))
+    if upto < STEP_EVOLVED:
+        return table, ids
+    table.rename_column("o_orderdate", "pickup_datetime")
+    table.drop_columns("o_orderstatus")
+    if upto < STEP_INSERTED:
+        return table, ids
+    ids["current"] = table.head()
+    ids["inserted"] = table.insert_rows([LITERAL_ROW])
+    if upto < STEP_ROLLED_BACK:
+        return table, ids
+    table.rollback(ids["current"])
+    if upto < STEP_COMPACTED:
+        return table, ids
+    table.add_partition_field("year", "pickup_datetime")
+    table.add_partition_field("month", "pickup_datetime")
+    ids["compacted"] = table.compact()
+    if upto < STEP_STAGED:
+        return table, ids
+    table.set_property("write.wap.enabled", "true")
+    table.delete(F.col("o_orderpriority") == "1-URGENT", stage=AUDIT_ID)
+    ids["staged"] = table.find_staged(AUDIT_ID)
+    if upto < STEP_PUBLISHED:
+        return table, ids
+    table.publish(ids["staged"])
+    if upto < STEP_BRANCHED:
+        return table, ids
+    table.create_branch(BRANCH)
+    ids["branch_delete"] = table.delete(F.col("o_orderpriority") == "5-LOW", branch=BRANCH)
+    if upto < STEP_FINAL:
+        return table, ids
+    table.publish(table.head(BRANCH))
+    table.drop_branch(BRANCH)
+    return table, ids
+
+
+def audit_counts(df: DataFrame, column: str) -> DataFrame:
+    """Rows per value of ``column`` (the audit read of a staged snapshot)."""
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+
+
+def distinct_by_ref(table: VersionedTable, column: str, refs: list[str]) -> DataFrame:
+    parts = [table.as_of(r).select(F.lit(r).alias("ref"), column).distinct() for r in refs]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def lake_head(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_LOADED)[0].as_of()
+
+
+def lake_evolved_columns(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_EVOLVED)[0].as_of()
+
+
+def lake_insert_probe(spark, sf_dir):
+    table, ids = run_scenario(spark, sf_dir, STEP_INSERTED)
+    return table.as_of().filter(F.year("pickup_datetime") == 2999)
+
+
+def lake_rollback(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_ROLLED_BACK)[0].as_of()
+
+
+def lake_compacted(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_COMPACTED)[0].as_of()
+
+
+def lake_partition_counts(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_COMPACTED)[0].partitions(with_files=False)
+
+
+def lake_staged_audit(spark, sf_dir):
+    table, ids = run_scenario(spark, sf_dir, STEP_STAGED)
+    return audit_counts(table.as_of(ids["staged"]), "o_orderpriority")
+
+
+def lake_main_before_publish(spark, sf_dir):
+    return audit_counts(run_scenario(spark, sf_dir, STEP_STAGED)[0].as_of(MAIN),
+                        "o_orderpriority")
+
+
+def lake_published(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_PUBLISHED)[0].as_of()
+
+
+def lake_branch_vs_main(spark, sf_dir):
+    table, _ = run_scenario(spark, sf_dir, STEP_BRANCHED)
+    return distinct_by_ref(table, "o_orderpriority", [MAIN, BRANCH])
+
+
+def lake_final(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_FINAL)[0].as_of(MAIN)
+
+
+def lake_snapshots(spark, sf_dir):
+    return run_scenario(spark, sf_dir)[0].snapshots()
+
+
+def lake_history(spark, sf_dir):
+    return run_scenario(spark, sf_dir)[0].history()
+
+
+def lake_refs(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_BRANCHED)[0].refs()
+
+
+def lake_describe(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_COMPACTED)[0].describe()
+
+
+def lake_files(spark, sf_dir):
+    return run_scenario(spark, sf_dir, STEP_COMPACTED)[0].files()
+
+
+QUERIES = {
+    "lake_head": lake_head,
+    "lake_evolved_columns": lake_evolved_columns,
+    "lake_insert_probe": lake_insert_probe,
+    "lake_rollback": lake_rollback,
+    "lake_compacted": lake_compacted,
+    "lake_partition_counts": lake_partition_counts,
+    "lake_staged_audit": lake_staged_audit,
+    "lake_main_before_publish": lake_main_before_publish,
+    "lake_published": lake_published,
+    "lake_branch_vs_main": lake_branch_vs_main,
+    "lake_final": lake_final,
+    "lake_snapshots": lake_snapshots,
+    "lake_history": lake_history,
+    "lake_refs": lake_refs,
+    "lake_describe": lake_describe,
+    "lake_files": lake_files,
+}

@@ -257,3 +257,9 @@ QUERIES.update({
     "sales_sink": sales_sink,
     "sales_decoded": sales_decoded,
 })
+
+
+# -- versioned table (W3) ------------------------------------------------------------------
+from sluice.plans import lake  # noqa: E402
+
+QUERIES.update(lake.QUERIES)

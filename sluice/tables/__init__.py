@@ -1,0 +1,5 @@
+"""Versioned tables: snapshots, refs, time travel, write-audit-publish, evolution."""
+
+from sluice.tables.versioned import VersionedTable
+
+__all__ = ["VersionedTable"]

@@ -1,0 +1,440 @@
+"""A versioned table on plain Spark: snapshots, branches, rollback, staged writes
+(write-audit-publish), column rename/drop, partition evolution and compaction.
+
+Layout under ``root``::
+
+    data/_snap=<id>/_part=<p>/*.parquet   rows added by snapshot <id> (+ row id ``_rid``)
+    deletes/_snap=<id>/*.parquet          (``_src``, ``_rid``) of rows deleted by <id>
+    meta/*.parquet                        one row per commit: (version, JSON body)
+
+Payload columns are stored under stable physical names ``c<field id>``; the metadata maps
+them to the current logical names, so a rename or a drop never rewrites data.  A snapshot
+reads the ``_snap`` partitions of its ancestor chain (a partition filter: only those
+folders are listed and read), stopping at the newest *base* snapshot (a compaction), and
+removes deleted rows with a left-anti join on (``_snap``, ``_rid``).  A delete writes only
+the ids of the rows it removes – never a rewrite of the table.
+
+Every data write goes to a fresh random snapshot id, and the metadata row is written after
+the data: a failed write leaves only unreferenced files, and a retried write cannot mix with
+the leftovers.  One writer at a time (no concurrent-commit protocol).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (LongType, StringType, StructField, StructType, _parse_datatype_string)
+
+from sluice.operators.joins import bounded_broadcast
+
+MAIN = "main"
+_TRANSFORMS = ("identity", "year", "month", "day")
+
+
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
+def _new_id() -> int:
+    return uuid.uuid4().int >> 65  # positive 63-bit id, unique per write attempt
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.meta = self._load()
+
+    # -- storage paths ---------------------------------------------------------------------
+    @property
+    def _data(self) -> str:
+        return f"{self.root}/data"
+
+    @property
+    def _deletes(self) -> str:
+        return f"{self.root}/deletes"
+
+    @property
+    def _metadir(self) -> str:
+        return f"{self.root}/meta"
+
+    # -- metadata --------------------------------------------------------------------------
+    def _load(self) -> dict | None:
+        try:
+            rows = (self.spark.read.parquet(self._metadir)
+                    .orderBy(F.desc("version")).limit(1).collect())
+        except Exception:  # noqa: BLE001 – no table yet
+            return None
+        return json.loads(rows[0].body) if rows else None
+
+    def _commit(self, meta: dict) -> None:
+        meta["version"] = meta.get("version", 0) + 1
+        meta["last_updated"] = _now()
+        (self.spark.createDataFrame([(meta["version"], json.dumps(meta))],
+                                    "version long, body string")
+         .coalesce(1).write.mode("append").parquet(self._metadir))
+        self.meta = meta
+
+    def _require(self) -> dict:
+        if self.meta is None:
+            raise ValueError(f"no table at {self.root}")
+        return self.meta
+
+    # -- creation --------------------------------------------------------------------------
+    @classmethod
+    def create(cls, spark: SparkSession, root: str, schema: StructType | DataFrame,
+               partition_by: list[tuple[str, str]] | None = None,
+               properties: dict | None = None) -> "VersionedTable":
+        """Empty table with the given (or borrowed) schema; no snapshot yet."""
+        st = schema.schema if isinstance(schema, DataFrame) else schema
+        table = cls(spark, root)
+        if table.meta is not None:
+            raise ValueError(f"table exists at {root}")
+        fields = [{"id": i + 1, "name": f.name, "type": f.dataType.simpleString(),
+                   "dropped": False} for i, f in enumerate(st.fields)]
+        meta = {"fields": fields, "next_field_id": len(fields) + 1, "spec": [],
+                "snapshots": [], "refs": {}, "history": [], "properties": dict(properties or {})}
+        table.meta = meta
+        for transform, column in (partition_by or []):
+            table._spec_add(meta, transform, column)
+        table._commit(meta)
+        return table
+
+    # -- schema helpers ----------------------------------------------------------------------
+    def _live_fields(self) -> list[dict]:
+        return [f for f in self._require()["fields"] if not f["dropped"]]
+
+    def _field(self, name: str) -> dict:
+        for f in self._live_fields():
+            if f["name"] == name:
+                return f
+        raise KeyError(f"no column {name!r}")
+
+    def _physical_schema(self) -> StructType:
+        fields = [StructField(f"c{f['id']}", _parse_datatype_string(f["type"]))
+                  for f in self._require()["fields"]]
+        return StructType(fields + [StructField("_rid", LongType()),
+                                    StructField("_snap", LongType()),
+                                    StructField("_part", StringType())])
+
+    def schema(self) -> StructType:
+        return StructType([StructField(f["name"], _parse_datatype_string(f["type"]))
+                           for f in self._live_fields()])
+
+    def _to_physical(self, df: DataFrame) -> DataFrame:
+        cols = []
+        present = set(df.columns)
+        for f in self._require()["fields"]:
+            if not f["dropped"] and f["name"] in present:
+                cols.append(F.col(f["name"]).cast(f["type"]).alias(f"c{f['id']}"))
+            else:
+                cols.append(F.lit(None).cast(f["type"]).alias(f"c{f['id']}"))
+        return df.select(*cols)
+
+    def _part_expr(self) -> Column:
+        spec = self._require()["spec"]
+        if not spec:
+            return F.lit("_")
+        parts = []
+        for entry in spec:
+            src = F.col(f"c{entry['field_id']}")
+            value = {"identity": src.cast("string"),
+                     "year": F.year(src).cast("string"),
+                     "month": F.lpad(F.month(src).cast("string"), 2, "0"),
+                     "day": F.date_format(src, "yyyy-MM-dd")}[entry["transform"]]
+            parts.append(F.coalesce(value, F.lit("null")))
+        return F.concat_ws("-", *parts)
+
+    # -- snapshots, refs, chains ---------------------------------------------------------
+    def _snap(self, sid: int) -> dict:
+        for s in self._require()["snapshots"]:
+            if s["snapshot_id"] == sid:
+                return s
+        raise KeyError(f"no snapshot {sid}")
+
+    def head(self, ref: str = MAIN) -> int | None:
+        r = self._require()["refs"].get(ref)
+        return r["snapshot_id"] if r else None
+
+    def _resolve(self, version: int | str | None) -> int | None:
+        if version is None:
+            return self.head(MAIN)
+        if isinstance(version, str):
+            if version not in self._require()["refs"]:
+                raise KeyError(f"no ref {version!r}")
+            return self.head(version)
+        self._snap(version)
+        return version
+
+    def _chain(self, sid: int | None) -> list[int]:
+        chain: list[int] = []
+        cur = sid
+        while cur is not None:
+            s = self._snap(cur)
+            chain.append(cur)
+            chain.extend(s.get("includes", []))
+            if s.get("base"):
+                break
+            cur = s["parent_id"]
+        return chain
+
+    def ancestors(self, sid: int | None) -> list[int]:
+        out, cur = [], sid
+        while cur is not None:
+            out.append(cur)
+            cur = self._snap(cur)["parent_id"]
+        return out
+
+    # -- reads -----------------------------------------------------------------------------
+    def _raw(self, sid: int | None, with_file: bool = False) -> DataFrame:
+        chain = self._chain(sid)
+        data_snaps = [s for s in chain if self._snap(s).get("has_data")]
+        if not data_snaps:
+            return self.spark.createDataFrame([], self._physical_schema())
+        rows = (self.spark.read.schema(self._physical_schema()).parquet(self._data)
+                .filter(F.col("_snap").isin(data_snaps)))
+        if with_file:
+            rows = rows.withColumn("_file", F.col("_metadata.file_path")).withColumn(
+                "_file_size", F.col("_metadata.file_size"))
+        del_snaps = [s for s in chain if self._snap(s).get("has_deletes")]
+        if del_snaps:
+            dels = (self.spark.read.schema("_src long, _rid long, _snap long").parquet(self._deletes)
+                    .filter(F.col("_snap").isin(del_snaps))
+                    .select(F.col("_src").alias("_snap"), "_rid"))
+            rows = rows.join(dels, ["_snap", "_rid"], "left_anti")
+        return rows
+
+    def _logical(self, raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+        cols = [F.col(f"c{f['id']}").alias(f["name"]) for f in self._live_fields()]
+        return raw.select(*cols, *keep)
+
+    def as_of(self, version: int | str | None = None) -> DataFrame:
+        """Rows of a snapshot id, a ref name (branch) or, by default, ``main``."""
+        return self._logical(self._raw(self._resolve(version)))
+
+    # -- writes ----------------------------------------------------------------------------
+    def _check_stage(self, stage: str | None) -> None:
+        if stage and self._require()["properties"].get("write.wap.enabled") != "true":
+            raise ValueError("staged writes need write.wap.enabled=true")
+
+    def _add_snapshot(self, operation: str, parent: int | None, branch: str,
+                      stage: str | None, summary: dict, **extra) -> int:
+        meta = self._require()
+        sid = extra.pop("snapshot_id")
+        summary = {k: str(v) for k, v in summary.items()}
+        if stage:
+            summary["wap.id"] = stage
+        snap = {"snapshot_id": sid, "parent_id": parent, "committed_at": _now(),
+                "operation": operation, "summary": summary,
+                "manifest_list": f"{self._data}/_snap={sid}", **extra}
+        meta["snapshots"].append(snap)
+        if not stage:
+            self._move_ref(meta, branch, sid)
+        self._commit(meta)
+        return sid
+
+    def _move_ref(self, meta: dict, ref: str, sid: int) -> None:
+        old = meta["refs"].get(ref)
+        meta["refs"][ref] = {"type": "branch", "snapshot_id": sid}
+        if ref == MAIN and (old is None or old["snapshot_id"] != sid):
+            meta["history"].append({"made_current_at": _now(), "snapshot_id": sid,
+                                    "parent_id": old["snapshot_id"] if old else None})
+
+    def _write_rows(self, logical: DataFrame, sid: int) -> int:
+        rows = (self._to_physical(logical)
+                .withColumn("_rid", F.monotonically_increasing_id())
+                .withColumn("_snap", F.lit(sid).cast("long"))
+                .withColumn("_part", self._part_expr()))
+        # rebalance: AQE evens out file sizes and splits a hot partition value
+        rows = rows.hint("rebalance", "_part") if self._require()["spec"] else rows
+        rows.write.mode("append").partitionBy("_snap", "_part").parquet(self._data)
+        return (self.spark.read.schema(self._physical_schema()).parquet(self._data)
+                .filter(F.col("_snap") == sid).count())
+
+    def append(self, df: DataFrame, branch: str = MAIN, stage: str | None = None) -> int:
+        """Add rows (by column name; absent or dropped columns are null) as a new snapshot."""
+        self._check_stage(stage)
+        parent = self.head(branch)
+        sid = _new_id()
+        n = self._write_rows(df, sid)
+        return self._add_snapshot("append", parent, branch, stage, {"added-records": n},
+                                  snapshot_id=sid, has_data=True)
+
+    def insert_rows(self, rows: list[tuple], branch: str = MAIN, stage: str | None = None) -> int:
+        """Literal rows in the current column order."""
+        return self.append(self.spark.createDataFrame(rows, self.schema()), branch, stage)
+
+    def delete(self, condition: Column | str, branch: str = MAIN, stage: str | None = None) -> int:
+        """Delete the rows matching ``condition``: writes their ids only."""
+        self._check_stage(stage)
+        parent = self.head(branch)
+        cond = F.expr(condition) if isinstance(condition, str) else condition
+        sid = _new_id()
+        hits = (self._logical(self._raw(parent), keep=("_snap", "_rid")).filter(cond)
+                .select(F.col("_snap").alias("_src"), "_rid")
+                .withColumn("_snap", F.lit(sid).cast("long")))
+        hits.write.mode("append").partitionBy("_snap").parquet(self._deletes)
+        n = (self.spark.read.schema("_src long, _rid long, _snap long").parquet(self._deletes)
+             .filter(F.col("_snap") == sid).count())
+        return self._add_snapshot("delete", parent, branch, stage, {"deleted-records": n},
+                                  snapshot_id=sid, has_deletes=True)
+
+    def compact(self, branch: str = MAIN) -> int:
+        """Rewrite the visible rows with the current partitioning into a new base snapshot
+        (content unchanged; readers stop their chain there)."""
+        parent = self.head(branch)
+        sid = _new_id()
+        content = self._logical(self._raw(parent))
+        n = self._write_rows(content, sid)
+        return self._add_snapshot("replace", parent, branch, None, {"rewritten-records": n},
+                                  snapshot_id=sid, has_data=True, base=True)
+
+    # -- ref operations --------------------------------------------------------------------
+    def rollback(self, sid: int) -> None:
+        """Point ``main`` back to an ancestor snapshot; history records the move."""
+        meta = self._require()
+        if sid not in self.ancestors(self.head(MAIN)):
+            raise ValueError(f"{sid} is not an ancestor of main")
+        self._move_ref(meta, MAIN, sid)
+        self._commit(meta)
+
+    def create_branch(self, name: str, from_ref: str = MAIN) -> None:
+        meta = self._require()
+        if name in meta["refs"]:
+            raise ValueError(f"ref {name} exists")
+        meta["refs"][name] = {"type": "branch", "snapshot_id": self.head(from_ref)}
+        self._commit(meta)
+
+    def drop_branch(self, name: str) -> None:
+        meta = self._require()
+        if name == MAIN or name not in meta["refs"]:
+            raise ValueError(f"cannot drop {name}")
+        del meta["refs"][name]
+        self._commit(meta)
+
+    def find_staged(self, wap_id: str) -> int:
+        """Snapshot id of the write staged under ``wap_id`` (a map lookup on summaries)."""
+        row = (self.snapshots().filter(F.col("summary")["wap.id"] == F.lit(wap_id))
+               .select("snapshot_id").head())
+        if row is None:
+            raise KeyError(f"no snapshot staged as {wap_id}")
+        return row.snapshot_id
+
+    def publish(self, sid: int) -> int:
+        """Cherry-pick a snapshot onto ``main``: fast-forward when its parent is main's
+        head; an append is replayed on top of the head; anything else is refused."""
+        meta = self._require()
+        snap = self._snap(sid)
+        head = self.head(MAIN)
+        if snap["parent_id"] == head:
+            self._move_ref(meta, MAIN, sid)
+            self._commit(meta)
+            return sid
+        if snap["operation"] != "append":
+            raise ValueError(f"cannot replay a {snap['operation']} snapshot onto main")
+        new = _new_id()
+        return self._add_snapshot("append", head, MAIN, None,
+                                  {**snap["summary"], "source-snapshot-id": sid},
+                                  snapshot_id=new, includes=[sid])
+
+    # -- schema and layout evolution ---------------------------------------------------------
+    def set_property(self, key: str, value: str) -> None:
+        meta = self._require()
+        meta["properties"][key] = value
+        self._commit(meta)
+
+    def rename_column(self, old: str, new: str) -> None:
+        meta = self._require()
+        if any(f["name"] == new for f in self._live_fields()):
+            raise ValueError(f"column {new} exists")
+        self._field(old)["name"] = new
+        self._commit(meta)
+
+    def drop_columns(self, *names: str) -> None:
+        meta = self._require()
+        for name in names:
+            self._field(name)["dropped"] = True
+        self._commit(meta)
+
+    def _spec_add(self, meta: dict, transform: str, column: str) -> None:
+        if transform not in _TRANSFORMS:
+            raise ValueError(f"unknown transform {transform}")
+        meta["spec"].append({"transform": transform, "field_id": self._field(column)["id"]})
+
+    def add_partition_field(self, transform: str, column: str) -> None:
+        """Later writes are laid out by this field too; existing files stay until
+        ``compact``."""
+        meta = self._require()
+        self._spec_add(meta, transform, column)
+        self._commit(meta)
+
+    # -- metadata relations ----------------------------------------------------------------
+    def snapshots(self) -> DataFrame:
+        rows = [(s["committed_at"], s["snapshot_id"], s["parent_id"], s["operation"],
+                 s["manifest_list"], s["summary"]) for s in self._require()["snapshots"]]
+        return self.spark.createDataFrame(
+            rows, "committed_at string, snapshot_id long, parent_id long, operation string, "
+                  "manifest_list string, summary map<string,string>")
+
+    def history(self) -> DataFrame:
+        current = set(self.ancestors(self.head(MAIN)))
+        rows = [(h["made_current_at"], h["snapshot_id"], h["parent_id"],
+                 h["snapshot_id"] in current) for h in self._require()["history"]]
+        return self.spark.createDataFrame(
+            rows, "made_current_at string, snapshot_id long, parent_id long, "
+                  "is_current_ancestor boolean")
+
+    def refs(self) -> DataFrame:
+        rows = [(name, r["type"], r["snapshot_id"])
+                for name, r in sorted(self._require()["refs"].items())]
+        return self.spark.createDataFrame(rows, "name string, type string, snapshot_id long")
+
+    def describe(self) -> DataFrame:
+        rows = [(f["name"], f["type"]) for f in self._live_fields()]
+        spec = [(f"partition:{e['transform']}", self._field_name(e["field_id"]))
+                for e in self._require()["spec"]]
+        return self.spark.createDataFrame(rows + spec, "col_name string, data_type string")
+
+    def _field_name(self, fid: int) -> str:
+        return next(f["name"] for f in self._require()["fields"] if f["id"] == fid)
+
+    def files(self, version: int | str | None = None) -> DataFrame:
+        """Data files read by a snapshot: path, size, records (before deletes)."""
+        sid = self._resolve(version)
+        chain = [s for s in self._chain(sid) if self._snap(s).get("has_data")]
+        if not chain:
+            return self.spark.createDataFrame(
+                [], "file_path string, file_size_in_bytes long, record_count long, "
+                    "snapshot_id long")
+        raw = (self.spark.read.schema(self._physical_schema()).parquet(self._data)
+               .filter(F.col("_snap").isin(chain)))
+        return (raw.groupBy(F.col("_metadata.file_path").alias("file_path"),
+                            F.col("_metadata.file_size").alias("file_size_in_bytes"),
+                            F.col("_snap").alias("snapshot_id"))
+                .agg(F.count(F.lit(1)).alias("record_count"))
+                .select("file_path", "file_size_in_bytes", "record_count", "snapshot_id"))
+
+    def partition_columns(self) -> list[Column]:
+        out = []
+        for e in self._require()["spec"]:
+            name = self._field_name(e["field_id"])
+            src = F.col(name)
+            expr = {"identity": src, "year": F.year(src), "month": F.month(src),
+                    "day": F.to_date(src)}[e["transform"]]
+            out.append(expr.alias(f"{name}_{e['transform']}"))
+        return out
+
+    def partitions(self, version: int | str | None = None,
+                   with_files: bool = True) -> DataFrame:
+        """Record (and file) count per partition value of the current spec."""
+        raw = self._raw(self._resolve(version), with_file=with_files)
+        logical = self._logical(raw, keep=("_file",) if with_files else ())
+        keys = self.partition_columns() or [F.lit("_").alias("partition")]
+        aggs = [F.count(F.lit(1)).alias("record_count")]
+        if with_files:
+            aggs.append(F.count_distinct("_file").alias("file_count"))
+        return logical.groupBy(*keys).agg(*aggs)
