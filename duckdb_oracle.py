@@ -167,15 +167,15 @@ SQL.update({
     "daily_pickup_stats": _with(TRIPS) + r"""
 SELECT pu_location, CAST(pickup_ts AS DATE) AS pickup_date,
        CAST(sum(passenger_count) AS BIGINT) AS passenger_sum,
-       CAST(sum(trip_distance) AS DOUBLE) / count(trip_distance) AS avg_trip_distance,
-       CAST(sum(tip_amount) AS DOUBLE) / count(tip_amount) AS avg_tip_amount
+       CAST(sum(CAST(trip_distance * 100 AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(trip_distance) AS avg_trip_distance,
+       CAST(sum(CAST(tip_amount * 100 AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(tip_amount) AS avg_tip_amount
 FROM clean_trips GROUP BY pu_location, CAST(pickup_ts AS DATE)
 """,
     "daily_dropoff_stats": _with(TRIPS) + r"""
 SELECT do_location, CAST(dropoff_ts AS DATE) AS dropoff_date,
        CAST(sum(passenger_count) AS BIGINT) AS passenger_sum,
-       CAST(sum(trip_distance) AS DOUBLE) / count(trip_distance) AS avg_trip_distance,
-       CAST(sum(tip_amount) AS DOUBLE) / count(tip_amount) AS avg_tip_amount
+       CAST(sum(CAST(trip_distance * 100 AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(trip_distance) AS avg_trip_distance,
+       CAST(sum(CAST(tip_amount * 100 AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(tip_amount) AS avg_tip_amount
 FROM clean_trips GROUP BY do_location, CAST(dropoff_ts AS DATE)
 """,
     "trips_within_month": _with(TRIPS) + "SELECT * FROM clean_trips",

@@ -30,10 +30,10 @@ def year_month(ts: Column | str) -> Column:
 
 
 def month_start(ts: Column | str) -> Column:
-    """First instant of the timestamp's month, as TIMESTAMP_NTZ."""
-    return F.to_timestamp_ntz(F.date_format(F.trunc(_c(ts), "month"), "yyyy-MM-dd 00:00:00"))
+    """First instant of the timestamp's month, as TIMESTAMP_NTZ (date arithmetic only)."""
+    return F.trunc(_c(ts), "month").cast("timestamp_ntz")
 
 
 def month_end(ts: Column | str) -> Column:
     """Last whole second of the timestamp's month (``<= end`` keeps 23:59:59 itself)."""
-    return F.to_timestamp_ntz(F.date_format(F.last_day(_c(ts)), "yyyy-MM-dd 23:59:59"))
+    return F.last_day(_c(ts)).cast("timestamp_ntz") + F.expr("INTERVAL 86399 SECONDS")

@@ -48,9 +48,13 @@ def sorted_sample(df: DataFrame, n: int) -> DataFrame:
     return take_sorted(df, [F.asc(PICKUP), F.desc("trip_duration_sec"), *rest], n)
 
 
-def _avg(col: str) -> F.Column:
-    # exact decimal sum, one rounding to double, then a double division: engines agree
-    return (F.sum(col).cast("double") / F.count(col)).alias(f"avg_{col}")
+def _avg(col: str, scale: int = 2) -> F.Column:
+    """Mean of a decimal(p, scale) column: the sum runs over the unscaled values as longs
+    (exact, and on the fast long path instead of BigDecimal buffers), is rounded to double
+    once, then divided – so any engine doing the same gets the same bits."""
+    unscaled = (F.col(col) * F.lit(10 ** scale)).cast("bigint")
+    return (F.sum(unscaled).cast("double") / F.lit(float(10 ** scale))
+            / F.count(col)).alias(f"avg_{col}")
 
 
 def daily_stats(trips: DataFrame, side: str = "pickup") -> DataFrame:
