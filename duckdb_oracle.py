@@ -314,3 +314,12 @@ SELECT DISTINCT 'audit_branch' AS ref, o_orderpriority FROM orders
 WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')""",
     "lake_final": _EVOLVED + " WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')",
 })
+
+SQL.update({
+    "zone_lookup_csv": _with(ZONES) + r"""
+SELECT CAST(location_id AS VARCHAR) AS location_id, borough, zone FROM zones""",
+    "daily_pickup_parquet": SQL["daily_pickup_stats"],
+    "sorted_trip_files": _with(TRIPS) + r"""
+SELECT *, CAST(epoch(dropoff_ts) - epoch(pickup_ts) AS BIGINT) AS trip_duration_sec
+FROM clean_trips""",
+})

@@ -34,5 +34,5 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str,
     if check_target:
         assert_unique(target, keys)
     latest = dedup_last(batch, keys, seq).select(*target.columns)
-    kept = target.join(latest.select(*keys), on=keys, how="left_anti")
+    kept = target.join(latest.select(*keys), on=keys, how="left_anti").select(*target.columns)
     return kept.unionByName(latest)

@@ -263,3 +263,40 @@ QUERIES.update({
 from sluice.plans import lake  # noqa: E402
 
 QUERIES.update(lake.QUERIES)
+
+
+# -- more sources and sinks ----------------------------------------------------------------
+from sluice.operators.ordering import sort_for_files  # noqa: E402
+from sluice.sinks.files import write_parquet  # noqa: E402
+
+
+def zone_lookup_csv(spark, sf_dir):
+    """Zone lookup exported as a ';'-separated CSV with header, read back as strings."""
+    root = scratch_path(spark, "zones-csv")
+    rel.zones(spark, sf_dir).write.option("header", True).option("sep", ";").csv(root)
+    return read_csv(spark, root, sep=";")
+
+
+def daily_pickup_parquet(spark, sf_dir):
+    """Daily pick-up stats written as 20 Parquet files (hash-partitioned by location) and
+    read back."""
+    root = scratch_path(spark, "pickup-stats")
+    write_parquet(daily_pickup_stats(spark, sf_dir), root, files=20, by=["pu_location"])
+    return spark.read.parquet(root)
+
+
+def sorted_trip_files(spark, sf_dir):
+    """Clean trips with durations written as a sorted file set (pick-up ascending, duration
+    descending: range partitions, each sorted) and read back."""
+    root = scratch_path(spark, "sorted-trips")
+    trips = tr.with_trip_seconds(clean_trips(spark, sf_dir))
+    sort_for_files(trips, [F.asc("pickup_ts"), F.desc("trip_duration_sec")], 8) \
+        .write.parquet(root)
+    return spark.read.parquet(root)
+
+
+QUERIES.update({
+    "zone_lookup_csv": zone_lookup_csv,
+    "daily_pickup_parquet": daily_pickup_parquet,
+    "sorted_trip_files": sorted_trip_files,
+})

@@ -81,3 +81,12 @@ def empty_like(spark: SparkSession, schema: StructType | DataFrame) -> DataFrame
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
     """A handful of literal rows (e.g. a manual insert)."""
     return spark.createDataFrame(rows, schema)
+
+
+def with_file_order(df: DataFrame, col: str = "file_seq") -> DataFrame:
+    """Add a sequence that follows the physical order of rows in their files: (file path,
+    split start, position inside the split).  Spark packs splits by size, not by file
+    order, so the partition id alone does not give file order."""
+    return df.withColumn(col, F.struct(F.col("_metadata.file_path").alias("file"),
+                                       F.col("_metadata.file_block_start").alias("block"),
+                                       F.monotonically_increasing_id().alias("pos")))

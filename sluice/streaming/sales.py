@@ -118,3 +118,24 @@ def run_sales_sink(stream: DataFrame, sink_path: str, reject_path: str,
     if available_now:
         query.awaitTermination()
     return query
+
+
+def publish_messages(messages: DataFrame, fmt: str = "kafka", path: str | None = None,
+                     topic: str | None = None, **options) -> None:
+    """Batch-publish (value, partition) messages.
+
+    ``fmt='kafka'`` hands both columns to the Kafka sink, which honours the ``partition``
+    column (options such as ``kafka.bootstrap.servers``, ``kafka.compression.type='gzip'``,
+    ``kafka.enable.idempotence='true'``; connector on the classpath).  Any other format
+    writes message files, one folder per target partition.
+    """
+    if fmt == "kafka":
+        writer = messages.select("value", "partition").write.format("kafka")
+        if topic:
+            writer = writer.option("topic", topic)
+        for key, value in options.items():
+            writer = writer.option(key, value)
+        writer.save()
+        return
+    (messages.write.mode("append").partitionBy("partition").format(fmt)
+     .options(**options).save(path))
