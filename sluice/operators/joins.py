@@ -1,10 +1,14 @@
 """Joins against dimensions.
 
-A broadcast hint is given only after the side is *proven* small: a bounded count
-(``limit(max_rows + 1).count()``) stops reading as soon as the bound is passed, so the
-check costs at most ``max_rows + 1`` rows.  Beyond the bound the join is left to Catalyst
-(sort-merge; AQE may still switch to broadcast from runtime statistics, or split skewed
-partitions).
+A broadcast hint is given only after the side is *proven* small, in two steps:
+
+1. the optimizer's size estimate of the (pruned, filtered) plan – free, no job – must be
+   under ``max_bytes``; a large table is rejected here without reading a row;
+2. an exact bounded count (``limit(max_rows + 1).count()``) on what passed step 1 – cheap,
+   as the input is already known to be small – must be at most ``max_rows``.
+
+Beyond either bound the join is left to Catalyst (sort-merge; AQE may still switch to a
+broadcast from runtime statistics, or split skewed partitions).
 """
 
 from __future__ import annotations
@@ -12,12 +16,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a broadcast side may hold; ~1M narrow dimension rows stay well under 100 MB.
+# Rows and estimated bytes a broadcast side may hold.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (None when unavailable)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 – e.g. a remote session without plan access
+        return None
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged."""
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when it is proven small (see module doc), else ``df`` unchanged."""
+    est = estimated_bytes(df)
+    if est is not None and est > max_bytes:
+        return df
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df

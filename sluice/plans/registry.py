@@ -278,10 +278,9 @@ def zone_lookup_csv(spark, sf_dir):
 
 
 def daily_pickup_parquet(spark, sf_dir):
-    """Daily pick-up stats written as 20 Parquet files (hash-partitioned by location) and
-    read back."""
+    """Daily pick-up stats written as 20 Parquet files (round robin) and read back."""
     root = scratch_path(spark, "pickup-stats")
-    write_parquet(daily_pickup_stats(spark, sf_dir), root, files=20, by=["pu_location"])
+    write_parquet(daily_pickup_stats(spark, sf_dir), root, files=20)
     return spark.read.parquet(root)
 
 

@@ -19,8 +19,9 @@ def write_reports(reports: dict[str, DataFrame], folder: str) -> dict[str, str]:
 
 def write_parquet(df: DataFrame, path: str, files: int | None = None,
                   by: list[str] | None = None, mode: str = "errorifexists") -> None:
-    """Parquet in ``files`` files.  With ``by`` the rows are hash-partitioned on those
-    columns (so one key lands in one file) instead of round robin."""
+    """Parquet in ``files`` files, round robin (even sizes whatever the key skew).  With
+    ``by`` the rows are hash-partitioned on those columns instead, so one key lands in one
+    file – use it only for keys without heavy hitters."""
     out = df
     if files is not None:
         out = df.repartition(files, *by) if by else df.repartition(files)
@@ -30,9 +31,10 @@ def write_parquet(df: DataFrame, path: str, files: int | None = None,
 def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parquet",
                       header: bool = True, sort_within: list[str] | None = None) -> None:
     """One folder per value of ``by`` (e.g. year=2020/month=1), dynamic overwrite: only the
-    partitions present in ``df`` are replaced.  Rows are clustered by ``by`` first, so each
-    task writes few partitions (few, large files)."""
-    out = df.repartition(*by)
+    partitions present in ``df`` are replaced.  Rows are clustered by ``by`` first (few, large
+    files per folder) with a *rebalance*: AQE splits a hot value over several tasks and
+    merges small ones, so a month holding a third of the rows is not written by one task."""
+    out = df.hint("rebalance", *by)
     if sort_within:
         out = out.sortWithinPartitions(*by, *sort_within)
     writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -61,8 +61,9 @@ def read_monthly(spark: SparkSession, folder: str, pattern: str = "*.csv",
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-# Fixed value: a year-month in a path, e.g. ``..._2021-04.parquet`` or ``month=2021-04``.
-YEAR_MONTH_IN_PATH = r"(\d{4})-(\d{2})"
+# Fixed value: a year-month in a path, after ``/``, ``_`` or ``=`` and before ``/`` or ``.``,
+# e.g. ``..._2021-04.parquet`` or ``month=2021-04/`` (not digits inside a part-file UUID).
+YEAR_MONTH_IN_PATH = r"[/_=](\d{4})-(\d{2})[/.]"
 
 
 def with_file_month(df: DataFrame, path_col: str = "source_file") -> DataFrame:
