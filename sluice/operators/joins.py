@@ -24,7 +24,7 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan (None when unavailable)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 – e.g. a remote session without plan access
         return None
 

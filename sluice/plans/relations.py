@@ -9,9 +9,10 @@
 * lake orders (L): ``orders`` with its unique key.
 * sales events (E): ``events`` – event type as product.
 
-Join order keeps the big side streaming: nation (25 rows, broadcast after a size check) is
-joined to customer first, that to orders, then line items; part and supplier joins are
-planned by Catalyst (sort-merge when large).
+Joins run fact-first (line items ⋈ orders ⋈ customer ⋈ part), so the line items stream
+and each smaller relation can be the build side; Catalyst picks broadcast or sort-merge from
+the size estimates (sort-merge at scale), AQE splits skewed keys.  Inputs that arrive as a
+single unsplittable file are spread over the cores first (``spread_scan``).
 """
 
 from __future__ import annotations
@@ -19,11 +20,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import bounded_broadcast
+from sluice.operators.joins import bounded_broadcast, estimated_bytes
+
+# Inputs below this estimated size are never worth a spreading shuffle.
+SPREAD_MIN_BYTES = 2 * 1024 * 1024
+
+
+def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Spread an input held in fewer files than the cluster has cores.
+
+    A file written as one large row group cannot be split (Spark makes several splits, but
+    only the one holding the row group's start reads rows), so the whole pipeline up to the
+    first shuffle – joins, parsing, partial aggregation – would run in one task.  Such an
+    input is round-robin repartitioned to the default parallelism.  A large table lives in
+    many files and is returned untouched: no extra shuffle at scale.  Filters and column
+    pruning still reach the scan through the repartition.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = estimated_bytes(df) or 0
+    if size >= min_bytes and len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _quoted_list(*items) -> F.Column:
@@ -48,8 +69,8 @@ def charts(spark: SparkSession, sf_dir: str) -> DataFrame:
     genres = F.when(F.col("p_size") <= 5, F.lit("[]")).otherwise(
         F.concat(F.lit("['"), F.lower("p_type"), F.lit("','"),
                  F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)), F.lit("']")))
-    cust_orders = orders.join(cust, orders.o_custkey == cust.c_custkey)
-    return (li.join(cust_orders, li.l_orderkey == cust_orders.o_orderkey)
+    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
+            .join(cust, orders.o_custkey == cust.c_custkey)
             .join(part, li.l_partkey == part.p_partkey)
             .select(
                 F.to_date("o_orderdate").alias("date"),

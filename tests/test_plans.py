@@ -39,3 +39,9 @@ def test_zone_join_is_broadcast_and_pushed(spark):
     plan = _plan(registry.trips_with_zone(spark, SF))
     assert "BroadcastHashJoin" in plan
     assert "PushedFilters" in plan
+
+
+def test_estimated_bytes_from_plan(spark):
+    from sluice.operators.joins import estimated_bytes
+    est = estimated_bytes(spark.read.parquet(f"{SF}/lineitem.parquet"))
+    assert isinstance(est, int) and est > 0
