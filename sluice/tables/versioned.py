@@ -5,7 +5,7 @@ Layout under ``root``::
 
     data/_snap=<id>/_part=<p>/*.parquet   rows added by snapshot <id> (+ row id ``_rid``)
     deletes/_snap=<id>/*.parquet          (``_src``, ``_rid``) of rows deleted by <id>
-    meta/*.parquet                        one row per commit: (version, JSON body)
+    meta/v<version>.json                  table metadata, one file per commit
 
 Payload columns are stored under stable physical names ``c<field id>``; the metadata maps
 them to the current logical names, so a rename or a drop never rewrites data.  A snapshot
@@ -63,20 +63,41 @@ class VersionedTable:
         return f"{self.root}/meta"
 
     # -- metadata --------------------------------------------------------------------------
+    # The metadata is a few KB of JSON per commit, written by the driver straight to the
+    # table's (shared) storage through the Hadoop FileSystem API – no Spark job per commit.
+    # Version files are created with overwrite=False, so two writers cannot both commit the
+    # same version on stores with atomic create.
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self._metadir)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return jvm, path, path.getFileSystem(conf)
+
     def _load(self) -> dict | None:
-        try:
-            rows = (self.spark.read.parquet(self._metadir)
-                    .orderBy(F.desc("version")).limit(1).collect())
-        except Exception:  # noqa: BLE001 – no table yet
+        jvm, path, fs = self._fs()
+        if not fs.exists(path):
+            return None
+        names = [st.getPath().getName() for st in fs.listStatus(path)]
+        versions = sorted(n for n in names if n.startswith("v") and n.endswith(".json"))
+        if not versions:
             return None
-        return json.loads(rows[0].body) if rows else None
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(path, versions[-1]))
+        try:
+            body = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(body)
 
     def _commit(self, meta: dict) -> None:
         meta["version"] = meta.get("version", 0) + 1
         meta["last_updated"] = _now()
-        (self.spark.createDataFrame([(meta["version"], json.dumps(meta))],
-                                    "version long, body string")
-         .coalesce(1).write.mode("append").parquet(self._metadir))
+        jvm, path, fs = self._fs()
+        target = jvm.org.apache.hadoop.fs.Path(path, f"v{meta['version']:012d}.json")
+        out = fs.create(target, False)
+        try:
+            out.write(bytearray(json.dumps(meta).encode("utf-8")))
+        finally:
+            out.close()
         self.meta = meta
 
     def _require(self) -> dict:
