@@ -240,8 +240,8 @@ def sales_sink(spark, sf_dir):
     root = scratch_path(spark, "sales")
     _messages(spark, sf_dir).repartition(4).write.json(f"{root}/topic")
     stream = st.sales_source(spark, "json", f"{root}/topic", max_files_per_trigger=1)
-    st.run_sales_sink(stream, f"{root}/sink", f"{root}/rejects", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/sink").select("product", "date", "partition")
+    st.run_sales_sink(stream, f"{root}/sink", f"{root}/checkpoint")
+    return st.read_sink(spark, f"{root}/sink").select("product", "date", "partition")
 
 
 def sales_decoded(spark, sf_dir):

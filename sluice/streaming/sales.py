@@ -6,9 +6,9 @@
 * ``decode_sales`` – value bytes/text -> typed (product, date); undecodable rows go to a
   reject frame instead of stopping the stream.
 * ``run_sales_sink`` – readStream -> decode -> ``foreachBatch``: each micro-batch
-  overwrites its own ``batch_id`` partition of the sink table, so a batch replayed after a
-  failure replaces its earlier output – effectively exactly once, with progress in the
-  checkpoint folder.
+  overwrites its own ``batch_id`` partitions (decoded rows and rejects, in one pass), so a
+  batch replayed after a failure replaces its earlier output – effectively exactly once,
+  with progress in the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -88,27 +88,43 @@ def sales_source(spark: SparkSession, fmt: str = "json", path: str | None = None
     return reader.schema(MESSAGE_SCHEMA).load(path)
 
 
-def _write_batch(sink_path: str, reject_path: str):
+def _write_batch(root: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = decode_sales(batch)
-        rows = (good.withColumn("id", F.lit(batch_id).cast("long") * F.lit(1 << _ID_SHIFT)
-                                + F.monotonically_increasing_id())
-                .withColumn("created_at", F.current_date())
-                .withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .select("id", "product", "date", "created_at", "partition", "batch_id"))
+        parsed = batch.withColumn("__m", F.from_json(F.col("value").cast("string"), SALES_SCHEMA))
+        day = F.try_to_date(F.col("__m.date"), "yyyy-MM-dd")
+        ok = F.coalesce(F.col("__m.product").isNotNull() & day.isNotNull(), F.lit(False))
+        # one pass over the micro-batch: good rows and rejects land in sibling partitions
+        rows = parsed.select(
+            (F.lit(batch_id).cast("long") * F.lit(1 << _ID_SHIFT)
+             + F.monotonically_increasing_id()).alias("id"),
+            F.when(ok, F.col("__m.product")).alias("product"),
+            F.when(ok, day).alias("date"),
+            F.current_date().alias("created_at"),
+            F.col("partition"),
+            F.when(~ok, F.col("value").cast("string")).alias("value"),
+            F.when(ok, F.lit("good")).otherwise(F.lit("rejected")).alias("kind"),
+            F.lit(batch_id).cast("long").alias("batch_id"))
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(sink_path))
-        (bad.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(reject_path))
+         .partitionBy("kind", "batch_id").parquet(root))
     return write
 
 
-def run_sales_sink(stream: DataFrame, sink_path: str, reject_path: str,
-                   checkpoint: str, available_now: bool = True,
-                   processing_time: str | None = None):
-    """Start the sink query; with ``available_now`` it drains the source and returns."""
-    writer = (stream.writeStream.foreachBatch(_write_batch(sink_path, reject_path))
+def read_sink(spark: SparkSession, root: str) -> DataFrame:
+    """The sink table: id, product, date, created_at, partition, batch_id."""
+    return (spark.read.parquet(f"{root}/kind=good")
+            .select("id", "product", "date", "created_at", "partition", "batch_id"))
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Raw values that did not decode, with their partition and batch."""
+    return spark.read.parquet(f"{root}/kind=rejected").select("value", "partition", "batch_id")
+
+
+def run_sales_sink(stream: DataFrame, sink_root: str, checkpoint: str,
+                   available_now: bool = True, processing_time: str | None = None):
+    """Start the sink query; with ``available_now`` it drains the source and returns.
+    Read the results with ``read_sink`` / ``read_rejects``."""
+    writer = (stream.writeStream.foreachBatch(_write_batch(sink_root))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -35,13 +35,13 @@ def test_sink_rerun_adds_nothing_and_equals_batch(spark, tmp_path):
     topic = str(tmp_path / "topic")
     msgs.repartition(3).write.json(topic)
     spark.createDataFrame([("garbage", 0)], "value string, partition int").write.mode("append").json(topic)
-    sink, rej, ck = str(tmp_path / "sink"), str(tmp_path / "rej"), str(tmp_path / "ck")
+    sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
     for _ in range(2):
-        st.run_sales_sink(st.sales_source(spark, "json", topic, max_files_per_trigger=1), sink, rej, ck)
-    out = spark.read.parquet(sink)
+        st.run_sales_sink(st.sales_source(spark, "json", topic, max_files_per_trigger=1), sink, ck)
+    out = st.read_sink(spark, sink)
     assert out.count() == 300
     assert out.select("id").distinct().count() == 300
     batch_good, _ = st.decode_sales(msgs)
     assert out.select("product", "date", "partition").exceptAll(batch_good).count() == 0
-    assert spark.read.parquet(rej).count() == 1
+    assert st.read_rejects(spark, sink).collect()[0].value == "garbage"
     assert out.filter(F.col("created_at") != F.current_date()).count() == 0
