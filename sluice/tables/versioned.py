@@ -314,6 +314,16 @@ class VersionedTable:
         return self._add_snapshot("replace", parent, branch, None, {"rewritten-records": n},
                                   snapshot_id=sid, has_data=True, base=True)
 
+    def overwrite(self, df: DataFrame, branch: str = MAIN, stage: str | None = None) -> int:
+        """Replace the whole content with ``df`` as a new base snapshot.  History stays:
+        earlier snapshots remain readable and can be rolled back to."""
+        self._check_stage(stage)
+        parent = self.head(branch)
+        sid = _new_id()
+        n = self._write_rows(df, sid)
+        return self._add_snapshot("overwrite", parent, branch, stage, {"added-records": n},
+                                  snapshot_id=sid, has_data=True, base=True)
+
     # -- ref operations --------------------------------------------------------------------
     def rollback(self, sid: int) -> None:
         """Point ``main`` back to an ancestor snapshot; history records the move."""

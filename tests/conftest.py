@@ -14,7 +14,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark(tmp_path_factory):
     from sluice.session import build_session
     os.environ.setdefault("SLUICE_CHECKPOINT_DIR", str(tmp_path_factory.mktemp("ckpt")))
-    s = build_session(master="local[*]", shuffle_partitions=8)
+    wh = str(tmp_path_factory.mktemp("warehouse"))
+    s = build_session(master="local[*]", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

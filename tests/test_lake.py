@@ -96,3 +96,26 @@ def test_snapshot_pruning_in_plan(spark, table):
     table.delete("v = 'v0'")
     plan = table.as_of()._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "_snap" in plan
+
+
+def test_overwrite_keeps_history(spark, table):
+    first = table.head()
+    table.overwrite(table.as_of().filter("k < 10"))
+    assert table.as_of().count() == 10
+    table.rollback(first)
+    assert table.as_of().count() == 30
+
+
+def test_catalog_tables(spark):
+    from sluice.sinks.catalog import append_table, create_table, replace_table, reset_table
+    name = reset_table(spark, "taxis", database="nyc_test")
+    base = spark.range(6).selectExpr("id as k", "cast(id % 2 as int) as payment_type")
+    create_table(base.limit(0), name)
+    assert spark.table(name).count() == 0
+    append_table(base, name)
+    append_table(base, name)
+    assert spark.table(name).count() == 12
+    replace_table(spark, name, lambda df: df.filter("payment_type = 1"))
+    assert spark.table(name).count() == 6
+    assert reset_table(spark, "taxis", database="nyc_test") == name
+    assert not spark.catalog.tableExists(name)

@@ -91,3 +91,17 @@ def test_append_csv_stamps_load_date(spark, tmp_path):
     append_csv(spark.createDataFrame([(2, "b")], "id int, name string"), out)
     back = read_csv(spark, out, header=False).collect()
     assert len(back) == 2 and all(r._c2 == str(dt.date.today()) for r in back)
+
+
+def test_monthly_files_by_name_pattern(spark, tmp_path):
+    from sluice.sources.files import empty_like, read_monthly, with_file_month
+    root = tmp_path / "data"
+    root.mkdir()
+    for name, n in [("yellow_tripdata_2021-04.csv", 2), ("yellow_tripdata_2021-05.csv", 3),
+                    ("green_tripdata_2021-04.csv", 7)]:
+        (root / name).write_text("a,b\n" + "".join(f"{i},x\n" for i in range(n)))
+    df = with_file_month(read_monthly(spark, str(root), "*yellow*"))
+    got = sorted((r.file_year, r.file_month, r["count"]) for r in
+                 df.groupBy("file_year", "file_month").count().collect())
+    assert got == [(2021, 4, 2), (2021, 5, 3)]
+    assert empty_like(spark, df).unionByName(df).count() == 5
