@@ -147,3 +147,27 @@ def all_reports(data: DataFrame) -> dict[str, DataFrame]:
         "top_songs_more_than_1_time": repeat_number_ones(data, "window"),
         "top_songs_in_more_than_1_country": multi_country_number_ones(data),
     }
+
+
+def run_job(spark, charts_csv: str, aliases_csv: str, out_folder: str,
+            legacy_split: bool = False) -> dict[str, str]:
+    """The whole charts job: header CSVs read as text, typed at ingest, cleaned and joined
+    once (persisted, as six reports reuse it), six reports written as CSV folders.
+
+    Returns report name -> output folder.
+    """
+    from pyspark import StorageLevel
+
+    from sluice.sinks.files import write_reports
+    from sluice.sources.files import read_csv
+
+    charts = type_charts(read_csv(spark, charts_csv))
+    aliases = read_csv(spark, aliases_csv)
+    data = prepare_charts(charts, aliases).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        reports = all_reports(data)
+        if legacy_split:
+            reports["top_genres_by_country"] = genres_by_country(data, legacy=True)
+        return write_reports(reports, out_folder)
+    finally:
+        data.unpersist()

@@ -121,3 +121,24 @@ def keep_months(df: DataFrame, months: DataFrame, ts: str = PICKUP) -> DataFrame
 
 def dropoff_month_set(df: DataFrame) -> DataFrame:
     return df.select(year_month(DROPOFF).alias("year_month")).distinct()
+
+
+def run_job(spark, trips_folder: str, zones_csv: str, out_folder: str, schema,
+            pattern: str = "*.csv", stat_files: int = 20, month_files: int = 10) -> None:
+    """The whole taxi job over a folder of monthly CSVs (one read, not one per file).
+
+    Writes ``pickup_stats``/``dropoff_stats`` (Parquet, ``stat_files`` files each) and the
+    cleaned trips with their zone as ``year=/month=`` partitions, each month's rows sorted
+    by pick-up ascending and duration descending inside its files.
+    """
+    from sluice.sinks.files import write_parquet, write_partitioned
+    from sluice.sources.files import read_csv, read_monthly
+
+    trips = with_trip_seconds(within_month(read_monthly(spark, trips_folder, pattern,
+                                                        schema=schema).drop("source_file")))
+    write_parquet(daily_stats(trips, "pickup"), f"{out_folder}/pickup_stats", files=stat_files)
+    write_parquet(daily_stats(trips, "dropoff"), f"{out_folder}/dropoff_stats", files=stat_files)
+    zones = read_csv(spark, zones_csv, sep=";").withColumn(
+        "location_id", F.col("location_id").cast("bigint"))
+    write_partitioned(with_year_month(attach_zone(trips, zones)), f"{out_folder}/trips",
+                      ["year", "month"], sort_within=["pickup_ts", "trip_duration_sec"])
