@@ -113,7 +113,9 @@ def repeat_number_ones(data: DataFrame, form: str = "window") -> DataFrame:
         kept = pairs.filter(F.col("n") > 1)
     elif form == "window":
         # nulls sort first in the numbering, so the first value is min over (not null, v)
-        first = (ones.groupBy("name")
+        # from the (name, artists) aggregate, not the raw rows: the chart scan runs once
+        # and its shuffle output feeds both sides of the join (exchange reuse)
+        first = (pairs.groupBy("name")
                  .agg(F.min(F.struct(F.col("artists").isNotNull().alias("nn"),
                                      F.col("artists").alias("v"))).alias("first")))
         kept = (pairs.join(first, "name")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from sluice.operators.joins import bounded_broadcast, estimated_bytes
 
 # Inputs below this estimated size are never worth a spreading shuffle.
-SPREAD_MIN_BYTES = 2 * 1024 * 1024
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
 
 
 def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
