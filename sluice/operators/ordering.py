@@ -7,6 +7,7 @@ top ``n`` and only those reach the final merge, so no global sort of the input i
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def take_sorted(df: DataFrame, order: list[Column | str], n: int) -> DataFrame:
@@ -21,5 +22,14 @@ def page(df: DataFrame, order: list[Column | str], offset: int, size: int) -> Da
 
 def sort_for_files(df: DataFrame, order: list[Column | str], files: int) -> DataFrame:
     """Range-partition into ``files`` slices and sort inside each: a sorted file set
-    without a single-task global sort."""
-    return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    without a single-task global sort.
+
+    Range partitioning sends equal keys to one slice, so a key value holding a third of
+    the rows would be one huge slice.  A hash of the whole row is appended as the last
+    sort key: it only orders rows whose keys tie, and lets the range bounds cut through a
+    hot key.
+    """
+    spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie")
+    keyed = df.withColumn("__tie", spread)
+    ordered = [*order, F.col("__tie")]
+    return keyed.repartitionByRange(files, *ordered).sortWithinPartitions(*ordered).drop("__tie")
