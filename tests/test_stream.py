@@ -45,3 +45,13 @@ def test_sink_rerun_adds_nothing_and_equals_batch(spark, tmp_path):
     assert out.select("product", "date", "partition").exceptAll(batch_good).count() == 0
     assert st.read_rejects(spark, sink).collect()[0].value == "garbage"
     assert out.filter(F.col("created_at") != F.current_date()).count() == 0
+
+
+def test_publish_messages_to_files_by_partition(spark, tmp_path):
+    events = spark.createDataFrame([("a", dt.datetime(2024, 2, 1)), ("b", dt.datetime(2024, 11, 1))],
+                                   "product string, ts timestamp_ntz")
+    out = str(tmp_path / "topic")
+    st.publish_messages(st.sales_messages(events, START, END), fmt="json", path=out)
+    back = {(r.partition, r.value) for r in spark.read.json(out).collect()}
+    assert back == {(0, '{"product":"a","date":"2024-02-01"}'),
+                    (1, '{"product":"b","date":"2024-11-01"}')}
