@@ -202,7 +202,7 @@ SELECT t.*, z.borough, z.zone
 FROM clean_trips t LEFT JOIN zones z ON t.pu_location = z.location_id
 """,
     "time_bounds_by_month": _with(TRIPS) + r"""
-SELECT year(pickup_ts) AS year, month(pickup_ts) AS month,
+SELECT CAST(year(pickup_ts) AS INTEGER) AS year, CAST(month(pickup_ts) AS INTEGER) AS month,
        min(pickup_ts) AS min_pickup, max(pickup_ts) AS max_pickup,
        min(pickup_ts) >= min(date_trunc('month', pickup_ts))
        AND max(pickup_ts) <= max(CAST(last_day(pickup_ts) AS TIMESTAMP) + INTERVAL 86399 SECOND)
@@ -210,22 +210,22 @@ SELECT year(pickup_ts) AS year, month(pickup_ts) AS month,
 FROM clean_trips GROUP BY year(pickup_ts), month(pickup_ts)
 """,
     "months_present": _with(TRIPS) + r"""
-SELECT DISTINCT year(pickup_ts) AS year, month(pickup_ts) AS month FROM trips
+SELECT DISTINCT CAST(year(pickup_ts) AS INTEGER) AS year, CAST(month(pickup_ts) AS INTEGER) AS month FROM trips
 """,
     "missing_months": _with(TRIPS) + r"""
-SELECT DISTINCT year(dropoff_ts) AS year, month(dropoff_ts) AS month FROM trips
+SELECT DISTINCT CAST(year(dropoff_ts) AS INTEGER) AS year, CAST(month(dropoff_ts) AS INTEGER) AS month FROM trips
 EXCEPT
-SELECT DISTINCT year(pickup_ts) AS year, month(pickup_ts) AS month FROM trips
+SELECT DISTINCT CAST(year(pickup_ts) AS INTEGER) AS year, CAST(month(pickup_ts) AS INTEGER) AS month FROM trips
 """,
     "file_months": _with(TRIPS) + r"""
-SELECT year(pickup_ts) AS file_year, month(pickup_ts) AS file_month, count(*) AS n_trips
+SELECT CAST(year(pickup_ts) AS INTEGER) AS file_year, CAST(month(pickup_ts) AS INTEGER) AS file_month, count(*) AS n_trips
 FROM trips GROUP BY 1, 2
 """,
     "partitioned_roundtrip": _with(TRIPS) + r"""
-SELECT *, year(pickup_ts) AS year, month(pickup_ts) AS month FROM clean_trips
+SELECT *, CAST(year(pickup_ts) AS INTEGER) AS year, CAST(month(pickup_ts) AS INTEGER) AS month FROM clean_trips
 """,
     "monthly_union": _with(TRIPS) + r"""
-SELECT year(pickup_ts) AS source_year, count(*) AS n_rows FROM clean_trips GROUP BY 1
+SELECT CAST(year(pickup_ts) AS INTEGER) AS source_year, count(*) AS n_rows FROM clean_trips GROUP BY 1
 """,
     "csv_roundtrip": _with(CHARTS) + "SELECT * FROM charts",
     "null_rates": _with(CHARTS) + r"""
@@ -300,8 +300,8 @@ SQL.update({
 FROM (SELECT count(*) AS n FROM orders) WHERE n >= 0""",
     "lake_rollback": _EVOLVED,
     "lake_compacted": _EVOLVED,
-    "lake_partition_counts": """SELECT year(o_orderdate) AS pickup_datetime_year,
-       month(o_orderdate) AS pickup_datetime_month, count(*) AS record_count
+    "lake_partition_counts": """SELECT CAST(year(o_orderdate) AS INTEGER) AS pickup_datetime_year,
+       CAST(month(o_orderdate) AS INTEGER) AS pickup_datetime_month, count(*) AS record_count
 FROM orders GROUP BY 1, 2""",
     "lake_staged_audit": """SELECT o_orderpriority, count(*) AS count FROM orders
 WHERE o_orderpriority <> '1-URGENT' GROUP BY 1""",

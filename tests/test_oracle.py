@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import canon  # noqa: E402
+from check_types import FAMILY  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 KEYS = sorted(entry.oracle_sql())
@@ -35,6 +36,10 @@ def test_matches_duckdb(spark, duck, key):
     a = sorted(tuple(canon(r[i]) for i in order) for r in rows)
     b = sorted(tuple(canon(r[i]) for i in oorder) for r in orows)
     assert a == b
+    described = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {entry.oracle_sql()[key]}").fetchall()}
+    for f in df.schema.fields:
+        st = f.dataType.simpleString()
+        assert described[f.name] == FAMILY.get(st, st.upper()), (f.name, st)
 
 
 def test_entry_gives_rows(spark):
