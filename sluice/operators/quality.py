@@ -14,5 +14,10 @@ def null_rates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return agg.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, null_rate)")
 
 
-def count_matches(expected: int, df: DataFrame) -> bool:
-    return df.count() == expected
+def rows_per_source_match(counts: DataFrame, expected: DataFrame, source_col: str) -> DataFrame:
+    """Sources whose row count in a union differs from the count of the input itself
+    (empty = the union kept every row).  Both sides are (source, n_rows) aggregates."""
+    return (counts.alias("u").join(expected.alias("e"), source_col, "full_outer")
+            .filter(~F.col("u.n_rows").eqNullSafe(F.col("e.n_rows")))
+            .select(source_col, F.col("u.n_rows").alias("in_union"),
+                    F.col("e.n_rows").alias("in_input")))

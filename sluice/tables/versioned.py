@@ -29,7 +29,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (LongType, StringType, StructField, StructType, _parse_datatype_string)
 
-from sluice.operators.joins import bounded_broadcast
 
 MAIN = "main"
 _TRANSFORMS = ("identity", "year", "month", "day")

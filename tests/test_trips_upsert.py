@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.operators.upsert import upsert
@@ -105,3 +104,19 @@ def test_monthly_files_by_name_pattern(spark, tmp_path):
                  df.groupBy("file_year", "file_month").count().collect())
     assert got == [(2021, 4, 2), (2021, 5, 3)]
     assert empty_like(spark, df).unionByName(df).count() == 5
+
+
+def test_union_checks_and_missing_keys(spark):
+    from sluice.operators.joins import missing_keys
+    from sluice.operators.quality import rows_per_source_match
+    from sluice.operators.sets import union_all, union_counts
+    parts = [spark.range(3), spark.range(5)]
+    u = union_all(parts, source_col="src")
+    counts = union_counts(u, "src")
+    expected = spark.createDataFrame([(0, 3), (1, 5)], "src int, n_rows long")
+    assert rows_per_source_match(counts, expected, "src").count() == 0
+    wrong = spark.createDataFrame([(0, 3), (1, 4)], "src int, n_rows long")
+    assert [tuple(r) for r in rows_per_source_match(counts, wrong, "src").collect()] == [(1, 5, 4)]
+    have = spark.createDataFrame([(2020, 1)], "year int, month int")
+    want = spark.createDataFrame([(2020, 1), (2020, 2)], "year int, month int")
+    assert [tuple(r) for r in missing_keys(want, have, ["year", "month"]).collect()] == [(2020, 2)]
