@@ -29,15 +29,35 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+# (plan hash, size estimate, bound) -> proven small; a changed input changes its estimate
+_PROVEN: dict[tuple[int, int, int], bool] = {}
+
+
+def _plan_hash(df: DataFrame) -> int | None:
+    try:
+        return int(df._jdf.queryExecution().analyzed().semanticHash())
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` when it is proven small (see module doc), else ``df`` unchanged."""
+    """``broadcast(df)`` when it is proven small (see module doc), else ``df`` unchanged.
+
+    A proof is remembered for the same plan over inputs of the same estimated size, so a
+    dimension checked once is not counted again by every query of a session."""
     est = estimated_bytes(df)
     if est is not None and est > max_bytes:
         return df
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    h = _plan_hash(df)
+    key = (h, est, max_rows) if h is not None and est is not None else None
+    if key is not None and key in _PROVEN:
+        small = _PROVEN[key]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _PROVEN[key] = small
+    return F.broadcast(df) if small else df
 
 
 def attach_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,

@@ -43,8 +43,25 @@ def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     return df
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A driver table as a (lazy) DataFrame.
+
+    The resolved read plan – schema from the footer, file listing, spread decision – is
+    kept per session and path, so building a query does not re-list and re-read footers;
+    no data is cached.  ``clear_tables()`` forgets the plans (e.g. after files change).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spread_scan(spark.read.parquet(path))
+    return _TABLES[key]
+
+
+def clear_tables() -> None:
+    _TABLES.clear()
 
 
 def _quoted_list(*items) -> F.Column:
