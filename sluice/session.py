@@ -43,11 +43,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a local one only where none is named."""
+    """Return the cluster's checkpoint folder (``spark.checkpoint.dir``, or the context's
+    checkpoint dir); name a local one only where neither is set, as in tests."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = os.environ.get("SLUICE_CHECKPOINT_DIR") or os.path.join(
-            "/tmp", f"sluice-ckpt-{os.getpid()}")
+        ctx_dir = spark.sparkContext.getCheckpointDir()
+        if ctx_dir:
+            # the context appends a random sub-folder; scratch goes next to it
+            current = ctx_dir.rstrip("/").rsplit("/", 1)[0]
+        else:
+            current = os.environ.get("SLUICE_CHECKPOINT_DIR") or os.path.join(
+                "/tmp", f"sluice-ckpt-{os.getpid()}")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
