@@ -323,3 +323,25 @@ SELECT CAST(location_id AS VARCHAR) AS location_id, borough, zone FROM zones""",
 SELECT *, CAST(epoch(dropoff_ts) - epoch(pickup_ts) AS BIGINT) AS trip_duration_sec
 FROM clean_trips""",
 })
+
+SQL.update({
+    "top_artists_by_country_legacy": _with(CHARTS) + r"""
+, exploded AS (
+  SELECT unnest(string_split_regex(regexp_replace(artists, '[\[\]'']', '', 'g'), ',s*')) AS artist,
+         streams, country_name
+  FROM data
+),
+artist_totals AS (
+  SELECT artist, country_name, CAST(sum(streams) AS BIGINT) AS total_streams
+  FROM exploded GROUP BY artist, country_name
+)
+SELECT country_name, artist, total_streams
+FROM (SELECT *, row_number() OVER (PARTITION BY country_name
+                                   ORDER BY total_streams DESC, artist) AS rn
+      FROM artist_totals)
+WHERE rn = 1
+""",
+    "event_props": r"""
+SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+""",
+})

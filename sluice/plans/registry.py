@@ -299,3 +299,25 @@ QUERIES.update({
     "daily_pickup_parquet": daily_pickup_parquet,
     "sorted_trip_files": sorted_trip_files,
 })
+
+
+# -- legacy list split on the flagship; JSON decode of event properties -------------------
+from sluice.functions.records import decode_json  # noqa: E402
+
+
+def top_artists_by_country_legacy(spark, sf_dir):
+    """The flagship with the original job's list split (items keep leading blanks)."""
+    return ch.top_artists_by_country(chart_data(spark, sf_dir), legacy=True)
+
+
+def event_props(spark, sf_dir):
+    """``props`` JSON text of every event decoded into typed fields (bad text -> null)."""
+    events = rel.table(spark, sf_dir, "events").select("event_id", "props")
+    return events.select("event_id", decode_json("props", "k int").alias("p")) \
+        .select("event_id", F.col("p.k").alias("k"))
+
+
+QUERIES.update({
+    "top_artists_by_country_legacy": top_artists_by_country_legacy,
+    "event_props": event_props,
+})
