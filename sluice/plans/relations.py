@@ -22,23 +22,27 @@ from pyspark.sql import functions as F
 
 from sluice.operators.joins import bounded_broadcast, estimated_bytes
 
-# Inputs below this estimated size are never worth a spreading shuffle.
+# Inputs below this estimated size are never worth a spreading shuffle; above the max,
+# row-group splits give enough tasks and the file list is not even looked at.
 SPREAD_MIN_BYTES = 4 * 1024 * 1024
+SPREAD_MAX_BYTES = 1024 * 1024 * 1024
 
 
-def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES,
+                max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
     """Spread an input held in fewer files than the cluster has cores.
 
     A file written as one large row group cannot be split (Spark makes several splits, but
     only the one holding the row group's start reads rows), so the whole pipeline up to the
     first shuffle – joins, parsing, partial aggregation – would run in one task.  Such an
     input is round-robin repartitioned to the default parallelism.  A large table lives in
-    many files and is returned untouched: no extra shuffle at scale.  Filters and column
+    many files (and beyond ``max_bytes`` its row groups alone give enough tasks): it is
+    returned untouched, without listing its files on the driver – no extra shuffle at scale.  Filters and column
     pruning still reach the scan through the repartition.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = estimated_bytes(df) or 0
-    if size >= min_bytes and len(df.inputFiles()) < cores:
+    if min_bytes <= size <= max_bytes and len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df
 
