@@ -31,6 +31,7 @@ from pyspark.sql.types import (LongType, StringType, StructField, StructType, _p
 
 
 MAIN = "main"
+_DELETE_SCHEMA = "_src long, _rid long, _snap long"
 _TRANSFORMS = ("identity", "year", "month", "day")
 
 
@@ -210,20 +211,24 @@ class VersionedTable:
         return out
 
     # -- reads -----------------------------------------------------------------------------
+    def _read_snaps(self, folder: str, schema: StructType | str, snaps: list[int]) -> DataFrame:
+        """Only the given snapshots' folders are listed and read (the chain, not the table)."""
+        paths = [f"{folder}/_snap={s}" for s in snaps]
+        return (self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
+                .filter(F.col("_snap").isin(snaps)))
+
     def _raw(self, sid: int | None, with_file: bool = False) -> DataFrame:
         chain = self._chain(sid)
         data_snaps = [s for s in chain if self._snap(s).get("has_data")]
         if not data_snaps:
             return self.spark.createDataFrame([], self._physical_schema())
-        rows = (self.spark.read.schema(self._physical_schema()).parquet(self._data)
-                .filter(F.col("_snap").isin(data_snaps)))
+        rows = self._read_snaps(self._data, self._physical_schema(), data_snaps)
         if with_file:
             rows = rows.withColumn("_file", F.col("_metadata.file_path")).withColumn(
                 "_file_size", F.col("_metadata.file_size"))
         del_snaps = [s for s in chain if self._snap(s).get("has_deletes")]
         if del_snaps:
-            dels = (self.spark.read.schema("_src long, _rid long, _snap long").parquet(self._deletes)
-                    .filter(F.col("_snap").isin(del_snaps))
+            dels = (self._read_snaps(self._deletes, _DELETE_SCHEMA, del_snaps)
                     .select(F.col("_src").alias("_snap"), "_rid"))
             rows = rows.join(dels, ["_snap", "_rid"], "left_anti")
         return rows
@@ -272,8 +277,15 @@ class VersionedTable:
         # rebalance: AQE evens out file sizes and splits a hot partition value
         rows = rows.hint("rebalance", "_part") if self._require()["spec"] else rows
         rows.write.mode("append").partitionBy("_snap", "_part").parquet(self._data)
-        return (self.spark.read.schema(self._physical_schema()).parquet(self._data)
-                .filter(F.col("_snap") == sid).count())
+        return self._written(self._data, self._physical_schema(), sid)
+
+    def _written(self, folder: str, schema, sid: int) -> int:
+        """Rows written under ``_snap=sid`` (footer counts; 0 when nothing was written)."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/_snap={sid}")
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return 0
+        return self._read_snaps(folder, schema, [sid]).count()
 
     def append(self, df: DataFrame, branch: str = MAIN, stage: str | None = None) -> int:
         """Add rows (by column name; absent or dropped columns are null) as a new snapshot."""
@@ -282,7 +294,7 @@ class VersionedTable:
         sid = _new_id()
         n = self._write_rows(df, sid)
         return self._add_snapshot("append", parent, branch, stage, {"added-records": n},
-                                  snapshot_id=sid, has_data=True)
+                                  snapshot_id=sid, has_data=n > 0)
 
     def insert_rows(self, rows: list[tuple], branch: str = MAIN, stage: str | None = None) -> int:
         """Literal rows in the current column order."""
@@ -298,10 +310,9 @@ class VersionedTable:
                 .select(F.col("_snap").alias("_src"), "_rid")
                 .withColumn("_snap", F.lit(sid).cast("long")))
         hits.write.mode("append").partitionBy("_snap").parquet(self._deletes)
-        n = (self.spark.read.schema("_src long, _rid long, _snap long").parquet(self._deletes)
-             .filter(F.col("_snap") == sid).count())
+        n = self._written(self._deletes, _DELETE_SCHEMA, sid)
         return self._add_snapshot("delete", parent, branch, stage, {"deleted-records": n},
-                                  snapshot_id=sid, has_deletes=True)
+                                  snapshot_id=sid, has_deletes=n > 0)
 
     def compact(self, branch: str = MAIN) -> int:
         """Rewrite the visible rows with the current partitioning into a new base snapshot
@@ -311,7 +322,7 @@ class VersionedTable:
         content = self._logical(self._raw(parent))
         n = self._write_rows(content, sid)
         return self._add_snapshot("replace", parent, branch, None, {"rewritten-records": n},
-                                  snapshot_id=sid, has_data=True, base=True)
+                                  snapshot_id=sid, has_data=n > 0, base=True)
 
     def overwrite(self, df: DataFrame, branch: str = MAIN, stage: str | None = None) -> int:
         """Replace the whole content with ``df`` as a new base snapshot.  History stays:
@@ -321,7 +332,7 @@ class VersionedTable:
         sid = _new_id()
         n = self._write_rows(df, sid)
         return self._add_snapshot("overwrite", parent, branch, stage, {"added-records": n},
-                                  snapshot_id=sid, has_data=True, base=True)
+                                  snapshot_id=sid, has_data=n > 0, base=True)
 
     # -- ref operations --------------------------------------------------------------------
     def rollback(self, sid: int) -> None:
@@ -440,8 +451,7 @@ class VersionedTable:
             return self.spark.createDataFrame(
                 [], "file_path string, file_size_in_bytes long, record_count long, "
                     "snapshot_id long")
-        raw = (self.spark.read.schema(self._physical_schema()).parquet(self._data)
-               .filter(F.col("_snap").isin(chain)))
+        raw = self._read_snaps(self._data, self._physical_schema(), chain)
         return (raw.groupBy(F.col("_metadata.file_path").alias("file_path"),
                             F.col("_metadata.file_size").alias("file_size_in_bytes"),
                             F.col("_snap").alias("snapshot_id"))

@@ -119,3 +119,11 @@ def test_catalog_tables(spark):
     assert spark.table(name).count() == 6
     assert reset_table(spark, "taxis", database="nyc_test") == name
     assert not spark.catalog.tableExists(name)
+
+
+def test_empty_writes_and_no_hit_delete(spark, table):
+    before = _rows(table.as_of())
+    table.append(spark.createDataFrame([], SCHEMA))
+    table.delete("v = 'nothing'")
+    assert _rows(table.as_of()) == before
+    assert {r.operation for r in table.snapshots().collect()} == {"append", "delete"}
