@@ -64,3 +64,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir for one job's tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_settings(input_bytes: int, total_cores: int,
+                     shuffle_partition_bytes: int = 192 * 1024 * 1024,
+                     split_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a cluster run: shuffle partitions so one holds ~``shuffle_partition_bytes``
+    of the input volume (rounded up to whole waves of ``total_cores``), scan splits of
+    ``split_bytes``, and AQE allowed to coalesce small partitions and split skewed ones.
+
+    E.g. 100 TiB on 1,000 executors × 8 cores: 552,000 shuffle partitions (69 waves).
+    Pass the result as ``build_session(extra=...)``.
+    """
+    wanted = max(1, -(-input_bytes // shuffle_partition_bytes))
+    waves = max(1, -(-wanted // total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(waves * total_cores),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

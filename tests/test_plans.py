@@ -45,3 +45,11 @@ def test_estimated_bytes_from_plan(spark):
     from sluice.operators.joins import estimated_bytes
     est = estimated_bytes(spark.read.parquet(f"{SF}/lineitem.parquet"))
     assert isinstance(est, int) and est > 0
+
+
+def test_cluster_settings_scale():
+    from sluice.session import cluster_settings
+    c = cluster_settings(100 * 1024 ** 4, 8000)
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and 500_000 < parts < 600_000
+    assert cluster_settings(10, 8)["spark.sql.shuffle.partitions"] == "8"
