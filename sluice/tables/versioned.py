@@ -14,7 +14,7 @@ folders are listed and read), stopping at the newest *base* snapshot (a compacti
 removes deleted rows with a left-anti join on (``_snap``, ``_rid``).  A delete writes only
 the ids of the rows it removes – never a rewrite of the table.
 
-Every data write goes to a fresh random snapshot id, and the metadata row is written after
+Every data write goes to a fresh random snapshot id, and the metadata file is written after
 the data: a failed write leaves only unreferenced files, and a retried write cannot mix with
 the leftovers.  One writer at a time (no concurrent-commit protocol).
 """
@@ -27,7 +27,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (LongType, StringType, StructField, StructType, _parse_datatype_string)
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
 
 MAIN = "main"
@@ -35,6 +35,11 @@ _DELETE_SCHEMA = "_src long, _rid long, _snap long"
 _TRANSFORMS = ("identity", "year", "month", "day")
 
 
+def _type(ddl: str) -> DataType:
+    """Spark type from its DDL name, e.g. ``bigint`` or ``timestamp_ntz``."""
+    return StructType.fromDDL(f"c {ddl}").fields[0].dataType
+
+
 def _now() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
@@ -136,14 +141,14 @@ class VersionedTable:
         raise KeyError(f"no column {name!r}")
 
     def _physical_schema(self) -> StructType:
-        fields = [StructField(f"c{f['id']}", _parse_datatype_string(f["type"]))
+        fields = [StructField(f"c{f['id']}", _type(f["type"]))
                   for f in self._require()["fields"]]
         return StructType(fields + [StructField("_rid", LongType()),
                                     StructField("_snap", LongType()),
                                     StructField("_part", StringType())])
 
     def schema(self) -> StructType:
-        return StructType([StructField(f["name"], _parse_datatype_string(f["type"]))
+        return StructType([StructField(f["name"], _type(f["type"]))
                            for f in self._live_fields()])
 
     def _to_physical(self, df: DataFrame) -> DataFrame:
