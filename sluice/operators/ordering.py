@@ -16,10 +16,21 @@ def take_sorted(df: DataFrame, order: list[Column | str], n: int) -> DataFrame:
 
 
 def page(df: DataFrame, order: list[Column | str], offset: int, size: int) -> DataFrame:
-    """Rows ``offset .. offset+size-1`` under a total ``order`` (LIMIT/OFFSET paging)."""
+    """Rows ``offset .. offset+size-1`` under a total ``order`` (LIMIT/OFFSET paging).
+
+    Each task keeps its first ``offset + size`` rows, so deep pages grow expensive; walk a
+    large table with ``page_after`` instead."""
     return df.orderBy(*order).offset(offset).limit(size)
 
 
+def page_after(df: DataFrame, key: str, after, size: int) -> DataFrame:
+    """Keyset paging: the ``size`` rows with the smallest ``key`` greater than ``after``
+    (``None`` = first page).  The bound is a filter that reaches the scan (row groups
+    below it are skipped), and each task keeps only ``size`` rows, however deep the page."""
+    rows = df if after is None else df.filter(F.col(key) > F.lit(after))
+    return rows.orderBy(F.col(key)).limit(size)
+
+
 def sort_for_files(df: DataFrame, order: list[Column | str], files: int) -> DataFrame:
     """Range-partition into ``files`` slices and sort inside each: a sorted file set
     without a single-task global sort.

@@ -120,3 +120,17 @@ def test_union_checks_and_missing_keys(spark):
     have = spark.createDataFrame([(2020, 1)], "year int, month int")
     want = spark.createDataFrame([(2020, 1), (2020, 2)], "year int, month int")
     assert [tuple(r) for r in missing_keys(want, have, ["year", "month"]).collect()] == [(2020, 2)]
+
+
+def test_keyset_pages_cover_table_once(spark):
+    from sluice.operators.ordering import page, page_after
+    df = spark.range(0, 1000, numPartitions=4).selectExpr("id * 3 as k")
+    seen, after = [], None
+    while True:
+        rows = [r.k for r in page_after(df, "k", after, 128).collect()]
+        if not rows:
+            break
+        seen += rows
+        after = rows[-1]
+    assert seen == [i * 3 for i in range(1000)]
+    assert [r.k for r in page(df, ["k"], 256, 128).collect()] == seen[256:384]
