@@ -1,13 +1,32 @@
-"""Registered queries: ``(spark, sf_dir) -> DataFrame`` over the whole driver tables."""
+"""Registered queries: ``(spark, sf_dir) -> DataFrame`` over the whole driver tables.
+
+Charts (W2), trips (W1), file sources/sinks, upsert (W5), the sales stream (W4) here; the
+versioned-table walk-through (W3) in ``sluice.plans.lake``.  Queries that write tables as
+part of their work use fresh folders under the session's checkpoint dir.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from sluice.functions.records import decode_json
+from sluice.operators.ordering import page, sort_for_files
+from sluice.operators.quality import null_rates
+from sluice.operators.sets import union_all, union_counts
+from sluice.operators.upsert import dedup_last, upsert
 from sluice.plans import charts as ch
+from sluice.plans import lake
 from sluice.plans import relations as rel
+from sluice.plans import trips as tr
+from sluice.plans.charts import type_charts
+from sluice.session import scratch_path
+from sluice.sinks.files import export_csv, write_parquet, write_partitioned
+from sluice.sources.files import read_csv, read_monthly, with_file_month
+from sluice.streaming import sales as st
 
 
 def chart_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,29 +69,8 @@ def multi_country_number_ones_distinct(spark, sf_dir):
     return ch.multi_country_number_ones(chart_data(spark, sf_dir), distinct=True)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "top_artists_by_country": top_artists_by_country,
-    "top_songs_by_country": top_songs_by_country,
-    "totals_by_country": totals_by_country,
-    "genres_by_country": genres_by_country,
-    "genres_by_country_legacy": genres_by_country_legacy,
-    "repeat_number_ones_window": repeat_number_ones_window,
-    "repeat_number_ones_count": repeat_number_ones_count,
-    "multi_country_number_ones": multi_country_number_ones,
-    "multi_country_number_ones_distinct": multi_country_number_ones_distinct,
-}
-
-
 # -- trips (W1) ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from sluice.plans import trips as tr  # noqa: E402
-from sluice.plans.charts import type_charts  # noqa: E402
-from sluice.operators.quality import null_rates  # noqa: E402
-from sluice.operators.sets import union_all, union_counts  # noqa: E402
-from sluice.session import scratch_path  # noqa: E402
-from sluice.sinks.files import export_csv, write_partitioned  # noqa: E402
-from sluice.sources.files import read_csv, read_monthly, with_file_month  # noqa: E402
 
 SAMPLE_ROWS = 1000
 
@@ -133,7 +131,7 @@ def file_months(spark, sf_dir):
     root = scratch_path(spark, "monthly-csv")
     trips = rel.trips(spark, sf_dir).withColumn("src_month", F.date_format("pickup_ts", "yyyy-MM"))
     write_partitioned(trips, root, ["src_month"], fmt="csv")
-    back = with_file_month(read_monthly(spark, root, "*.csv", schema=_schema(TRIP_CSV_SCHEMA)))
+    back = with_file_month(read_monthly(spark, root, "*.csv", schema=StructType.fromDDL(TRIP_CSV_SCHEMA)))
     return back.groupBy("file_year", "file_month").agg(F.count(F.lit(1)).alias("n_trips"))
 
 
@@ -155,11 +153,6 @@ def monthly_union(spark, sf_dir):
     return union_counts(union_all(parts), "source_year")
 
 
-def _schema(ddl: str):
-    from pyspark.sql.types import StructType
-    return StructType.fromDDL(ddl)
-
-
 def _charts_csv(spark, sf_dir):
     root = scratch_path(spark, "charts-csv")
     export_csv(rel.charts(spark, sf_dir), root)
@@ -176,28 +169,7 @@ def null_rates_typed_charts(spark, sf_dir):
     return null_rates(type_charts(_charts_csv(spark, sf_dir)))
 
 
-QUERIES.update({
-    "daily_pickup_stats": daily_pickup_stats,
-    "daily_dropoff_stats": daily_dropoff_stats,
-    "trips_within_month": trips_within_month,
-    "trips_out_of_range": trips_out_of_range,
-    "trips_kept_months": trips_kept_months,
-    "trip_seconds_sorted_sample": trip_seconds_sorted_sample,
-    "trips_with_zone": trips_with_zone,
-    "time_bounds_by_month": time_bounds_by_month,
-    "months_present": months_present,
-    "missing_months": missing_months,
-    "file_months": file_months,
-    "partitioned_roundtrip": partitioned_roundtrip,
-    "monthly_union": monthly_union,
-    "csv_roundtrip": csv_roundtrip,
-    "null_rates": null_rates_typed_charts,
-})
-
-
 # -- keyed upsert (W5), paging ---------------------------------------------------------------
-from sluice.operators.ordering import page  # noqa: E402
-from sluice.operators.upsert import dedup_last, upsert  # noqa: E402
 
 UPSERT_SPLIT = "1998-01-01"
 ORDER_COLS = ["o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
@@ -221,7 +193,6 @@ def orders_page(spark, sf_dir):
 
 
 # -- sales stream (W4) ---------------------------------------------------------------------
-from sluice.streaming import sales as st  # noqa: E402
 
 
 def _messages(spark, sf_dir):
@@ -250,24 +221,7 @@ def sales_decoded(spark, sf_dir):
     return good
 
 
-QUERIES.update({
-    "upsert_last_wins": upsert_last_wins,
-    "orders_page": orders_page,
-    "sales_messages": sales_messages,
-    "sales_sink": sales_sink,
-    "sales_decoded": sales_decoded,
-})
-
-
-# -- versioned table (W3) ------------------------------------------------------------------
-from sluice.plans import lake  # noqa: E402
-
-QUERIES.update(lake.QUERIES)
-
-
 # -- more sources and sinks ----------------------------------------------------------------
-from sluice.operators.ordering import sort_for_files  # noqa: E402
-from sluice.sinks.files import write_parquet  # noqa: E402
 
 
 def zone_lookup_csv(spark, sf_dir):
@@ -294,15 +248,7 @@ def sorted_trip_files(spark, sf_dir):
     return spark.read.parquet(root)
 
 
-QUERIES.update({
-    "zone_lookup_csv": zone_lookup_csv,
-    "daily_pickup_parquet": daily_pickup_parquet,
-    "sorted_trip_files": sorted_trip_files,
-})
-
-
 # -- legacy list split on the flagship; JSON decode of event properties -------------------
-from sluice.functions.records import decode_json  # noqa: E402
 
 
 def top_artists_by_country_legacy(spark, sf_dir):
@@ -317,7 +263,40 @@ def event_props(spark, sf_dir):
         .select("event_id", F.col("p.k").alias("k"))
 
 
-QUERIES.update({
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "top_artists_by_country": top_artists_by_country,
+    "top_songs_by_country": top_songs_by_country,
+    "totals_by_country": totals_by_country,
+    "genres_by_country": genres_by_country,
+    "genres_by_country_legacy": genres_by_country_legacy,
+    "repeat_number_ones_window": repeat_number_ones_window,
+    "repeat_number_ones_count": repeat_number_ones_count,
+    "multi_country_number_ones": multi_country_number_ones,
+    "multi_country_number_ones_distinct": multi_country_number_ones_distinct,
+    "daily_pickup_stats": daily_pickup_stats,
+    "daily_dropoff_stats": daily_dropoff_stats,
+    "trips_within_month": trips_within_month,
+    "trips_out_of_range": trips_out_of_range,
+    "trips_kept_months": trips_kept_months,
+    "trip_seconds_sorted_sample": trip_seconds_sorted_sample,
+    "trips_with_zone": trips_with_zone,
+    "time_bounds_by_month": time_bounds_by_month,
+    "months_present": months_present,
+    "missing_months": missing_months,
+    "file_months": file_months,
+    "partitioned_roundtrip": partitioned_roundtrip,
+    "monthly_union": monthly_union,
+    "csv_roundtrip": csv_roundtrip,
+    "null_rates": null_rates_typed_charts,
+    "upsert_last_wins": upsert_last_wins,
+    "orders_page": orders_page,
+    "sales_messages": sales_messages,
+    "sales_sink": sales_sink,
+    "sales_decoded": sales_decoded,
+    "zone_lookup_csv": zone_lookup_csv,
+    "daily_pickup_parquet": daily_pickup_parquet,
+    "sorted_trip_files": sorted_trip_files,
     "top_artists_by_country_legacy": top_artists_by_country_legacy,
     "event_props": event_props,
-})
+    **lake.QUERIES,
+}
