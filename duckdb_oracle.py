@@ -345,3 +345,20 @@ WHERE rn = 1
 SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
 """,
 })
+
+SQL.update({
+    "lake_snapshot_summary": r"""
+SELECT 'append' AS operation, count(*) AS records, CAST(NULL AS VARCHAR) AS wap_id
+FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00'
+UNION ALL
+SELECT 'append', count(*), NULL FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'
+UNION ALL
+SELECT 'append', CAST(1 AS BIGINT), NULL
+UNION ALL
+SELECT 'replace', count(*), NULL FROM orders
+UNION ALL
+SELECT 'delete', count(*), 'audit-0001' FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL
+SELECT 'delete', count(*), NULL FROM orders WHERE o_orderpriority = '5-LOW'
+""",
+})

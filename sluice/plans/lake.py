@@ -141,6 +141,16 @@ def lake_snapshots(spark, sf_dir):
     return run_scenario(spark, sf_dir)[0].snapshots()
 
 
+def lake_snapshot_summary(spark, sf_dir):
+    """Per snapshot of the whole walk-through: operation, rows it added/rewrote/deleted, and
+    its audit id – the deterministic part of the snapshot listing."""
+    snaps = run_scenario(spark, sf_dir)[0].snapshots()
+    s = F.col("summary")
+    records = F.coalesce(s["added-records"], s["rewritten-records"], s["deleted-records"])
+    return snaps.select("operation", records.cast("bigint").alias("records"),
+                        s["wap.id"].alias("wap_id"))
+
+
 def lake_history(spark, sf_dir):
     return run_scenario(spark, sf_dir)[0].history()
 
@@ -169,6 +179,7 @@ QUERIES = {
     "lake_published": lake_published,
     "lake_branch_vs_main": lake_branch_vs_main,
     "lake_final": lake_final,
+    "lake_snapshot_summary": lake_snapshot_summary,
     "lake_snapshots": lake_snapshots,
     "lake_history": lake_history,
     "lake_refs": lake_refs,
