@@ -177,10 +177,13 @@ class VersionedTable:
 
     # -- snapshots, refs, chains ---------------------------------------------------------
     def _snap(self, sid: int) -> dict:
-        for s in self._require()["snapshots"]:
-            if s["snapshot_id"] == sid:
-                return s
-        raise KeyError(f"no snapshot {sid}")
+        snaps = self._require()["snapshots"]
+        index = getattr(self, "_index", None)
+        if index is None or len(index) != len(snaps):
+            index = self._index = {s["snapshot_id"]: s for s in snaps}
+        if sid not in index:
+            raise KeyError(f"no snapshot {sid}")
+        return index[sid]
 
     def head(self, ref: str = MAIN) -> int | None:
         r = self._require()["refs"].get(ref)
