@@ -362,3 +362,7 @@ UNION ALL
 SELECT 'delete', count(*), NULL FROM orders WHERE o_orderpriority = '5-LOW'
 """,
 })
+
+SQL.update({
+    "sales_rejects": "SELECT props AS value, 0 AS partition FROM events",
+})

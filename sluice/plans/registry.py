@@ -215,6 +215,19 @@ def sales_sink(spark, sf_dir):
     return st.read_sink(spark, f"{root}/sink").select("product", "date", "partition")
 
 
+def sales_rejects(spark, sf_dir):
+    """A topic shared with another producer: besides the sales messages it carries each
+    event's ``props`` record (no product, no date).  The stream sink keeps the sales rows
+    and diverts the foreign records to its reject output, which is read back here."""
+    root = scratch_path(spark, "sales-mixed")
+    foreign = rel.table(spark, sf_dir, "events").select(
+        F.col("props").alias("value"), F.lit(0).alias("partition"))
+    _messages(spark, sf_dir).unionByName(foreign).repartition(4).write.json(f"{root}/topic")
+    stream = st.sales_source(spark, "json", f"{root}/topic", max_files_per_trigger=2)
+    st.run_sales_sink(stream, f"{root}/sink", f"{root}/checkpoint")
+    return st.read_rejects(spark, f"{root}/sink").select("value", "partition")
+
+
 def sales_decoded(spark, sf_dir):
     """Batch decode of the messages (the stream's per-batch logic on the whole set)."""
     good, _ = st.decode_sales(_messages(spark, sf_dir))
@@ -293,6 +306,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_messages": sales_messages,
     "sales_sink": sales_sink,
     "sales_decoded": sales_decoded,
+    "sales_rejects": sales_rejects,
     "zone_lookup_csv": zone_lookup_csv,
     "daily_pickup_parquet": daily_pickup_parquet,
     "sorted_trip_files": sorted_trip_files,
