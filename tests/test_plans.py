@@ -53,3 +53,19 @@ def test_cluster_settings_scale():
     parts = int(c["spark.sql.shuffle.partitions"])
     assert parts % 8000 == 0 and 500_000 < parts < 600_000
     assert cluster_settings(10, 8)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_date_predicate_pushed_to_scan(spark):
+    plan = registry.upsert_last_wins(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan
+    assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_spread_keeps_pushdown_and_pruning(spark):
+    from sluice.plans.relations import spread_scan
+    df = spread_scan(spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet"))
+    q = df.filter("l_quantity > 10").select("l_orderkey")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan
+    assert "GreaterThan(l_quantity,10.0)" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
