@@ -40,7 +40,10 @@ def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES,
     returned untouched, without listing its files on the driver – no extra shuffle at scale.  Filters and column
     pruning still reach the scan through the repartition.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 – no local context handle: leave the scan as it is
+        return df
     size = estimated_bytes(df) or 0
     if min_bytes <= size <= max_bytes and len(df.inputFiles()) < cores:
         return df.repartition(cores)

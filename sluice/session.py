@@ -46,8 +46,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``, or the context's
     checkpoint dir); name a local one only where neither is set, as in tests."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        ctx = spark.sparkContext
+    except Exception:  # noqa: BLE001 – no local context handle
+        ctx = None
     if not current:
-        ctx_dir = spark.sparkContext.getCheckpointDir()
+        ctx_dir = ctx.getCheckpointDir() if ctx is not None else None
         if ctx_dir:
             # the context appends a random sub-folder; scratch goes next to it
             current = ctx_dir.rstrip("/").rsplit("/", 1)[0]
@@ -55,8 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             current = os.environ.get("SLUICE_CHECKPOINT_DIR") or os.path.join(
                 "/tmp", f"sluice-ckpt-{os.getpid()}")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    if ctx is not None and ctx.getCheckpointDir() is None:
+        ctx.setCheckpointDir(current)
     return current
 
 
