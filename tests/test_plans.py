@@ -69,3 +69,18 @@ def test_spread_keeps_pushdown_and_pruning(spark):
     assert "RoundRobinPartitioning" in plan
     assert "GreaterThan(l_quantity,10.0)" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+
+
+def test_country_join_is_broadcast(spark):
+    plan = registry.totals_by_country(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [country" in plan
+
+
+def test_split_by_month_then_union_equals_input(spark):
+    from pyspark.sql import functions as F
+    from sluice.operators.sets import union_all
+    from sluice.plans import relations as rel
+    trips = rel.trips(spark, SF).withColumn("ym", F.date_format("pickup_ts", "yyyy-MM"))
+    months = [r.ym for r in trips.select("ym").distinct().collect()]
+    back = union_all([trips.filter(F.col("ym") == m) for m in months])
+    assert back.exceptAll(trips).count() == 0 and trips.exceptAll(back).count() == 0
