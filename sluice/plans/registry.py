@@ -30,7 +30,14 @@ from sluice.streaming import sales as st
 
 
 def chart_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ch.prepare_charts(rel.charts(spark, sf_dir), rel.country_aliases(spark, sf_dir))
+    """Cleaned chart rows with their country (the input of every report), staged once."""
+    return rel.staged(spark, "chart-data", sf_dir, lambda: ch.prepare_charts(
+        rel.charts(spark, sf_dir), rel.country_aliases(spark, sf_dir)))
+
+
+def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip rows (the input of every trip query), staged once."""
+    return rel.staged(spark, "trips", sf_dir, lambda: rel.trips(spark, sf_dir))
 
 
 def top_artists_by_country(spark, sf_dir):
@@ -76,7 +83,7 @@ SAMPLE_ROWS = 1000
 
 
 def clean_trips(spark, sf_dir):
-    return tr.within_month(rel.trips(spark, sf_dir))
+    return tr.within_month(trip_rows(spark, sf_dir))
 
 
 def daily_pickup_stats(spark, sf_dir):
@@ -92,11 +99,11 @@ def trips_within_month(spark, sf_dir):
 
 
 def trips_out_of_range(spark, sf_dir):
-    return tr.outliers(rel.trips(spark, sf_dir))
+    return tr.outliers(trip_rows(spark, sf_dir))
 
 
 def trips_kept_months(spark, sf_dir):
-    trips = rel.trips(spark, sf_dir)
+    trips = trip_rows(spark, sf_dir)
     return tr.keep_months(trips, tr.dropoff_month_set(trips))
 
 
@@ -113,11 +120,11 @@ def time_bounds_by_month(spark, sf_dir):
 
 
 def months_present(spark, sf_dir):
-    return tr.months_present(rel.trips(spark, sf_dir))
+    return tr.months_present(trip_rows(spark, sf_dir))
 
 
 def missing_months(spark, sf_dir):
-    return tr.missing_months(rel.trips(spark, sf_dir))
+    return tr.missing_months(trip_rows(spark, sf_dir))
 
 
 TRIP_CSV_SCHEMA = ("pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, passenger_count int, "
@@ -129,7 +136,7 @@ def file_months(spark, sf_dir):
     """Trips written as one CSV folder per source month, read back as one set through a
     file-name glob; the month is parsed from each file's path."""
     root = scratch_path(spark, "monthly-csv")
-    trips = rel.trips(spark, sf_dir).withColumn("src_month", F.date_format("pickup_ts", "yyyy-MM"))
+    trips = trip_rows(spark, sf_dir).withColumn("src_month", F.date_format("pickup_ts", "yyyy-MM"))
     write_partitioned(trips, root, ["src_month"], fmt="csv")
     back = with_file_month(read_monthly(spark, root, "*.csv", schema=StructType.fromDDL(TRIP_CSV_SCHEMA)))
     return back.groupBy("file_year", "file_month").agg(F.count(F.lit(1)).alias("n_trips"))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.joins import bounded_broadcast, estimated_bytes
+from sluice.session import scratch_path
 
 # Inputs below this estimated size are never worth a spreading shuffle; above the max,
 # row-group splits give enough tasks and the file list is not even looked at.
@@ -69,6 +70,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def clear_tables() -> None:
     _TABLES.clear()
+    _STAGED.clear()
+
+
+_STAGED: dict[tuple[int, str, str], str] = {}
+
+
+def staged(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """A derived relation computed once per session and written as Parquet under the
+    shared checkpoint folder; later queries read that copy.
+
+    The joins behind a derived relation (e.g. the chart rows) then run once instead of once
+    per report; the copy is typed and columnar, so each report reads only its columns, and
+    it cuts lineage – a lost executor costs a re-read, not a re-join.  Each session stages
+    its own copy (fresh folder), so inputs changed between sessions are never served stale.
+    """
+    key = (id(spark), name, sf_dir.rstrip("/"))
+    path = _STAGED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"stage-{name}")
+        build().write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(path)
 
 
 def _quoted_list(*items) -> F.Column:

@@ -72,7 +72,10 @@ def test_spread_keeps_pushdown_and_pruning(spark):
 
 
 def test_country_join_is_broadcast(spark):
-    plan = registry.totals_by_country(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    from sluice.plans import charts as ch
+    from sluice.plans import relations as rel
+    data = ch.prepare_charts(rel.charts(spark, SF), rel.country_aliases(spark, SF))
+    plan = data._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [country" in plan
 
 
