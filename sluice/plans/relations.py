@@ -51,7 +51,17 @@ def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES,
     return df
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def _session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session: object id plus the application id of its context (a
+    new context after a stop never shares cached plans with the old one)."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        app = None
+    return (id(spark), app)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +72,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     no data is cached.  ``clear_tables()`` forgets the plans (e.g. after files change).
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (_session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spread_scan(spark.read.parquet(path))
     return _TABLES[key]
@@ -73,7 +83,7 @@ def clear_tables() -> None:
     _STAGED.clear()
 
 
-_STAGED: dict[tuple[int, str, str], str] = {}
+_STAGED: dict[tuple, str] = {}
 
 
 def staged(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
@@ -85,7 +95,7 @@ def staged(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
     it cuts lineage – a lost executor costs a re-read, not a re-join.  Each session stages
     its own copy (fresh folder), so inputs changed between sessions are never served stale.
     """
-    key = (id(spark), name, sf_dir.rstrip("/"))
+    key = (_session_key(spark), name, sf_dir.rstrip("/"))
     path = _STAGED.get(key)
     if path is None:
         path = scratch_path(spark, f"stage-{name}")
