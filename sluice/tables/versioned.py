@@ -241,13 +241,20 @@ class VersionedTable:
             rows = rows.join(dels, ["_snap", "_rid"], "left_anti")
         return rows
 
-    def _logical(self, raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-        cols = [F.col(f"c{f['id']}").alias(f["name"]) for f in self._live_fields()]
+    def _logical(self, raw: DataFrame, keep: tuple[str, ...] = (),
+                 fields: list[dict] | None = None) -> DataFrame:
+        live = [f for f in fields if not f["dropped"]] if fields else self._live_fields()
+        cols = [F.col(f"c{f['id']}").alias(f["name"]) for f in live]
         return raw.select(*cols, *keep)
 
     def as_of(self, version: int | str | None = None) -> DataFrame:
-        """Rows of a snapshot id, a ref name (branch) or, by default, ``main``."""
-        return self._logical(self._raw(self._resolve(version)))
+        """Rows of a snapshot id, a ref name (branch) or, by default, ``main``.
+
+        A ref is read with the table's current schema; a snapshot id with the schema it was
+        committed under (time travel shows the columns as they were)."""
+        sid = self._resolve(version)
+        fields = self._snap(sid).get("fields") if isinstance(version, int) else None
+        return self._logical(self._raw(sid), fields=fields)
 
     # -- writes ----------------------------------------------------------------------------
     def _check_stage(self, stage: str | None) -> None:
@@ -263,7 +270,8 @@ class VersionedTable:
             summary["wap.id"] = stage
         snap = {"snapshot_id": sid, "parent_id": parent, "committed_at": _now(),
                 "operation": operation, "summary": summary,
-                "manifest_list": f"{self._data}/_snap={sid}", **extra}
+                "manifest_list": f"{self._data}/_snap={sid}",
+                "fields": [dict(f) for f in meta["fields"]], **extra}
         meta["snapshots"].append(snap)
         if not stage:
             self._move_ref(meta, branch, sid)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.session import scratch_path
-from sluice.tables.versioned import VersionedTable
+from sluice.tables.versioned import MAIN, VersionedTable
 
 SCHEMA = "k long, v string, ts timestamp_ntz"
 
@@ -127,3 +127,14 @@ def test_empty_writes_and_no_hit_delete(spark, table):
     table.delete("v = 'nothing'")
     assert _rows(table.as_of()) == before
     assert {r.operation for r in table.snapshots().collect()} == {"append", "delete"}
+
+
+def test_time_travel_uses_snapshot_schema(spark, table):
+    old = table.head()
+    table.rename_column("v", "value")
+    table.drop_columns("ts")
+    assert table.as_of().columns == ["k", "value"]          # ref: current schema
+    assert table.as_of(MAIN).columns == ["k", "value"]
+    assert table.as_of(old).columns == ["k", "v", "ts"]      # snapshot id: its own schema
+    new = table.insert_rows([(77, "x")])
+    assert table.as_of(new).columns == ["k", "value"]
