@@ -70,14 +70,20 @@ def decode_sales(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def sales_source(spark: SparkSession, fmt: str = "json", path: str | None = None,
-                 max_files_per_trigger: int | None = None, **options) -> DataFrame:
+                 max_files_per_trigger: int | None = None, topic: str | None = None,
+                 **options) -> DataFrame:
     """Streaming message source with ``value``/``partition`` columns.
 
-    ``fmt='kafka'`` subscribes with the given options (``kafka.bootstrap.servers``,
-    ``subscribe``, ``startingOffsets='earliest'``); the connector must be on the classpath.
-    Any file format reads message files from ``path``.
+    ``fmt='kafka'`` subscribes to ``topic`` from the earliest offset unless told otherwise
+    (``kafka.bootstrap.servers`` and other options pass through); progress lives in the
+    query's checkpoint, not in consumer-group commits.  The connector must be on the
+    classpath.  Any file format reads message files from ``path``.
     """
     reader = spark.readStream.format(fmt)
+    if fmt == "kafka":
+        options = {"startingOffsets": "earliest", **options}
+        if topic:
+            options["subscribe"] = topic
     for key, value in options.items():
         reader = reader.option(key, value)
     if fmt == "kafka":
