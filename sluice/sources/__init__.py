@@ -2,8 +2,8 @@
 Parquet, empty relations, literal rows, JDBC tables and message streams."""
 
 from sluice.sources.files import (empty_like, literal_rows, read_csv, read_monthly,
-                                  read_parquet, with_file_month)
+                                  read_parquet, read_reports, with_file_month)
 from sluice.sources.jdbc import read_table_jdbc
 
 __all__ = ["empty_like", "literal_rows", "read_csv", "read_monthly", "read_parquet",
-           "with_file_month", "read_table_jdbc"]
+           "read_reports", "with_file_month", "read_table_jdbc"]

@@ -91,3 +91,18 @@ def with_file_order(df: DataFrame, col: str = "file_seq") -> DataFrame:
     return df.withColumn(col, F.struct(F.col("_metadata.file_path").alias("file"),
                                        F.col("_metadata.file_block_start").alias("block"),
                                        F.monotonically_increasing_id().alias("pos")))
+
+
+def read_reports(spark: SparkSession, folder: str, suffix: str = ".csv") -> dict[str, DataFrame]:
+    """Report folders written by ``write_reports`` (``<name>.csv/``) back as
+    ``{name: DataFrame}`` – the table name comes from the folder name.  Only the folder
+    names are listed on the driver; the rows are read by Spark."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.endswith(suffix):
+            out[name[: -len(suffix)]] = read_csv(spark, f"{folder.rstrip('/')}/{name}")
+    return out

@@ -22,6 +22,11 @@ def test_charts_job_writes_six_reports(spark, tmp_path):
                                   "top_songs_by_countries", "top_artists_by_country",
                                   "top_songs_more_than_1_time",
                                   "top_songs_in_more_than_1_country"])
+    from sluice.sources.files import read_reports
+    reports = read_reports(spark, str(tmp_path / "prepared"))
+    assert sorted(reports) == sorted(out)
+    assert reports["total_and_max_streams_by_country"].columns == [
+        "country_name", "total_streams", "max_stream", "count_songs"]
     back = read_csv(spark, out["top_artists_by_country"]).withColumn(
         "total_streams", F.col("total_streams").cast("bigint"))
     expected = registry.top_artists_by_country(spark, SF)
