@@ -28,3 +28,17 @@ def test_sorted_files_split_a_hot_key(spark):
     rows = out.select("k").collect()
     # each slice is sorted and slices follow each other in key order
     assert out.columns == ["k", "id"] and len(rows) == 100_000
+
+
+def test_upsert_with_a_hot_key(spark):
+    from sluice.operators.upsert import upsert
+    batch = spark.range(0, 90_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("seq"), (F.col("id") * 2).alias("v"))
+    target = spark.createDataFrame([(0, -1, -1), (1, -1, -1)], "k long, seq long, v long")
+    out = upsert(target, batch, ["k"], "seq")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
+    rows = {r.k: (r.seq, r.v) for r in out.collect()}
+    assert rows[0] == (89_997, 179_994)          # last of the 30,000 rows of the hot key
+    assert rows[1] == (1, 2) and len(rows) == 60_001
