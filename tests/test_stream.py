@@ -55,3 +55,18 @@ def test_publish_messages_to_files_by_partition(spark, tmp_path):
     back = {(r.partition, r.value) for r in spark.read.json(out).collect()}
     assert back == {(0, '{"product":"a","date":"2024-02-01"}'),
                     (1, '{"product":"b","date":"2024-11-01"}')}
+
+
+def test_continuous_trigger_processes_and_stops(spark, tmp_path):
+    events = spark.createDataFrame([(f"p{i}", dt.datetime(2024, 3, 1 + i)) for i in range(5)],
+                                   "product string, ts timestamp_ntz")
+    topic = str(tmp_path / "topic")
+    st.sales_messages(events, START, END).write.json(topic)
+    sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
+    q = st.run_sales_sink(st.sales_source(spark, "json", topic), sink, ck,
+                          available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert st.read_sink(spark, sink).count() == 5
