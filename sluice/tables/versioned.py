@@ -16,7 +16,8 @@ the ids of the rows it removes – never a rewrite of the table.
 
 Every data write goes to a fresh random snapshot id, and the metadata file is written after
 the data: a failed write leaves only unreferenced files, and a retried write cannot mix with
-the leftovers.  One writer at a time (no concurrent-commit protocol).
+the leftovers.  Commits are optimistic: metadata version files are created only if absent,
+and a writer that finds its version taken raises ``CommitConflict`` (and reloads).
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ _DELETE_SCHEMA = "_src long, _rid long, _snap long"
 _TRANSFORMS = ("identity", "year", "month", "day")
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed the version this writer was about to commit."""
+
+
 def _type(ddl: str) -> DataType:
     """Spark type from its DDL name, e.g. ``bigint`` or ``timestamp_ntz``."""
     return StructType.fromDDL(f"c {ddl}").fields[0].dataType
@@ -98,7 +103,16 @@ class VersionedTable:
         meta["last_updated"] = _now()
         jvm, path, fs = self._fs()
         target = jvm.org.apache.hadoop.fs.Path(path, f"v{meta['version']:012d}.json")
-        out = fs.create(target, False)
+        if fs.exists(target):
+            self.meta = self._load()
+            raise CommitConflict(f"version {meta['version']} of {self.root} was committed by "
+                                 "another writer; reload and retry")
+        try:
+            out = fs.create(target, False)
+        except Exception as exc:  # noqa: BLE001 – lost the create race
+            self.meta = self._load()
+            raise CommitConflict(f"version {meta['version']} of {self.root} was committed "
+                                 "by another writer; reload and retry") from exc
         try:
             out.write(bytearray(json.dumps(meta).encode("utf-8")))
         finally:

@@ -138,3 +138,14 @@ def test_time_travel_uses_snapshot_schema(spark, table):
     assert table.as_of(old).columns == ["k", "v", "ts"]      # snapshot id: its own schema
     new = table.insert_rows([(77, "x")])
     assert table.as_of(new).columns == ["k", "value"]
+
+
+def test_second_writer_gets_a_conflict(spark, table):
+    from sluice.tables.versioned import CommitConflict
+    other = VersionedTable(spark, table.root)
+    other.insert_rows([(1000, "o", dt.datetime(2020, 1, 1))])
+    with pytest.raises(CommitConflict):
+        table.insert_rows([(2000, "t", dt.datetime(2020, 1, 1))])
+    # after the conflict the handle holds the other writer's state and can retry
+    table.insert_rows([(2000, "t", dt.datetime(2020, 1, 1))])
+    assert {1000, 2000} <= {r.k for r in table.as_of().collect()}
