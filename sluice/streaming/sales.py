@@ -24,8 +24,10 @@ SALES_SCHEMA = StructType([StructField("product", StringType()),
 MESSAGE_SCHEMA = StructType([StructField("value", StringType()),
                              StructField("partition", IntegerType())])
 
-# Bits left for the per-batch row id in the generated sink id.
-_ID_SHIFT = 42
+# The sink id is batch_id * 2^64 + the per-batch row id (monotonically_increasing_id uses
+# all 64 bits: partition index << 33 | row), computed exactly as decimal(38,0): unique for
+# any number of partitions per batch and any number of batches.
+_ID_BASE = 2 ** 64
 
 
 def _micros(c) -> F.Column:
@@ -101,8 +103,9 @@ def _write_batch(root: str):
         ok = F.coalesce(F.col("__m.product").isNotNull() & day.isNotNull(), F.lit(False))
         # one pass over the micro-batch: good rows and rejects land in sibling partitions
         rows = parsed.select(
-            (F.lit(batch_id).cast("long") * F.lit(1 << _ID_SHIFT)
-             + F.monotonically_increasing_id()).alias("id"),
+            (F.lit(batch_id).cast("decimal(38,0)") * F.lit(str(_ID_BASE)).cast("decimal(38,0)")
+             + F.monotonically_increasing_id().cast("decimal(38,0)")).cast("decimal(38,0)")
+            .alias("id"),
             F.when(ok, F.col("__m.product")).alias("product"),
             F.when(ok, day).alias("date"),
             F.current_date().alias("created_at"),
