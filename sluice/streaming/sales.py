@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from sluice.functions.records import decode_json, encode_json
+
 SALES_SCHEMA = StructType([StructField("product", StringType()),
                            StructField("date", StringType())])
 MESSAGE_SCHEMA = StructType([StructField("value", StringType()),
@@ -52,22 +54,29 @@ def choose_partition(ts: F.Column, start: dt.datetime, end: dt.datetime) -> F.Co
 def sales_messages(sales: DataFrame, start: dt.datetime, end: dt.datetime,
                    product: str = "product", ts: str = "ts") -> DataFrame:
     """(value, partition) messages for sales rows with a product and an instant."""
-    value = F.to_json(F.struct(F.col(product).alias("product"),
-                               F.date_format(ts, "yyyy-MM-dd").alias("date")))
+    value = encode_json(F.col(product).alias("product"),
+                        F.date_format(ts, "yyyy-MM-dd").alias("date"))
     return sales.select(value.alias("value"),
                         choose_partition(F.col(ts), start, end).alias("partition"))
 
 
+def _decoded(messages: DataFrame) -> DataFrame:
+    """Messages plus ``__product``, ``__date`` and ``__ok`` – one JSON parse per row."""
+    parsed = messages.withColumn("__m", decode_json("value", SALES_SCHEMA))
+    day = F.try_to_date(F.col("__m.date"), "yyyy-MM-dd")
+    ok = F.coalesce(F.col("__m.product").isNotNull() & day.isNotNull(), F.lit(False))
+    return parsed.select("*", F.col("__m.product").alias("__product"), day.alias("__date"),
+                         ok.alias("__ok")).drop("__m")
+
+
 def decode_sales(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): good = product, date, partition; bad = the raw value of rows whose JSON,
     product or date does not parse."""
-    parsed = messages.withColumn("__m", F.from_json(F.col("value").cast("string"), SALES_SCHEMA))
-    day = F.try_to_date(F.col("__m.date"), "yyyy-MM-dd")
-    ok = F.col("__m.product").isNotNull() & day.isNotNull()
-    good = parsed.filter(ok).select(F.col("__m.product").alias("product"), day.alias("date"),
-                                    F.col("partition"))
-    bad = parsed.filter(~ok | ok.isNull()).select(F.col("value").cast("string").alias("value"),
-                                                  F.col("partition"))
+    rows = _decoded(messages)
+    good = rows.filter("__ok").select(F.col("__product").alias("product"),
+                                      F.col("__date").alias("date"), F.col("partition"))
+    bad = rows.filter(~F.col("__ok")).select(F.col("value").cast("string").alias("value"),
+                                             F.col("partition"))
     return good, bad
 
 
@@ -98,16 +107,15 @@ def sales_source(spark: SparkSession, fmt: str = "json", path: str | None = None
 
 def _write_batch(root: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.withColumn("__m", F.from_json(F.col("value").cast("string"), SALES_SCHEMA))
-        day = F.try_to_date(F.col("__m.date"), "yyyy-MM-dd")
-        ok = F.coalesce(F.col("__m.product").isNotNull() & day.isNotNull(), F.lit(False))
+        decoded = _decoded(batch)
+        ok = F.col("__ok")
         # one pass over the micro-batch: good rows and rejects land in sibling partitions
-        rows = parsed.select(
+        rows = decoded.select(
             (F.lit(batch_id).cast("decimal(38,0)") * F.lit(str(_ID_BASE)).cast("decimal(38,0)")
              + F.monotonically_increasing_id().cast("decimal(38,0)")).cast("decimal(38,0)")
             .alias("id"),
-            F.when(ok, F.col("__m.product")).alias("product"),
-            F.when(ok, day).alias("date"),
+            F.when(ok, F.col("__product")).alias("product"),
+            F.when(ok, F.col("__date")).alias("date"),
             F.current_date().alias("created_at"),
             F.col("partition"),
             F.when(~ok, F.col("value").cast("string")).alias("value"),
