@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.convert import text_to_bool, text_to_int
-from sluice.functions.lists import explode_list
+from sluice.functions.lists import explode_list_rows
 from sluice.operators.joins import attach_dimension
 from sluice.operators.windows import top_n_per_group
 
@@ -61,7 +61,7 @@ def totals_by_country(data: DataFrame) -> DataFrame:
 
 def genres_by_country(data: DataFrame, legacy: bool = False) -> DataFrame:
     """country_name, genre, genre_count over the exploded genre lists."""
-    return (data.select("country_name", explode_list("artist_genres", legacy).alias("genre"))
+    return (explode_list_rows(data, "artist_genres", "genre", ["country_name"], legacy)
             .groupBy("country_name", "genre")
             .agg(F.count(F.lit(1)).alias("genre_count"))
             .orderBy(F.desc("genre_count"), "country_name", "genre"))
@@ -79,8 +79,7 @@ def top_songs_by_country(data: DataFrame) -> DataFrame:
 
 def artist_streams(data: DataFrame, legacy: bool = False) -> DataFrame:
     """artist, country_name, total_streams over the exploded artist lists."""
-    return (data.select(explode_list("artists", legacy).alias("artist"), "streams",
-                        "country_name")
+    return (explode_list_rows(data, "artists", "artist", ["streams", "country_name"], legacy)
             .groupBy("artist", "country_name")
             .agg(F.sum("streams").alias("total_streams")))
 

@@ -100,3 +100,13 @@ def test_type_charts_from_strings(spark):
     rows = ch.type_charts(raw).collect()
     assert rows[0].position == 1 and rows[0].streams == 12 and rows[0].explicit is True
     assert rows[1].position is None and rows[1].streams is None and rows[1].explicit is False
+
+
+def test_row_explode_matches_array_form(spark):
+    from sluice.functions.lists import explode_list_rows
+    df = spark.createDataFrame([(1, "['pop', 'rap']"), (2, "['rock','soul']"), (3, "[]"), (4, None)],
+                               "id int, g string")
+    for legacy in (False, True):
+        rows = sorted((r.id, r.x) for r in explode_list_rows(df, "g", "x", ["id"], legacy).collect())
+        want = sorted((r.id, r.x) for r in df.select("id", F.explode(parse_list_text("g", legacy)).alias("x")).collect())
+        assert rows == want
