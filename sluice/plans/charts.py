@@ -41,15 +41,28 @@ def load_aliases(aliases: DataFrame) -> DataFrame:
     return aliases.select(F.col("alias"), F.col("country").alias("country_name"))
 
 
-def prepare_charts(charts: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Drop rows without a name, add duration in minutes, attach the country name (inner:
-    codes without an alias drop out) and drop country/alias/duration."""
-    cleaned = (charts.dropna(subset=["name"])
-               .withColumn("duration_minutes", F.col("duration") / F.lit(60000.0)))
-    return attach_dimension(cleaned, load_aliases(aliases), "country", "alias", "inner",
+def clean_charts(charts: DataFrame) -> DataFrame:
+    """Drop chart rows without a song name."""
+    return charts.dropna(subset=["name"])
+
+
+def with_duration_minutes(charts: DataFrame) -> DataFrame:
+    """Add ``duration_minutes`` from the duration in milliseconds."""
+    return charts.withColumn("duration_minutes", F.col("duration") / F.lit(60000.0))
+
+
+def attach_country(charts: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Country name from the alias table (inner join: codes without an alias drop out);
+    the code, alias and raw duration columns are dropped."""
+    return attach_dimension(charts, load_aliases(aliases), "country", "alias", "inner",
                             drop_keys=("country", "alias", "duration"))
 
 
+def prepare_charts(charts: DataFrame, aliases: DataFrame) -> DataFrame:
+    """The cleaned chart rows every report reads."""
+    return attach_country(with_duration_minutes(clean_charts(charts)), aliases)
+
+
 def totals_by_country(data: DataFrame) -> DataFrame:
     """country_name, total_streams, max_stream, count_songs – by total descending."""
     return (data.groupBy("country_name")

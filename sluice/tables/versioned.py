@@ -436,6 +436,15 @@ class VersionedTable:
             raise ValueError(f"unknown transform {transform}")
         meta["spec"].append({"transform": transform, "field_id": self._field(column)["id"]})
 
+    def set_partitioning(self, fields: list[tuple[str, str]]) -> None:
+        """Replace the partition spec, e.g. ``[("year", "ts"), ("month", "ts")]``; later
+        writes (and ``compact``) use it, existing files keep their layout."""
+        meta = self._require()
+        meta["spec"] = []
+        for transform, column in fields:
+            self._spec_add(meta, transform, column)
+        self._commit(meta)
+
     def add_partition_field(self, transform: str, column: str) -> None:
         """Later writes are laid out by this field too; existing files stay until
         ``compact``."""

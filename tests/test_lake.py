@@ -149,3 +149,11 @@ def test_second_writer_gets_a_conflict(spark, table):
     # after the conflict the handle holds the other writer's state and can retry
     table.insert_rows([(2000, "t", dt.datetime(2020, 1, 1))])
     assert {1000, 2000} <= {r.k for r in table.as_of().collect()}
+
+
+def test_set_partitioning_replaces_spec(spark, table):
+    table.set_partitioning([("year", "ts"), ("month", "ts")])
+    table.compact()
+    assert {r.ts_month for r in table.partitions().collect()} == set(range(1, 7))
+    table.set_partitioning([])
+    assert [r.col_name for r in table.describe().collect()] == ["k", "v", "ts"]
