@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.functions.records import decode_json
-from sluice.operators.ordering import page, sort_for_files
+from sluice.operators.ordering import page
 from sluice.operators.quality import null_rates
 from sluice.operators.sets import union_all, union_counts
 from sluice.operators.upsert import dedup_last, upsert
@@ -262,9 +262,7 @@ def sorted_trip_files(spark, sf_dir):
     """Clean trips with durations written as a sorted file set (pick-up ascending, duration
     descending: range partitions, each sorted) and read back."""
     root = scratch_path(spark, "sorted-trips")
-    trips = tr.with_trip_seconds(clean_trips(spark, sf_dir))
-    sort_for_files(trips, [F.asc("pickup_ts"), F.desc("trip_duration_sec")], 8) \
-        .write.parquet(root)
+    tr.sort_trips(tr.with_trip_seconds(clean_trips(spark, sf_dir)), files=8).write.parquet(root)
     return spark.read.parquet(root)
 
 

@@ -41,11 +41,26 @@ def with_trip_seconds(df: DataFrame) -> DataFrame:
     return df.withColumn("trip_duration_sec", seconds_between(PICKUP, DROPOFF))
 
 
+def trip_order() -> list[F.Column]:
+    """Pick-up ascending, then duration descending."""
+    return [F.asc(PICKUP), F.desc("trip_duration_sec")]
+
+
+def sort_trips(df: DataFrame, files: int | None = None) -> DataFrame:
+    """Trips by pick-up ascending, duration descending.  With ``files`` the order is laid out
+    as that many range-partitioned, internally sorted slices (file order = trip order, no
+    single-task global sort); without, a global sort."""
+    from sluice.operators.ordering import sort_for_files
+    if files:
+        return sort_for_files(df, trip_order(), files)
+    return df.orderBy(*trip_order())
+
+
 def sorted_sample(df: DataFrame, n: int) -> DataFrame:
     """First ``n`` trips by pick-up ascending, duration descending (rest of the row breaks
     ties, so the sample is deterministic)."""
     rest = [F.asc(c) for c in df.columns if c not in (PICKUP, "trip_duration_sec")]
-    return take_sorted(df, [F.asc(PICKUP), F.desc("trip_duration_sec"), *rest], n)
+    return take_sorted(df, [*trip_order(), *rest], n)
 
 
 def _avg(col: str, scale: int = 2) -> F.Column:
