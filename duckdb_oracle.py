@@ -43,9 +43,9 @@ trips AS (
   SELECT o.o_orderdate AS pickup_ts,
          l.l_shipdate AS dropoff_ts,
          CAST(l.l_quantity AS INTEGER) AS passenger_count,
-         CAST(l.l_extendedprice AS DECIMAL(12,2)) AS trip_distance,
+         l.l_extendedprice AS trip_distance,
          CAST(round(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_discount AS DECIMAL(4,2)), 2)
-              AS DECIMAL(12,2)) AS tip_amount,
+              AS DOUBLE) AS tip_amount,
          l.l_suppkey AS pu_location,
          l.l_partkey AS do_location
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -167,15 +167,15 @@ SQL.update({
     "daily_pickup_stats": _with(TRIPS) + r"""
 SELECT pu_location, CAST(pickup_ts AS DATE) AS pickup_date,
        CAST(sum(passenger_count) AS BIGINT) AS passenger_sum,
-       CAST(sum(CAST(trip_distance * 100 AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(trip_distance) AS avg_trip_distance,
-       CAST(sum(CAST(tip_amount * 100 AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(tip_amount) AS avg_tip_amount
+       CAST(sum(CAST(round(trip_distance * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(trip_distance) AS avg_trip_distance,
+       CAST(sum(CAST(round(tip_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(tip_amount) AS avg_tip_amount
 FROM clean_trips GROUP BY pu_location, CAST(pickup_ts AS DATE)
 """,
     "daily_dropoff_stats": _with(TRIPS) + r"""
 SELECT do_location, CAST(dropoff_ts AS DATE) AS dropoff_date,
        CAST(sum(passenger_count) AS BIGINT) AS passenger_sum,
-       CAST(sum(CAST(trip_distance * 100 AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(trip_distance) AS avg_trip_distance,
-       CAST(sum(CAST(tip_amount * 100 AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(tip_amount) AS avg_tip_amount
+       CAST(sum(CAST(round(trip_distance * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(trip_distance) AS avg_trip_distance,
+       CAST(sum(CAST(round(tip_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(tip_amount) AS avg_tip_amount
 FROM clean_trips GROUP BY do_location, CAST(dropoff_ts AS DATE)
 """,
     "trips_within_month": _with(TRIPS) + "SELECT * FROM clean_trips",

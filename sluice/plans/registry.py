@@ -128,7 +128,7 @@ def missing_months(spark, sf_dir):
 
 
 TRIP_CSV_SCHEMA = ("pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, passenger_count int, "
-                   "trip_distance decimal(12,2), tip_amount decimal(12,2), pu_location bigint, "
+                   "trip_distance double, tip_amount double, pu_location bigint, "
                    "do_location bigint")
 
 

@@ -156,14 +156,15 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    # tip in cents computed exactly (decimal), kept as double like every money column
     tip = F.round(F.col("l_extendedprice").cast("decimal(12,2)")
-                  * F.col("l_discount").cast("decimal(4,2)"), 2).cast("decimal(12,2)")
+                  * F.col("l_discount").cast("decimal(4,2)"), 2).cast("double")
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)
             .select(
                 F.col("o_orderdate").alias("pickup_ts"),
                 F.col("l_shipdate").alias("dropoff_ts"),
                 F.col("l_quantity").cast("int").alias("passenger_count"),
-                F.col("l_extendedprice").cast("decimal(12,2)").alias("trip_distance"),
+                F.col("l_extendedprice").alias("trip_distance"),
                 tip.alias("tip_amount"),
                 F.col("l_suppkey").alias("pu_location"),
                 F.col("l_partkey").alias("do_location"),

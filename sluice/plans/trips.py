@@ -64,10 +64,11 @@ def sorted_sample(df: DataFrame, n: int) -> DataFrame:
 
 
 def _avg(col: str, scale: int = 2) -> F.Column:
-    """Mean of a decimal(p, scale) column: the sum runs over the unscaled values as longs
-    (exact, and on the fast long path instead of BigDecimal buffers), is rounded to double
-    once, then divided – so any engine doing the same gets the same bits."""
-    unscaled = (F.col(col) * F.lit(10 ** scale)).cast("bigint")
+    """Mean of a money/distance column with at most ``scale`` decimals: the values are
+    summed exactly as whole cents (longs – no floating-point accumulation order, no
+    BigDecimal buffers), the sum is turned into a double once and divided – so any engine
+    doing the same gets the same bits, however the rows are partitioned."""
+    unscaled = F.round(F.col(col) * F.lit(10 ** scale)).cast("bigint")
     return (F.sum(unscaled).cast("double") / F.lit(float(10 ** scale))
             / F.count(col)).alias(f"avg_{col}")
 

@@ -10,7 +10,7 @@ from sluice.sources.files import read_csv, with_file_order
 from sluice.sinks.files import append_csv
 
 TRIP_SCHEMA = ("pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, passenger_count int, "
-               "trip_distance decimal(12,2), tip_amount decimal(12,2), pu_location bigint, "
+               "trip_distance double, tip_amount double, pu_location bigint, "
                "do_location bigint")
 
 
