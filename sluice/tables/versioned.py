@@ -299,7 +299,7 @@ class VersionedTable:
             meta["history"].append({"made_current_at": _now(), "snapshot_id": sid,
                                     "parent_id": old["snapshot_id"] if old else None})
 
-    def _write_rows(self, logical: DataFrame, sid: int) -> int:
+    def _write_rows(self, logical: DataFrame, sid: int, known_rows: int | None = None) -> int:
         rows = (self._to_physical(logical)
                 .withColumn("_rid", F.monotonically_increasing_id())
                 .withColumn("_snap", F.lit(sid).cast("long"))
@@ -307,6 +307,8 @@ class VersionedTable:
         # rebalance: AQE evens out file sizes and splits a hot partition value
         rows = rows.hint("rebalance", "_part") if self._require()["spec"] else rows
         rows.write.mode("append").partitionBy("_snap", "_part").parquet(self._data)
+        if known_rows is not None:
+            return known_rows
         return self._written(self._data, self._physical_schema(), sid)
 
     def _written(self, folder: str, schema, sid: int) -> int:
@@ -317,18 +319,21 @@ class VersionedTable:
             return 0
         return self._read_snaps(folder, schema, [sid]).count()
 
-    def append(self, df: DataFrame, branch: str = MAIN, stage: str | None = None) -> int:
-        """Add rows (by column name; absent or dropped columns are null) as a new snapshot."""
+    def append(self, df: DataFrame, branch: str = MAIN, stage: str | None = None,
+               known_rows: int | None = None) -> int:
+        """Add rows (by column name; absent or dropped columns are null) as a new snapshot.
+        ``known_rows`` skips the post-write count when the caller knows it."""
         self._check_stage(stage)
         parent = self.head(branch)
         sid = _new_id()
-        n = self._write_rows(df, sid)
+        n = self._write_rows(df, sid, known_rows)
         return self._add_snapshot("append", parent, branch, stage, {"added-records": n},
                                   snapshot_id=sid, has_data=n > 0)
 
     def insert_rows(self, rows: list[tuple], branch: str = MAIN, stage: str | None = None) -> int:
         """Literal rows in the current column order."""
-        return self.append(self.spark.createDataFrame(rows, self.schema()), branch, stage)
+        return self.append(self.spark.createDataFrame(rows, self.schema()), branch, stage,
+                           known_rows=len(rows))
 
     def delete(self, condition: Column | str, branch: str = MAIN, stage: str | None = None) -> int:
         """Delete the rows matching ``condition``: writes their ids only."""
