@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 def dedup_last(batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """One row per key: the one with the greatest ``seq`` (``seq`` must be unique per key)."""
-    payload = [c for c in batch.columns]
-    best = (batch.groupBy(*keys)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in payload]), F.col(seq)).alias("__row")))
+    row = F.struct(*[F.col(c) for c in batch.columns])  # a struct: null fields survive max_by
+    best = batch.groupBy(*keys).agg(F.max_by(row, F.col(seq)).alias("__row"))
     return best.select("__row.*")
 
 
