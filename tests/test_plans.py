@@ -87,3 +87,10 @@ def test_split_by_month_then_union_equals_input(spark):
     months = [r.ym for r in trips.select("ym").distinct().collect()]
     back = union_all([trips.filter(F.col("ym") == m) for m in months])
     assert back.exceptAll(trips).count() == 0 and trips.exceptAll(back).count() == 0
+
+
+def test_scratch_goes_under_the_session_checkpoint_dir(spark):
+    from sluice.session import scratch_path
+    root = spark.conf.get("spark.checkpoint.dir")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a.startswith(root.rstrip("/") + "/x-") and a != b
