@@ -3,9 +3,15 @@ and derives its result columns from its operator's output."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sluice.llm.packing import pack_documents
+from sluice.llm.rans import read_token_files, write_token_files
 from sluice.llm.simhash import simhash_groups
+from sluice.session import scratch_path
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +23,24 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, written, read back and summed up by document."""
+    path = scratch_path(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=2)
+    return read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    packed = pack_documents(_table(spark, sf_dir, "documents"), WORD_BPE, capacity=4096, end_id=1)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op6_token_id_output": op6_token_id_output,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 SQL: dict[str, str] = {}
