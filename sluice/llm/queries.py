@@ -6,12 +6,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sluice.llm.langid import identify_language
 from sluice.llm.packing import pack_documents
+from sluice.llm.pieces import decode_pieces, encode_pieces
+from sluice.llm.quality import resample
 from sluice.llm.rans import read_token_files, write_token_files
 from sluice.llm.simhash import simhash_groups
 from sluice.session import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +27,12 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance ratio and Gumbel top-k choice of every document."""
+    chosen = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return chosen.select("doc_id", "log_ratio", "gumbel_key", "sampled")
+
+
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written, read back and summed up by document."""
     path = scratch_path(spark, "token-files")
@@ -31,6 +41,22 @@ def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the rows not held out."""
+    found = identify_language(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document with an end id, and the text decoded from them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = decode_pieces(encode_pieces(docs, PIECE_BPE).drop("text"), PIECE_BPE)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     packed = pack_documents(_table(spark, sf_dir, "documents"), WORD_BPE, capacity=4096, end_id=1)
@@ -39,7 +65,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_token_id_output": op6_token_id_output,
+    "op8_language_id": op8_language_id,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 

@@ -53,6 +53,17 @@ class CodedWords:
             return np.zeros((len(self.offsets) - 1, *per_word.shape[1:]), dtype=per_word.dtype)
         return segment_sums(per_word[self.codes], self.offsets)
 
+    def gather(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Uint32 ids of all words after each other and their offsets by text, from the ids of each
+        distinct word (little-endian bytes)."""
+        sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
+        table = pa.ListArray.from_arrays(
+            np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32),
+            pa.array(np.frombuffer(b"".join(values), dtype="<u4")))
+        flat = table.take(pa.array(self.codes)).flatten().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[self.codes])])
+        return flat, ends[self.offsets]
+
 
 def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums over values[offsets[i]:offsets[i + 1]]; empty segments give zero."""

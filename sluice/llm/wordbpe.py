@@ -115,20 +115,13 @@ class WordBpe:
         return out, ends
 
     def _encode_words(self, spaced: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        words = CodedWords(pc.ascii_split_whitespace(spaced, max_splits=None))
-        offsets = words.offsets
+        words = CodedWords(pc.ascii_split_whitespace(spaced))
         uniq = words.strings()
         empty = uniq.index("") if "" in uniq else None  # at the ends of a text
         values = self.words([w for w in uniq if w])
         if empty is not None:
             values.insert(empty, b"")
-        sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
-        table = pa.ListArray.from_arrays(
-            np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32),
-            pa.array(np.frombuffer(b"".join(values), dtype="<u4")))
-        flat = table.take(pa.array(words.codes)).flatten().to_numpy()
-        ends = np.concatenate([[0], np.cumsum(sizes[words.codes])])
-        return flat, ends[offsets]
+        return words.gather(values)
 
 
 def _where(mask: pa.Array) -> np.ndarray:
