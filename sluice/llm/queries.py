@@ -6,6 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sluice.llm import linechunks
 from sluice.llm.langid import identify_language
 from sluice.llm.packing import pack_documents
 from sluice.llm.pieces import decode_pieces, encode_pieces
@@ -33,6 +34,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("doc_id", "log_ratio", "gumbel_key", "sampled")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without globally repeated multi-line chunks."""
+    kept = linechunks.dedup_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", "removed_lines")
+
+
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written, read back and summed up by document."""
     path = scratch_path(spark, "token-files")
@@ -66,10 +73,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_line_dedup": op5_line_dedup,
     "op6_token_id_output": op6_token_id_output,
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_line_dedup": linechunks.SQL}
