@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.llm import linechunks
+from sluice.llm.covertree import near_vectors
 from sluice.llm.langid import identify_language
 from sluice.llm.packing import pack_documents
 from sluice.llm.pieces import decode_pieces, encode_pieces
@@ -28,6 +29,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of embeddings linked by a cosine of at least 0.95."""
+    return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance ratio and Gumbel top-k choice of every document."""
     chosen = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -72,6 +78,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_id_output": op6_token_id_output,
