@@ -14,6 +14,7 @@ from sluice.llm.pieces import decode_pieces, encode_pieces
 from sluice.llm.quality import resample
 from sluice.llm.rans import read_token_files, write_token_files
 from sluice.llm.simhash import simhash_groups
+from sluice.llm.topk import top_k
 from sluice.session import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +35,12 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every 20th embedding with all others."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20, factor=64.0)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance ratio and Gumbel top-k choice of every document."""
     chosen = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -79,6 +86,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_id_output": op6_token_id_output,
@@ -87,4 +95,39 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-SQL: dict[str, str] = {"op5_line_dedup": linechunks.SQL}
+_FINE_VECTORS = """
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"""
+
+#: DuckDB: all pairs and a recursive walk over the links.
+EMBEDDING_SQL = f"""
+WITH RECURSIVE fine AS ({_FINE_VECTORS} AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(d.n, 0) AS n_links, least(v.vec_id, coalesce(l.b, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(l.b, v.vec_id)) AS kept
+FROM embeddings v LEFT JOIN lowest l ON l.a = v.vec_id LEFT JOIN degree d ON d.a = v.vec_id
+"""
+
+#: DuckDB: every query against every row.
+TOP_K_SQL = f"""
+WITH fine AS ({_FINE_VECTORS}),
+ints AS (SELECT vec_id, list_transform(e, x -> floor(64 * x)) AS q FROM fine),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM ints a JOIN ints b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+SQL: dict[str, str] = {
+    "op2_embedding_near_dedup": EMBEDDING_SQL,
+    "op3_exact_top_k": TOP_K_SQL,
+    "op5_line_dedup": linechunks.SQL,
+}

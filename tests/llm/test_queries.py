@@ -1,16 +1,20 @@
 """Registered queries: the DuckDB oracle where there is one, contract columns elsewhere."""
 
 import duckdb
+import pytest
 
 from sluice.llm import queries
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_line_dedup_oracle(spark):
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
-    want = con.execute(queries.SQL["op5_line_dedup"]).fetchall()
-    got = queries.QUERIES["op5_line_dedup"](spark, SF)
-    assert got.columns == ["doc_id", "text", "removed_lines"]
-    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
+    want = con.execute(queries.SQL[name])
+    columns = [c[0] for c in want.description]
+    got = queries.QUERIES[name](spark, SF)
+    assert got.columns == columns
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
