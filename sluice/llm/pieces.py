@@ -23,7 +23,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from sluice.llm.textcols import CodedWords, WordTable, slices, texts_of
 
@@ -87,8 +87,8 @@ class PieceModel:
             self.automaton.add_word(s, (len(s), i))
         self.automaton.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
-        self.parts = WordTable(self._encode_part, limit=400_000)
-        self.units = WordTable(self._encode_unit, limit=400_000)
+        self.parts = WordTable(self._encode_part, limit=200_000)
+        self.units = WordTable(self._encode_unit, limit=250_000)
 
     def merged(self, text: str) -> list[str]:
         """Plain merging: the best-scored adjacent pair first, the leftmost of equals."""
@@ -109,6 +109,8 @@ class PieceModel:
         """Whether merging the two pieces' joint spelling gives just these two."""
         found = self.fits.get((a, b))
         if found is None:
+            if len(self.fits) > 200_000:  # bounded like the tables of words
+                self.fits.clear()
             x, y = self.spelling[a], self.spelling[b]
             found = self.fits[a, b] = self.merged(x + y) == [x, y]
         return found
@@ -195,46 +197,29 @@ class PieceModel:
         return raw.removeprefix(b" ").decode("utf-8", "replace")
 
 
-def encode_pieces(docs: DataFrame, model: str, end_id: bool = True) -> DataFrame:
-    """The columns of ``docs`` (but an own ``ids``) plus ``ids`` (array<int>): the pieces of ``text``, then the
-    end id if asked for.  A null text counts as empty."""
-    docs = docs.select(*[c for c in docs.columns if c.lower() != "ids"])
+def code_pieces(docs: DataFrame, model: str, end_id: bool = True) -> DataFrame:
+    """The columns of ``docs`` (but own ones of these names) plus ``ids`` (array<int>): the pieces of ``text``, then
+    the end id if asked for, and ``decoded``: the text that these ids decode to.  A null text counts as
+    empty.  One pass, so that a task needs one worker."""
+    mine = ("ids", "decoded")
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in mine])
     names = docs.columns
     at = next(i for i, c in enumerate(names) if c.lower() == "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = PieceModel.load(model)
         for whole in batches:
-            for batch in slices(whole, at):
+            for batch in slices(whole, at, 4 << 20):
                 ids, ends = coder.encode_column(batch.column(at))
                 if end_id:
                     ids = np.insert(ids, ends[1:], coder.end_id)
                     ends = ends + np.arange(len(ends))
+                cuts = ends.tolist()
+                decoded = [coder.decode(ids[a:b].tolist()) for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.ListArray.from_arrays(ends.astype(np.int32), ids.astype(np.int32))],
-                    names=[*names, "ids"])
+                    [*batch.columns, pa.ListArray.from_arrays(ends.astype(np.int32), ids.astype(np.int32)),
+                     pa.array(decoded, pa.string())], names=[*names, *mine])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields,
-                                              T.StructField("ids", T.ArrayType(T.IntegerType()))]))
-
-
-def decode_pieces(coded: DataFrame, model: str) -> DataFrame:
-    """The columns of ``coded`` (but an own ``decoded``) plus ``decoded``: the text of ``ids`` (null: null)."""
-    coded = coded.select(*[c for c in coded.columns if c.lower() != "decoded"])
-    names = coded.columns
-    at = next(i for i, c in enumerate(names) if c.lower() == "ids")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceModel.load(model)
-        for batch in batches:
-            column = batch.column(at)
-            flat = column.values.to_numpy(zero_copy_only=False)
-            offsets = column.offsets.to_numpy()
-            valid = column.is_valid().to_numpy(zero_copy_only=False)
-            texts = [coder.decode(flat[a:b].tolist()) if ok else None
-                     for a, b, ok in zip(offsets.tolist(), offsets[1:].tolist(), valid)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*names, "decoded"])
-
-    return coded.mapInArrow(run, T.StructType([*coded.schema.fields,
-                                               T.StructField("decoded", T.StringType())]))
+    return docs.mapInArrow(run, T.StructType([
+        *docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("decoded", T.StringType())]))

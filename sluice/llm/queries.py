@@ -10,7 +10,7 @@ from sluice.llm import linechunks
 from sluice.llm.covertree import near_vectors
 from sluice.llm.langid import identify_language
 from sluice.llm.packing import pack_documents
-from sluice.llm.pieces import decode_pieces, encode_pieces
+from sluice.llm.pieces import code_pieces
 from sluice.llm.quality import resample
 from sluice.llm.rans import read_token_files, write_token_files
 from sluice.llm.simhash import simhash_groups
@@ -70,7 +70,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document with an end id, and the text decoded from them."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode_pieces(encode_pieces(docs, PIECE_BPE).drop("text"), PIECE_BPE)
+    coded = code_pieces(docs, PIECE_BPE)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
@@ -98,11 +98,11 @@ QUERIES = {
 _FINE_VECTORS = """
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"""
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
 
 #: DuckDB: all pairs and a recursive walk over the links.
 EMBEDDING_SQL = f"""
-WITH RECURSIVE fine AS ({_FINE_VECTORS} AND len(list_filter(embedding, x -> x <> 0)) > 0),
+WITH RECURSIVE fine AS ({_FINE_VECTORS} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b
   ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
@@ -117,7 +117,7 @@ FROM embeddings v LEFT JOIN lowest l ON l.a = v.vec_id LEFT JOIN degree d ON d.a
 #: DuckDB: every query against every row.
 TOP_K_SQL = f"""
 WITH fine AS ({_FINE_VECTORS}),
-ints AS (SELECT vec_id, list_transform(e, x -> floor(64 * x)) AS q FROM fine),
+ints AS (SELECT vec_id, list_transform(e, lambda x: floor(64 * x)) AS q FROM fine),
 scored AS (
   SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
   FROM ints a JOIN ints b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 
-from sluice.llm.pieces import PieceModel, decode_pieces, encode_pieces
+from sluice.llm.pieces import PieceModel, code_pieces
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = ["Hello world", "", None, " ", "  ", "\n", "\n\n x", "a\nb", " lead", "trail ", "two  spaces   three    four",
@@ -49,7 +49,7 @@ def test_random_texts(library):
 
 def test_documents(spark, library):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    got = decode_pieces(encode_pieces(docs, PATH), PATH).collect()
+    got = code_pieces(docs, PATH).collect()
     assert len(got) == docs.count()
     for r in got:
         assert r.ids == library.encode(r.text) + [2] and r.decoded == library.decode(r.ids)
@@ -66,8 +66,8 @@ def test_decoding_any_ids(library):
 def test_edge_rows(spark):
     rows = [(None, None, "a"), (1, "", "b"), (1, "", "b"), (2, "hi", "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
-    got = decode_pieces(encode_pieces(df, PATH), PATH)
+    got = code_pieces(df, PATH)
     assert got.columns == ["doc_id", "text", "ids", "decoded"]
     assert sorted((str(r.doc_id), len(r.ids), r.decoded) for r in got.collect()) == \
         [("1", 1, ""), ("1", 1, ""), ("2", 2, "hi"), ("None", 1, "")]
-    assert encode_pieces(df.where("doc_id > 5"), PATH).collect() == []
+    assert code_pieces(df.where("doc_id > 5"), PATH).collect() == []
