@@ -15,6 +15,7 @@ from sluice.llm.quality import resample
 from sluice.llm.rans import read_token_files, write_token_files
 from sluice.llm.simhash import simhash_groups
 from sluice.llm.topk import top_k
+from sluice.llm.toxicity import toxicity
 from sluice.session import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +62,12 @@ def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the rows not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "spans")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from the rows not held out."""
     found = identify_language(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -90,6 +97,7 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_line_dedup": op5_line_dedup,
     "op6_token_id_output": op6_token_id_output,
+    "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_best_fit_packing": op10_best_fit_packing,
