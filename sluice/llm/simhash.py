@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from sluice.llm.components import Forest, connected_components
-from sluice.llm.staging import stage
+from sluice.llm.staging import fresh_name, stage
 
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
 _SLICE = 1 << 16  # shingles per counting step: memory stays bounded on very long texts
@@ -60,21 +60,17 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
                          bitorder="little").sum(axis=0, dtype=np.int64)
 
 
-def _fingerprints(batch: pa.RecordBatch, shingle: int) -> pa.RecordBatch:
-    fp = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))],
-                                      names=["doc_id", "fp"])
-
-
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of every row; ``fp`` is the fingerprint's bits as a signed bigint."""
+def fingerprints(docs: DataFrame, shingle: int = 3, row: str | None = None) -> DataFrame:
+    """``(doc_id, fp)`` of every row, and ``row``: a column to carry along (null without one).  ``fp`` holds the
+    fingerprint's bits as a signed bigint."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield _fingerprints(batch, shingle)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+            fp = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), batch.column(2)],
+                                             names=["doc_id", "fp", "row"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       (F.col(row) if row else F.lit(None)).cast("long").alias("row")) \
+        .mapInArrow(run, "doc_id long, fp long, row long")
 
 
 def segments(free: int, max_bits: int) -> list[list[int]]:
@@ -209,6 +205,17 @@ def near_links(reps: DataFrame, max_bits: int = 3, bucket_rows: int = 512) -> Da
             return links
 
 
+def _classes(fps: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
+    """``(fp, component)`` for the fingerprints of ``(doc_id, fp)``: the class's smallest node."""
+    # a fingerprint's node is its smallest id; one without any id gets a number above all ids
+    reps = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).select(
+        "fp", F.coalesce("rep", F.lit(1 << 62) + F.shiftrightunsigned("fp", 2)).alias("node")),
+        "simhash-reps")
+    comps = connected_components(near_links(reps, max_bits, bucket_rows))
+    return stage(reps.join(comps, "node", "left").select(
+        "fp", F.coalesce("component", "node").alias("component")), "simhash-named")
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
                    bucket_rows: int = 512) -> DataFrame:
     """Near-duplicate classes of ``documents``-like rows (``doc_id``, ``text``).
@@ -220,13 +227,19 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
     repeated result rows; an empty table gives an empty result.  Ids must lie below 2**62.
     """
     fps = stage(fingerprints(docs, shingle), "simhash")
-    # a fingerprint's node is its smallest id; one without any id gets a number above all ids
-    reps = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).select(
-        "fp", F.coalesce("rep", F.lit(1 << 62) + F.shiftrightunsigned("fp", 2)).alias("node")),
-        "simhash-reps")
-    comps = connected_components(near_links(reps, max_bits, bucket_rows))
-    named = stage(reps.join(comps, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component")), "simhash-named")
-    return fps.join(named, "fp").select(
+    return fps.join(_classes(fps, max_bits, bucket_rows), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("component") < F.lit(1 << 62), F.col("component")).alias("component_id"))
+
+
+def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, bucket_rows: int = 512) -> DataFrame:
+    """One row of each class of ``simhash_groups``, with all its columns: the one with the smallest doc_id
+    (null ids last; among equal ids, repeated rows included, the first in the staged row order)."""
+    row = fresh_name(docs, "_row")
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows", compression="zstd")
+    fps = stage(fingerprints(rows, shingle, row), "simhash")
+    named = fps.join(_classes(fps, max_bits, bucket_rows), "fp")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))
+    winners = stage(named.groupBy("component").agg(first.alias("first")).select(F.col("first.row").alias(row)),
+                    "simhash-winners")
+    return rows.join(winners, row, "left_semi").drop(row)

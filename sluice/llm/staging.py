@@ -1,4 +1,4 @@
-"""Shared helpers of the text operators: staged tables, id columns, Arrow batch maps.
+"""Shared helpers of the text operators: staged tables, column names, the test fold.
 
 A staged table is written as Parquet under the shared folder of ``spark.checkpoint.dir`` and
 read back: the lineage ends there, so a lost executor costs a re-read, not a recomputation.
@@ -7,9 +7,8 @@ read back: the lineage ends there, so a lost executor costs a re-read, not a rec
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.session import scratch_path
@@ -32,14 +31,15 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     return stem if stem.lower() not in taken else f"{stem}_{uuid.uuid4().hex[:8]}"
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
-                schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of one batch (row-wise work, no state)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
-    return df.mapInArrow(run, schema)
+def shield(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(``docs`` with columns of these names renamed, function that picks its columns under their own names): for
+    operators that add columns of these names."""
+    aside = {c: fresh_name(docs, f"_own_{c}") for c in docs.columns if c.lower() in names}
+    columns = docs.columns
+
+    def restore(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(aside.get(c, c)).alias(c) for c in columns])
+    return docs.withColumnsRenamed(aside), restore
 
 
 def held_out(col: str = "doc_id") -> Column:

@@ -6,9 +6,9 @@ from collections import Counter
 
 import pytest
 import xxhash
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
-from sluice.llm.simhash import fingerprint, near_links, segments, simhash_groups
+from sluice.llm.simhash import fingerprint, near_links, segments, simhash_dedup, simhash_groups
 from sluice.llm.components import connected_components
 
 
@@ -102,8 +102,12 @@ def test_nulls_repeats_and_empty_table(spark):
     got = sorted(simhash_groups(df).collect(), key=str)
     ids = Counter((r.doc_id, r.component_id) for r in got)
     assert ids == {(None, 5): 1, (5, 5): 2, (None, None): 1, (9, 9): 1}
+    one = simhash_dedup(df.withColumn("row", F.lit("x")))
+    assert one.columns == ["doc_id", "text", "row"]
+    assert sorted((str(r.doc_id), r.text) for r in one.collect()) == \
+        [("5", "a b c d"), ("9", None), ("None", "q r s")]
     empty = spark.createDataFrame([], T.StructType.fromDDL("doc_id long, text string"))
-    assert simhash_groups(empty).collect() == []
+    assert simhash_groups(empty).collect() == [] and simhash_dedup(empty).collect() == []
 
 
 def test_components_of_long_chains_and_hubs(spark):
