@@ -1,9 +1,9 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-Written from the semantics, not from the Spark code: each query rebuilds its relation from
-the driver's tables (views ``region nation customer supplier part orders lineitem events``)
-and computes the result in plain SQL.  Sums and averages that the Spark side computes in
-``decimal`` are computed in ``decimal`` here too, so both engines round identically.
+Written from the semantics in DuckDB's own idiom, not from the Spark code: each query rebuilds its relation
+from the driver's tables (views ``region nation customer supplier part orders lineitem events``)
+and computes the result in plain SQL.  Means are plain averages; both sides round the result to
+six places, as the order of a floating-point sum is not fixed.
 """
 
 from __future__ import annotations
@@ -11,30 +11,25 @@ from __future__ import annotations
 # -- relations ------------------------------------------------------------------------
 CHARTS = r"""
 charts AS (
-  SELECT CAST(o.o_orderdate AS DATE) AS date,
-         'n' || CAST(c.c_nationkey AS VARCHAR) AS country,
+  SELECT o.o_orderdate::DATE AS date,
+         format('n{}', c.c_nationkey) AS country,
          l.l_linenumber AS position,
-         CAST(l.l_quantity AS BIGINT) AS streams,
-         CAST(l.l_partkey AS VARCHAR) AS track_id,
-         '[''' || p.p_brand || ''', ''' || p.p_type || ''']' AS artists,
-         CASE WHEN p.p_size <= 5 THEN '[]'
-              ELSE '[''' || lower(p.p_type) || ''',''' || split_part(p.p_name, ' ', 1) || ''']'
-         END AS artist_genres,
+         l.l_quantity::BIGINT AS streams,
+         l.l_partkey::VARCHAR AS track_id,
+         format('[''{}'', ''{}'']', p.p_brand, p.p_type) AS artists,
+         '[''' || array_to_string(list_prepend(lower(p.p_type), string_split(p.p_name, ' ')), ''',''') || ''']'
+           AS artist_genres,
          p.p_size * 10000 AS duration,
          p.p_size > 25 AS explicit,
-         p.p_name AS name
+         CASE WHEN p.p_size IN (25, 50) THEN NULL ELSE p.p_name END AS name
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN part p ON l.l_partkey = p.p_partkey
 ),
-aliases AS (
-  SELECT 'n' || CAST(n_nationkey AS VARCHAR) AS alias, n_name AS country_name FROM nation
-),
 data AS (
-  SELECT ch.date, ch.position, ch.streams, ch.track_id, ch.artists, ch.artist_genres,
-         ch.explicit, ch.name, ch.duration / 60000.0 AS duration_minutes, a.country_name
-  FROM charts ch JOIN aliases a ON ch.country = a.alias
+  SELECT ch.* EXCLUDE (country, duration), ch.duration / 60000.0 AS duration_minutes, n.n_name AS country_name
+  FROM charts ch JOIN nation n ON ch.country = format('n{}', n.n_nationkey) AND n.n_regionkey <> 4
   WHERE ch.name IS NOT NULL
 )"""
 
@@ -42,327 +37,232 @@ TRIPS = r"""
 trips AS (
   SELECT o.o_orderdate AS pickup_ts,
          l.l_shipdate AS dropoff_ts,
-         CAST(l.l_quantity AS INTEGER) AS passenger_count,
+         l.l_quantity::INTEGER AS passenger_count,
          l.l_extendedprice AS trip_distance,
-         CAST(round(CAST(l.l_extendedprice AS DECIMAL(12,2)) * CAST(l.l_discount AS DECIMAL(4,2)), 2)
-              AS DOUBLE) AS tip_amount,
+         round(l.l_extendedprice::DECIMAL(12,2) * l.l_discount::DECIMAL(4,2), 2)::DOUBLE AS tip_amount,
          l.l_suppkey AS pu_location,
-         l.l_partkey AS do_location
+         l.l_partkey AS do_location,
+         year(o.o_orderdate + INTERVAL 3 DAY)::INTEGER AS file_year,
+         month(o.o_orderdate + INTERVAL 3 DAY)::INTEGER AS file_month
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
+dated AS (
+  SELECT *, make_date(file_year, file_month, 1)::TIMESTAMP AS opens,
+         make_date(file_year, file_month, 1)::TIMESTAMP + INTERVAL 1 MONTH AS closes
+  FROM trips
+),
 clean_trips AS (
-  SELECT * FROM trips
-  WHERE pickup_ts >= date_trunc('month', pickup_ts)
-    AND dropoff_ts <= CAST(last_day(pickup_ts) AS TIMESTAMP) + INTERVAL 86399 SECOND
+  SELECT * EXCLUDE (opens, closes) FROM dated WHERE pickup_ts >= opens AND dropoff_ts < closes
 )"""
 
 ZONES = r"""
 zones AS (
-  SELECT s.s_suppkey AS location_id, n.n_name AS borough, s.s_name AS zone
+  SELECT if(s.s_acctbal < 0, -s.s_suppkey - 1, s.s_suppkey) AS location_id, n.n_name AS borough, s.s_name AS zone
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
-  WHERE s.s_acctbal >= 0
 )"""
 
+TRIP_COLS = "pickup_ts, dropoff_ts, passenger_count, trip_distance, tip_amount, pu_location, do_location"
+
 
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n"
 
 
 # -- charts reports ---------------------------------------------------------------------
-_ARTISTS = r"""
-exploded AS (
-  SELECT unnest(string_split_regex(regexp_replace(artists, '[\[\]''"]', '', 'g'), ',\s*')) AS artist,
-         streams, country_name
-  FROM data
-),
-artist_totals AS (
-  SELECT artist, country_name, CAST(sum(streams) AS BIGINT) AS total_streams
-  FROM exploded WHERE artist <> '' GROUP BY artist, country_name
-)"""
-
-TOP_ARTISTS_BY_COUNTRY = _with(CHARTS, _ARTISTS) + r"""
-SELECT country_name, artist, total_streams
-FROM (SELECT *, row_number() OVER (PARTITION BY country_name
-                                   ORDER BY total_streams DESC, artist) AS rn
-      FROM artist_totals)
-WHERE rn = 1
+def _items(column: str, legacy: bool) -> str:
+    """A list text as one row per item: the default split, or the original job's."""
+    if legacy:
+        return rf"unnest(string_split_regex(regexp_replace({column}, '[\[\]'']', '', 'g'), ',s*'))"
+    return rf"""unnest(list_filter(list_transform(string_split(translate({column}, '[]''"', ''), ','),
+                                          lambda x: ltrim(x)), lambda x: x <> ''))"""
+
+
+def _top_artists(legacy: bool) -> str:
+    return _with(CHARTS) + f"""
+SELECT country_name, artist, total_streams FROM (
+  SELECT country_name, artist, sum(streams)::BIGINT AS total_streams
+  FROM (SELECT country_name, streams, {_items('artists', legacy)} AS artist FROM data)
+  GROUP BY ALL)
+QUALIFY rank() OVER (PARTITION BY country_name ORDER BY total_streams DESC, artist) = 1
 """
 
-TOP_SONGS_BY_COUNTRY = _with(CHARTS) + r"""
-SELECT country_name, name
-FROM (SELECT country_name, name,
-             row_number() OVER (PARTITION BY country_name
-                                ORDER BY position, date DESC, track_id, name) AS rn
-      FROM data)
-WHERE rn = 1
-"""
 
-TOTALS_BY_COUNTRY = _with(CHARTS) + r"""
-SELECT country_name, CAST(sum(streams) AS BIGINT) AS total_streams,
-       max(streams) AS max_stream, count(*) AS count_songs
-FROM data GROUP BY country_name
-"""
-
-GENRES_BY_COUNTRY = _with(CHARTS) + r"""
+def _genres(legacy: bool) -> str:
+    return _with(CHARTS) + f"""
 SELECT country_name, genre, count(*) AS genre_count
-FROM (SELECT country_name,
-             unnest(string_split_regex(regexp_replace(artist_genres, '[\[\]''"]', '', 'g'), ',\s*')) AS genre
-      FROM data)
-WHERE genre <> ''
-GROUP BY country_name, genre
+FROM (SELECT country_name, {_items('artist_genres', legacy)} AS genre FROM data)
+GROUP BY ALL
 """
 
-GENRES_BY_COUNTRY_LEGACY = _with(CHARTS) + r"""
-SELECT country_name, genre, count(*) AS genre_count
-FROM (SELECT country_name,
-             unnest(string_split_regex(regexp_replace(artist_genres, '[\[\]'']', '', 'g'), ',s*')) AS genre
-      FROM data)
-GROUP BY country_name, genre
-"""
-
-REPEAT_NUMBER_ONES_WINDOW = _with(CHARTS) + r"""
-SELECT name, artists
-FROM (SELECT name, artists,
-             row_number() OVER (PARTITION BY name
-                                ORDER BY artists NULLS FIRST, date, country_name) AS rn
-      FROM data WHERE position = 1)
-GROUP BY name, artists
-HAVING max(rn) > 1
-"""
 
-REPEAT_NUMBER_ONES_COUNT = _with(CHARTS) + r"""
-SELECT name, artists FROM data WHERE position = 1
-GROUP BY name, artists HAVING count(*) > 1
-"""
-
-MULTI_COUNTRY_NUMBER_ONES = _with(CHARTS) + r"""
-SELECT name, artists, count(country_name) AS total_countries
-FROM data WHERE position = 1
-GROUP BY name, artists HAVING count(country_name) > 1
-"""
+_REPORTS = {
+    "total_and_max_streams_by_country": "SELECT count(DISTINCT country_name) FROM data",
+    "top_genres_by_country": f"SELECT count(*) FROM (SELECT DISTINCT country_name, {_items('artist_genres', False)} FROM data)",
+    "top_songs_by_countries": "SELECT count(DISTINCT country_name) FROM data",
+    "top_artists_by_country": "SELECT count(DISTINCT country_name) FROM data",
+    "top_songs_more_than_1_time": "SELECT count(*) FROM repeated",
+    "top_songs_in_more_than_1_country":
+        "SELECT count(*) FROM (SELECT 1 FROM data WHERE position = 1 GROUP BY name, artists HAVING count(*) > 1)",
+}
 
-MULTI_COUNTRY_NUMBER_ONES_DISTINCT = _with(CHARTS) + r"""
-SELECT name, artists, count(DISTINCT country_name) AS total_countries
-FROM data WHERE position = 1
-GROUP BY name, artists HAVING count(DISTINCT country_name) > 1
-"""
+_REPEATED = r"""
+ones AS (SELECT name, artists, count(*) AS n FROM data WHERE position = 1 GROUP BY ALL),
+repeated AS (
+  SELECT o.name, o.artists FROM ones o
+  WHERE o.n > 1 OR EXISTS (SELECT 1 FROM ones p WHERE p.name = o.name AND p.artists < o.artists))"""
 
 SQL: dict[str, str] = {
-    "top_artists_by_country": TOP_ARTISTS_BY_COUNTRY,
-    "top_songs_by_country": TOP_SONGS_BY_COUNTRY,
-    "totals_by_country": TOTALS_BY_COUNTRY,
-    "genres_by_country": GENRES_BY_COUNTRY,
-    "genres_by_country_legacy": GENRES_BY_COUNTRY_LEGACY,
-    "repeat_number_ones_window": REPEAT_NUMBER_ONES_WINDOW,
-    "repeat_number_ones_count": REPEAT_NUMBER_ONES_COUNT,
-    "multi_country_number_ones": MULTI_COUNTRY_NUMBER_ONES,
-    "multi_country_number_ones_distinct": MULTI_COUNTRY_NUMBER_ONES_DISTINCT,
+    "top_artists_by_country": _top_artists(False),
+    "top_artists_by_country_legacy": _top_artists(True),
+    "top_songs_by_country": _with(CHARTS) + r"""
+SELECT country_name, arg_min(name, (position, -epoch(date), track_id, name)) AS name
+FROM data GROUP BY country_name
+""",
+    "totals_by_country": _with(CHARTS) + r"""
+SELECT country_name, sum(streams)::BIGINT AS total_streams, max(streams) AS max_stream, count(*) AS count_songs
+FROM data GROUP BY country_name
+""",
+    "genres_by_country": _genres(False),
+    "genres_by_country_legacy": _genres(True),
+    "repeat_number_ones_window": _with(CHARTS, _REPEATED) + "SELECT name, artists FROM repeated",
+    "repeat_number_ones_count": _with(CHARTS, _REPEATED) + "SELECT name, artists FROM ones WHERE n > 1",
+    "multi_country_number_ones": _with(CHARTS) + r"""
+SELECT name, artists, count(country_name) AS total_countries
+FROM data WHERE position = 1 GROUP BY ALL HAVING count(*) > 1
+""",
+    "multi_country_number_ones_distinct": _with(CHARTS) + r"""
+SELECT name, artists, len(list_distinct(list(country_name))) AS total_countries
+FROM data WHERE position = 1 GROUP BY ALL HAVING len(list_distinct(list(country_name))) > 1
+""",
+    "chart_rows": _with(CHARTS) + r"""
+SELECT date, country_name, position, track_id, name, round(duration_minutes::DOUBLE, 6) AS duration_minutes FROM data
+""",
+    "report_folders": _with(CHARTS, _REPEATED) + "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS report, ({sql}) AS n_rows" for name, sql in _REPORTS.items()),
+    "csv_roundtrip": _with(CHARTS) + "SELECT * FROM charts",
+    "null_rates": _with(CHARTS) + r"""
+SELECT column_name, (total - present) / total AS null_rate FROM (
+  SELECT unnest(['date', 'country', 'position', 'streams', 'track_id', 'artists', 'artist_genres', 'duration',
+                 'explicit', 'name']) AS column_name,
+         unnest([count(date), count(country), count(position), count(streams), count(track_id), count(artists),
+                 count(artist_genres), count(duration), count(explicit), count(name)]) AS present,
+         count(*) AS total
+  FROM charts)
+""",
 }
 
-
 # -- trips ------------------------------------------------------------------------------
-TRIP_COLS = "pickup_ts, dropoff_ts, passenger_count, trip_distance, tip_amount, pu_location, do_location"
+_STATS = r"""sum(passenger_count)::BIGINT AS passenger_sum,
+       round(avg(trip_distance), 6) AS avg_trip_distance, round(avg(tip_amount), 6) AS avg_tip_amount
+FROM clean_trips GROUP BY ALL
+"""
+_BOUNDS = r"""
+SELECT file_year, file_month, min(pickup_ts) AS min_pickup, max(dropoff_ts) AS max_dropoff,
+       min(pickup_ts) >= min(make_date(file_year, file_month, 1))
+       AND max(dropoff_ts) < min(make_date(file_year, file_month, 1))::TIMESTAMP + INTERVAL 1 MONTH AS in_bounds
+"""
+_SECONDS = "date_diff('second', pickup_ts, dropoff_ts) AS trip_duration_sec"
 
 SQL.update({
-    "daily_pickup_stats": _with(TRIPS) + r"""
-SELECT pu_location, CAST(pickup_ts AS DATE) AS pickup_date,
-       CAST(sum(passenger_count) AS BIGINT) AS passenger_sum,
-       CAST(sum(CAST(round(trip_distance * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(trip_distance) AS avg_trip_distance,
-       CAST(sum(CAST(round(tip_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(tip_amount) AS avg_tip_amount
-FROM clean_trips GROUP BY pu_location, CAST(pickup_ts AS DATE)
-""",
-    "daily_dropoff_stats": _with(TRIPS) + r"""
-SELECT do_location, CAST(dropoff_ts AS DATE) AS dropoff_date,
-       CAST(sum(passenger_count) AS BIGINT) AS passenger_sum,
-       CAST(sum(CAST(round(trip_distance * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(trip_distance) AS avg_trip_distance,
-       CAST(sum(CAST(round(tip_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE / count(tip_amount) AS avg_tip_amount
-FROM clean_trips GROUP BY do_location, CAST(dropoff_ts AS DATE)
+    "daily_pickup_stats": _with(TRIPS) + "SELECT pu_location, pickup_ts::DATE AS pickup_date, " + _STATS,
+    "daily_dropoff_stats": _with(TRIPS) + "SELECT do_location, dropoff_ts::DATE AS dropoff_date, " + _STATS,
+    "daily_pickup_parquet": _with(TRIPS) + "SELECT 20::BIGINT AS n_files, pu_location, pickup_ts::DATE AS pickup_date, "
+                            + _STATS,
+    "trips_job_stats": _with(TRIPS) + "SELECT pu_location, pickup_ts::DATE AS pickup_date, " + _STATS,
+    "trips_job_order": _with(TRIPS) + r"""
+SELECT year(pickup_ts)::INTEGER AS year, month(pickup_ts)::INTEGER AS month, count(*) AS n_trips,
+       0::BIGINT AS misplaced
+FROM clean_trips GROUP BY ALL
 """,
     "trips_within_month": _with(TRIPS) + "SELECT * FROM clean_trips",
     "trips_out_of_range": _with(TRIPS) + r"""
-SELECT *, CASE WHEN pickup_ts < date_trunc('month', pickup_ts) THEN 'start' ELSE 'end' END
-          AS broken_bound
-FROM trips
-WHERE pickup_ts < date_trunc('month', pickup_ts)
-   OR dropoff_ts > CAST(last_day(pickup_ts) AS TIMESTAMP) + INTERVAL 86399 SECOND
+SELECT * EXCLUDE (opens, closes), if(pickup_ts < opens, 'start', 'end') AS broken_bound
+FROM dated WHERE NOT (pickup_ts >= opens AND dropoff_ts < closes)
 """,
-    "trips_kept_months": _with(TRIPS) + r"""
-SELECT * FROM trips
-WHERE strftime(pickup_ts, '%Y-%m') IN (SELECT strftime(dropoff_ts, '%Y-%m') FROM trips)
+    "trips_kept_months": _with(TRIPS) + f"""
+SELECT {TRIP_COLS} FROM trips
+WHERE strftime(dropoff_ts, '%Y-%m') IN (SELECT printf('%04d-%02d', file_year, file_month) FROM trips)
 """,
     "trip_seconds_sorted_sample": _with(TRIPS) + f"""
-SELECT *, CAST(epoch(dropoff_ts) - epoch(pickup_ts) AS BIGINT) AS trip_duration_sec
-FROM clean_trips
+SELECT {TRIP_COLS}, {_SECONDS} FROM clean_trips
 ORDER BY pickup_ts, trip_duration_sec DESC, dropoff_ts, passenger_count, trip_distance,
          tip_amount, pu_location, do_location
 LIMIT 1000
 """,
-    "trips_with_zone": _with(TRIPS, ZONES) + r"""
-SELECT t.*, z.borough, z.zone
+    "sorted_trip_files": _with(TRIPS) + f"SELECT {TRIP_COLS}, {_SECONDS} FROM clean_trips",
+    "trips_with_zone": _with(TRIPS, ZONES) + f"""
+SELECT {TRIP_COLS}, z.borough, z.zone
 FROM clean_trips t LEFT JOIN zones z ON t.pu_location = z.location_id
 """,
-    "time_bounds_by_month": _with(TRIPS) + r"""
-SELECT CAST(year(pickup_ts) AS INTEGER) AS year, CAST(month(pickup_ts) AS INTEGER) AS month,
-       min(pickup_ts) AS min_pickup, max(pickup_ts) AS max_pickup,
-       min(pickup_ts) >= min(date_trunc('month', pickup_ts))
-       AND max(pickup_ts) <= max(CAST(last_day(pickup_ts) AS TIMESTAMP) + INTERVAL 86399 SECOND)
-       AS in_bounds
-FROM clean_trips GROUP BY year(pickup_ts), month(pickup_ts)
-""",
+    "time_bounds_before": _with(TRIPS) + _BOUNDS + "FROM trips GROUP BY file_year, file_month",
+    "time_bounds_by_month": _with(TRIPS) + _BOUNDS + "FROM clean_trips GROUP BY file_year, file_month",
     "months_present": _with(TRIPS) + r"""
-SELECT DISTINCT CAST(year(pickup_ts) AS INTEGER) AS year, CAST(month(pickup_ts) AS INTEGER) AS month FROM trips
+SELECT DISTINCT year(pickup_ts)::INTEGER AS year, month(pickup_ts)::INTEGER AS month FROM trips
 """,
     "missing_months": _with(TRIPS) + r"""
-SELECT DISTINCT CAST(year(dropoff_ts) AS INTEGER) AS year, CAST(month(dropoff_ts) AS INTEGER) AS month FROM trips
+SELECT DISTINCT file_year AS year, file_month AS month FROM trips
 EXCEPT
-SELECT DISTINCT CAST(year(pickup_ts) AS INTEGER) AS year, CAST(month(pickup_ts) AS INTEGER) AS month FROM trips
+SELECT year(pickup_ts)::INTEGER, month(pickup_ts)::INTEGER FROM trips WHERE day(pickup_ts) <= 2
 """,
-    "file_months": _with(TRIPS) + r"""
-SELECT CAST(year(pickup_ts) AS INTEGER) AS file_year, CAST(month(pickup_ts) AS INTEGER) AS file_month, count(*) AS n_trips
-FROM trips GROUP BY 1, 2
+    "file_months": _with(TRIPS) + "SELECT file_year, file_month, count(*) AS n_trips FROM trips GROUP BY ALL",
+    "input_files": _with(TRIPS) + r"""
+SELECT unnest(['files', 'expected']) AS side, count(DISTINCT file_year * 100 + file_month) AS n FROM trips
 """,
-    "partitioned_roundtrip": _with(TRIPS) + r"""
-SELECT *, CAST(year(pickup_ts) AS INTEGER) AS year, CAST(month(pickup_ts) AS INTEGER) AS month FROM clean_trips
+    "empty_then_filled": _with(TRIPS) + "SELECT * FROM trips",
+    "partitioned_roundtrip": _with(TRIPS) + f"""
+SELECT {TRIP_COLS}, year(pickup_ts)::INTEGER AS year, month(pickup_ts)::INTEGER AS month FROM clean_trips
 """,
-    "monthly_union": _with(TRIPS) + r"""
-SELECT CAST(year(pickup_ts) AS INTEGER) AS source_year, count(*) AS n_rows FROM clean_trips GROUP BY 1
+    "monthly_union": _with(TRIPS) + "SELECT file_year AS source_year, count(*) AS n_rows FROM trips GROUP BY ALL",
+    "union_complete": _with(TRIPS) + r"""
+SELECT 1::INTEGER AS input, count(*) AS in_union, count(*) FILTER (passenger_count > 1) AS in_input
+FROM trips WHERE file_month > 6 HAVING count(*) <> count(*) FILTER (passenger_count > 1)
 """,
-    "csv_roundtrip": _with(CHARTS) + "SELECT * FROM charts",
-    "null_rates": _with(CHARTS) + r"""
-SELECT column_name, null_rate FROM (
-  SELECT 'date' AS column_name, avg(CASE WHEN date IS NULL THEN 1 ELSE 0 END) AS null_rate FROM charts
-  UNION ALL SELECT 'country', avg(CASE WHEN country IS NULL THEN 1 ELSE 0 END) FROM charts
-  UNION ALL SELECT 'position', avg(CASE WHEN position IS NULL THEN 1 ELSE 0 END) FROM charts
-  UNION ALL SELECT 'streams', avg(CASE WHEN streams IS NULL THEN 1 ELSE 0 END) FROM charts
-  UNION ALL SELECT 'track_id', avg(CASE WHEN track_id IS NULL THEN 1 ELSE 0 END) FROM charts
-  UNION ALL SELECT 'artists', avg(CASE WHEN artists IS NULL THEN 1 ELSE 0 END) FROM charts
-  UNION ALL SELECT 'artist_genres', avg(CASE WHEN artist_genres IS NULL THEN 1 ELSE 0 END) FROM charts
-  UNION ALL SELECT 'duration', avg(CASE WHEN duration IS NULL THEN 1 ELSE 0 END) FROM charts
-  UNION ALL SELECT 'explicit', avg(CASE WHEN explicit IS NULL THEN 1 ELSE 0 END) FROM charts
-  UNION ALL SELECT 'name', avg(CASE WHEN name IS NULL THEN 1 ELSE 0 END) FROM charts
-)
+    "catalog_tables": _with(TRIPS) + "SELECT file_year, file_month, count(*) AS n_trips FROM clean_trips GROUP BY ALL",
+    "corrupt_rows": r"""
+SELECT l_orderkey, l_linenumber, if(l_linenumber = 3, NULL, l_partkey) AS l_partkey,
+       if(l_linenumber = 3, concat_ws(',', l_orderkey, l_linenumber, 'n/a'), NULL) AS raw
+FROM lineitem
 """,
+    "zone_lookup_csv": _with(ZONES) + "SELECT location_id::VARCHAR AS location_id, borough, zone FROM zones",
 })
 
+# -- upsert, paging, counts ---------------------------------------------------------------
+SQL.update({
+    "upsert_last_wins": r"""
+SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
+QUALIFY rank() OVER (PARTITION BY o_custkey
+                     ORDER BY o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' DESC, o_orderkey DESC) = 1
+""",
+    "daily_csv_upsert": r"""
+SELECT o_custkey, max_by(o_orderkey, (load, o_orderkey)) AS o_orderkey, max_by(o_totalprice, (load, o_orderkey)) AS o_totalprice
+FROM (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 0 WHEN 2 THEN 1 ELSE 2 END AS load FROM orders)
+GROUP BY o_custkey
+""",
+    "orders_page": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 2000",
+    "order_priority_counts": "SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY ALL",
+    "event_props": "SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+    "event_prop_counts": r"""
+SELECT (props->>'$.k')::INTEGER AS k, count(*) AS n_events FROM events
+WHERE (props->>'$.k')::INTEGER >= 50 GROUP BY ALL
+""",
+})
 
-# -- upsert, paging, sales --------------------------------------------------------------
-_LAST_ORDER = r"""
-tgt AS (
-  SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM (
-    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
-    FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00') WHERE rn = 1
-),
-bat AS (
-  SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM (
-    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn
-    FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00') WHERE rn = 1
-)"""
-
+# -- sales stream -------------------------------------------------------------------------
 _SALES = r"""
-bounds AS (
-  SELECT CAST(min(CAST(ts AS DATE)) AS TIMESTAMP) AS t0,
-         CAST(max(CAST(ts AS DATE)) AS TIMESTAMP) + INTERVAL 86399 SECOND AS t1
-  FROM events
+period AS (
+  SELECT min(ts)::DATE::TIMESTAMP AS t0, max(ts)::DATE::TIMESTAMP + INTERVAL 86399 SECOND AS t1 FROM events
 ),
 msgs AS (
-  SELECT '{"product":"' || e.event_type || '","date":"' || strftime(e.ts, '%Y-%m-%d') || '"}' AS value,
-         CASE WHEN 2 * epoch_us(e.ts) > epoch_us(b.t0) + epoch_us(b.t1) THEN 1 ELSE 0 END AS partition,
-         e.event_type AS product, CAST(e.ts AS DATE) AS date
-  FROM events e CROSS JOIN bounds b
+  SELECT format('{{"product":"{}","date":"{}"}}', event_type, ts::DATE) AS value,
+         if(2 * epoch_us(ts) > (SELECT epoch_us(t0) + epoch_us(t1) FROM period), 1, 0)::INTEGER AS partition,
+         event_type AS product, ts::DATE AS date
+  FROM events
 )"""
 
 SQL.update({
-    "upsert_last_wins": _with(_LAST_ORDER) + r"""
-SELECT * FROM bat
-UNION ALL
-SELECT * FROM tgt WHERE o_custkey NOT IN (SELECT o_custkey FROM bat)
-""",
-    "orders_page": r"""
-SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 2000
-""",
     "sales_messages": _with(_SALES) + "SELECT value, partition FROM msgs",
-    "sales_sink": _with(_SALES) + "SELECT product, date, partition FROM msgs",
+    "sales_sink": _with(_SALES) + "SELECT product, date, partition, true AS loaded_now, 1::BIGINT AS rows_of_id FROM msgs",
     "sales_decoded": _with(_SALES) + "SELECT product, date, partition FROM msgs",
-})
-
-
-# -- versioned table on orders ------------------------------------------------------------
-_EVOLVED = """SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate AS pickup_datetime,
-       o_orderpriority FROM orders"""
-
-SQL.update({
-    "lake_head": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-       o_orderpriority FROM orders""",
-    "lake_evolved_columns": _EVOLVED,
-    "lake_insert_probe": """SELECT CAST(-1 AS BIGINT) AS o_orderkey, CAST(1 AS BIGINT) AS o_custkey,
-       CAST(1.0 AS DOUBLE) AS o_totalprice, TIMESTAMP '2999-01-01 00:00:00' AS pickup_datetime,
-       '1-URGENT' AS o_orderpriority
-FROM (SELECT count(*) AS n FROM orders) WHERE n >= 0""",
-    "lake_rollback": _EVOLVED,
-    "lake_compacted": _EVOLVED,
-    "lake_partition_counts": """SELECT CAST(year(o_orderdate) AS INTEGER) AS pickup_datetime_year,
-       CAST(month(o_orderdate) AS INTEGER) AS pickup_datetime_month, count(*) AS record_count
-FROM orders GROUP BY 1, 2""",
-    "lake_staged_audit": """SELECT o_orderpriority, count(*) AS count FROM orders
-WHERE o_orderpriority <> '1-URGENT' GROUP BY 1""",
-    "lake_main_before_publish": """SELECT o_orderpriority, count(*) AS count FROM orders GROUP BY 1""",
-    "lake_published": _EVOLVED + " WHERE o_orderpriority <> '1-URGENT'",
-    "lake_branch_vs_main": """SELECT DISTINCT 'main' AS ref, o_orderpriority FROM orders
-WHERE o_orderpriority <> '1-URGENT'
-UNION ALL
-SELECT DISTINCT 'audit_branch' AS ref, o_orderpriority FROM orders
-WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')""",
-    "lake_final": _EVOLVED + " WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')",
-})
-
-SQL.update({
-    "zone_lookup_csv": _with(ZONES) + r"""
-SELECT CAST(location_id AS VARCHAR) AS location_id, borough, zone FROM zones""",
-    "daily_pickup_parquet": SQL["daily_pickup_stats"],
-    "sorted_trip_files": _with(TRIPS) + r"""
-SELECT *, CAST(epoch(dropoff_ts) - epoch(pickup_ts) AS BIGINT) AS trip_duration_sec
-FROM clean_trips""",
-})
-
-SQL.update({
-    "top_artists_by_country_legacy": _with(CHARTS) + r"""
-, exploded AS (
-  SELECT unnest(string_split_regex(regexp_replace(artists, '[\[\]'']', '', 'g'), ',s*')) AS artist,
-         streams, country_name
-  FROM data
-),
-artist_totals AS (
-  SELECT artist, country_name, CAST(sum(streams) AS BIGINT) AS total_streams
-  FROM exploded GROUP BY artist, country_name
-)
-SELECT country_name, artist, total_streams
-FROM (SELECT *, row_number() OVER (PARTITION BY country_name
-                                   ORDER BY total_streams DESC, artist) AS rn
-      FROM artist_totals)
-WHERE rn = 1
-""",
-    "event_props": r"""
-SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
-""",
-})
-
-SQL.update({
-    "lake_snapshot_summary": r"""
-SELECT 'append' AS operation, count(*) AS records, CAST(NULL AS VARCHAR) AS wap_id
-FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00'
-UNION ALL
-SELECT 'append', count(*), NULL FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'
-UNION ALL
-SELECT 'append', CAST(1 AS BIGINT), NULL
-UNION ALL
-SELECT 'replace', count(*), NULL FROM orders
-UNION ALL
-SELECT 'delete', count(*), 'audit-0001' FROM orders WHERE o_orderpriority = '1-URGENT'
-UNION ALL
-SELECT 'delete', count(*), NULL FROM orders WHERE o_orderpriority = '5-LOW'
-""",
-})
-
-SQL.update({
     "sales_rejects": "SELECT props AS value, 0 AS partition FROM events",
+    "sales_clean_rejects": _with(_SALES) + "SELECT partition, count(*) AS kept, 0::BIGINT AS rejected FROM msgs GROUP BY ALL",
 })

@@ -1,12 +1,10 @@
-"""sluice: charts, trips, stream, upsert and versioned-table operators on PySpark DataFrames.
+"""sluice: charts, trips, stream and upsert operators on PySpark DataFrames.
 
 Modules: ``sources``, ``sinks``, ``functions`` (column expressions), ``operators`` (generic
 DataFrame -> DataFrame steps), ``plans`` (the workloads and the registered queries),
-``streaming`` (sales stream), ``tables`` (versioned table).
+``streaming`` (sales stream).
 """
 
 from sluice.session import build_session, cluster_settings, scratch_path
-from sluice.tables.versioned import CommitConflict, VersionedTable
 
-__all__ = ["build_session", "cluster_settings", "scratch_path", "CommitConflict",
-           "VersionedTable"]
+__all__ = ["build_session", "cluster_settings", "scratch_path"]

@@ -29,6 +29,11 @@ def year_month(ts: Column | str) -> Column:
     return F.date_format(_c(ts), "yyyy-MM")
 
 
+def month_of(year: Column | str, month: Column | str) -> Column:
+    """First day of a (year, month) as a date."""
+    return F.make_date(_c(year), _c(month), F.lit(1))
+
+
 def month_start(ts: Column | str) -> Column:
     """First instant of the timestamp's month, as TIMESTAMP_NTZ (date arithmetic only)."""
     return F.trunc(_c(ts), "month").cast("timestamp_ntz")

@@ -1,75 +1,22 @@
-"""Joins against dimensions.
+"""Joins against dimensions, and key checks.
 
-A broadcast hint is given only after the side is *proven* small, in two steps:
-
-1. the optimizer's size estimate of the (pruned, filtered) plan – free, no job – must be
-   under ``max_bytes``; a large table is rejected here without reading a row;
-2. an exact bounded count (``limit(max_rows + 1).count()``) on what passed step 1 – cheap,
-   as the input is already known to be small – must be at most ``max_rows``.
-
-Beyond either bound the join is left to Catalyst (sort-merge; AQE may still switch to a
-broadcast from runtime statistics, or split skewed partitions).
+No hints are given: Catalyst broadcasts a side below the session's auto-broadcast threshold, AQE
+does so from sizes seen at run time and splits skewed partitions of sort-merge joins.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows and estimated bytes a broadcast side may hold.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (None when unavailable)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 – e.g. a remote session without plan access
-        return None
-
-
-# (plan hash, size estimate, bound) -> proven small; a changed input changes its estimate
-_PROVEN: dict[tuple[int, int, int], bool] = {}
-
-
-def _plan_hash(df: DataFrame) -> int | None:
-    try:
-        return int(df._jdf.queryExecution().analyzed().semanticHash())
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` when it is proven small (see module doc), else ``df`` unchanged.
-
-    A proof is remembered for the same plan over inputs of the same estimated size, so a
-    dimension checked once is not counted again by every query of a session."""
-    est = estimated_bytes(df)
-    if est is not None and est > max_bytes:
-        return df
-    h = _plan_hash(df)
-    key = (h, est, max_rows) if h is not None and est is not None else None
-    if key is not None and key in _PROVEN:
-        small = _PROVEN[key]
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _PROVEN[key] = small
-    return F.broadcast(df) if small else df
 
 
 def attach_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                     how: str = "inner", drop_keys: tuple[str, ...] = (),
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     how: str = "inner", drop_keys: tuple[str, ...] = ()) -> DataFrame:
     """Equi-join a fact table to a dimension; drop the listed key columns afterwards.
 
     ``how='inner'`` drops facts whose key has no dimension row, ``'left'`` keeps them with
     nulls.
     """
-    dim_side = bounded_broadcast(dim, max_broadcast_rows)
-    joined = facts.join(dim_side, facts[fact_key] == dim_side[dim_key], how)
+    joined = facts.join(dim, facts[fact_key] == dim[dim_key], how)
     return joined.drop(*drop_keys) if drop_keys else joined
 
 

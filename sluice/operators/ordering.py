@@ -31,9 +31,9 @@ def page_after(df: DataFrame, key: str, after, size: int) -> DataFrame:
     return rows.orderBy(F.col(key)).limit(size)
 
 
-def sort_for_files(df: DataFrame, order: list[Column | str], files: int) -> DataFrame:
-    """Range-partition into ``files`` slices and sort inside each: a sorted file set
-    without a single-task global sort.
+def sort_for_files(df: DataFrame, order: list[Column | str], files: int | None = None) -> DataFrame:
+    """Range-partition into ``files`` slices (by default the session's shuffle partitions) and sort
+    inside each: a sorted file set without a single-task global sort.
 
     Range partitioning sends equal keys to one slice, so a key value holding a third of
     the rows would be one huge slice.  A hash of the whole row is appended as the last
@@ -43,4 +43,5 @@ def sort_for_files(df: DataFrame, order: list[Column | str], files: int) -> Data
     spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie")
     keyed = df.withColumn("__tie", spread)
     ordered = [*order, F.col("__tie")]
-    return keyed.repartitionByRange(files, *ordered).sortWithinPartitions(*ordered).drop("__tie")
+    sliced = keyed.repartitionByRange(files, *ordered) if files else keyed.repartitionByRange(*ordered)
+    return sliced.sortWithinPartitions(*ordered).drop("__tie")

@@ -1,37 +1,48 @@
 """Keyed upsert, last row wins.
 
-The batch is first reduced to one row per key with ``max_by(struct(row), seq)`` – a hash
-aggregate with map-side partial aggregation, so a hot key costs one row per map task, not
-one group in one task.  The target keeps the keys the batch does not touch
-(``left_anti``), and the two parts are unioned.  A target with duplicate keys is refused,
-as a unique constraint would refuse it.
+Target and batch are reduced together in one aggregate per key: the greatest (from the batch, sequence)
+wins, with partial aggregation on the map side, so a hot key costs one row per task and
+each input is read once.  A batch row without a sequence has no place in the order and is refused, and
+so is (as a unique constraint would) a target with several rows of a key; both raise when
+the result is computed, without a job at planning time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_last(batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """One row per key: the one with the greatest ``seq`` (``seq`` must be unique per key)."""
-    row = F.struct(*[F.col(c) for c in batch.columns])  # a struct: null fields survive max_by
-    best = batch.groupBy(*keys).agg(F.max_by(row, F.col(seq)).alias("__row"))
-    return best.select("__row.*")
+def _checked(seq: str) -> Column:
+    """The sequence column; a null one (or a struct that starts with a null) raises."""
+    return F.when(F.col(seq).isNull(), F.raise_error(F.lit(f"null sequence {seq} in batch"))) \
+        .otherwise(F.col(seq))
 
 
-def assert_unique(df: DataFrame, keys: list[str]) -> None:
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
-        raise ValueError(f"duplicate keys {keys} in upsert target")
+def dedup_last(batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """One row per key: the one with the greatest ``seq`` (``seq`` must be unique per key and not null)."""
+    row = F.struct(*[F.col(c) for c in batch.columns if c not in keys])  # null fields survive max_by
+    best = batch.groupBy(*keys).agg(F.max_by(row, _checked(seq)).alias("__row"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in batch.columns])
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str,
            check_target: bool = True) -> DataFrame:
     """Target with the batch applied: per key, the batch's last row (by ``seq``) replaces
     the target row; new keys are inserted; other target rows are kept as they are."""
+    columns = target.columns
+    rest = [c for c in columns if c not in keys]
+
+    def tagged(df: DataFrame, new: bool, order: Column) -> DataFrame:
+        return df.select(*keys, F.struct(F.lit(new).alias("new"), order.alias("seq")).alias("__order"),
+                         F.struct(F.lit(True).alias("__set"), *[F.col(c) for c in rest]).alias("__row"))
+
+    old = tagged(target, False, F.lit(None).cast(batch.schema[seq].dataType))
+    both = old.unionByName(tagged(batch, True, _checked(seq)))
+    best = both.groupBy(*keys).agg(F.max_by("__row", "__order").alias("__row"),
+                                   F.count_if(~F.col("__order.new")).alias("__old"))
+    out = best.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in columns], "__old")
     if check_target:
-        assert_unique(target, keys)
-    latest = dedup_last(batch, keys, seq).select(*target.columns)
-    kept = target.join(latest.select(*keys), on=keys, how="left_anti").select(*target.columns)
-    return kept.unionByName(latest)
+        twice = F.raise_error(F.lit(f"duplicate keys {keys} in upsert target"))
+        out = out.where(F.when(F.col("__old") > 1, twice.cast("boolean")).otherwise(F.lit(True)))
+    return out.drop("__old")

@@ -1,43 +1,57 @@
 """Registered queries: ``(spark, sf_dir) -> DataFrame`` over the whole driver tables.
 
-Charts (W2), trips (W1), file sources/sinks, upsert (W5), the sales stream (W4) here; the
-versioned-table walk-through (W3) in ``sluice.plans.lake``.  Queries that write tables as
-part of their work use fresh folders under the session's checkpoint dir.
+Charts (W2), trips (W1), file sources/sinks, catalog tables (W3), upsert (W5), the sales stream (W4).
+Queries that write tables as part of their work use fresh folders under the session's checkpoint dir.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.functions.records import decode_json
 from sluice.operators.ordering import page
-from sluice.operators.quality import null_rates
+from sluice.operators.quality import null_rates, rows_per_source_match
 from sluice.operators.sets import union_all, union_counts
 from sluice.operators.upsert import dedup_last, upsert
 from sluice.plans import charts as ch
-from sluice.plans import lake
 from sluice.plans import relations as rel
 from sluice.plans import trips as tr
 from sluice.plans.charts import type_charts
 from sluice.session import scratch_path
-from sluice.sinks.files import export_csv, write_parquet, write_partitioned
-from sluice.sources.files import read_csv, read_monthly, with_file_month
+from sluice.sinks import catalog
+from sluice.sinks.files import (append_csv, export_csv, write_monthly_files, write_parquet,
+                                write_partitioned, write_reports)
+from sluice.sources.files import (empty_like, read_csv, read_monthly, read_reports, with_file_month,
+                                  with_file_order)
 from sluice.streaming import sales as st
 
 
 def chart_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned chart rows with their country (the input of every report), staged once."""
-    return rel.staged(spark, "chart-data", sf_dir, lambda: ch.prepare_charts(
-        rel.charts(spark, sf_dir), rel.country_aliases(spark, sf_dir)))
+    """Cleaned chart rows with their country (the input of every report)."""
+    return ch.prepare_charts(rel.charts(spark, sf_dir), rel.country_aliases(spark, sf_dir))
 
 
-def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trip rows (the input of every trip query), staged once."""
-    return rel.staged(spark, "trips", sf_dir, lambda: rel.trips(spark, sf_dir))
+def chart_rows(spark, sf_dir):
+    """The cleaned rows themselves: names present, country found, duration in minutes."""
+    return chart_data(spark, sf_dir).select("date", "country_name", "position", "track_id", "name",
+                                            F.round("duration_minutes", 6).alias("duration_minutes"))
+
+
+def report_folders(spark, sf_dir):
+    """The whole charts job: rows exported as CSV, six reports written as CSV folders, read back by
+    name; one row per report with its row count."""
+    root = scratch_path(spark, "charts-job")
+    export_csv(rel.charts(spark, sf_dir), f"{root}/charts")
+    export_csv(rel.country_aliases(spark, sf_dir), f"{root}/aliases")
+    ch.run_job(spark, f"{root}/charts", f"{root}/aliases", f"{root}/reports")
+    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("report"), "n_rows")
+              for name, df in sorted(read_reports(spark, f"{root}/reports").items())]
+    return union_all(counts)
 
 
 def top_artists_by_country(spark, sf_dir):
@@ -80,18 +94,28 @@ def multi_country_number_ones_distinct(spark, sf_dir):
 
 
 SAMPLE_ROWS = 1000
+TRIP_COLS = ["pickup_ts", "dropoff_ts", "passenger_count", "trip_distance", "tip_amount", "pu_location",
+             "do_location"]
+TRIP_CSV_SCHEMA = ("pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, passenger_count int, "
+                   "trip_distance double, tip_amount double, pu_location bigint, "
+                   "do_location bigint")
 
 
 def clean_trips(spark, sf_dir):
-    return tr.within_month(trip_rows(spark, sf_dir))
+    return tr.within_month(rel.trips(spark, sf_dir))
+
+
+def _rounded(stats: DataFrame) -> DataFrame:
+    """Means rounded for comparison (the order of a floating-point sum is not fixed)."""
+    return stats.withColumns({c: F.round(c, 6) for c in ("avg_trip_distance", "avg_tip_amount")})
 
 
 def daily_pickup_stats(spark, sf_dir):
-    return tr.daily_stats(clean_trips(spark, sf_dir), "pickup")
+    return _rounded(tr.daily_stats(clean_trips(spark, sf_dir), "pickup"))
 
 
 def daily_dropoff_stats(spark, sf_dir):
-    return tr.daily_stats(clean_trips(spark, sf_dir), "dropoff")
+    return _rounded(tr.daily_stats(clean_trips(spark, sf_dir), "dropoff"))
 
 
 def trips_within_month(spark, sf_dir):
@@ -99,65 +123,159 @@ def trips_within_month(spark, sf_dir):
 
 
 def trips_out_of_range(spark, sf_dir):
-    return tr.outliers(trip_rows(spark, sf_dir))
+    return tr.outliers(rel.trips(spark, sf_dir))
 
 
 def trips_kept_months(spark, sf_dir):
-    trips = trip_rows(spark, sf_dir)
-    return tr.keep_months(trips, tr.dropoff_month_set(trips))
+    """Trips that end in a month some file exists for."""
+    trips = rel.trips(spark, sf_dir)
+    return tr.keep_months(trips, tr.file_months(trips), tr.DROPOFF).select(*TRIP_COLS)
 
 
 def trip_seconds_sorted_sample(spark, sf_dir):
-    return tr.sorted_sample(tr.with_trip_seconds(clean_trips(spark, sf_dir)), SAMPLE_ROWS)
+    clean = clean_trips(spark, sf_dir).select(*TRIP_COLS)
+    return tr.sorted_sample(tr.with_trip_seconds(clean), SAMPLE_ROWS)
 
 
 def trips_with_zone(spark, sf_dir):
-    return tr.attach_zone(clean_trips(spark, sf_dir), rel.zones(spark, sf_dir))
+    return tr.attach_zone(clean_trips(spark, sf_dir).select(*TRIP_COLS), rel.zones(spark, sf_dir))
+
+
+def time_bounds_before(spark, sf_dir):
+    """Bounds of every file as it came: false where it holds other dates."""
+    return tr.time_bounds(rel.trips(spark, sf_dir))
 
 
 def time_bounds_by_month(spark, sf_dir):
+    """Bounds of every file after cleaning: all true."""
     return tr.time_bounds(clean_trips(spark, sf_dir))
 
 
 def months_present(spark, sf_dir):
-    return tr.months_present(trip_rows(spark, sf_dir))
+    return tr.months_present(rel.trips(spark, sf_dir))
 
 
 def missing_months(spark, sf_dir):
-    return tr.missing_months(trip_rows(spark, sf_dir))
+    """Months that have a file, but no trip that starts in one of the year's first two days of them."""
+    trips = rel.trips(spark, sf_dir)
+    early = trips.where(F.dayofmonth(tr.PICKUP) <= 2)
+    return tr.missing_months(trips, early)
 
 
-TRIP_CSV_SCHEMA = ("pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, passenger_count int, "
-                   "trip_distance double, tip_amount double, pu_location bigint, "
-                   "do_location bigint")
+def _monthly_files(spark, sf_dir) -> str:
+    """Trips as monthly CSV files named by month, among other files of the same folder."""
+    root = scratch_path(spark, "monthly-csv")
+    trips = rel.trips(spark, sf_dir)
+    write_monthly_files(trips, root, "yellow_tripdata", tr.FILE_YEAR, tr.FILE_MONTH)
+    decoy = rel.trips(spark, sf_dir).where(F.dayofmonth(tr.PICKUP) == 1)
+    write_monthly_files(decoy, root, "green_tripdata", tr.FILE_YEAR, tr.FILE_MONTH)
+    return root
+
+
+def _read_yellow(spark, root: str) -> DataFrame:
+    return with_file_month(read_monthly(spark, root, "yellow_tripdata_*.csv",
+                                        schema=StructType.fromDDL(TRIP_CSV_SCHEMA)))
 
 
 def file_months(spark, sf_dir):
-    """Trips written as one CSV folder per source month, read back as one set through a
-    file-name glob; the month is parsed from each file's path."""
-    root = scratch_path(spark, "monthly-csv")
-    trips = trip_rows(spark, sf_dir).withColumn("src_month", F.date_format("pickup_ts", "yyyy-MM"))
-    write_partitioned(trips, root, ["src_month"], fmt="csv")
-    back = with_file_month(read_monthly(spark, root, "*.csv", schema=StructType.fromDDL(TRIP_CSV_SCHEMA)))
+    """Monthly CSV files selected by a part of their name, read as one set; the month comes
+    from each file's name."""
+    back = _read_yellow(spark, _monthly_files(spark, sf_dir))
     return back.groupBy("file_year", "file_month").agg(F.count(F.lit(1)).alias("n_trips"))
 
 
+def input_files(spark, sf_dir):
+    """Number of months that came as files, against the months the data should have."""
+    back = _read_yellow(spark, _monthly_files(spark, sf_dir))
+    found = back.agg(F.count_distinct(F.regexp_extract("source_file", r"_(\d{4}-\d{2})_", 1)).alias("n"))
+    wanted = rel.trips(spark, sf_dir).agg(F.count_distinct("file_year", "file_month").alias("n"))
+    return found.select(F.lit("files").alias("side"), "n").unionAll(
+        wanted.select(F.lit("expected").alias("side"), "n"))
+
+
+def trips_job_stats(spark, sf_dir):
+    """The whole taxi job over monthly files; its pick-up stats read back."""
+    root = _monthly_files(spark, sf_dir)
+    zones, out = scratch_path(spark, "zones"), scratch_path(spark, "trips-job")
+    rel.zones(spark, sf_dir).write.option("header", True).option("sep", ";").csv(zones)
+    tr.run_job(spark, root, zones, out, StructType.fromDDL(TRIP_CSV_SCHEMA), pattern="yellow_tripdata_*.csv")
+    return _rounded(spark.read.parquet(f"{out}/pickup_stats"))
+
+
+def trips_job_order(spark, sf_dir):
+    """The trips written by the taxi job: rows per month and how many of them stand behind a trip they
+    should precede in their file (0)."""
+    root = _monthly_files(spark, sf_dir)
+    zones, out = scratch_path(spark, "zones"), scratch_path(spark, "trips-job")
+    rel.zones(spark, sf_dir).write.option("header", True).option("sep", ";").csv(zones)
+    tr.run_job(spark, root, zones, out, StructType.fromDDL(TRIP_CSV_SCHEMA), pattern="yellow_tripdata_*.csv",
+               rows_per_file=500_000)
+    back = spark.read.parquet(f"{out}/trips").select(
+        "year", "month", "pickup_ts", "trip_duration_sec", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+    before = Window.partitionBy("file").orderBy("block", "pos")  # a file holds at most rows_per_file rows
+    back = back.withColumn("p", F.lag("pickup_ts").over(before)).withColumn("s", F.lag("trip_duration_sec").over(before))
+    wrong = (F.col("p") > F.col("pickup_ts")) | (
+        (F.col("p") == F.col("pickup_ts")) & (F.col("s") < F.col("trip_duration_sec")))
+    return back.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_trips"),
+                                             F.count_if(F.coalesce(wrong, F.lit(False))).alias("misplaced"))
+
+
+def corrupt_rows(spark, sf_dir):
+    """Order lines exported as CSV with text in a numeric field of some; read with a declared schema, the raw
+    line of each bad row captured, its bad field null."""
+    root = scratch_path(spark, "bad-csv")
+    li = rel.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_linenumber") == 3, F.lit("n/a")).otherwise(F.col("l_partkey").cast("string")).alias("l_partkey"))
+    export_csv(li, root)
+    back = read_csv(spark, root, capture_bad=True, schema=StructType.fromDDL(
+        "l_orderkey bigint, l_linenumber int, l_partkey bigint"))
+    return back.select("l_orderkey", "l_linenumber", "l_partkey", F.col("_corrupt_record").alias("raw"))
+
+
+def empty_then_filled(spark, sf_dir):
+    """An empty relation with the trips' schema, the trips added to it by name."""
+    trips = rel.trips(spark, sf_dir)
+    return empty_like(spark, trips).unionByName(trips)
+
+
 def partitioned_roundtrip(spark, sf_dir):
     """Clean trips written as year=/month= Parquet partitions and read back whole."""
     root = scratch_path(spark, "trips-by-month")
-    write_partitioned(tr.with_year_month(clean_trips(spark, sf_dir)), root, ["year", "month"])
+    write_partitioned(tr.with_year_month(clean_trips(spark, sf_dir).select(*TRIP_COLS)), root, ["year", "month"])
     return spark.read.parquet(root)
 
 
 def monthly_union(spark, sf_dir):
-    """Per-year relations read from the partitioned set (each read prunes to its own
-    partition: one pass over the data in total), unioned, rows counted per input."""
+    """Rows of every input of a union (one folder per file year, read as one set), counted in one pass."""
     root = scratch_path(spark, "trips-by-year")
-    write_partitioned(tr.with_year_month(clean_trips(spark, sf_dir)), root, ["year"])
-    full = spark.read.parquet(root)
-    years = [r.year for r in full.select("year").distinct().orderBy("year").collect()]
-    parts = [full.filter(F.col("year") == y).withColumn("source_year", F.lit(y)) for y in years]
-    return union_counts(union_all(parts), "source_year")
+    write_partitioned(rel.trips(spark, sf_dir).withColumnRenamed("file_year", "source_year"), root, ["source_year"])
+    return union_counts(spark.read.parquet(root), "source_year")
+
+
+def union_complete(spark, sf_dir):
+    """Union of two relations against its inputs: the inputs whose row count the union changed (the second input is
+    counted with one flag left out, so it shows up)."""
+    trips = rel.trips(spark, sf_dir)
+    first, second = trips.where("file_month <= 6"), trips.where("file_month > 6")
+    counts = union_counts(union_all([first, second], source_col="input"), "input")
+    inputs = union_counts(union_all([first, second.where("passenger_count > 1")], source_col="input"), "input")
+    return rows_per_source_match(counts, inputs, "input")
+
+
+def catalog_tables(spark, sf_dir):
+    """Create, append, replace and reset on the session catalog: monthly trips gathered in a table, outliers
+    then filtered out of it; rows by file month."""
+    name = catalog.reset_table(spark, f"trips_{uuid.uuid4().hex[:12]}", "sluice_work")
+    trips = rel.trips(spark, sf_dir)
+    catalog.create_table(trips.where("file_month <= 6"), name)
+    catalog.append_table(trips.where("file_month > 6"), name)
+    catalog.replace_table(spark, name, tr.within_month)
+    root = scratch_path(spark, "catalog-result")
+    spark.table(name).groupBy("file_year", "file_month").agg(F.count(F.lit(1)).alias("n_trips")).write.parquet(root)
+    catalog.reset_table(spark, name)
+    return spark.read.parquet(root)
 
 
 def _charts_csv(spark, sf_dir):
@@ -192,6 +310,22 @@ def upsert_last_wins(spark, sf_dir):
     return upsert(target, batch, ["o_custkey"], "o_orderkey")
 
 
+def daily_csv_upsert(spark, sf_dir):
+    """The daily job: each year's orders are appended as one dated, headerless CSV load; the loads are read
+    back by position and upserted by customer, the last row of the last load winning."""
+    root = scratch_path(spark, "daily-csv")
+    orders = rel.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    # three loads with every customer's orders spread over them, the newest keys in the first load
+    for load in range(3):
+        append_csv(orders.where(F.col("o_orderkey") % 3 == (load * 2) % 3), root, load=load)
+    back = with_file_order(read_csv(spark, root, header=False, schema=StructType.fromDDL(
+        "o_custkey bigint, o_orderkey bigint, o_totalprice double, load_date date, load_seq bigint")),
+        load_col="load_seq")
+    batch = back.withColumn("seq", F.struct("load_seq", "o_orderkey"))
+    target = orders.where("o_orderkey < 0")
+    return upsert(target, batch, ["o_custkey"], "seq")
+
+
 PAGE_OFFSET, PAGE_SIZE = 2000, 1000
 
 
@@ -212,27 +346,48 @@ def sales_messages(spark, sf_dir):
     return _messages(spark, sf_dir)
 
 
+def _drained(spark, sf_dir, messages: DataFrame) -> str:
+    """Messages published as files per target partition, drained by the streaming sink; its root."""
+    root = scratch_path(spark, "sales")
+    st.publish_messages(messages, "json", f"{root}/topic")
+    st.run_sales_sink(st.sales_source(spark, "json", f"{root}/topic"), f"{root}/sink", f"{root}/checkpoint")
+    return f"{root}/sink"
+
+
 def sales_sink(spark, sf_dir):
-    """Messages written as files, drained by the streaming sink in several micro-batches;
-    the sink table read back."""
+    """The sink table after a restart from the checkpoint and a replay of its first batch: rows with their
+    load date; ``rows_of_id`` is 1 for a unique id."""
     root = scratch_path(spark, "sales")
-    _messages(spark, sf_dir).repartition(4).write.json(f"{root}/topic")
-    stream = st.sales_source(spark, "json", f"{root}/topic", max_files_per_trigger=1)
-    st.run_sales_sink(stream, f"{root}/sink", f"{root}/checkpoint")
-    return st.read_sink(spark, f"{root}/sink").select("product", "date", "partition")
+    messages = _messages(spark, sf_dir)
+    st.publish_messages(messages, "json", f"{root}/topic")
+    for _ in range(2):  # the second run finds nothing new
+        st.run_sales_sink(st.sales_source(spark, "json", f"{root}/topic"), f"{root}/sink", f"{root}/checkpoint")
+    replay = spark.read.schema(st.MESSAGE_SCHEMA).json(f"{root}/topic")
+    st.write_batch(f"{root}/sink")(replay, 0)  # the same batch again, as after a failure
+    rows = st.read_sink(spark, f"{root}/sink")
+    ids = rows.groupBy("id").agg(F.count(F.lit(1)).alias("rows_of_id"))
+    return rows.join(ids, "id").select(
+        "product", "date", "partition", (F.datediff(F.current_date(), "created_at") <= 1).alias("loaded_now"),
+        "rows_of_id")
 
 
 def sales_rejects(spark, sf_dir):
     """A topic shared with another producer: besides the sales messages it carries each
     event's ``props`` record (no product, no date).  The stream sink keeps the sales rows
     and diverts the foreign records to its reject output, which is read back here."""
-    root = scratch_path(spark, "sales-mixed")
     foreign = rel.table(spark, sf_dir, "events").select(
         F.col("props").alias("value"), F.lit(0).alias("partition"))
-    _messages(spark, sf_dir).unionByName(foreign).repartition(4).write.json(f"{root}/topic")
-    stream = st.sales_source(spark, "json", f"{root}/topic", max_files_per_trigger=2)
-    st.run_sales_sink(stream, f"{root}/sink", f"{root}/checkpoint")
-    return st.read_rejects(spark, f"{root}/sink").select("value", "partition")
+    sink = _drained(spark, sf_dir, _messages(spark, sf_dir).unionByName(foreign))
+    return st.read_rejects(spark, sink).select("value", "partition")
+
+
+def sales_clean_rejects(spark, sf_dir):
+    """Rejects per partition of a stream without bad rows: none, next to the rows kept."""
+    sink = _drained(spark, sf_dir, _messages(spark, sf_dir))
+    good = st.read_sink(spark, sink).select("partition", F.lit(0).alias("bad"))
+    bad = st.read_rejects(spark, sink).select("partition", F.lit(1).alias("bad"))
+    return good.unionAll(bad).groupBy("partition").agg(F.count_if(F.col("bad") == 0).alias("kept"),
+                                                       F.count_if(F.col("bad") == 1).alias("rejected"))
 
 
 def sales_decoded(spark, sf_dir):
@@ -252,17 +407,20 @@ def zone_lookup_csv(spark, sf_dir):
 
 
 def daily_pickup_parquet(spark, sf_dir):
-    """Daily pick-up stats written as 20 Parquet files (round robin) and read back."""
+    """Daily pick-up stats written as 20 Parquet files (round robin) and read back, with the number of files
+    each row's set has."""
     root = scratch_path(spark, "pickup-stats")
     write_parquet(daily_pickup_stats(spark, sf_dir), root, files=20)
-    return spark.read.parquet(root)
+    back = spark.read.parquet(root)
+    files = back.select(F.count_distinct("_metadata.file_path").alias("n")).scalar()
+    return back.withColumn("n_files", files)
 
 
 def sorted_trip_files(spark, sf_dir):
     """Clean trips with durations written as a sorted file set (pick-up ascending, duration
     descending: range partitions, each sorted) and read back."""
     root = scratch_path(spark, "sorted-trips")
-    tr.sort_trips(tr.with_trip_seconds(clean_trips(spark, sf_dir)), files=8).write.parquet(root)
+    tr.sort_trips(tr.with_trip_seconds(clean_trips(spark, sf_dir).select(*TRIP_COLS))).write.parquet(root)
     return spark.read.parquet(root)
 
 
@@ -281,6 +439,19 @@ def event_props(spark, sf_dir):
         .select("event_id", F.col("p.k").alias("k"))
 
 
+def event_prop_counts(spark, sf_dir):
+    """Events whose ``props`` map holds a given entry kind (a predicate on a map element), counted by value."""
+    events = rel.table(spark, sf_dir, "events").select("event_type", F.from_json(
+        "props", "map<string,string>").alias("props"))
+    return events.where(F.element_at("props", "k").cast("int") >= 50) \
+        .groupBy(F.col("props")["k"].cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def order_priority_counts(spark, sf_dir):
+    """Orders per priority."""
+    return rel.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_artists_by_country": top_artists_by_country,
     "top_songs_by_country": top_songs_by_country,
@@ -317,5 +488,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sorted_trip_files": sorted_trip_files,
     "top_artists_by_country_legacy": top_artists_by_country_legacy,
     "event_props": event_props,
-    **lake.QUERIES,
+    "event_prop_counts": event_prop_counts,
+    "order_priority_counts": order_priority_counts,
+    "chart_rows": chart_rows,
+    "report_folders": report_folders,
+    "time_bounds_before": time_bounds_before,
+    "input_files": input_files,
+    "trips_job_stats": trips_job_stats,
+    "trips_job_order": trips_job_order,
+    "corrupt_rows": corrupt_rows,
+    "empty_then_filled": empty_then_filled,
+    "union_complete": union_complete,
+    "catalog_tables": catalog_tables,
+    "daily_csv_upsert": daily_csv_upsert,
+    "sales_clean_rejects": sales_clean_rejects,
 }

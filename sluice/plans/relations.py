@@ -1,18 +1,20 @@
 """Relations the workloads run on, derived from the driver's TPC-H-like tables.
 
-* charts (C): one row per line item – the order's customer nation is the country, the line
-  number the chart position, the quantity the streams, the part the track.
-* trips (T): one row per line item – order date = pick-up, ship date = drop-off,
-  supplier = pick-up location, part = drop-off location.
-* zones: supplier ⋈ nation, suppliers with a non-negative balance only (the rest of the
-  location ids stay unmatched, as in a partial zone lookup).
-* lake orders (L): ``orders`` with its unique key.
-* sales events (E): ``events`` – event type as product.
-
-Joins run fact-first (line items ⋈ orders ⋈ customer ⋈ part), so the line items stream
-and each smaller relation can be the build side; Catalyst picks broadcast or sort-merge from
-the size estimates (sort-merge at scale), AQE splits skewed keys.  Inputs that arrive as a
-single unsplittable file are spread over the cores first (``spread_scan``).
+* charts (C): one row per line item - the order's customer nation is the country, the line
+  number the chart position, the quantity the streams, the part the track.  Parts of size 25
+  or 50 have no name (rows the cleaning must drop).
+* aliases: one per nation; nations of region 4 are spelled in a way that no chart row uses, so their
+  chart rows find no country.
+* trips (T): one row per line item - order date = pick-up, ship date = drop-off, supplier = pick-up
+  location, part = drop-off location.  A trip is filed three days after its pick-up, so a monthly file
+  holds trips that start before its month and trips that end after it.
+* zones: supplier with its nation; suppliers with a negative balance are listed under a
+  location id that no trip uses, so their trips find no zone.
+* sales events (E): ``events`` - event type as product.
+
+Every table is read whole, and nothing is kept between queries: a query's plan starts at the base
+tables, reads only the columns it needs and sees rows appended meanwhile.  Joins run fact-first (line
+items, orders, customer, part); Catalyst and AQE choose broadcast or sort-merge and split skewed keys.
 """
 
 from __future__ import annotations
@@ -20,88 +22,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import bounded_broadcast, estimated_bytes
-from sluice.session import scratch_path
-
-# Inputs below this estimated size are never worth a spreading shuffle; above the max,
-# row-group splits give enough tasks and the file list is not even looked at.
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
-SPREAD_MAX_BYTES = 1024 * 1024 * 1024
-
-
-def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES,
-                max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Spread an input held in fewer files than the cluster has cores.
-
-    A file written as one large row group cannot be split (Spark makes several splits, but
-    only the one holding the row group's start reads rows), so the whole pipeline up to the
-    first shuffle – joins, parsing, partial aggregation – would run in one task.  Such an
-    input is round-robin repartitioned to the default parallelism.  A large table lives in
-    many files (and beyond ``max_bytes`` its row groups alone give enough tasks): it is
-    returned untouched, without listing its files on the driver – no extra shuffle at scale.  Filters and column
-    pruning still reach the scan through the repartition.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 – no local context handle: leave the scan as it is
-        return df
-    size = estimated_bytes(df) or 0
-    if min_bytes <= size <= max_bytes and len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
-
-
-_TABLES: dict[tuple, DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> tuple:
-    """Identity of a live session: object id plus the application id of its context (a
-    new context after a stop never shares cached plans with the old one)."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        app = None
-    return (id(spark), app)
+FILING_DAYS = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as a (lazy) DataFrame.
-
-    The resolved read plan – schema from the footer, file listing, spread decision – is
-    kept per session and path, so building a query does not re-list and re-read footers;
-    no data is cached.  ``clear_tables()`` forgets the plans (e.g. after files change).
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (_session_key(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spread_scan(spark.read.parquet(path))
-    return _TABLES[key]
-
-
-def clear_tables() -> None:
-    _TABLES.clear()
-    _STAGED.clear()
-
-
-_STAGED: dict[tuple, str] = {}
-
-
-def staged(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
-    """A derived relation computed once per session and written as Parquet under the
-    shared checkpoint folder; later queries read that copy.
-
-    The joins behind a derived relation (e.g. the chart rows) then run once instead of once
-    per report; the copy is typed and columnar, so each report reads only its columns, and
-    it cuts lineage – a lost executor costs a re-read, not a re-join.  Each session stages
-    its own copy (fresh folder), so inputs changed between sessions are never served stale.
-    """
-    key = (_session_key(spark), name, sf_dir.rstrip("/"))
-    path = _STAGED.get(key)
-    if path is None:
-        path = scratch_path(spark, f"stage-{name}")
-        build().write.parquet(path)
-        _STAGED[key] = path
-    return spark.read.parquet(path)
+    """A driver table, as it is now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _quoted_list(*items) -> F.Column:
@@ -123,9 +49,8 @@ def charts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type",
                                                "p_size")
-    genres = F.when(F.col("p_size") <= 5, F.lit("[]")).otherwise(
-        F.concat(F.lit("['"), F.lower("p_type"), F.lit("','"),
-                 F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)), F.lit("']")))
+    genres = F.concat(F.lit("['"), F.lower("p_type"), F.lit("','"),
+                      F.replace(F.col("p_name"), F.lit(" "), F.lit("','")), F.lit("']"))
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)
             .join(cust, orders.o_custkey == cust.c_custkey)
             .join(part, li.l_partkey == part.p_partkey)
@@ -139,19 +64,20 @@ def charts(spark: SparkSession, sf_dir: str) -> DataFrame:
                 genres.alias("artist_genres"),
                 (F.col("p_size") * 10000).alias("duration"),
                 (F.col("p_size") > 25).alias("explicit"),
-                F.col("p_name").alias("name"),
+                F.when(F.col("p_size") % 25 != 0, F.col("p_name")).alias("name"),
             ))
 
 
 def country_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """alias, country – one alias per nation."""
+    """alias, country - one alias per nation."""
+    prefix = F.when(F.col("n_regionkey") == 4, F.lit("region-4-")).otherwise(F.lit("n"))
     return table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("alias"),
+        F.concat(prefix, F.col("n_nationkey").cast("string")).alias("alias"),
         F.col("n_name").alias("country"))
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trip rows with their source month (the month of the pick-up)."""
+    """Trip rows with the year and month of the file they were filed in."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_shipdate")
@@ -159,6 +85,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     # tip in cents computed exactly (decimal), kept as double like every money column
     tip = F.round(F.col("l_extendedprice").cast("decimal(12,2)")
                   * F.col("l_discount").cast("decimal(4,2)"), 2).cast("double")
+    filed = F.date_add(F.to_date("o_orderdate"), FILING_DAYS)
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)
             .select(
                 F.col("o_orderdate").alias("pickup_ts"),
@@ -168,25 +95,21 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                 tip.alias("tip_amount"),
                 F.col("l_suppkey").alias("pu_location"),
                 F.col("l_partkey").alias("do_location"),
+                F.year(filed).alias("file_year"),
+                F.month(filed).alias("file_month"),
             ))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """location_id, borough, zone."""
-    supp = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0).select(
-        "s_suppkey", "s_name", "s_nationkey")
-    nation = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    location = F.when(F.col("s_acctbal") < 0, -F.col("s_suppkey") - 1).otherwise(F.col("s_suppkey"))
     return (supp.join(nation, supp.s_nationkey == nation.n_nationkey)
-            .select(F.col("s_suppkey").alias("location_id"),
+            .select(location.alias("location_id"),
                     F.col("n_name").alias("borough"),
                     F.col("s_name").alias("zone")))
 
 
-def lake_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-        "o_orderpriority")
-
-
 def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", "ts", "event_type")

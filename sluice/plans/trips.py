@@ -1,8 +1,8 @@
 """Taxi-trip jobs (W1): month cleaning, durations, daily location stats, zone join.
 
-A trip belongs to the month of its pick-up (its source file).  Cleaning keeps trips that
-start on or after the month's first instant and end no later than 23:59:59 of its last day;
-a trip ending in the next month is dropped from its month.
+A trip belongs to the month of the *file* it came in (``file_year``, ``file_month``, see
+``with_file_month``).  Cleaning keeps trips that start on or after that month's first instant and end no
+later than 23:59:59 of its last day: a monthly file may hold trips of any other date.
 """
 
 from __future__ import annotations
@@ -10,29 +10,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.time import day_of, month_end, month_start, seconds_between, year_month
-from sluice.operators.joins import attach_dimension
+from sluice.functions.time import day_of, month_of, month_end, month_start, seconds_between, year_month
+from sluice.operators.joins import attach_dimension, missing_keys
 from sluice.operators.ordering import take_sorted
 
 PICKUP, DROPOFF = "pickup_ts", "dropoff_ts"
+FILE_YEAR, FILE_MONTH = "file_year", "file_month"
 
 
-def within_period(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Pick-up at or after ``start`` and drop-off at or before ``end`` (literal bounds)."""
-    return df.filter((F.col(PICKUP) >= F.lit(start).cast("timestamp_ntz"))
-                     & (F.col(DROPOFF) <= F.lit(end).cast("timestamp_ntz")))
+def _file_month() -> F.Column:
+    return month_of(FILE_YEAR, FILE_MONTH)
 
 
 def within_month(df: DataFrame) -> DataFrame:
-    """Trips inside their own source month (bounds derived per row with ``last_day``)."""
-    return df.filter((F.col(PICKUP) >= month_start(PICKUP))
-                     & (F.col(DROPOFF) <= month_end(PICKUP)))
+    """Trips inside the month of their file."""
+    return df.filter((F.col(PICKUP) >= month_start(_file_month()))
+                     & (F.col(DROPOFF) <= month_end(_file_month())))
 
 
 def outliers(df: DataFrame) -> DataFrame:
-    """Trips outside their source month, with the bound they break."""
-    early = F.col(PICKUP) < month_start(PICKUP)
-    late = F.col(DROPOFF) > month_end(PICKUP)
+    """Trips outside the month of their file, with the bound they break (``start`` first)."""
+    early = F.col(PICKUP) < month_start(_file_month())
+    late = F.col(DROPOFF) > month_end(_file_month())
     return (df.filter(early | late)
             .withColumn("broken_bound", F.when(early, F.lit("start")).otherwise(F.lit("end"))))
 
@@ -47,13 +46,11 @@ def trip_order() -> list[F.Column]:
 
 
 def sort_trips(df: DataFrame, files: int | None = None) -> DataFrame:
-    """Trips by pick-up ascending, duration descending.  With ``files`` the order is laid out
-    as that many range-partitioned, internally sorted slices (file order = trip order, no
-    single-task global sort); without, a global sort."""
+    """Trips by pick-up ascending, duration descending, as a sorted file set: range partitions (as many
+    as the session shuffles to unless ``files`` says otherwise), each sorted inside; file order is
+    trip order, and no single task sorts everything."""
     from sluice.operators.ordering import sort_for_files
-    if files:
-        return sort_for_files(df, trip_order(), files)
-    return df.orderBy(*trip_order())
+    return sort_for_files(df, trip_order(), files)
 
 
 def sorted_sample(df: DataFrame, n: int) -> DataFrame:
@@ -63,18 +60,8 @@ def sorted_sample(df: DataFrame, n: int) -> DataFrame:
     return take_sorted(df, [*trip_order(), *rest], n)
 
 
-def _avg(col: str, scale: int = 2) -> F.Column:
-    """Mean of a money/distance column with at most ``scale`` decimals: the values are
-    summed exactly as whole cents (longs – no floating-point accumulation order, no
-    BigDecimal buffers), the sum is turned into a double once and divided – so any engine
-    doing the same gets the same bits, however the rows are partitioned."""
-    unscaled = F.round(F.col(col) * F.lit(10 ** scale)).cast("bigint")
-    return (F.sum(unscaled).cast("double") / F.lit(float(10 ** scale))
-            / F.count(col)).alias(f"avg_{col}")
-
-
 def daily_stats(trips: DataFrame, side: str = "pickup") -> DataFrame:
-    """Per location and day: passenger sum, average distance, average tip.
+    """Per location and day: passenger sum, mean distance, mean tip (plain averages).
 
     ``side='pickup'`` groups by pick-up location and day, ``'dropoff'`` by drop-off.
     Hash aggregate with partial aggregation before the shuffle.
@@ -87,7 +74,8 @@ def daily_stats(trips: DataFrame, side: str = "pickup") -> DataFrame:
         raise ValueError(side)
     return (trips.groupBy(F.col(loc), day_of(ts).alias(day_name))
             .agg(F.sum("passenger_count").alias("passenger_sum"),
-                 _avg("trip_distance"), _avg("tip_amount")))
+                 F.avg("trip_distance").alias("avg_trip_distance"),
+                 F.avg("tip_amount").alias("avg_tip_amount")))
 
 
 def attach_zone(trips: DataFrame, zones: DataFrame, side: str = "pickup") -> DataFrame:
@@ -102,14 +90,13 @@ def with_year_month(df: DataFrame, ts: str = PICKUP) -> DataFrame:
 
 
 def time_bounds(df: DataFrame) -> DataFrame:
-    """Per source month: first and last pick-up, and whether both lie inside the month."""
-    return (with_year_month(df).groupBy("year", "month")
-            .agg(F.min(PICKUP).alias("min_pickup"), F.max(PICKUP).alias("max_pickup"),
-                 F.min(month_start(PICKUP)).alias("month_first"),
-                 F.max(month_end(PICKUP)).alias("month_last"))
-            .select("year", "month", "min_pickup", "max_pickup",
-                    ((F.col("min_pickup") >= F.col("month_first"))
-                     & (F.col("max_pickup") <= F.col("month_last"))).alias("in_bounds")))
+    """Per file month: first pick-up, last drop-off, and whether both lie inside the month (false before
+    cleaning where a file holds other dates, true after it)."""
+    return (df.groupBy(FILE_YEAR, FILE_MONTH)
+            .agg(F.min(PICKUP).alias("min_pickup"), F.max(DROPOFF).alias("max_dropoff"))
+            .select(FILE_YEAR, FILE_MONTH, "min_pickup", "max_dropoff",
+                    ((F.col("min_pickup") >= month_start(_file_month()))
+                     & (F.col("max_dropoff") <= month_end(_file_month()))).alias("in_bounds")))
 
 
 def months_present(df: DataFrame, ts: str = PICKUP) -> DataFrame:
@@ -118,60 +105,44 @@ def months_present(df: DataFrame, ts: str = PICKUP) -> DataFrame:
             .orderBy("year", "month"))
 
 
-def missing_months(df: DataFrame) -> DataFrame:
-    """Months with drop-offs but no pick-up: empty means drop-off months ⊆ pick-up months.
+def file_months(df: DataFrame) -> DataFrame:
+    """Distinct (year, month) of the files."""
+    return df.select(F.col(FILE_YEAR).alias("year"), F.col(FILE_MONTH).alias("month")).distinct()
 
-    One pass: each trip contributes its pick-up month and its drop-off month, tagged; one
-    partially aggregated group-by per month then tells which kinds occurred (instead of two
-    scans and an anti join)."""
-    tagged = df.select(F.explode(F.array(
-        F.struct(F.year(PICKUP).alias("year"), F.month(PICKUP).alias("month"),
-                 F.lit(1).alias("pick"), F.lit(0).alias("drop")),
-        F.struct(F.year(DROPOFF).alias("year"), F.month(DROPOFF).alias("month"),
-                 F.lit(0).alias("pick"), F.lit(1).alias("drop")))).alias("m")).select("m.*")
-    return (tagged.filter(F.col("year").isNotNull())
-            .groupBy("year", "month").agg(F.max("pick").alias("pick"), F.max("drop").alias("drop"))
-            .filter((F.col("drop") == 1) & (F.col("pick") == 0))
-            .select("year", "month"))
 
+def missing_months(files: DataFrame, rows: DataFrame, ts: str = PICKUP) -> DataFrame:
+    """Months that have a file but no row of that month (empty: all expected months are there)."""
+    return missing_keys(file_months(files), months_present(rows, ts), ["year", "month"])
 
-def keep_months(df: DataFrame, months: DataFrame, ts: str = PICKUP) -> DataFrame:
-    """Rows whose ``yyyy-MM`` is in ``months`` (column ``year_month``): a left-semi join.
 
-    A set of distinct ``yyyy-MM`` values is bounded by its domain – at most 12 × 10,000
-    values whatever the data size – so it is broadcast without a size probe.
-    """
-    keyed = df.withColumn("__ym", year_month(ts))
-    month_set = F.broadcast(months.select(F.col("year_month").alias("__ym")).distinct())
-    return keyed.join(month_set, "__ym", "left_semi").drop("__ym")
-
-
-def dropoff_month_set(df: DataFrame) -> DataFrame:
-    return df.select(year_month(DROPOFF).alias("year_month")).distinct()
+def keep_months(df: DataFrame, months: DataFrame, ts: str = PICKUP) -> DataFrame:
+    """Rows whose month is among ``months`` (columns ``year``, ``month``): a left-semi join."""
+    wanted = months.select(F.col("year").alias("__year"), F.col("month").alias("__month")).distinct()
+    return df.join(wanted, (F.year(ts) == F.col("__year")) & (F.month(ts) == F.col("__month")), "left_semi")
 
 
 def run_job(spark, trips_folder: str, zones_csv: str, out_folder: str, schema,
-            pattern: str = "*.csv", stat_files: int = 20, month_files: int = 10) -> None:
+            pattern: str = "*.csv", stat_files: int | None = None,
+            rows_per_file: int | None = None) -> None:
     """The whole taxi job over a folder of monthly CSVs (one read, not one per file, and
     one CSV parse: the cleaned trips are staged as Parquet first).
 
-    Writes ``pickup_stats``/``dropoff_stats`` (Parquet, ``stat_files`` files each) and the
-    cleaned trips with their zone as ``year=/month=`` partitions, each month's rows sorted
-    by pick-up ascending and duration descending inside its files.
+    A file's month comes from its name (``..._yyyy-MM...csv``).  Writes ``pickup_stats`` /
+    ``dropoff_stats`` (Parquet; ``stat_files`` files each if given, else as many as the data make) and the
+    cleaned trips with their zone as ``year=/month=`` partitions, each file sorted by pick-up
+    ascending and duration descending, of at most ``rows_per_file`` rows if given.
     """
     from sluice.session import scratch_path
     from sluice.sinks.files import write_parquet, write_partitioned
-    from sluice.sources.files import read_csv, read_monthly
+    from sluice.sources.files import read_csv, read_monthly, with_file_month
 
-    # parse the CSVs once: the cleaned trips are staged as Parquet in the shared checkpoint
-    # folder and the three outputs read that (typed, columnar, lineage cut)
     staged = scratch_path(spark, "trips-clean")
-    with_trip_seconds(within_month(read_monthly(spark, trips_folder, pattern, schema=schema)
-                                   .drop("source_file"))).write.parquet(staged)
+    filed = with_file_month(read_monthly(spark, trips_folder, pattern, schema=schema)).drop("source_file")
+    with_trip_seconds(within_month(filed)).drop(FILE_YEAR, FILE_MONTH).write.parquet(staged)
     trips = spark.read.parquet(staged)
     write_parquet(daily_stats(trips, "pickup"), f"{out_folder}/pickup_stats", files=stat_files)
     write_parquet(daily_stats(trips, "dropoff"), f"{out_folder}/dropoff_stats", files=stat_files)
     zones = read_csv(spark, zones_csv, sep=";").withColumn(
         "location_id", F.col("location_id").cast("bigint"))
     write_partitioned(with_year_month(attach_zone(trips, zones)), f"{out_folder}/trips",
-                      ["year", "month"], sort_within=["pickup_ts", "trip_duration_sec"])
+                      ["year", "month"], sort_within=trip_order(), rows_per_file=rows_per_file)

@@ -1,7 +1,6 @@
 """Catalog tables (session catalog / metastore): create, append, reset, replace.
 
-These are the plain-table counterparts of the versioned table's operations, for data that
-needs no history.  A table's files live under the warehouse folder the cluster configures.
+A table's files live under the warehouse folder the cluster configures.
 """
 
 from __future__ import annotations
@@ -40,11 +39,14 @@ def replace_table(spark: SparkSession, name: str,
     """Replace a table with a transformed copy of itself (e.g. outliers filtered out).
 
     A table cannot be overwritten while it is read, so the copy is written as a new table
-    first, then swapped in (drop + rename).  The swap is two catalog calls, not one atomic
-    step; readers in between find no table.
+    first.  The old table is then renamed aside, the new one renamed in, and only then the old
+    one dropped: after a failure in between the data are still there under the name, under
+    ``<name>__old`` or both.
     """
-    staging = f"{name}__replacing"
+    staging, old = f"{name}__replacing", f"{name}__old"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     transform(spark.table(name)).writeTo(staging).using(fmt).create()
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    spark.sql(f"DROP TABLE {old}")

@@ -38,11 +38,6 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | No
     return reader.csv(paths)
 
 
-def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    paths = path if isinstance(path, list) else [path]
-    return spark.read.parquet(*paths)
-
-
 def read_monthly(spark: SparkSession, folder: str, pattern: str = "*.csv",
                  schema: StructType | None = None, fmt: str = "csv",
                  header: bool = True) -> DataFrame:
@@ -61,16 +56,16 @@ def read_monthly(spark: SparkSession, folder: str, pattern: str = "*.csv",
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-# Fixed value: a year-month in a path, after ``/``, ``_`` or ``=`` and before ``/`` or ``.``,
+# Fixed value: a year-month in a path, after ``/``, ``_`` or ``=`` and before ``/``, ``.`` or ``_``,
 # e.g. ``..._2021-04.parquet`` or ``month=2021-04/`` (not digits inside a part-file UUID).
-YEAR_MONTH_IN_PATH = r"[/_=](\d{4})-(\d{2})[/.]"
+YEAR_MONTH_IN_PATH = r"[/_=](\d{4})-(\d{2})[/._]"
 
 
 def with_file_month(df: DataFrame, path_col: str = "source_file") -> DataFrame:
-    """Add ``file_year``/``file_month`` parsed from the last ``yyyy-MM`` in the path."""
+    """Add ``file_year``/``file_month`` parsed from the last ``yyyy-MM`` in the path (null without one)."""
     pattern = r".*" + YEAR_MONTH_IN_PATH
-    return (df.withColumn("file_year", F.regexp_extract(path_col, pattern, 1).cast("int"))
-            .withColumn("file_month", F.regexp_extract(path_col, pattern, 2).cast("int")))
+    return (df.withColumn("file_year", F.regexp_extract(path_col, pattern, 1).try_cast("int"))
+            .withColumn("file_month", F.regexp_extract(path_col, pattern, 2).try_cast("int")))
 
 
 def empty_like(spark: SparkSession, schema: StructType | DataFrame) -> DataFrame:
@@ -79,16 +74,13 @@ def empty_like(spark: SparkSession, schema: StructType | DataFrame) -> DataFrame
     return spark.createDataFrame([], st)
 
 
-def literal_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
-    """A handful of literal rows (e.g. a manual insert)."""
-    return spark.createDataFrame(rows, schema)
-
-
-def with_file_order(df: DataFrame, col: str = "file_seq") -> DataFrame:
-    """Add a sequence that follows the physical order of rows in their files: (file path,
-    split start, position inside the split).  Spark packs splits by size, not by file
-    order, so the partition id alone does not give file order."""
-    return df.withColumn(col, F.struct(F.col("_metadata.file_path").alias("file"),
+def with_file_order(df: DataFrame, col: str = "file_seq", load_col: str | None = None) -> DataFrame:
+    """Add a sequence that follows the order of rows: the load (``load_col``, a number written by
+    ``append_csv``; else the file's modification time), then (file path, split start, position inside the
+    split).  Part files have random names, so the path alone does not tell which load is later, and
+    Spark packs splits by size, so the partition id alone does not give file order."""
+    load = F.col(load_col).cast("bigint") if load_col else F.unix_millis("_metadata.file_modification_time")
+    return df.withColumn(col, F.struct(load.alias("load"), F.col("_metadata.file_path").alias("file"),
                                        F.col("_metadata.file_block_start").alias("block"),
                                        F.monotonically_increasing_id().alias("pos")))
 

@@ -36,22 +36,29 @@ def _micros(c) -> F.Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def period_bounds(events: DataFrame, ts: str = "ts") -> tuple[dt.datetime, dt.datetime]:
-    """First instant of the first day and last second of the last day (one aggregate)."""
-    row = events.agg(F.min(F.to_date(ts)).alias("d0"), F.max(F.to_date(ts)).alias("d1")).first()
-    start = dt.datetime.combine(row.d0, dt.time(0, 0, 0))
-    end = dt.datetime.combine(row.d1, dt.time(23, 59, 59))
-    return start, end
+def period_bounds(events: DataFrame, ts: str = "ts") -> tuple[F.Column, F.Column]:
+    """First instant of the first day and last second of the last day, as scalar subqueries: one aggregate
+    of the events inside the query that uses them, nothing read while it is built.  Null for no
+    events.  For batch frames; a stream gets its period as literals."""
+    first = events.select(F.min(F.to_date(ts)).cast("timestamp_ntz").alias("t0")).scalar()
+    last = events.select((F.max(F.to_date(ts)).cast("timestamp_ntz") + F.expr("INTERVAL 86399 SECONDS"))
+                         .alias("t1")).scalar()
+    return first, last
 
 
-def choose_partition(ts: F.Column, start: dt.datetime, end: dt.datetime) -> F.Column:
+def _instant(bound: dt.datetime | F.Column) -> F.Column:
+    if isinstance(bound, dt.datetime):
+        return F.lit(bound.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return bound
+
+
+def choose_partition(ts: F.Column, start: dt.datetime | F.Column, end: dt.datetime | F.Column) -> F.Column:
     """1 when ``ts`` is strictly after start + (end - start) / 2, else 0 (exact, in µs)."""
-    lo = _micros(F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
-    hi = _micros(F.lit(end.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
+    lo, hi = _micros(_instant(start)), _micros(_instant(end))
     return F.when(_micros(ts) * 2 > lo + hi, F.lit(1)).otherwise(F.lit(0))
 
 
-def sales_messages(sales: DataFrame, start: dt.datetime, end: dt.datetime,
+def sales_messages(sales: DataFrame, start: dt.datetime | F.Column, end: dt.datetime | F.Column,
                    product: str = "product", ts: str = "ts") -> DataFrame:
     """(value, partition) messages for sales rows with a product and an instant."""
     value = encode_json(F.col(product).alias("product"),
@@ -105,7 +112,8 @@ def sales_source(spark: SparkSession, fmt: str = "json", path: str | None = None
     return reader.schema(MESSAGE_SCHEMA).load(path)
 
 
-def _write_batch(root: str):
+def write_batch(root: str):
+    """The sink's ``foreachBatch`` function: a replayed batch replaces what it wrote before."""
     def write(batch: DataFrame, batch_id: int) -> None:
         decoded = _decoded(batch)
         ok = F.col("__ok")
@@ -126,22 +134,29 @@ def _write_batch(root: str):
     return write
 
 
+SINK_SCHEMA = ("id decimal(38,0), product string, date date, created_at date, partition int, value string, "
+               "kind string, batch_id bigint")
+
+
+def _sink_rows(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    return spark.read.schema(SINK_SCHEMA).parquet(root).where(F.col("kind") == kind)
+
+
 def read_sink(spark: SparkSession, root: str) -> DataFrame:
     """The sink table: id, product, date, created_at, partition, batch_id."""
-    return (spark.read.parquet(f"{root}/kind=good")
-            .select("id", "product", "date", "created_at", "partition", "batch_id"))
+    return _sink_rows(spark, root, "good").select("id", "product", "date", "created_at", "partition", "batch_id")
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    """Raw values that did not decode, with their partition and batch."""
-    return spark.read.parquet(f"{root}/kind=rejected").select("value", "partition", "batch_id")
+    """Raw values that did not decode, with their partition and batch (none on a clean stream)."""
+    return _sink_rows(spark, root, "rejected").select("value", "partition", "batch_id")
 
 
 def run_sales_sink(stream: DataFrame, sink_root: str, checkpoint: str,
                    available_now: bool = True, processing_time: str | None = None):
     """Start the sink query; with ``available_now`` it drains the source and returns.
     Read the results with ``read_sink`` / ``read_rejects``."""
-    writer = (stream.writeStream.foreachBatch(_write_batch(sink_root))
+    writer = (stream.writeStream.foreachBatch(write_batch(sink_root))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

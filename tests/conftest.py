@@ -26,6 +26,6 @@ def duck():
     import duckdb
     con = duckdb.connect()
     for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-              "events"]:
+              "events", "documents", "embeddings", "labels"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con

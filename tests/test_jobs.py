@@ -7,7 +7,7 @@ from sluice.plans import charts as ch
 from sluice.plans import registry
 from sluice.plans import relations as rel
 from sluice.plans import trips as tr
-from sluice.sinks.files import export_csv, write_partitioned
+from sluice.sinks.files import export_csv
 from sluice.sources.files import read_csv
 
 SF = "/root/testdata/sf0.001"
@@ -34,14 +34,12 @@ def test_charts_job_writes_six_reports(spark, tmp_path):
 
 
 def test_trips_job(spark, tmp_path):
-    src = str(tmp_path / "csv")
-    trips = rel.trips(spark, SF).withColumn("m", F.date_format("pickup_ts", "yyyy-MM"))
-    write_partitioned(trips, src, ["m"], fmt="csv")
+    src = registry._monthly_files(spark, SF)
     zones_csv = str(tmp_path / "zones")
     rel.zones(spark, SF).write.option("header", True).option("sep", ";").csv(zones_csv)
     schema = StructType.fromDDL(registry.TRIP_CSV_SCHEMA)
     out = str(tmp_path / "out")
-    tr.run_job(spark, src, zones_csv, out, schema)
+    tr.run_job(spark, src, zones_csv, out, schema, pattern="yellow_tripdata_*.csv", stat_files=20)
     stats = spark.read.parquet(f"{out}/pickup_stats")
     assert stats.count() == registry.daily_pickup_stats(spark, SF).count()
     assert len(stats.inputFiles()) <= 20

@@ -84,45 +84,3 @@ def test_repeat_number_ones_window_matches_numbering(spark, rows):
         for rank, (a, _, _) in enumerate(sorted(lst), start=1):
             max_rank[(nm, a)] = max(max_rank.get((nm, a), 0), rank)
     assert got == sorted(k for k, r in max_rank.items() if r > 1)
-
-
-ops = st.lists(st.one_of(
-    st.tuples(st.just("append"), st.lists(st.integers(0, 4), min_size=1, max_size=4)),
-    st.tuples(st.just("delete"), st.integers(0, 4)),
-    st.tuples(st.just("rollback"), st.integers(0, 5)),
-    st.tuples(st.just("compact"), st.just(0))), min_size=1, max_size=6)
-
-
-@settings(max_examples=6, deadline=None)
-@given(seq=ops)
-def test_versioned_table_matches_model(spark, seq):
-    from sluice.session import scratch_path
-    from sluice.tables.versioned import VersionedTable
-    table = VersionedTable.create(spark, scratch_path(spark, "prop"), spark.createDataFrame([], "v int").schema)
-    states = {None: []}       # snapshot -> multiset of values (as sorted list)
-    chain = [None]            # main's ancestry, newest last
-    for op, arg in seq:
-        head = chain[-1]
-        if op == "append":
-            sid = table.append(spark.createDataFrame([(v,) for v in arg], "v int"))
-            states[sid] = sorted(states[head] + arg)
-        elif op == "delete":
-            sid = table.delete(F.col("v") == arg)
-            states[sid] = [v for v in states[head] if v != arg]
-        elif op == "compact":
-            if head is None:
-                continue
-            sid = table.compact()
-            states[sid] = states[head]
-        else:
-            ancestors = [s for s in chain if s is not None]
-            if not ancestors:
-                continue
-            target = ancestors[arg % len(ancestors)]
-            table.rollback(target)
-            chain = chain[: chain.index(target) + 1]
-            continue
-        chain.append(sid)
-        assert sorted(r.v for r in table.as_of().collect()) == states[sid]
-    for sid in [s for s in chain if s is not None]:
-        assert sorted(r.v for r in table.as_of(sid).collect()) == states[sid]

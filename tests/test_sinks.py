@@ -35,3 +35,22 @@ def test_reports_round_trip_by_folder_name(spark, tmp_path):
     write_reports({"a": spark.range(3), "b": spark.range(2)}, out)
     back = read_reports(spark, out)
     assert {k: v.count() for k, v in back.items()} == {"a": 3, "b": 2}
+
+
+def test_replace_table_keeps_a_copy_until_the_swap(spark):
+    from sluice.sinks import catalog
+    name = catalog.reset_table(spark, "swap_me", "sluice_test")
+    catalog.create_table(spark.range(10).toDF("x"), name)
+    catalog.append_table(spark.range(5).toDF("x"), name)
+    catalog.replace_table(spark, name, lambda df: df.where("x < 3"))
+    assert spark.table(name).count() == 6
+    assert [t.name for t in spark.catalog.listTables("sluice_test")] == ["swap_me"]
+    catalog.reset_table(spark, name)
+
+
+def test_monthly_files_carry_the_month_in_their_name(spark, tmp_path):
+    from sluice.sinks.files import write_monthly_files
+    df = spark.createDataFrame([(1, 2020, 1), (2, 2020, 1), (3, 2021, 12)], "x int, y int, m int")
+    write_monthly_files(df, str(tmp_path / "out"), "yellow", "y", "m")
+    names = {f[:14] for f in os.listdir(tmp_path / "out") if f.endswith(".csv")}
+    assert names == {"yellow_2020-01", "yellow_2021-12"}

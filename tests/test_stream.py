@@ -47,6 +47,23 @@ def test_sink_rerun_adds_nothing_and_equals_batch(spark, tmp_path):
     assert out.filter(F.col("created_at") != F.current_date()).count() == 0
 
 
+def test_clean_stream_has_no_rejects(spark, tmp_path):
+    events = spark.createDataFrame([("a", dt.datetime(2024, 2, 1))], "product string, ts timestamp_ntz")
+    topic, sink = str(tmp_path / "topic"), str(tmp_path / "sink")
+    st.sales_messages(events, START, END).write.json(topic)
+    st.run_sales_sink(st.sales_source(spark, "json", topic), sink, str(tmp_path / "ck"))
+    assert st.read_rejects(spark, sink).collect() == [] and st.read_sink(spark, sink).count() == 1
+
+
+def test_period_is_part_of_the_query(spark):
+    events = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, 5)), ("b", dt.datetime(2024, 1, 2, 7))],
+                                   "product string, ts timestamp_ntz")
+    got = {r.value[12]: r.partition for r in st.sales_messages(events, *st.period_bounds(events)).collect()}
+    assert got == {"a": 0, "b": 1}
+    none = events.where("product = 'x'")
+    assert st.sales_messages(none, *st.period_bounds(none)).collect() == []
+
+
 def test_publish_messages_to_files_by_partition(spark, tmp_path):
     events = spark.createDataFrame([("a", dt.datetime(2024, 2, 1)), ("b", dt.datetime(2024, 11, 1))],
                                    "product string, ts timestamp_ntz")

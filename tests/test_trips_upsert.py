@@ -11,11 +11,11 @@ from sluice.sinks.files import append_csv
 
 TRIP_SCHEMA = ("pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, passenger_count int, "
                "trip_distance double, tip_amount double, pu_location bigint, "
-               "do_location bigint")
+               "do_location bigint, file_year int, file_month int")
 
 
-def _trip(spark, rows):
-    return spark.createDataFrame(rows, TRIP_SCHEMA)
+def _trip(spark, rows, month=(2020, 1)):
+    return spark.createDataFrame([(*r, *month) for r in rows], TRIP_SCHEMA)
 
 
 def test_trip_seconds(spark):
@@ -44,37 +44,86 @@ def test_permissive_read_nulls_bad_fields(spark, tmp_path):
     assert rows[1].fare_amount == 8 and rows[1]._corrupt_record is None
 
 
-# The daily job's CSV as checked into the reference (id, name, date), in file order.
-W5_ROWS = """28,Joseph,2024-11-22
-68,Patricia,2024-11-22
-38,Sarah,2024-11-22
-45,Patricia,2024-11-22
-96,Elizabeth,2024-11-22
-22,Susan,2024-11-22
-33,James,2024-11-22
-66,Elizabeth,2024-11-22
+def test_file_month_decides_not_the_row(spark, tmp_path):
+    """A file of January 2020 with rows of 2008 and of February: both go, whatever their own month."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "yellow_tripdata_2020-01.csv").write_text(
+        "pickup_ts,dropoff_ts,passenger_count,trip_distance,tip_amount,pu_location,do_location\n"
+        "2008-12-31 23:00:00,2008-12-31 23:10:00,1,1.0,0.0,1,2\n"
+        "2020-02-15 10:00:00,2020-02-15 10:05:00,1,1.0,0.0,1,2\n"
+        "2020-01-15 10:00:00,2020-01-15 10:10:00,1,1.0,0.0,1,2\n"
+        "2020-01-15 10:00:00,2020-01-15 10:30:00,1,2.0,0.5,1,2\n")
+    (tmp_path / "zones.csv").write_text("location_id;borough;zone\n1;B;Z\n")
+    schema = StructType.fromDDL(TRIP_SCHEMA.split(", file_year")[0])
+    out = str(tmp_path / "out")
+    tr.run_job(spark, str(tmp_path / "in"), str(tmp_path / "zones.csv"), out, schema, stat_files=3, rows_per_file=10)
+    back = spark.read.parquet(f"{out}/trips")
+    assert {(r.year, r.month) for r in back.collect()} == {(2020, 1)}
+    assert [r.trip_duration_sec for r in back.collect()] == [1800, 600]  # longest first within the file
+    from sluice.sources.files import read_monthly, with_file_month
+    raw = with_file_month(read_monthly(spark, str(tmp_path / "in"), "*.csv", schema=schema))
+    assert sorted(r.broken_bound for r in tr.outliers(raw).collect()) == ["end", "start"]
+    assert [r.in_bounds for r in tr.time_bounds(raw).collect()] == [False]
+    assert [r.in_bounds for r in tr.time_bounds(tr.within_month(raw)).collect()] == [True]
+
+
+def test_means_are_plain_averages(spark):
+    at = dt.datetime(2020, 1, 5, 10)
+    nan = float("nan")
+    df = _trip(spark, [(at, at, 1, 0.004, None, 1, 2), (at, at, 1, 0.004, 2.0, 1, 2), (at, at, 1, nan, 1.0, 9, 2)])
+    got = {r.pu_location: (r.avg_trip_distance, r.avg_tip_amount) for r in tr.daily_stats(df).collect()}
+    assert got[1] == (0.004, 2.0) and got[9][0] != got[9][0]
+
+
+# (id, name, date) in file order; several dates, the last row of each wins.
+DAILY_ROWS = """31,Ada,2025-03-01
+57,Ben,2025-03-02
+12,Cleo,2025-03-01
+88,Dan,2025-03-03
+40,Eve,2025-03-02
 """
 
 
 def test_upsert_last_row_in_file_wins(spark, tmp_path):
-    p = tmp_path / "temp_data.csv"
-    p.write_text(W5_ROWS)
+    p = tmp_path / "daily.csv"
+    p.write_text(DAILY_ROWS)
     schema = StructType.fromDDL("id decimal(3,0), name string, date date")
     batch = with_file_order(read_csv(spark, str(p), schema=schema, header=False))
     target = spark.createDataFrame([], "id decimal(3,0), name string, date date")
     out = upsert(target, batch, ["date"], "file_seq").collect()
-    assert [(int(r.id), r.name, r.date) for r in out] == [(66, "Elizabeth", dt.date(2024, 11, 22))]
+    assert sorted((r.date.day, int(r.id), r.name) for r in out) == [(1, 12, "Cleo"), (2, 40, "Eve"), (3, 88, "Dan")]
     # applied twice = once
     again = upsert(spark.createDataFrame(out, target.schema), batch, ["date"], "file_seq")
-    assert [tuple(r) for r in again.collect()] == [tuple(r) for r in out]
+    assert sorted(again.collect()) == sorted(out)
+
+
+def test_later_append_wins_whatever_the_file_names(spark, tmp_path):
+    for trial in range(4):
+        out = str(tmp_path / f"daily{trial}")
+        for load in range(3):
+            append_csv(spark.createDataFrame([(1, f"load {load}")], "id int, name string"), out, load=load)
+        back = read_csv(spark, out, header=False, schema=StructType.fromDDL(
+            "id int, name string, load_date date, load_seq bigint"))
+        batch = with_file_order(back, load_col="load_seq")
+        target = spark.createDataFrame([(1, "old")], "id int, name string")
+        assert [r.name for r in upsert(target, batch, ["id"], "file_seq").collect()] == ["load 2"]
+
+
+def test_upsert_refuses_null_sequences(spark):
+    import pytest
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch = spark.createDataFrame([(1, "b", None), (2, "c", None)], "k int, v string, s int")
+    with pytest.raises(Exception, match="null sequence"):
+        upsert(target, batch, ["k"], "s").collect()
 
 
 def test_upsert_refuses_duplicate_target_keys(spark):
     import pytest
     target = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     batch = spark.createDataFrame([(1, "c", 1)], "k int, v string, s int")
-    with pytest.raises(ValueError):
-        upsert(target, batch, ["k"], "s")
+    with pytest.raises(Exception, match="duplicate keys"):
+        upsert(target, batch, ["k"], "s").collect()
+    assert upsert(target, batch, ["k"], "s", check_target=False).count() == 1
 
 
 def test_upsert_keeps_untouched_and_inserts_new(spark):
