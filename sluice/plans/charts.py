@@ -82,7 +82,8 @@ def genres_by_country(data: DataFrame, legacy: bool = False) -> DataFrame:
 
 def top_songs_by_country(data: DataFrame) -> DataFrame:
     """country_name, name of the best-placed song per country (ties: latest date, then
-    track id, then name)."""
+    track id, then name).  One scan: a partial group limit before the shuffle (a best position found first
+    by hash aggregate would need the joined rows twice)."""
     best = top_n_per_group(
         data.select("country_name", "position", "date", "track_id", "name"),
         ["country_name"],
@@ -125,8 +126,6 @@ def repeat_number_ones(data: DataFrame, form: str = "window") -> DataFrame:
         kept = pairs.filter(F.col("n") > 1)
     elif form == "window":
         # nulls sort first in the numbering, so the first value is min over (not null, v)
-        # from the (name, artists) aggregate, not the raw rows: the chart scan runs once
-        # and its shuffle output feeds both sides of the join (exchange reuse)
         first = (pairs.groupBy("name")
                  .agg(F.min(F.struct(F.col("artists").isNotNull().alias("nn"),
                                      F.col("artists").alias("v"))).alias("first")))
@@ -152,7 +151,7 @@ def multi_country_number_ones(data: DataFrame, distinct: bool = False) -> DataFr
 
 
 def all_reports(data: DataFrame) -> dict[str, DataFrame]:
-    """The six report tables, keyed by their table names."""
+    """The six report tables, keyed by their table names (fixed values: the original job's names)."""
     return {
         "total_and_max_streams_by_country": totals_by_country(data),
         "top_genres_by_country": genres_by_country(data),
