@@ -7,8 +7,8 @@ within its recorded covering radius (the true largest distance, not the nominal
 
 The tree is built in three steps.  Level 1 under the root is fitted on a bounded sample: a greedy net of
 at most ``pivots`` vectors.  All vectors go to their nearest pivot, and each pivot's vectors are cut
-into blocks of at most ``block_rows`` in order of their distance to it (a hot pivot becomes many blocks, and near copies
-stay together).  Each block grows its lower levels in one task.  The traversal starts at pairs of pivots
+into blocks of about ``block_rows`` by their distance to it (cuts from a histogram of distances; a hot pivot becomes
+many blocks, and near copies mostly stay together).  Each block grows its lower levels in one task.  The traversal starts at pairs of pivots
 and of blocks, pruned by their covering radii in Spark joins; every pair of blocks that is left is a
 row, whose two subtrees are traversed together in one task: node pairs further apart than the
 threshold and both covering radii are dropped, the others expand to their children, down to single
@@ -161,34 +161,46 @@ def dual_traversal(a: Subtree, b: Subtree, tau: float) -> tuple[np.ndarray, np.n
     return rows_a[first], rows_b[second]
 
 
-def _blocks_of(batches: Iterator[pa.RecordBatch], block_rows: int, tau: float) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (pivot, distance to it) -> one row per block of a pivot, with its subtree."""
-    held: list[tuple] = []
-
-    def block() -> pa.RecordBatch:
-        raw = np.stack([np.frombuffer(r[4], dtype="<f8") for r in held])
-        tree = Subtree(raw, tau)
-        x = tree.x
-        centre = x.mean(axis=0)
-        norm = np.sqrt((centre * centre).sum())
-        centre = centre / norm if norm > 1e-9 else x[0]
-        radius = float(_distances(x, centre[None, :]).max())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([held[0][0]], pa.int32()), pa.array([held[0][2]], pa.int64()),
-             pa.array([centre.astype("<f8").tobytes()], pa.binary()), pa.array([radius]),
-             pa.array([[r[2] for r in held]], pa.list_(pa.int64())),
-             pa.array([[r[3] for r in held]], pa.list_(pa.int64())),
-             pa.array([tree.dump(raw)], pa.binary())],
-            names=["pivot", "block", "centre", "radius", "ids", "copies", "tree"])
+_BINS = 1000  # of the distance to the pivot, 0 to 2
 
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if held and (len(held) >= block_rows or row[0] != held[0][0]):
-                yield block()
-                held = []
-            held.append(row)
-    if held:
-        yield block()
+
+def _cut_blocks(sizes: dict[tuple[int, int], int], pivots: int, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, number of blocks) by pivot and bin of the distance to it: neighbouring bins share a block of
+    about ``block_rows`` rows; a bin with more rows than that gets several."""
+    first = np.zeros((pivots, _BINS + 1), dtype=np.int64)
+    parts = np.ones((pivots, _BINS + 1), dtype=np.int64)
+    block = -1
+    for p in range(pivots):
+        held = block_rows  # every pivot starts a block
+        for b in range(_BINS + 1):
+            n = sizes.get((p, b), 0)
+            if not n:
+                continue
+            if held + n > block_rows:
+                block, held = block + 1, 0
+            first[p, b], parts[p, b] = block, max(1, -(-n // block_rows))
+            held += n
+            if parts[p, b] > 1:
+                block, held = block + parts[p, b] - 1, block_rows
+    return first, parts
+
+
+def _grow_block(key: tuple, batches: Iterator[pa.RecordBatch], tau: float) -> Iterator[pa.RecordBatch]:
+    """The rows of one block -> one row with its subtree, centre and covering radius."""
+    rows = pa.Table.from_batches(list(batches)).sort_by("id")
+    raw = np.stack([np.frombuffer(x.as_buffer(), dtype="<f8") for x in rows.column("x")])
+    tree = Subtree(raw, tau)
+    centre = tree.x.mean(axis=0)
+    norm = np.sqrt((centre * centre).sum())
+    centre = centre / norm if norm > 1e-9 else tree.x[0]
+    radius = float(_distances(tree.x, centre[None, :]).max())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([rows.column("pivot")[0].as_py()], pa.int32()), pa.array([key[0].as_py()], pa.int64()),
+         pa.array([centre.astype("<f8").tobytes()], pa.binary()), pa.array([radius]),
+         pa.array([rows.column("id").to_pylist()], pa.list_(pa.int64())),
+         pa.array([rows.column("copies").to_pylist()], pa.list_(pa.int64())),
+         pa.array([tree.dump(raw)], pa.binary())],
+        names=["pivot", "block", "centre", "radius", "ids", "copies", "tree"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch], cosine: float, tau: float) -> Iterator[pa.RecordBatch]:
@@ -266,18 +278,31 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, pivots: int = 16, sam
                  pa.array([r.tobytes() for r in raw.astype("<f8")], pa.binary())],
                 names=["pivot", "d", "id", "copies", "x"])
 
-    def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _blocks_of(batches, block_rows, tau)
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _compare(batches, cosine, tau)
 
-    placed = one.select("id", "copies", "v").mapInArrow(
+    placed = stage(one.select("id", "copies", "v").mapInArrow(
         assign, "pivot int, d double, id long, copies long, x binary")
-    # range partitions by (pivot, distance): a hot pivot spreads over tasks, near copies stay together
-    blocks = stage(placed.repartitionByRange("pivot", "d", "id").sortWithinPartitions("pivot", "d", "id")
-                   .mapInArrow(blocks_of, "pivot int, block long, centre binary, radius double, "
-                                          "ids array<long>, copies array<long>, tree binary"), "blocks")
+        .withColumn("bin", F.least(F.lit(_BINS), F.floor(F.col("d") * (_BINS / 2))).cast("int")), "placed")
+    sizes = {(r["pivot"], r["bin"]): r["count"] for r in placed.groupBy("pivot", "bin").count().collect()}  # bounded
+    first, parts = _cut_blocks(sizes, max(1, len(net)), block_rows)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pivot, at, ids = (batch.column(i).to_numpy() for i in range(3))
+            spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(first[pivot, at] + spread % parts[pivot, at]), *(batch.column(i) for i in (0, 2, 3, 4))],
+                names=["block", "pivot", "id", "copies", "x"])
+
+    def grow(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _grow_block(key, batches, tau)
+
+    # a block holds about block_rows rows whatever the pivot holds, and however many partitions there are
+    blocks = stage(placed.select("pivot", "bin", "id", "copies", "x")
+                   .mapInArrow(number, "block long, pivot int, id long, copies long, x binary")
+                   .groupBy("block").applyInArrow(grow, "pivot int, block long, centre binary, radius double, "
+                                                        "ids array<long>, copies array<long>, tree binary"), "blocks")
     pairs = _block_pairs(blocks, tau)
     payload = blocks.select("block", "ids", "copies", "tree")
     left = payload.select(*[F.col(c).alias(f"a_{c}") for c in payload.columns])
