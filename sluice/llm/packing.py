@@ -112,7 +112,7 @@ _RANK_BITS = 44
 
 
 def pack(items: DataFrame, size: str, capacity: int) -> DataFrame:
-    """Adds ``sequence_id`` (bigint, from 0) and ``offset`` (int) to ``items``: places of best fit
+    """Adds ``sequence_id`` (bigint, from 0) and ``offset`` (bigint) to ``items``: places of best fit
     decreasing in sequences of ``capacity``.  ``size`` must be 1..capacity in every row.
     Ties in size are packed in the staged row order.  An empty table gives an empty result."""
     part, row = "_pack_part", "_pack_row"
@@ -134,7 +134,7 @@ def pack(items: DataFrame, size: str, capacity: int) -> DataFrame:
             step = ranks - run[:, 1]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(run[:, 3] + step // run[:, 4]),
-                 pa.array((run[:, 5] + step % run[:, 4] * sizes).astype(np.int32))],
+                 pa.array(run[:, 5] + step % run[:, 4] * sizes)],
                 names=[row, "sequence_id", "offset"])
 
     before = Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -143,7 +143,7 @@ def pack(items: DataFrame, size: str, capacity: int) -> DataFrame:
     ranked = items.select(F.col(size).cast("long").alias("size"), F.col(part).alias("part"), row) \
         .withColumn("rn", F.row_number().over(within) - 1).join(starts, ["size", "part"])
     placed = ranked.select(row, "size", (F.col("start") + F.col("rn")).cast("long").alias("rank")) \
-        .mapInArrow(place, f"{row} long, sequence_id long, offset int")
+        .mapInArrow(place, f"{row} long, sequence_id long, offset long")
     return items.join(placed, row).drop(part, row)
 
 

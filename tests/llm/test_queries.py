@@ -18,3 +18,28 @@ def test_oracle(spark, name):
     got = queries.QUERIES[name](spark, SF)
     assert got.columns == columns
     assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
+
+
+CONTRACT = {
+    "op1": "doc_id bigint, fingerprint string, component_id bigint",
+    "op2": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
+    "op3": "query_id bigint, rank int, vec_id bigint, score bigint",
+    "op6": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op7": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op8": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op9": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op10": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+}
+
+
+@pytest.mark.parametrize("op", sorted(CONTRACT))
+def test_contract_columns(spark, op):
+    name = next(q for q in queries.QUERIES if q.startswith(op + "_"))
+    df = queries.QUERIES[name](spark, SF)
+    kinds = dict(df.dtypes)
+    assert CONTRACT[op].split(", ") == [f"{c} {kinds[c]}" for c in (x.split()[0] for x in CONTRACT[op].split(", "))]
+    key = df.columns[0]
+    table = "embeddings" if op in ("op2", "op3") else "documents"
+    rows = spark.read.parquet(f"{SF}/{table}.parquet")
+    if op not in ("op3", "op10"):
+        assert sorted(r[0] for r in df.select(key).collect()) == sorted(r[0] for r in rows.select(rows.columns[0]).collect())
