@@ -84,15 +84,15 @@ def features(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.nd
     return feats[order], np.concatenate([[0], np.cumsum(counts)])
 
 
-def _count_models(docs: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Feature counts (raw, target) of ``(text, good)``: dense slices summed by Spark, then
-    ``buckets`` numbers each to the driver."""
+def _count_models(docs: DataFrame, good_ids: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Feature counts (raw, target) of ``(_id, text)``: dense slices summed by Spark, then
+    ``buckets`` numbers each to the driver.  The target model counts the rows whose id is among ``good_ids``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, buckets), dtype=np.int64)
         for whole in batches:
-            for batch in slices(whole, 0):
-                feats, offsets = features(batch.column(0), buckets)
-                good = pc.fill_null(batch.column(1), False).to_numpy(zero_copy_only=False)
+            for batch in slices(whole, 1):
+                feats, offsets = features(batch.column(1), buckets)
+                good = pc.is_in(batch.column(0), pa.array(good_ids)).to_numpy(zero_copy_only=False)
                 sums[0] += np.bincount(feats, minlength=buckets)
                 sums[1] += np.bincount(feats[np.repeat(good, np.diff(offsets))], minlength=buckets)
         cuts = [(m, c) for m in range(2) for c in range(0, buckets, _CUT) if sums[m, c:c + _CUT].any()]
@@ -164,50 +164,56 @@ def kth_largest(df: DataFrame, key: str, k: int) -> float | None:
 
 
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, slack: float = 0.02,
-             sharpness: float = 100.0, smoothing: float = 1.0, buckets: int = BUCKETS) -> DataFrame:
+             sharpness: float = 100.0, smoothing: float = 1.0, buckets: int = BUCKETS,
+             label_rows: int = 50_000) -> DataFrame:
     """Score and sample ``documents``-like rows by importance resampling.
 
-    ``labels``: ``doc_id, quality`` (1 good, 0 not; null: unlabelled).  Adds to all columns of ``docs`` ``log_ratio``
-    (mean log target/raw ratio per n-gram), ``gumbel_key`` and ``sampled``.  Rows without any n-gram (null, empty and blank
-    texts) have a null ratio and are not sampled.  Without labels every text is sampled.  Repeated
-    rows are scored alike; columns of ``docs`` with these names are replaced."""
+    ``labels``: ``doc_id, quality`` (1 good, 0 not; null: unlabelled).  The target model is fitted on at most
+    ``label_rows`` good ids (a uniform choice by hash); the raw model and the sample cover all rows.  Adds to all
+    columns of ``docs`` ``log_ratio`` (mean log target/raw ratio per n-gram), ``gumbel_key`` and ``sampled``.  Rows
+    without any n-gram (null, empty and blank texts) have a null ratio and are not sampled.  Without
+    labels every text is sampled.  Repeated rows are scored alike; columns of ``docs`` with these names are
+    replaced.  Scores are computed twice (for the k-th key, then for the result), so that no text is
+    shuffled or staged."""
     mine = ("log_ratio", "gumbel_key", "sampled")
     docs = docs.select(*[c for c in docs.columns if c.lower() not in mine])
     marks = labels.where("quality is not null and doc_id is not null").groupBy(
-        F.col("doc_id").cast("long").alias("_id")).agg((F.max("quality") > 0).alias("_good"))
+        F.col("doc_id").cast("long").alias("id")).agg((F.max("quality") > 0).alias("good"))
+    marks = stage(marks, "quality-labels")
+    chosen = marks.where("good").orderBy(F.xxhash64("id"), "id").limit(label_rows).toArrow()  # bounded
+    good_ids = chosen.column("id").to_numpy()
     text = F.col("text").cast("string").alias("text")
-    marked = docs.select(F.col("doc_id").cast("long").alias("_id"), text).join(marks, "_id", "left")
-    raw, target = _count_models(marked.select("text", "_good"), buckets)
+    raw, target = _count_models(docs.select(F.col("doc_id").cast("long").alias("id"), text), good_ids, buckets)
     table = log_ratios(raw, target, smoothing) if target.sum() else np.zeros(buckets)
     shared = docs.sparkSession.sparkContext.broadcast(table.astype(np.float32))  # one float a bucket
-    names = docs.columns
-    at, id_at = (next(i for i, c in enumerate(names) if c.lower() == x) for x in ("text", "doc_id"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, at):
-                feats, offsets = features(batch.column(at), buckets)
-                n = np.diff(offsets)
-                ratio = segment_sums(shared.value[feats].astype(np.float64), offsets) / np.maximum(n, 1)
-                ids = pc.fill_null(batch.column(id_at).cast(pa.int64()), -1).to_numpy(zero_copy_only=False)
-                sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-                u = (_mix(_mix(ids.astype(np.uint64)) + sizes.astype(np.uint64)) >> np.uint64(11)).astype(float)
-                noise = -np.log(-np.log((u + 0.5) / 2.0**53))
-                key = sharpness * ratio + noise
-                empty = n == 0
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(ratio, mask=empty), pa.array(key, mask=empty)],
-                    names=[*names, "log_ratio", "gumbel_key"])
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("log_ratio", T.DoubleType()),
-                           T.StructField("gumbel_key", T.DoubleType())])
-    scored = stage(docs.mapInArrow(run, schema), "quality-scores", compression="zstd")
-    n_rows, n_texts = scored.agg(F.count("*"), F.count("gumbel_key")).first()
+    def scored(rows: DataFrame) -> DataFrame:
+        names = rows.columns
+        at, id_at = (next(i for i, c in enumerate(names) if c.lower() == x) for x in ("text", "doc_id"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in slices(whole, at):
+                    feats, offsets = features(batch.column(at), buckets)
+                    n = np.diff(offsets)
+                    ratio = segment_sums(shared.value[feats].astype(np.float64), offsets) / np.maximum(n, 1)
+                    ids = pc.fill_null(batch.column(id_at).cast(pa.int64()), -1).to_numpy(zero_copy_only=False)
+                    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+                    bits = _mix(_mix(ids.astype(np.uint64)) + sizes.astype(np.uint64)) >> np.uint64(11)
+                    noise = -np.log(-np.log((bits.astype(float) + 0.5) / 2.0**53))
+                    empty = n == 0
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.columns, pa.array(ratio, mask=empty), pa.array(sharpness * ratio + noise, mask=empty)],
+                        names=[*names, "log_ratio", "gumbel_key"])
+
+        return rows.mapInArrow(run, T.StructType([
+            *rows.schema.fields, T.StructField("log_ratio", T.DoubleType()), T.StructField("gumbel_key", T.DoubleType())]))
+
+    keys = stage(scored(docs.select("doc_id", "text")).select("gumbel_key"), "quality-keys")
     if share is None:
-        good, all_ = marks.agg(F.sum(F.col("_good").cast("long")), F.count("*")).first()
+        good, all_ = marks.agg(F.sum(F.col("good").cast("long")), F.count("*")).first()
         share = min(1.0, (good or 0) / all_ + slack) if all_ and good else 1.0
-    k = int(np.ceil(share * n_texts))
-    floor = kth_largest(scored, "gumbel_key", k)
+    floor = kth_largest(keys, "gumbel_key", int(np.ceil(share * keys.where("gumbel_key is not null").count())))
     if floor is None:
-        return scored.withColumn("sampled", F.lit(False))
-    return scored.withColumn("sampled", F.coalesce(F.col("gumbel_key") >= floor, F.lit(False)))
+        return scored(docs).withColumn("sampled", F.lit(False))
+    return scored(docs).withColumn("sampled", F.coalesce(F.col("gumbel_key") >= floor, F.lit(False)))

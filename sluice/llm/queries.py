@@ -44,7 +44,8 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance ratio and Gumbel top-k choice of every document."""
-    chosen = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    chosen = resample(docs, _table(spark, sf_dir, "labels"))
     return chosen.select("doc_id", "log_ratio", "gumbel_key", "sampled")
 
 
