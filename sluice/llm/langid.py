@@ -177,7 +177,7 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        table = WordTable(known.word_score, limit=400_000)
+        table = WordTable(known.word_score, limit=200_000)
         names = pa.array([*known.langs, "und"], pa.string())
         for whole in batches:
             for batch in slices(whole, at):

@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.session import scratch_path
 
+ROW_GROUP_BYTES = 32 << 20  # what a writing task buffers: rows here can be wide (texts, ids)
+
 
 def stage(df: DataFrame, name: str, compression: str = "snappy",
           partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared scratch root and read it back."""
     path = scratch_path(df.sparkSession, name)
-    writer = df.write.option("compression", compression)
+    writer = df.write.option("compression", compression).option("parquet.block.size", ROW_GROUP_BYTES)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

@@ -12,11 +12,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batch: pa.RecordBatch, text_col: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows whose texts hold about ``limit`` bytes (one row at least)."""
+    """Cut a batch into runs of rows whose texts hold about ``limit`` bytes (one row at least); after the
+    last one Arrow's pool gives back what it keeps, as the next stage may run in the same worker."""
     sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(text_col)), 0)
                                  .to_numpy(zero_copy_only=False), dtype=np.int64))
     at = 0
@@ -25,6 +26,7 @@ def slices(batch: pa.RecordBatch, text_col: int, limit: int = SLICE_BYTES) -> It
         end = max(at + 1, int(np.searchsorted(sizes, before + limit, side="right")))
         yield batch.slice(at, end - at)
         at = end
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(column: pa.Array) -> pa.Array:

@@ -30,7 +30,7 @@ _SAFE = rf"^[ -~\t\n\r{_LETTERS}]*$"
 _PLAIN = rf"^[{_LETTERS}., \t\n\r]*$"  # words, stops, commas ...
 _DOUBLE = r"[.,][.,]"  # ... none adjacent: then each stands for itself
 _BETWEEN = rf"'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ \t\n\r0-9{_LETTERS}]+"  # all but letter runs
-_WORDS = 900_000  # words kept per worker process
+_WORDS = 150_000  # words kept per worker process
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -110,8 +110,11 @@ class WordBpe:
         out = np.empty(ends[-1], dtype="<u4")
         for rows, flat, offsets in parts:
             if len(flat):  # where each id of the part belongs
+                if len(rows) == len(texts):
+                    return flat, ends
                 shift = np.repeat(ends[rows] - offsets[:-1], np.diff(offsets))
-                out[np.arange(len(flat)) + shift] = flat
+                shift += np.arange(len(flat))
+                out[shift] = flat
         return out, ends
 
     def _encode_words(self, spaced: pa.Array) -> tuple[np.ndarray, np.ndarray]:
