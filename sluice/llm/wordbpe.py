@@ -1,7 +1,7 @@
 """Token ids of a ``tokenizers`` BPE file, a whole column of texts at a time.
 
-The library's full pipeline costs over a microsecond a character.  Texts whose lower case
-holds only ASCII and the Latin-1 letters (normal form and lower case are plain there) are cut
+The library's full pipeline costs over a microsecond a character.  Texts that hold only ASCII
+and the Latin-1 letters (normal form and lower case are plain there) are cut
 into words by the pre-tokenizer's own pattern with Arrow's string functions, and each distinct
 word goes to the library's BPE model once while a worker keeps it; any other text goes through
 the library's whole pipeline.  So does every text if the file's pipeline is not of the known
@@ -25,8 +25,9 @@ _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 
 _LETTERS = "a-zß-öø-ÿ"
-# texts whose lower case holds only these: their normal form is plain and \\s is \\t\\n\\r and blank
-_SAFE = rf"^[ -~\t\n\r{_LETTERS}]*$"
+# texts, before lower-casing, that hold only these: their normal form and lower case are plain and \\s is
+# \\t\\n\\r and blank (Arrow lowers U+0130 to a plain i, the library to two characters)
+_SAFE = rf"^[ -~\t\n\rÀ-ÖØ-Þ{_LETTERS}]*$"
 _PLAIN = rf"^[{_LETTERS}., \t\n\r]*$"  # words, stops, commas ...
 _DOUBLE = r"[.,][.,]"  # ... none adjacent: then each stands for itself
 _BETWEEN = rf"'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ \t\n\r0-9{_LETTERS}]+"  # all but letter runs
@@ -84,7 +85,7 @@ class WordBpe:
         """Ids of all texts after each other (uint32) and their offsets by text."""
         texts = texts_of(texts)
         low = pc.utf8_lower(texts)
-        easy = pc.match_substring_regex(low, _SAFE)
+        easy = pc.match_substring_regex(texts, _SAFE)
         for special in self.special:
             easy = pc.and_not(easy, pc.match_substring(texts, special))
         if not self.known:

@@ -34,6 +34,14 @@ def test_column_encoder_is_the_library(library):
     assert len(ids) == 0 and ends.tolist() == [0]
 
 
+def test_every_character_alone_is_the_library(library):
+    texts = ["İstanbul is here", "İ", "KELVIN \u212a", "\u212b", "ẞ", "Ÿ", "È É"]
+    texts += [f"ab{chr(c)}c {chr(c)}" for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    ids, ends = WordBpe.load(PATH).encode_column(pa.array(texts))
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [t for i, t in enumerate(texts) if ids[ends[i]:ends[i + 1]].tolist() != want[i]] == []
+
+
 def slow_best_fit(sizes, capacity):
     """Bins used by a plain pass over single pieces in descending size."""
     left = []
