@@ -4,8 +4,9 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from sluice.llm.quality import features, kth_largest, log_ratios, resample
+from sluice.llm.quality import BUCKETS, _count_models, clean_floor, features, kth_largest, log_ratios, resample
 
 SF = "/root/testdata/sf0.01"
 
@@ -75,3 +76,42 @@ def test_edge_cases(spark):
         [("1", True), ("1", True), ("2", False), ("3", False), ("4", True), ("None", True)]
     assert [r.sampled for r in resample(docs, labels.where("doc_id < 0")).where("doc_id = 4").collect()] == [True]
     assert resample(docs.where("doc_id > 9"), labels).collect() == []
+
+
+def test_models_count_a_text_once(spark):
+    rows = [(i, f"text {i % 40} of {i % 40 * 7}") for i in range(200)] + [(None, "text 3 of 21"), (7, None), (7, "")]
+    good = [0, 40, 41, 3]  # texts 0 (twice), 1 and 3
+    raw, target = _count_models(spark.createDataFrame(rows, "id long, text string").repartition(5), np.array(good), BUCKETS)
+    texts = sorted({t for _, t in rows if t})
+    assert raw.tolist() == np.bincount(features(pa.array(texts))[0], minlength=BUCKETS).tolist()
+    chosen = sorted({t for i, t in rows if i in good})
+    assert target.tolist() == np.bincount(features(pa.array(chosen))[0], minlength=BUCKETS).tolist()
+
+
+def test_clean_floor(spark):
+    def floor(good, bad):
+        rows = [(float(x), True) for x in good] + [(float(x), False) for x in bad]
+        return clean_floor(spark.createDataFrame(rows, "ratio double, good boolean"), 0.02)
+    assert -0.1 < floor([0.1, 0.2, 0.3], [-0.2, -0.1]) < 0.1 and floor([0.1], [0.5]) <= 0.1
+    assert floor([0.1], []) is None and floor([], [0.1]) is None
+    assert floor(np.arange(100) / 100, [0.5] * 50) <= 0.02  # no more than the slack goes
+
+
+def test_the_mix_of_rows_decides_not_that_of_labels(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    quality = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    for kind in (1, 0):
+        one = min(i for i, q in quality.items() if q == kind and len(texts[i]) > 100)
+        copies = spark.createDataFrame([(i, texts[one]) for i in range(10**6, 10**6 + 500)], docs.schema)
+        rows = resample(docs.unionAll(copies), labels.where(F.col("doc_id") != one)).collect()
+        kept = {r.doc_id for r in rows if r.sampled}
+        assert np.mean([i in kept for i in range(10**6, 10**6 + 500)]) == kind
+        assert np.mean([i in kept for i, q in quality.items() if q == 1]) >= 0.97
+        assert np.mean([i in kept for i, q in quality.items() if q == 0]) <= 0.35
+    good, bad = (sorted(i for i, q in quality.items() if q == kind) for kind in (1, 0))
+    even = labels.where(F.col("doc_id").isin(good[:len(bad)] + bad))  # half good
+    clean = docs.where(F.col("doc_id").isin(good + bad[:10]))
+    kept = {r.doc_id for r in resample(clean, even).where("sampled").collect()}
+    assert np.mean([i in kept for i in good]) >= 0.9
