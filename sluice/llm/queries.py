@@ -4,12 +4,13 @@ and derives its result columns from its operator's output."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import linechunks
+from sluice.llm import exactcopies, linechunks, merkle
 from sluice.llm.covertree import near_vectors
 from sluice.llm.langid import identify_language
 from sluice.llm.packing import pack_documents
+from sluice.llm.periodic import periodic_runs
 from sluice.llm.pieces import code_pieces
 from sluice.llm.quality import resample
 from sluice.llm.rans import read_token_files, write_token_files
@@ -91,6 +92,54 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies of every document; of equal texts the row with the largest doc_id stays."""
+    return exactcopies.exact_copies(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and inclusion proof of every document; where 7 divides the CRC-32 of the id, the proof is checked
+    against a leaf with one character more."""
+    docs = _table(spark, sf_dir, "documents")
+
+    def leaf(n_chars: Column) -> Column:
+        return merkle.leaf([F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")])
+    more = F.col("n_chars").cast("decimal(38,0)") + 1
+    leaves = docs.select("doc_id", "lang", leaf(F.col("n_chars")).alias("leaf"),
+                         F.when(_id_crc() % 7 == 0, leaf(more)).alias("changed_leaf"))
+    shown = merkle.merkle_manifest(leaves)
+    folded = merkle.fold(F.coalesce("changed_leaf", "leaf"), F.col("witness"))
+    shown = shown.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("witness")), 256).alias("proof_sha256"),
+                         folded.alias("folded_root"))
+    return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document; every tenth id's text goes on periodically from a place in it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(docs.withColumn("text", _repeated_part()))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                   r["period"].cast("string"), F.lit("\n")))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _id_crc() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def _repeated_part() -> Column:
+    """The text; where 10 divides the CRC-32 of the id, words from a place on repeat with a period, both from the CRC."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    n, g = F.size(words), F.floor(_id_crc() / 10)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (F.floor((n - a) / (3 + g % 8)) + 1).cast("int")
+    period = F.slice(words, a + 1, p)
+    rest = F.slice(F.flatten(F.array_repeat(period, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    repeated = F.array_join(F.concat(F.slice(words, F.lit(1), a), rest), " ")
+    return F.when((_id_crc() % 10 == 0) & (n > 0), repeated).otherwise(F.col("text"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -102,6 +151,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _FINE_VECTORS = """
@@ -139,4 +191,6 @@ SQL: dict[str, str] = {
     "op2_embedding_near_dedup": EMBEDDING_SQL,
     "op3_exact_top_k": TOP_K_SQL,
     "op5_line_dedup": linechunks.SQL,
+    "op11_exact_dedup": exactcopies.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }

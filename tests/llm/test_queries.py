@@ -29,6 +29,10 @@ CONTRACT = {
     "op8": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op9": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op10": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+    "op11": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
+    "op12": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    "op13": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, "
+            "runs_sha256 string, collapsed_sha256 string",
 }
 
 
