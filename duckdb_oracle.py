@@ -200,9 +200,9 @@ FROM clean_trips t LEFT JOIN zones z ON t.pu_location = z.location_id
 SELECT DISTINCT year(pickup_ts)::INTEGER AS year, month(pickup_ts)::INTEGER AS month FROM trips
 """,
     "missing_months": _with(TRIPS) + r"""
-SELECT DISTINCT file_year AS year, file_month AS month FROM trips
+SELECT year(dropoff_ts)::INTEGER AS year, month(dropoff_ts)::INTEGER AS month FROM trips
 EXCEPT
-SELECT year(pickup_ts)::INTEGER, month(pickup_ts)::INTEGER FROM trips WHERE day(pickup_ts) <= 2
+SELECT file_year, file_month FROM trips
 """,
     "file_months": _with(TRIPS) + "SELECT file_year, file_month, count(*) AS n_trips FROM trips GROUP BY ALL",
     "input_files": _with(TRIPS) + r"""
@@ -214,8 +214,10 @@ SELECT {TRIP_COLS}, year(pickup_ts)::INTEGER AS year, month(pickup_ts)::INTEGER
 """,
     "monthly_union": _with(TRIPS) + "SELECT file_year AS source_year, count(*) AS n_rows FROM trips GROUP BY ALL",
     "union_complete": _with(TRIPS) + r"""
-SELECT 1::INTEGER AS input, count(*) AS in_union, count(*) FILTER (passenger_count > 1) AS in_input
-FROM trips WHERE file_month > 6 HAVING count(*) <> count(*) FILTER (passenger_count > 1)
+SELECT (file_month > 6)::INTEGER AS input, count(*) AS in_union, count(*) AS in_input, 'all' AS kind FROM trips GROUP BY ALL
+UNION ALL
+SELECT (file_month > 6)::INTEGER, count(DISTINCT (passenger_count, file_year, file_month)), count(*), 'distinct'
+FROM trips GROUP BY ALL
 """,
     "catalog_tables": _with(TRIPS) + "SELECT file_year, file_month, count(*) AS n_trips FROM clean_trips GROUP BY ALL",
     "corrupt_rows": r"""
@@ -234,9 +236,9 @@ QUALIFY rank() OVER (PARTITION BY o_custkey
                      ORDER BY o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' DESC, o_orderkey DESC) = 1
 """,
     "daily_csv_upsert": r"""
-SELECT o_custkey, max_by(o_orderkey, (load, o_orderkey)) AS o_orderkey, max_by(o_totalprice, (load, o_orderkey)) AS o_totalprice
-FROM (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 0 WHEN 2 THEN 1 ELSE 2 END AS load FROM orders)
-GROUP BY o_custkey
+SELECT o_custkey, o_orderkey, o_totalprice FROM (
+  SELECT *, if(o_orderdate < TIMESTAMP '1998-01-01', 0, least(year(o_orderdate), 2001)) AS load FROM orders)
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY load DESC, if(load = 0, -o_orderkey, o_orderkey)) = 1
 """,
     "orders_page": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 2000",
     "order_priority_counts": "SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY ALL",
@@ -266,3 +268,85 @@ SQL.update({
     "sales_rejects": "SELECT props AS value, 0 AS partition FROM events",
     "sales_clean_rejects": _with(_SALES) + "SELECT partition, count(*) AS kept, 0::BIGINT AS rejected FROM msgs GROUP BY ALL",
 })
+
+# -- jobs: restarts, merges, folders, checks ------------------------------------------------
+_REPORT_LINES = {
+    "total_and_max_streams_by_country":
+        "SELECT concat_ws('|', country_name, sum(streams)::BIGINT, max(streams), count(*)) FROM data GROUP BY country_name",
+    "top_genres_by_country": f"""SELECT concat_ws('|', country_name, genre, count(*)) FROM (
+      SELECT country_name, {_items('artist_genres', False)} AS genre FROM data) GROUP BY country_name, genre""",
+    "top_songs_by_countries": """SELECT concat_ws('|', country_name, arg_min(name, (position, -epoch(date), track_id, name)))
+      FROM data GROUP BY country_name""",
+    "top_artists_by_country": f"""SELECT concat_ws('|', country_name, artist, n) FROM (
+      SELECT country_name, artist, sum(streams)::BIGINT AS n FROM (
+        SELECT country_name, streams, {_items('artists', False)} AS artist FROM data) GROUP BY country_name, artist
+      QUALIFY rank() OVER (PARTITION BY country_name ORDER BY n DESC, artist) = 1)""",
+    "top_songs_more_than_1_time": "SELECT concat_ws('|', name, artists) FROM repeated",
+    "top_songs_in_more_than_1_country": """SELECT concat_ws('|', name, artists, count(*)) FROM data
+      WHERE position = 1 GROUP BY name, artists HAVING count(*) > 1""",
+}
+
+SQL.update({
+    "sales_sink_restart": _with(_SALES) + """
+SELECT product, date, partition, 1::BIGINT AS rows_of_id, true AS several_batches, 1::INTEGER AS failures FROM msgs""",
+    "sales_routed_stream": _with(_SALES) + "SELECT value, partition FROM msgs",
+    "sales_serial_ids": r"""
+WITH halves AS (
+  SELECT event_id, ts, (ts - (SELECT min(ts)::DATE FROM events) > ((SELECT max(ts)::DATE - min(ts)::DATE FROM events) * 86400 + 86399)
+                        * INTERVAL 500000 MICROSECOND)::INTEGER AS half
+  FROM events)
+SELECT event_id, half, row_number() OVER (ORDER BY half, ts, event_id) AS id FROM halves
+""",
+    "checked_writes": _with(CHARTS) + r"""
+SELECT unnest(['null names', 'null names, refused']) AS "check", count(*) AS n_rows, count(*) - count(name) AS n_bad FROM charts
+UNION ALL SELECT 'union', count(*), 0 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+UNION ALL SELECT 'stream rejects', 2 * count(*), count(*) FROM events
+""",
+    "upsert_buckets": r"""
+WITH placed AS (
+  SELECT o_custkey, o_orderkey, o_totalprice, o_orderdate, o_orderdate = max(o_orderdate) OVER () AS is_new,
+         (('0x' || substr(md5(o_custkey::VARCHAR), 1, 8))::BIGINT % 256)::INTEGER AS bucket
+  FROM orders)
+SELECT o_custkey, o_orderkey, o_totalprice, o_orderdate, bucket,
+       bucket IN (SELECT bucket FROM placed WHERE is_new) AS rewritten
+FROM placed QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY is_new DESC, o_orderkey DESC) = 1
+""",
+    "table_defaults": r"""
+SELECT event_id AS id, event_type AS product, ts AS sold_at, 'import' AS origin, true AS created_now FROM events
+UNION ALL SELECT -1, 'refund', TIMESTAMP '2024-04-01 10:00:00', 'by hand', true
+UNION ALL SELECT -2, 'refund', TIMESTAMP '2024-04-01 10:00:01.5', 'import', true
+""",
+    "trips_kept_folders": SQL["trips_kept_months"],
+    "time_bounds_footers": _with(TRIPS) + r"""
+SELECT file_year, file_month, min(pickup_ts) AS min_pickup, max(dropoff_ts) AS max_dropoff, count(*) AS n_rows
+FROM trips GROUP BY ALL
+""",
+    "drifted_months": _with(TRIPS) + r"""
+SELECT * REPLACE (if(file_month <= 4, NULL, passenger_count) AS passenger_count) FROM trips
+""",
+    "partition_replaced": _with(TRIPS) + r"""
+SELECT * FROM trips WHERE file_year <> 1997
+UNION ALL SELECT * REPLACE (0.0::DOUBLE AS tip_amount) FROM clean_trips WHERE file_year = 1997
+""",
+    "compacted_folders": _with(TRIPS) + r"""
+SELECT file_year, file_month, count(*) AS n_trips,
+       file_month <= 3 AND count(DISTINCT do_location % 3) > 1 AS fewer_files,
+       NOT (file_month <= 3 AND count(DISTINCT do_location % 3) > 1) AS untouched
+FROM trips GROUP BY file_year, file_month
+""",
+    "report_contents": _with(CHARTS, _REPEATED) + "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS report, * FROM ({sql}) AS t(line)" for name, sql in _REPORT_LINES.items()),
+    "month_containment": _with(TRIPS) + r"""
+(SELECT year(dropoff_ts)::INTEGER AS year, month(dropoff_ts)::INTEGER AS month, 'file' AS lacks FROM trips
+ EXCEPT SELECT file_year, file_month, 'file' FROM trips)
+UNION ALL
+(SELECT file_year, file_month, 'trips' FROM trips
+ EXCEPT SELECT year(pickup_ts)::INTEGER, month(pickup_ts)::INTEGER, 'trips' FROM clean_trips)
+""",
+    "trips_by_pickup_month": _with(TRIPS) + "SELECT strftime(pickup_ts, '%Y-%m') AS pickup_month, count(*) AS n_trips FROM trips GROUP BY ALL",
+    "first_outlier": _with(TRIPS) + f"""
+SELECT {TRIP_COLS}, if(pickup_ts < opens, 'start', 'end') AS broken_bound
+FROM dated WHERE NOT (pickup_ts >= opens AND dropoff_ts < closes)
+ORDER BY ALL LIMIT 1
+""",
+})

@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluice.functions.records import decode_json
+from sluice.operators.joins import missing_keys
 from sluice.operators.ordering import page
 from sluice.operators.quality import null_rates, rows_per_source_match
 from sluice.operators.sets import union_all, union_counts
 from sluice.operators.upsert import dedup_last, upsert
 from sluice.plans import charts as ch
+from sluice.plans import jobs
 from sluice.plans import relations as rel
 from sluice.plans import trips as tr
 from sluice.plans.charts import type_charts
@@ -156,10 +158,9 @@ def months_present(spark, sf_dir):
 
 
 def missing_months(spark, sf_dir):
-    """Months that have a file, but no trip that starts in one of the year's first two days of them."""
+    """Months in which trips end, but which have no file."""
     trips = rel.trips(spark, sf_dir)
-    early = trips.where(F.dayofmonth(tr.PICKUP) <= 2)
-    return tr.missing_months(trips, early)
+    return missing_keys(tr.months_present(trips, tr.DROPOFF), tr.file_months(trips), ["year", "month"])
 
 
 def _monthly_files(spark, sf_dir) -> str:
@@ -255,13 +256,15 @@ def monthly_union(spark, sf_dir):
 
 
 def union_complete(spark, sf_dir):
-    """Union of two relations against its inputs: the inputs whose row count the union changed (the second input is
-    counted with one flag left out, so it shows up)."""
-    trips = rel.trips(spark, sf_dir)
-    first, second = trips.where("file_month <= 6"), trips.where("file_month > 6")
-    counts = union_counts(union_all([first, second], source_col="input"), "input")
-    inputs = union_counts(union_all([first, second.where("passenger_count > 1")], source_col="input"), "input")
-    return rows_per_source_match(counts, inputs, "input")
+    """Rows of every input of a union, in the union and in the input itself: that of a plain union, which keeps them, and of one
+    that drops repeated rows."""
+    trips = rel.trips(spark, sf_dir).drop("pickup_ts", "dropoff_ts", "tip_amount", "trip_distance", "pu_location", "do_location")
+    halves = [trips.where("file_month <= 6"), trips.where("file_month > 6")]
+    inputs = union_counts(union_all(halves, source_col="input"), "input")
+    plain = union_counts(union_all(halves, source_col="input"), "input")
+    distinct = union_counts(union_all(halves, source_col="input").distinct(), "input")
+    return union_all([rows_per_source_match(counts, inputs, "input", broken_only=False).withColumn("kind", F.lit(kind))
+                      for kind, counts in (("all", plain), ("distinct", distinct))])
 
 
 def catalog_tables(spark, sf_dir):
@@ -311,19 +314,21 @@ def upsert_last_wins(spark, sf_dir):
 
 
 def daily_csv_upsert(spark, sf_dir):
-    """The daily job: each year's orders are appended as one dated, headerless CSV load; the loads are read
-    back by position and upserted by customer, the last row of the last load winning."""
+    """The daily job: a table of the latest order per customer before the split date, and one dated, headerless CSV load per
+    later year, each written in falling order of o_orderkey; the loads are read back by position and upserted, the last
+    row in file order of the last load winning."""
     root = scratch_path(spark, "daily-csv")
-    orders = rel.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    # three loads with every customer's orders spread over them, the newest keys in the first load
-    for load in range(3):
-        append_csv(orders.where(F.col("o_orderkey") % 3 == (load * 2) % 3), root, load=load)
+    orders = rel.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    split = F.lit(UPSERT_SPLIT).cast("timestamp_ntz")
+    target = dedup_last(orders.where(F.col("o_orderdate") < split), ["o_custkey"], "o_orderkey").drop("o_orderdate")
+    later = orders.where(F.col("o_orderdate") >= split).withColumn("load", F.least(F.year("o_orderdate"), F.lit(2001)))
+    for load in range(1998, 2002):
+        rows = later.where(F.col("load") == load).orderBy(F.desc("o_orderkey"))
+        append_csv(rows.select("o_custkey", "o_orderkey", "o_totalprice"), root, load=load)
     back = with_file_order(read_csv(spark, root, header=False, schema=StructType.fromDDL(
         "o_custkey bigint, o_orderkey bigint, o_totalprice double, load_date date, load_seq bigint")),
         load_col="load_seq")
-    batch = back.withColumn("seq", F.struct("load_seq", "o_orderkey"))
-    target = orders.where("o_orderkey < 0")
-    return upsert(target, batch, ["o_custkey"], "seq")
+    return upsert(target, back, ["o_custkey"], "file_seq")
 
 
 PAGE_OFFSET, PAGE_SIZE = 2000, 1000
@@ -503,3 +508,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_csv_upsert": daily_csv_upsert,
     "sales_clean_rejects": sales_clean_rejects,
 }
+QUERIES |= jobs.QUERIES

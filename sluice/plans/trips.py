@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.time import day_of, month_of, month_end, month_start, seconds_between, year_month
+from sluice.functions.time import day_of, month_of, month_end, month_start, seconds_between
 from sluice.operators.joins import attach_dimension, missing_keys
 from sluice.operators.ordering import take_sorted
 
@@ -121,6 +121,14 @@ def keep_months(df: DataFrame, months: DataFrame, ts: str = PICKUP) -> DataFrame
     return df.join(wanted, (F.year(ts) == F.col("__year")) & (F.month(ts) == F.col("__month")), "left_semi")
 
 
+def keep_month_folders(folders: DataFrame, months: DataFrame, year: str = "year", month: str = "month") -> DataFrame:
+    """As ``keep_months``, over rows stored in folders by ``year`` and ``month``: the month set is joined on the partition columns,
+    so Spark prunes the folders to read at run time (dynamic partition pruning, given a filter on the months' side)."""
+    wanted = months.groupBy(F.col("year").alias("__year"), F.col("month").alias("__month")) \
+        .agg(F.count(F.lit(1)).alias("__n")).where("__n > 0")
+    return folders.join(wanted, (F.col(year) == F.col("__year")) & (F.col(month) == F.col("__month")), "left_semi")
+
+
 def run_job(spark, trips_folder: str, zones_csv: str, out_folder: str, schema,
             pattern: str = "*.csv", stat_files: int | None = None,
             rows_per_file: int | None = None) -> None:

@@ -5,6 +5,7 @@ A table's files live under the warehouse folder the cluster configures.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,31 @@ def create_table(df: DataFrame, name: str, fmt: str = "parquet",
     writer.create()
 
 
+def create_table_with_defaults(spark: SparkSession, name: str, columns: dict[str, str], defaults: dict[str, str],
+                               fmt: str = "parquet") -> None:
+    """Create an empty table from ``{column: type}`` with default expressions (SQL text, e.g. ``current_date()``) for some."""
+    parts = [f"`{c}` {kind}" + (f" DEFAULT {defaults[c]}" if c in defaults else "") for c, kind in columns.items()]
+    spark.sql(f"CREATE TABLE {name} ({', '.join(parts)}) USING {fmt}")
+
+
+def insert_values(spark: SparkSession, name: str, columns: list[str], rows: list[tuple[str, ...]]) -> None:
+    """``INSERT ... VALUES`` of literal rows (SQL literals as text, e.g. ``timestamp_ntz'2021-04-01 10:00:00'``) into a
+    subset of the columns; the others get their defaults.  For a few rows written by hand, not for data."""
+    values = ", ".join("(" + ", ".join(row) + ")" for row in rows)
+    spark.sql(f"INSERT INTO {name} ({', '.join(f'`{c}`' for c in columns)}) VALUES {values}")
+
+
+def insert_columns(df: DataFrame, name: str) -> None:
+    """Append by name; table columns that ``df`` lacks get their defaults."""
+    view = f"insert_{uuid.uuid4().hex}"
+    df.createTempView(view)
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    try:
+        df.sparkSession.sql(f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {view}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
+
+
 def append_table(df: DataFrame, name: str) -> None:
     """Append by position into an existing table (columns in table order)."""
     df.select(*df.sparkSession.table(name).columns).write.insertInto(name)

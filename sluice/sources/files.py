@@ -68,6 +68,29 @@ def with_file_month(df: DataFrame, path_col: str = "source_file") -> DataFrame:
             .withColumn("file_month", F.regexp_extract(path_col, pattern, 2).try_cast("int")))
 
 
+def read_drifted(spark: SparkSession, root: str, schema: StructType, renamed: dict[str, str] | None = None,
+                 fmt: str = "parquet", recursive: bool = False) -> DataFrame:
+    """Files of one set whose schema changed over time, as one relation with the columns of ``schema``.
+
+    ``renamed`` maps older column names to the present one: where a file has only the old column, its values are taken.  Columns that
+    a file lacks are null; columns that ``schema`` does not name are dropped; types are cast to those of ``schema``.
+    Partition folders of ``root`` stay columns (their values prune files)."""
+    reader = spark.read.format(fmt).option("mergeSchema", True)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    df = reader.load(root)
+    present = {c.lower(): c for c in df.columns}
+    older: dict[str, list[str]] = {}
+    for old, new in (renamed or {}).items():
+        older.setdefault(new.lower(), []).append(old.lower())
+
+    def column(field: StructField) -> F.Column:
+        names = [present[n] for n in [field.name.lower(), *older.get(field.name.lower(), [])] if n in present]
+        found = F.coalesce(*[F.col(f"`{n}`") for n in names]) if names else F.lit(None)
+        return found.cast(field.dataType).alias(field.name)
+    return df.select(*[column(f) for f in schema.fields])
+
+
 def empty_like(spark: SparkSession, schema: StructType | DataFrame) -> DataFrame:
     """Empty relation with the given (or borrowed) schema."""
     st = schema.schema if isinstance(schema, DataFrame) else schema

@@ -5,6 +5,8 @@
   Works on batch and streaming frames; the Kafka sink takes ``value``/``partition`` as is.
 * ``decode_sales`` – value bytes/text -> typed (product, date); undecodable rows go to a
   reject frame instead of stopping the stream.
+* ``run_message_stream`` – the producer side as a stream: sales rows in, routed messages out, through the file
+  (or Kafka) sink and its commit log, so a restart publishes nothing twice.
 * ``run_sales_sink`` – readStream -> decode -> ``foreachBatch``: each micro-batch
   overwrites its own ``batch_id`` partitions (decoded rows and rejects, in one pass), so a
   batch replayed after a failure replaces its earlier output – effectively exactly once,
@@ -14,9 +16,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from sluice.functions.records import decode_json, encode_json
@@ -112,11 +116,21 @@ def sales_source(spark: SparkSession, fmt: str = "json", path: str | None = None
     return reader.schema(MESSAGE_SCHEMA).load(path)
 
 
-def write_batch(root: str):
-    """The sink's ``foreachBatch`` function: a replayed batch replaces what it wrote before."""
+class RejectLimit(ValueError):
+    """A micro-batch with more rejects than allowed."""
+
+
+def write_batch(root: str, max_reject_rate: float | None = None,
+                after_write: Callable[[int, dict], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """The sink's ``foreachBatch`` function: a replayed batch replaces what it wrote before.
+
+    Rows and rejects are counted in the pass that writes them.  ``after_write`` gets the batch id and the counts
+    (``rows``, ``rejects``) when the batch is written and its progress is not yet committed: what it raises fails the query, and
+    a restart replays the batch.  More rejects than ``max_reject_rate`` of the rows raise ``RejectLimit``."""
     def write(batch: DataFrame, batch_id: int) -> None:
         decoded = _decoded(batch)
         ok = F.col("__ok")
+        counts = Observation(f"sales-batch-{batch_id}")
         # one pass over the micro-batch: good rows and rejects land in sibling partitions
         rows = decoded.select(
             (F.lit(batch_id).cast("decimal(38,0)") * F.lit(str(_ID_BASE)).cast("decimal(38,0)")
@@ -128,12 +142,49 @@ def write_batch(root: str):
             F.col("partition"),
             F.when(~ok, F.col("value").cast("string")).alias("value"),
             F.when(ok, F.lit("good")).otherwise(F.lit("rejected")).alias("kind"),
-            F.lit(batch_id).cast("long").alias("batch_id"))
+            F.lit(batch_id).cast("long").alias("batch_id")) \
+            .observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("kind") == "rejected").alias("rejects"))
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("kind", "batch_id").parquet(root))
+        found = counts.get
+        if max_reject_rate is not None and found["rejects"] > max_reject_rate * found["rows"]:
+            raise RejectLimit(f"batch {batch_id}: {found['rejects']} rejects in {found['rows']} rows")
+        if after_write:
+            after_write(batch_id, found)
     return write
 
 
+class RateListener(StreamingQueryListener):
+    """Reports the observed rows and rejects of every finished micro-batch of the queries it sees: ``batches`` holds
+    (query id, batch id, rows, rejects).  Add it with ``spark.streams.addListener``."""
+
+    NAME = "sales_rates"
+
+    def __init__(self) -> None:
+        self.batches: list[tuple[str, int, int, int]] = []
+
+    @staticmethod
+    def observed(messages: DataFrame) -> DataFrame:
+        """A message stream that carries the listener's metrics."""
+        decoded = _decoded(messages)
+        return decoded.observe(RateListener.NAME, F.count(F.lit(1)).alias("rows"),
+                               F.count_if(~F.col("__ok")).alias("rejects")).select(*messages.columns)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        """Nothing is counted before the first batch."""
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        found = event.progress.observedMetrics.get(self.NAME)
+        if found is not None:
+            self.batches.append((str(event.progress.id), event.progress.batchId, found["rows"], found["rejects"]))
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        """An idle trigger writes nothing."""
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        """What was reported stays."""
+
+
 SINK_SCHEMA = ("id decimal(38,0), product string, date date, created_at date, partition int, value string, "
                "kind string, batch_id bigint")
 
@@ -152,12 +203,8 @@ def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     return _sink_rows(spark, root, "rejected").select("value", "partition", "batch_id")
 
 
-def run_sales_sink(stream: DataFrame, sink_root: str, checkpoint: str,
-                   available_now: bool = True, processing_time: str | None = None):
-    """Start the sink query; with ``available_now`` it drains the source and returns.
-    Read the results with ``read_sink`` / ``read_rejects``."""
-    writer = (stream.writeStream.foreachBatch(write_batch(sink_root))
-              .option("checkpointLocation", checkpoint))
+def _started(writer, available_now: bool, processing_time: str | None) -> StreamingQuery:
+    """Start a writer; with ``available_now`` wait until the source is drained (a failure raises)."""
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -168,6 +215,43 @@ def run_sales_sink(stream: DataFrame, sink_root: str, checkpoint: str,
     return query
 
 
+def run_sales_sink(stream: DataFrame, sink_root: str, checkpoint: str,
+                   available_now: bool = True, processing_time: str | None = None,
+                   max_reject_rate: float | None = None,
+                   after_write: Callable[[int, dict], None] | None = None) -> StreamingQuery:
+    """Start the sink query; with ``available_now`` it drains the source and returns.  After a failure, start it again
+    with the same checkpoint: the batch that was not committed is replayed and replaces its own output.
+    Read the results with ``read_sink`` / ``read_rejects``; the last two arguments are those of ``write_batch``."""
+    writer = (stream.writeStream.foreachBatch(write_batch(sink_root, max_reject_rate, after_write))
+              .option("checkpointLocation", checkpoint))
+    return _started(writer, available_now, processing_time)
+
+
+def sales_rows_source(spark: SparkSession, path: str, schema, fmt: str = "parquet",
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming sales rows from a folder of files that grows."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
+
+
+def run_message_stream(sales: DataFrame, start: dt.datetime, end: dt.datetime, checkpoint: str, fmt: str = "kafka",
+                       path: str | None = None, topic: str | None = None, product: str = "product", ts: str = "ts",
+                       available_now: bool = True, processing_time: str | None = None, **options) -> StreamingQuery:
+    """Stream of sales rows -> routed messages (the period is given as literals: a stream has no last row).
+
+    ``fmt='kafka'`` sends ``value`` to the partition the ``partition`` column names; a file format writes one folder per
+    partition under ``path`` with the sink's commit log, so files of an uncommitted batch are never read."""
+    messages = sales_messages(sales, start, end, product, ts)
+    writer = messages.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint).options(**options)
+    if fmt == "kafka":
+        writer = writer.option("topic", topic) if topic else writer
+    else:
+        writer = writer.partitionBy("partition").option("path", path)
+    return _started(writer, available_now, processing_time)
+
+
 def publish_messages(messages: DataFrame, fmt: str = "kafka", path: str | None = None,
                      topic: str | None = None, **options) -> None:
     """Batch-publish (value, partition) messages.
