@@ -7,15 +7,34 @@ read back: the lineage ends there, so a lost executor costs a re-read, not a rec
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluice.session import scratch_path
 
 ROW_GROUP_BYTES = 32 << 20  # what a writing task buffers: rows here can be wide (texts, ids)
 
 
+#: Arrow batches between the JVM and Python workers while a table is staged: texts are wide, so few rows make a batch.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bounded Arrow batches for the jobs run inside; the session's own settings come back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in BATCH_CONF}
+    try:
+        for key, value in BATCH_CONF.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def stage(df: DataFrame, name: str, compression: str = "snappy",
           partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared scratch root and read it back."""
@@ -23,7 +42,8 @@ def stage(df: DataFrame, name: str, compression: str = "snappy",
     writer = df.write.option("compression", compression).option("parquet.block.size", ROW_GROUP_BYTES)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    with small_batches(df.sparkSession):
+        writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

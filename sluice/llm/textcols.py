@@ -6,6 +6,7 @@ per distinct word of a slice and gather it by code; nothing runs per word in Pyt
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,10 +15,16 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim
+except (OSError, AttributeError):  # another C library: only Arrow's pool is given back
+    _LIBC = None
+
 
 def slices(batch: pa.RecordBatch, text_col: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows whose texts hold about ``limit`` bytes (one row at least); after the
-    last one Arrow's pool gives back what it keeps, as the next stage may run in the same worker."""
+    """Cut a batch into runs of rows whose texts hold about ``limit`` bytes (one row at least); after the last one
+    free memory goes back to the system, as the worker stays for other stages."""
     sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(text_col)), 0)
                                  .to_numpy(zero_copy_only=False), dtype=np.int64))
     at = 0
@@ -26,7 +33,14 @@ def slices(batch: pa.RecordBatch, text_col: int, limit: int = SLICE_BYTES) -> It
         end = max(at + 1, int(np.searchsorted(sizes, before + limit, side="right")))
         yield batch.slice(at, end - at)
         at = end
+    free_memory()
+
+
+def free_memory() -> None:
+    """Give what Arrow's pool and the C library keep for later back to the system."""
     pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def texts_of(column: pa.Array) -> pa.Array:
@@ -59,12 +73,13 @@ class CodedWords:
         """Uint32 ids of all words after each other and their offsets by text, from the ids of each
         distinct word (little-endian bytes)."""
         sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
-        table = pa.ListArray.from_arrays(
-            np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32),
-            pa.array(np.frombuffer(b"".join(values), dtype="<u4")))
-        flat = table.take(pa.array(self.codes)).flatten().to_numpy()
-        ends = np.concatenate([[0], np.cumsum(sizes[self.codes])])
-        return flat, ends[self.offsets]
+        flat = np.frombuffer(b"".join(values), dtype="<u4")
+        first = np.cumsum(sizes) - sizes
+        per_word = sizes[self.codes]
+        ends = np.cumsum(per_word)
+        at = np.repeat((first[self.codes] - (ends - per_word)), per_word)
+        at += np.arange(len(at))
+        return flat[at], np.concatenate([[0], ends])[self.offsets]
 
 
 def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -76,6 +91,45 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+class Characters:
+    """The characters of many strings as one array, with the hash of every stretch of some characters: a polynomial
+    over them, so that it is computed for all strings at once."""
+
+    _ODD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, strings: list[str]) -> None:
+        self.sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+        self.points = np.frombuffer("".join(strings).encode("utf-32-le"), dtype="<u4")
+        self.ends = np.cumsum(self.sizes)
+        self.starts = self.ends - self.sizes
+        mixed = (self.points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        self.mixed = mixed ^ (mixed >> np.uint64(29))
+
+    @classmethod
+    def _final(cls, polynomial: np.ndarray, salt: int) -> np.ndarray:
+        x = (polynomial + np.uint64(salt)) * np.uint64(0x94D049BB133111EB)
+        x = (x ^ (x >> np.uint64(31))) * cls._ODD
+        return x ^ (x >> np.uint64(32))
+
+    def whole(self, salt: int = 0) -> np.ndarray:
+        """Hash of each string."""
+        powers = np.multiply.accumulate(np.full(max(1, int(self.sizes.max(initial=1))), self._ODD))
+        place = np.arange(len(self.points)) - np.repeat(self.starts, self.sizes)
+        return self._final(segment_sums(self.mixed * powers[place], np.concatenate([[0], self.ends])), salt)
+
+    def stretches(self, at: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
+        """Hash of the ``size`` characters from each of the places ``at`` on; it equals ``whole`` of that string."""
+        total = np.zeros(len(at), dtype=np.uint64)
+        for k, power in enumerate(np.multiply.accumulate(np.full(size, self._ODD))):
+            total += self.mixed[at + k] * power
+        return self._final(total, salt)
+
+    def text(self, at: np.ndarray, size: int) -> list[str]:
+        """The ``size`` characters from each of the places ``at`` on."""
+        joined = self.points[at[:, None] + np.arange(size)].tobytes().decode("utf-32-le")
+        return [joined[i:i + size] for i in range(0, len(joined), size)]
+
+
 class WordTable:
     """Value per word, computed on first sight and kept up to a number of entries."""
 

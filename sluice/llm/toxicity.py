@@ -29,26 +29,35 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from sluice.llm.langid import letter_words
 from sluice.llm.staging import held_out, stage
-from sluice.llm.textcols import CodedWords, slices, texts_of
+from sluice.llm.textcols import Characters, CodedWords, slices, texts_of
 
 CHAIN = 64
 BUCKETS = 1 << 18
 _OPEN = 2  # token label: either tag
 
 
-def _hash(word: str) -> int:
-    h = 2166136261
-    for c in word.encode():
-        h = (h ^ c) * 16777619 & 0xFFFFFFFF
-    return h
+_PREFIXES, _SUFFIXES = (3, 4, 5), (3, 4)
+
+
+def features_of(words: list[str]) -> np.ndarray:
+    """Feature buckets of lower-cased words, a row each: the word, its prefixes and its suffixes (bucket 0 where it is no
+    longer than they are)."""
+    chars = Characters(words)
+    out = np.zeros((len(words), 1 + len(_PREFIXES) + len(_SUFFIXES)), dtype=np.int64)
+
+    def bucket(hashes: np.ndarray) -> np.ndarray:
+        return 1 + (hashes % np.uint64(BUCKETS - 1)).astype(np.int64)
+    out[:, 0] = bucket(chars.whole())
+    kinds = [*((k, chars.starts) for k in _PREFIXES), *((k, chars.ends - k) for k in _SUFFIXES)]
+    for kind, (k, first) in enumerate(kinds, 1):
+        longer = np.flatnonzero(chars.sizes > k)
+        out[longer, kind] = bucket(chars.stretches(first[longer], k, kind))
+    return out
 
 
 def word_features(word: str) -> list[int]:
-    """Feature buckets of a lower-cased word (bucket 0 where the word is too short)."""
-    n = len(word)
-    names = ["=" + word, *(("^" + word[:k]) if n > k else "" for k in (3, 4, 5)),
-             *(("$" + word[-k:]) if n > k else "" for k in (3, 4))]
-    return [1 + _hash(x) % (BUCKETS - 1) if x else 0 for x in names]
+    """The feature buckets of one word."""
+    return features_of([word])[0].tolist()
 
 
 class Crf:
@@ -61,52 +70,62 @@ class Crf:
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Score of tag 1 over tag 0 by word."""
-        if not words:
-            return np.zeros(0)
-        return self.weights[np.array([word_features(w) for w in words])].sum(axis=1) + self.bias
+        return self.weights[features_of(words)].sum(axis=1) + self.bias
 
     def document_scores(self, top: np.ndarray, expected: np.ndarray) -> np.ndarray:
         x = self.curve[0] + self.curve[1] * top + self.curve[2] * expected
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+_FORCED = 60.0  # log odds that stand for a tag that is not allowed
+_MOST = 40.0  # bound of a token's log odds
+
+
 def forward_backward(emit: np.ndarray, length: np.ndarray, trans: np.ndarray, first: np.ndarray,
-                     allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                     allowed: np.ndarray | None = None,
+                     sums: bool = True) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
     """Chains padded to one width: ``emit[chain, step]`` is tag 1's score (tag 0 has 0), ``allowed[chain, step, tag]`` masks
-    tags.  Returns (marginal of tag 1, log partition by chain, expected tag pairs summed over chains)."""
+    tags.  Returns (marginal of tag 1, log partition by chain, expected tag pairs summed over chains), the last two only
+    with ``sums``.  With two tags, one number a step says all: the odds of tag 1, passed forwards and backwards."""
     n, width = emit.shape
-    psi = np.ones((n, width, 2))
-    shift = np.maximum(emit, 0)
-    psi[:, :, 0], psi[:, :, 1] = np.exp(-shift), np.exp(emit - shift)
+    kind = emit.dtype.type
+    odds = np.exp(np.clip(emit.T, -_MOST, _MOST))  # (step, chain)
     if allowed is not None:
-        psi = psi * allowed
-    move = np.exp(trans)
-    alpha = np.empty((n, width, 2))
-    log_z = np.zeros(n)
-    a = np.exp(first)[None, :] * psi[:, 0]
+        no = (allowed == 0).transpose(1, 0, 2)
+        odds = odds * np.exp(_FORCED * (no[:, :, 0].astype(float) - no[:, :, 1]))
+    (m00, m01), (m10, m11) = np.exp(trans).astype(emit.dtype)
+    ahead = np.empty((width, n), dtype=emit.dtype)
+    grow = np.empty((width, n), dtype=emit.dtype) if sums else None  # by what tag 0's weight grows
     for t in range(width):
         if t:
-            a = (alpha[:, t - 1] @ move) * psi[:, t]
-        total = a.sum(axis=1, keepdims=True)
-        alpha[:, t] = a / total
-        log_z += np.where(t < length, np.log(total[:, 0]) + shift[:, t], 0)
-    marginal = np.zeros((n, width))
+            down = m00 + ahead[t - 1] * m10
+            ahead[t] = odds[t] * (m01 + ahead[t - 1] * m11) / down
+        else:
+            ahead[0] = odds[0] * kind(np.exp(first[1] - first[0]))
+        if sums:
+            grow[t] = down if t else np.exp(first[0])
+    marginal = np.zeros((width, n), dtype=emit.dtype)
     pairs = np.zeros((2, 2))
-    b = np.ones((n, 2))
+    back = np.ones(n, dtype=emit.dtype)  # odds that the later steps give to tag 1
     for t in range(width - 1, -1, -1):
-        inside = t < length
-        b = np.where((t >= length - 1)[:, None], 1.0, b)  # backward message at this step
-        post = alpha[:, t] * b
-        post /= post.sum(axis=1, keepdims=True)
-        marginal[:, t] = np.where(inside, post[:, 1], 0)
+        back[t >= length - 1] = 1
+        both = ahead[t] * back
+        np.divide(both, 1 + both, out=marginal[t])
         if t:
-            into = psi[:, t] * b
-            joint = alpha[:, t - 1, :, None] * move[None] * into[:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            pairs += joint[inside].sum(axis=0)
-            b = into @ move.T
-            b /= b.sum(axis=1, keepdims=True)
-    return marginal, log_z, pairs
+            into = odds[t] * back
+            if sums:
+                joint = np.stack([np.full(n, m00), m01 * into, m10 * ahead[t - 1], m11 * ahead[t - 1] * into])
+                joint = joint[:, t < length]
+                pairs += (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
+            back = (m10 + m11 * into) / (m00 + m01 * into)
+    inside = np.arange(width)[:, None] < length
+    marginal[~inside] = 0
+    if not sums:
+        return marginal.T, None, None
+    log_z = np.where(inside, np.log(grow), 0).sum(axis=0) + np.log1p(ahead[length - 1, np.arange(n)])
+    if allowed is not None:
+        log_z = log_z - _FORCED * (no[:, :, 0] & inside).sum(axis=0)
+    return marginal.T, log_z, pairs
 
 
 def _chains(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,22 +154,22 @@ def _without_empty(words: CodedWords) -> tuple[list[str], np.ndarray, np.ndarray
 def token_marginals(crf: Crf, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """(distinct words, word of each token, offsets by text, marginal of each token)."""
     uniq, codes, offsets = _without_empty(letter_words(texts))
-    out = np.zeros(len(codes))
+    out = np.zeros(len(codes), dtype=np.float32)
     if len(codes):
-        emit = crf.word_scores(uniq)[codes]
+        emit = crf.word_scores(uniq).astype(np.float32)[codes]
         _, start, length = _chains(offsets)
-        for at in range(0, len(start), 1 << 14):  # bounded memory
-            s = slice(at, at + (1 << 14))
-            marginal, _, _ = forward_backward(_padded(emit, start[s], length[s]), length[s], crf.trans, crf.first)
+        for at in range(0, len(start), 1 << 13):  # bounded memory
+            s = slice(at, at + (1 << 13))
+            marginal, _, _ = forward_backward(_padded(emit, start[s], length[s]), length[s], crf.trans, crf.first, sums=False)
             inside = np.arange(CHAIN)[None, :] < length[s][:, None]
-            rows = start[s][:, None] + np.arange(CHAIN)[None, :]
-            out[rows[inside]] = marginal[inside]
+            out[start[s][0]:start[s][-1] + length[s][-1]] = marginal[inside]  # chains follow each other without gaps
     return uniq, codes, offsets, out
 
 
 def _evidence(marginals: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per document: logit of its most certain token (-12 without tokens, at most 12), and log(1 + expected toxic
     tokens) over tokens of at least 0.1, so that a long text's many tiny marginals do not add up."""
+    marginals = marginals.astype(float)
     top = np.full(len(offsets) - 1, 6e-6)
     expected = np.zeros(len(offsets) - 1)
     full = np.flatnonzero(np.diff(offsets) > 0)
@@ -162,7 +181,7 @@ def _evidence(marginals: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
 
 
 def word_counts(labelled: DataFrame) -> DataFrame:
-    """``(word, pos, neg)``: toxic and other documents that hold the word, over all rows of (``text``, ``toxic``)."""
+    """``(word, pos, neg)``: toxic and other documents that hold the word, over all rows of (``text``, boolean ``toxic``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 0):
@@ -175,7 +194,7 @@ def word_counts(labelled: DataFrame) -> DataFrame:
                 neg = np.bincount((pair % n)[~toxic], minlength=n)[:len(words.uniq)]
                 yield pa.RecordBatch.from_arrays([words.uniq, pa.array(pos), pa.array(neg)],
                                                  names=["word", "pos", "neg"])
-    return labelled.select(F.col("text").cast("string"), (F.col("toxic") > 0).alias("toxic")).mapInArrow(
+    return labelled.select("text", "toxic").mapInArrow(
         run, "word string, pos long, neg long").where("word <> ''").groupBy("word").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
@@ -228,12 +247,45 @@ def _fit_curve(top: np.ndarray, expected: np.ndarray, toxic: np.ndarray) -> np.n
     return w
 
 
-def fit_toxicity(labelled: DataFrame, train_chains: int = 6000, curve_docs: int = 3000, lexicon_rows: int = 50_000,
+def _chain_rows(labelled: DataFrame, lexicon: set[str], least: dict[tuple[bool, bool], int] | None) -> DataFrame:
+    """Chains of labelled rows: (toxic, marked) with their number per slice, or, given hash thresholds per class, the
+    chosen ones with their words."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 0):
+                uniq, codes, offsets = _without_empty(letter_words(batch.column(0)))
+                doc, start, length = _chains(offsets)
+                known = np.array([w in lexicon for w in uniq], dtype=bool)
+                hot = np.concatenate([[0], np.cumsum(known[codes])]) if len(codes) else np.zeros(1)
+                toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[doc]
+                marked = hot[start + length] > hot[start]
+                kinds = [(t, m) for t in (False, True) for m in (False, True)]
+                if least is None:
+                    rows = [int(((toxic == t) & (marked == m)).sum()) for t, m in kinds]
+                    yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in kinds]), pa.array([m for _, m in kinds]), pa.array(rows)],
+                                                     names=["toxic", "marked", "n"])
+                    continue
+                key = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)[doc] + start.astype(np.uint64)
+                key = (key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _KEY_BITS)
+                floor = np.select([(toxic == t) & (marked == m) for t, m in kinds], [least[k] for k in kinds])
+                for i in np.flatnonzero(key < floor.astype(np.uint64)).tolist():
+                    words = [uniq[c] for c in codes[start[i]:start[i] + length[i]]]
+                    yield pa.RecordBatch.from_pydict({"toxic": [bool(toxic[i])], "words": [words]})
+    schema = "toxic boolean, marked boolean, n long" if least is None else "toxic boolean, words array<string>"
+    return labelled.select("text", "toxic", "key").mapInArrow(cut, schema)
+
+
+_KEY_BITS = 40
+
+
+def fit_toxicity(labelled: DataFrame, train_chains: int = 6000, curve_docs: int = 3000,
                  steps: int = 60, l2: float = 0.02) -> Crf:
-    """Fit on rows of (``doc_id``, ``text``, ``toxic``).  Counts cover all of them; chains (``train_chains`` with a toxic or
-    open word and as many others), the lexicon and the documents of the curve are bounded samples."""
-    labelled = labelled.where("text is not null and toxic is not null")
-    n_pos, n_all = labelled.agg(F.coalesce(F.sum((F.col("toxic") > 0).cast("long")), F.lit(0)), F.count("*")).first()
+    """Fit on rows of (``doc_id``, ``text``, ``toxic``), a table of bounded size (see ``toxicity``).  Counts cover all of them; the lexicon
+    holds words of these rows, so it is bounded with them.  Chains (about ``train_chains`` of toxic rows with a toxic word, a quarter of it
+    of toxic rows without, ``train_chains`` of others) and the documents of the curve are samples by hash."""
+    labelled = labelled.where("text is not null and toxic is not null").select(
+        F.col("text").cast("string").alias("text"), (F.col("toxic") > 0).alias("toxic"), F.xxhash64("doc_id", "text").alias("key"))
+    n_pos, n_all = labelled.agg(F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0)), F.count("*")).first()
     nothing = Crf(np.zeros(BUCKETS), -12.0, np.zeros((2, 2)), np.zeros(2), np.array([-3.0, 0.0, 0.0]))
     if not n_pos or n_pos == n_all:
         nothing.curve[0] = 3.0 if n_pos else -3.0
@@ -244,32 +296,20 @@ def fit_toxicity(labelled: DataFrame, train_chains: int = 6000, curve_docs: int
     # log likelihood ratio: a toxic word is in toxic documents 98 % of the time, an ordinary one at the base rate
     ratio = F.col("pos") * math.log(0.98 / rate) + F.col("neg") * math.log(0.02 / (1 - rate))
     sure = ratio > math.log(n_words + 1) + 3
-    lexicon = {r["word"] for r in counts.where(sure).orderBy(F.desc("pos"), "word").limit(lexicon_rows).collect()}
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, 0):
-                uniq, codes, offsets = _without_empty(letter_words(batch.column(0)))
-                doc, start, length = _chains(offsets)
-                known = np.array([w in lexicon for w in uniq], dtype=bool)
-                hot = np.concatenate([[0], np.cumsum(known[codes])]) if len(codes) else np.zeros(1)
-                words = pa.array(uniq, pa.string()).take(pa.array(codes))
-                marked = hot[start + length] > hot[start]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(1).take(pa.array(doc)), pa.array(marked),
-                     pa.ListArray.from_arrays(np.concatenate([start, [len(codes)]]).astype(np.int32), words)],
-                    names=["toxic", "marked", "words"])
-
-    chains = labelled.select(F.col("text").cast("string"), (F.col("toxic") > 0).alias("toxic")).mapInArrow(
-        cut, "toxic boolean, marked boolean, words array<string>").withColumn(
-        "key", F.xxhash64(F.concat_ws(" ", "words")))
-    some = chains.where("toxic and marked").orderBy("key").limit(train_chains).unionAll(
-        chains.where("toxic and not marked").orderBy("key").limit(train_chains // 4)).unionAll(
-        chains.where("not toxic").orderBy("key").limit(train_chains))
-    some = stage(some.drop("key"), "toxic-chains")  # bounded by train_chains
+    lexicon = {r["word"] for r in counts.where(sure).select("word").collect()}
+
+    wanted = {(True, True): train_chains, (True, False): train_chains // 4, (False, True): train_chains, (False, False): train_chains}
+    have = {(r["toxic"], r["marked"]): r["n"] for r in
+            _chain_rows(labelled, lexicon, None).groupBy("toxic", "marked").agg(F.sum("n").alias("n")).collect()}
+    clean_chains = have.get((False, True), 0) + have.get((False, False), 0)
+    size = {k: have.get(k, 0) if k[0] else clean_chains for k in wanted}
+    least = {k: int((1 << _KEY_BITS) * min(1.0, wanted[k] / max(1, size[k]))) for k in wanted}
+    some = stage(_chain_rows(labelled, lexicon, least), "toxic-chains")  # bounded by train_chains
     seen = some.select(F.explode("words").alias("word")).distinct()
     clean = {r["word"] for r in counts.where("neg > 0").join(seen, "word", "left_semi").select("word").collect()}
     rows = some.collect()
+    if not len(rows):
+        return nothing
 
     uniq = sorted({w for r in rows for w in r["words"]})
     index = {w: i for i, w in enumerate(uniq)}
@@ -280,15 +320,11 @@ def fit_toxicity(labelled: DataFrame, train_chains: int = 6000, curve_docs: int
         tokens[i, :len(r["words"])] = [index[w] for w in r["words"]]
         if r["toxic"]:
             labels[i, :len(r["words"])] = [1 if w in lexicon else 0 if w in clean else _OPEN for w in r["words"]]
-    if not len(rows):
-        return nothing
-    crf = Crf(*_train(np.array([word_features(w) for w in uniq]), tokens, labels, length, steps, l2),
+    crf = Crf(*_train(features_of(uniq), tokens, labels, length, steps, l2),
               np.array([0.0, 1.0, 0.0]))
 
-    curve_rows = labelled.select("text", (F.col("toxic") > 0).alias("toxic"), F.xxhash64("doc_id", "text").alias("key")) \
-        .withColumn("spare", F.pmod("key", F.lit(1 << 20)))
-    least = max(1, int((1 << 20) * min(1.0, curve_docs / n_all)))  # a uniform sample by hash
-    top, expected, toxic = zip(*_curve_points(curve_rows.where(F.col("spare") < least), crf)) or ((), (), ())
+    floor = max(1, int((1 << 20) * min(1.0, curve_docs / n_all)))  # a uniform sample by hash
+    top, expected, toxic = zip(*_curve_points(labelled.where(F.pmod("key", F.lit(1 << 20)) < floor), crf)) or ((), (), ())
     crf.curve = _fit_curve(np.array(top), np.array(expected), np.array(toxic, dtype=float))
     return crf
 
@@ -304,6 +340,7 @@ def _curve_points(rows: DataFrame, crf: Crf) -> list[tuple[float, float, bool]]:
                 yield pa.RecordBatch.from_arrays([pa.array(top), pa.array(expected), batch.column(1)],
                                                  names=["top", "expected", "toxic"])
     points = rows.select("text", "toxic").mapInArrow(run, "top double, expected double, toxic boolean").collect()
+    shared.destroy()
     return [tuple(p) for p in points] or [(-12.0, 0.0, False)]
 
 
@@ -355,10 +392,20 @@ def score_toxicity(docs: DataFrame, crf: Crf, floor: float = 0.5) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+LABEL_ROWS = 50_000
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, label_rows: int = LABEL_ROWS, **options) -> DataFrame:
     """Learn from the labelled rows whose crc32(doc_id as text) mod 5 is not 0, score every row of ``docs``.  Adds ``held_out`` and the
-    columns of ``score_toxicity``.  A document with several labels counts as toxic if one says so."""
-    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    train = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(~held_out("doc_id")).join(marks, "doc_id")
+    columns of ``score_toxicity``.  A document with several labels counts as toxic if one says so.
+
+    The classifier is fitted on a bounded sample of labelled ids: about ``label_rows``, by the hash of the id.  They are sent to the
+    tasks that read the texts, so no text is shuffled; only the sample's texts are staged."""
+    marks = labels.where("doc_id is not null and toxic is not null").where(~held_out("doc_id")) \
+        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marks = stage(marks, "toxic-labels")
+    floor = max(1, int((1 << 40) * min(1.0, label_rows / max(1, marks.count()))))
+    some = stage(marks.where(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 40)) < floor), "toxic-sample")
+    train = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")
     crf = fit_toxicity(stage(train, "toxic-train", compression="zstd"), **options)
     return score_toxicity(docs.withColumn("held_out", held_out("doc_id")), crf)

@@ -85,3 +85,48 @@ def test_model_limits_keep_the_commonest(spark):
     assert sorted(k for n, k in model.keys if n == 0) == ["wa", "wb", "wc", "wd", "we"]
     table = WordTable(model.word_score, limit=3)
     assert np.allclose(table(["wa", "zz", "wb", "wa"])[0], table(["wa"])[0])
+
+
+def test_model_limits_at_ties(spark):
+    words = [f"w{a}{b}" for a in "abcd" for b in "abcde"]
+    rows = [("en", " ".join(words * 3)), ("de", " ".join(words[:4] * 5 + words[4:] * 2))]
+    model = fit_language_model(spark.createDataFrame(rows[:1], "lang string, text string"), max_words=5)
+    kept = [k for n, k in model.keys if n == 0]
+    assert len(kept) == 5 and set(kept) <= set(words)
+    again = fit_language_model(spark.createDataFrame(rows[:1] * 2, "lang string, text string"), max_words=5)
+    assert kept == [k for n, k in again.keys if n == 0]  # the same ones, whatever the count
+    for limit in (3, 4, 5, 19, 20, 30):
+        model = fit_language_model(spark.createDataFrame(rows[1:], "lang string, text string"), max_words=limit)
+        kept = {k for n, k in model.keys if n == 0}
+        assert len(kept) == min(limit, 20) and (limit < 4 or kept >= set(words[:4])) and (limit > 3 or kept < set(words[:4]))
+
+
+def test_predictions_match_definition(spark):
+    train = [("aa", "foo bar foo bar baz zap"), ("bb", "fox bar fox qux qux quux"), ("bb", "baz baz zo")]
+    texts = ["Foo BAR!", "fox fox zebra", "zzz qu", "7", "", "bar", "quuxfoo " * 3, "ba\nz0zap"]
+    model = fit_language_model(spark.createDataFrame(train, "lang string, text string"))
+    out = predict_language(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, known="seen")
+    vocabulary = {"foo", "bar", "fox", "qux", "baz"}
+    for r in out.collect():
+        words = "".join(c.lower() if c.isalpha() else " " for c in r.text).split()
+        if not words:
+            assert (r.lang_pred, r.lang_score, r.seen) == ("und", 0.0, 0.0)
+            continue
+        total = np.sum([slow_score(train, w) for w in words], axis=0)
+        share = np.exp(total - total.max()) / np.exp(total - total.max()).sum()
+        assert r.lang_pred == ["aa", "bb"][int(total.argmax())] or np.isclose(*total)
+        assert np.isclose(r.lang_score, share.max(), atol=1e-4)
+        assert np.isclose(r.seen, np.mean([w in vocabulary for w in words]))
+
+
+def test_stretches_hash_like_strings():
+    from sluice.llm.textcols import Characters
+    words = ["", "a", "grüße", "日本語", "\U0001f600x", "a" * 3000]
+    chars = Characters(words)
+    whole = chars.whole(7)
+    for i, w in enumerate(words):
+        assert Characters(["zz", w]).whole(7)[1] == whole[i]
+        if 0 < len(w) < 9:
+            assert Characters([f"q{w}q"]).stretches(np.array([1]), len(w), 7)[0] == whole[i]
+            assert chars.text(chars.starts[i:i + 1], len(w)) == [w]
+    assert len(set(whole.tolist())) == len(words)

@@ -94,3 +94,16 @@ def test_edge_rows_and_clashing_columns(spark, tmp_path):
             assert all(r.lang_pred == "x" and r.removed_lines == 1 and r.log_ratio == 2.0 for r in after.collect())
             assert {r.doc_id for r in after.collect()} >= set(range(1, 12))
         assert step(spark, docs.where("doc_id > 900"), str(tmp_path)).collect() == []
+
+
+def test_long_texts_of_unlearned_languages_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kind = docs.schema
+    others = ["tämä on pitkä suomenkielinen teksti joka kertoo metsistä järvistä ja kesäisistä illoista " * 200,
+              "to jest długi tekst napisany po polsku o lasach jeziorach oraz o zimie " * 200, "xqzk vbnm wrtp lkjh zzgh " * 500]
+    rows = [tuple({"doc_id": 10**9 + i, "text": t, "lang": None, "source": "s", "n_chars": len(t)}[c] for c in kind.names)
+            for i, t in enumerate(others)]
+    kept = corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(rows, kind)), SF)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    clean = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    assert not ids & {10**9 + i for i in range(3)} and clean <= ids

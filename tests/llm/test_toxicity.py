@@ -85,3 +85,39 @@ def test_features_of_short_words():
     crf = tox.Crf(np.zeros(tox.BUCKETS), -2.0, np.zeros((2, 2)), np.zeros(2), np.zeros(3))
     uniq, codes, offsets, m = tox.token_marginals(crf, pa.array(["a b", None, "c"]))
     assert offsets.tolist() == [0, 2, 2, 3] and np.allclose(m, 1 / (1 + np.exp(2)))
+
+
+def slow_document(crf, text):
+    """(score, spans) of a text, chain by chain, with plain products of the two tags' messages."""
+    import regex
+    words = [(m.start(), m.end(), m.group().lower()) for m in regex.finditer(r"\p{L}+", text)]
+    marginals = []
+    for at in range(0, len(words), tox.CHAIN):
+        psi = [np.array([1.0, np.exp(crf.word_scores([w])[0])]) for _, _, w in words[at:at + tox.CHAIN]]
+        move, ahead = np.exp(crf.trans), [np.exp(crf.first) * psi[0]]
+        for p in psi[1:]:
+            ahead.append((ahead[-1] @ move) * p)
+            ahead[-1] /= ahead[-1].sum()
+        back = [np.ones(2)]
+        for p in psi[:0:-1]:
+            back.append(move @ (p * back[-1]))
+            back[-1] /= back[-1].sum()
+        for a, b in zip(ahead, back[::-1]):
+            marginals.append((a * b)[1] / (a * b).sum())
+    top = min(max(max(marginals, default=6e-6), 6e-6), 1 - 6e-6)
+    x = crf.curve @ [1, np.log(top / (1 - top)), np.log1p(sum(m for m in marginals if m >= 0.1))]
+    return 1 / (1 + np.exp(-x)), [(s, e) for (s, e, _), m in zip(words, marginals) if m >= 0.5], marginals
+
+
+def test_scores_and_spans_match_brute_force(spark):
+    rng = np.random.default_rng(6)
+    crf = tox.Crf(rng.normal(size=tox.BUCKETS), -1.0, rng.normal(size=(2, 2)), rng.normal(size=2), np.array([-1.0, 0.4, 0.7]))
+    vocabulary = ["you", "Über", "scum", "ßßß", "fine", "日本", "x", "idiots", "wholesome", "naïve"]
+    texts = [" ".join(rng.choice(vocabulary, n)) + "!1 " for n in (1, 2, 5, 63, 64, 65, 128, 300)] + ["", "12 ..", "a,b;c"]
+    out = tox.score_toxicity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), crf).collect()
+    for r in out:
+        score, spans, marginals = slow_document(crf, texts[r.doc_id])
+        assert np.isclose(r.score, score, atol=1e-4) and r.predicted == int(r.score >= 0.5)
+        near = [abs(m - 0.5) < 1e-4 for m in marginals]
+        assert any(near) or [(s.start, s.end) for s in r.spans] == spans
+    assert sum(len(r.spans) for r in out) > 50
