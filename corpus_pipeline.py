@@ -24,6 +24,7 @@ from sluice.llm.staging import held_out, shield, stage
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 LEAST_LANGUAGE_SCORE = 0.5
+LEAST_KNOWN_WORDS = 0.2
 
 #: The classifiers, fingerprints and packing have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
@@ -37,11 +38,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognized with a score of at least 0.5 (operator 8); ``lang`` stays as it is."""
+    """Documents whose language is recognized with a score of at least 0.5, and of whose words at least a fifth are known (operator 8;
+    texts of learned languages have half or more, however long, texts of others far less); ``lang`` stays as it is."""
     model = fit_language_model(docs.where(~held_out("doc_id")))
-    docs, restore = shield(docs, ("lang_pred", "lang_score"))
-    found = predict_language(docs, model)
-    return restore(found.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE)))
+    docs, restore = shield(docs, ("lang_pred", "lang_score", "lang_known"))
+    found = predict_language(docs, model, known="lang_known")
+    return restore(found.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE)
+                               & (F.col("lang_known") >= LEAST_KNOWN_WORDS)))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
