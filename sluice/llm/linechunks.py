@@ -1,15 +1,19 @@
 """Line dedup by content-defined chunks of lines, in DataFrame functions only.
 
-Every line gets a 32-bit hash (the first eight hex digits of its MD5); a rolling hash over a line and the one
-before it, ``h[i] + 1000003 * h[i - 1]``, ends a chunk after line i where it is divisible by
-``divisor``.  Boundaries depend on two lines only, so text inserted elsewhere does not move them.
-Chunks of two or more lines that occur more than once in the whole corpus are candidates by
-hash; their texts are then compared byte by byte (grouped and joined by the text itself), and all
-but the first occurrence - by doc_id, then position - are removed.
-
-The corpus is staged once in chunks.  Only candidates travel with their text; counting and finding the
-first occurrence are aggregates with map-side combine, and the join that marks the other
-occurrences is a plain equi-join of two shuffled tables, which AQE splits at a hot chunk.
+Every line gets a 32-bit hash (the first eight hex digits of its MD5).  A rolling hash over a line and the one before it,
+``h[i] + 1000003 * h[i - 1]``, sets a boundary at line i unless it is divisible by ``divisor``; the two lines at a boundary are a
+chunk.  Boundaries depend on two lines only, so a passage has the same chunks wherever it stands, and text inserted elsewhere
+does not move them.  A line of ``LONG_LINE`` or more words is a chunk by itself.
+
+Chunks that occur more than once in the whole corpus are candidates by hash; the two lines are then compared byte by byte (grouped and
+joined by the text itself; long lines by their SHA-256).  Of equal chunks the first - by doc_id, then position - stays.  Every
+other one is removed together with the lines around it, line by line as far as they equal those around the first one (by their
+SHA-256), up to the next chunk on either side, which has its own occurrences.  So a repeated passage goes whole, edges
+and lines between chunks included, and so does an exact copy; the lines of the first occurrence stay in the same document.
+
+The corpus is staged once with row numbers.  Only candidates travel with their two lines and the hashes of their
+surroundings; counting and finding the first occurrence are aggregates with map-side combine, and the join that marks the
+other occurrences is a plain equi-join of two shuffled tables, which AQE splits at a hot chunk.
 """
 
 from __future__ import annotations
@@ -19,91 +23,147 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sluice.llm.staging import fresh_name, stage
 
 ROLL = 1_000_003
+DIVISOR = 3
+LONG_LINE = 50
 
 
-def _ends(lines: str, hashes: str, divisor: int) -> Column:
-    """Which lines (1-based numbers) end a chunk."""
+def _boundaries(hashes: Column, divisor: int) -> Column:
+    """Numbers (from 1) of the lines at a boundary; the first line has none before it."""
     before = F.concat(F.array(F.lit(0).cast("long")), F.slice(hashes, 1, F.size(hashes) - 1))
-    marks = F.zip_with(hashes, before, lambda h, b: (h + F.lit(ROLL) * b) % divisor == 0)
-    numbered = F.transform(marks, lambda cut, i: F.when(cut | (i == F.size(lines) - 1), i + 1))
-    return F.filter(numbered, lambda end: end.isNotNull())
-
-
-def line_chunks(docs: DataFrame, divisor: int = 3, text: str = "text", chunks: str = "chunks") -> DataFrame:
-    """``docs`` plus ``chunks``: array of (``n``: lines, ``t``: text); null for a null text.  Joining the texts
-    with line feeds gives the document back."""
-    lines, hashes, ends = (fresh_name(docs, x) for x in ("_lines", "_hashes", "_ends"))
-    docs = docs.withColumn(lines, F.split(F.col(text).cast("string"), "\n", -1))
-    docs = docs.withColumn(hashes, F.transform(
-        lines, lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long")))
-    docs = docs.withColumn(ends, _ends(lines, hashes, divisor))
-    sizes = F.zip_with(ends, F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1)),
-                       lambda end, start: F.struct(start.alias("start"), (end - start).alias("n")))
-    cut = F.transform(sizes, lambda s: F.struct(
-        s["n"].alias("n"), F.array_join(F.slice(F.col(lines), s["start"] + 1, s["n"]), "\n").alias("t")))
-    return docs.withColumn(chunks, cut).drop(lines, hashes, ends)
-
-
-def dedup_lines(docs: DataFrame, divisor: int = 3, min_lines: int = 2) -> DataFrame:
-    """Remove repeated multi-line chunks from ``text``.
-
-    Keeps every row and column of ``docs``; ``text`` loses the removed chunks and ``removed_lines`` (bigint) counts
-    their lines (an own column of this name is replaced).  A null text stays null with 0 removed lines; a
-    document all of whose chunks occurred earlier gets the empty text.  Among equal doc_ids (and null ones, which
+    marks = F.zip_with(hashes, before, lambda h, b: (h + F.lit(ROLL) * b) % divisor != 0)
+    return F.filter(F.transform(marks, lambda cut, i: F.when(cut & (i > 0), i + 1)), lambda n: n.isNotNull())
+
+
+def _long_lines(lines: Column) -> Column:
+    blanks = F.transform(lines, lambda x, i: F.when(F.length(x) - F.length(F.replace(x, F.lit(" "))) >= LONG_LINE - 1, i + 1))
+    return F.filter(blanks, lambda n: n.isNotNull())
+
+
+def _with_lines(docs: DataFrame, text: str, divisor: int) -> DataFrame:
+    """``docs`` plus ``_lines``, ``_ends`` (boundaries) and ``_longs`` (numbers of long lines); null for a null text."""
+    docs = docs.withColumn("_lines", F.split(F.col(text), "\n", -1))
+    docs = docs.withColumn("_hashes", F.transform(
+        "_lines", lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long")))
+    return docs.withColumns({"_ends": _boundaries(F.col("_hashes"), divisor), "_longs": _long_lines(F.col("_lines"))})
+
+
+def _pair(end: Column) -> Column:
+    """The text of the chunk that ends at a line."""
+    return F.concat(F.element_at("_lines", end - 1), F.lit("\n"), F.element_at("_lines", end))
+
+
+def _sha(line: Column) -> Column:
+    return F.unhex(F.sha2(line.cast("binary"), 256))
+
+
+def _keys(cut: DataFrame) -> DataFrame:
+    """One row per chunk: the hash of its text."""
+    pairs = F.transform("_ends", lambda e: F.xxhash64(_pair(e)))
+    singles = F.transform("_longs", lambda i: F.xxhash64(F.element_at("_lines", i)))
+    return cut.select(F.explode(F.concat(pairs, singles)).alias("key"))
+
+
+def _chunks(cut: DataFrame) -> DataFrame:
+    """One row per chunk: ``key``, its first and last line ``lo`` and ``hi``, ``t`` (its two lines, or a long line's SHA-256), and the
+    hashes of the lines around it: ``left`` (nearest first) back to the start of the chunk before, ``right`` to the end of the
+    one after.  A long line has no surroundings."""
+    cut = cut.withColumn("_shas", F.transform("_lines", _sha))
+    n = F.size("_lines")
+
+    def pair(end: Column, i: Column) -> Column:
+        start = F.when(i > 0, F.get("_ends", i - 1) - 1).otherwise(1)
+        stop = F.coalesce(F.get("_ends", i + 1), n)
+        text = _pair(end)
+        return F.struct((end - 1).alias("lo"), end.alias("hi"), F.xxhash64(text).alias("key"), text.alias("t"),
+                        F.reverse(F.slice("_shas", start, end - 1 - start)).alias("left"),
+                        F.slice("_shas", end + 1, stop - end).alias("right"))
+
+    def single(i: Column) -> Column:
+        nothing = F.array().cast("array<binary>")
+        line = F.element_at("_lines", i)
+        return F.struct(i.alias("lo"), i.alias("hi"), F.xxhash64(line).alias("key"), F.sha2(line.cast("binary"), 256).alias("t"),
+                        nothing.alias("left"), nothing.alias("right"))
+    every = F.concat(F.transform("_ends", pair), F.transform("_longs", single))
+    return cut.select("row", "id", F.explode(every).alias("c")).select("row", "id", "c.*")
+
+
+def _common(a: Column, b: Column) -> Column:
+    """How many leading items two arrays share."""
+    differ = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), F.lit(False))
+    return F.when(differ > 0, differ - 1).otherwise(F.size(a)).cast("int")
+
+
+def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """Remove repeated passages of two or more lines, and repeated long lines, from ``text``.
+
+    Keeps every row and column of ``docs``; ``text`` loses the removed lines and ``removed_lines`` (bigint) counts
+    them (an own column of this name is replaced).  A null text stays null with 0 removed lines; a
+    document all of whose lines occurred earlier gets the empty text.  Among equal doc_ids (and null ones, which
     come last) the first occurrence is decided by the staged row order.  An empty table gives an
     empty result."""
     docs = docs.select(*[c for c in docs.columns if c.lower() != "removed_lines"])
-    row, chunks = fresh_name(docs, "_row"), fresh_name(docs, "_chunks")
+    row = fresh_name(docs, "_row")
     text = next(c for c in docs.columns if c.lower() == "text")
     doc_id = next(c for c in docs.columns if c.lower() == "doc_id")
-    cut = stage(line_chunks(docs, divisor, text, chunks).drop(text)
-                .withColumn(row, F.monotonically_increasing_id()), "line-chunks", compression="zstd")
-
-    each = cut.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.posexplode(chunks).alias("no", "c")) \
-        .where(F.col("c.n") >= min_lines)
-    repeated = each.select(F.xxhash64("c.t").alias("key")).groupBy("key").agg(F.count("*").alias("k")) \
-        .where("k > 1").select("key")
-    candidates = stage(each.select("row", "id", "no", F.col("c.n").alias("n"), F.col("c.t").alias("t"),
-                                   F.xxhash64("c.t").alias("key")).join(repeated, "key", "left_semi"),
-                       "line-candidates", compression="zstd")
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "no")
+    held = stage(docs.withColumn(text, F.col(text).cast("string")).withColumn(row, F.monotonically_increasing_id()),
+                 "lines", compression="zstd")
+    cut = _with_lines(held.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text")), "text", divisor)
+
+    repeated = _keys(cut).groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    candidates = stage(_chunks(cut).join(repeated, "key", "left_semi"), "line-candidates", compression="zstd")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "lo", "hi", "left", "right")
     firsts = stage(candidates.groupBy("key", "t").agg(F.min(place).alias("first"), F.count("*").alias("k"))
                    .where("k > 1").select("key", "t", "first"), "line-firsts", compression="zstd")
-    again = candidates.join(firsts, ["key", "t"]) \
-        .where((F.col("row") != F.col("first.row")) | (F.col("no") != F.col("first.no")))
-    removed = again.groupBy(F.col("row").alias(row)).agg(
-        F.collect_list("no").alias("_gone"), F.sum("n").cast("long").alias("_gone_lines"))
+    again = candidates.join(firsts, ["key", "t"]).where((F.col("row") != F.col("first.row")) | (F.col("lo") != F.col("first.lo")))
+    low, high = F.col("lo") - _common(F.col("left"), F.col("first.left")), F.col("hi") + _common(F.col("right"), F.col("first.right"))
+    # in the first occurrence's own document, its lines stay
+    low = F.when(F.col("row") == F.col("first.row"), F.greatest(low, F.col("first.hi") + 1)).otherwise(low)
+    gone = again.select(F.col("row").alias(row), F.sequence(low, high).alias("_numbers")) \
+        .groupBy(row).agg(F.array_distinct(F.flatten(F.collect_list("_numbers"))).alias("_gone"))
+
+    lines = F.split(F.col(text), "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(1), F.size(lines)), F.col("_gone"))
+    left = F.array_join(F.transform(kept, lambda i: F.element_at("_all", i)), "\n")
+    rows = held.join(gone, row, "left").withColumn("_all", F.when(F.col("_gone").isNotNull(), lines))
+    rows = rows.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left))
+    return rows.select(*docs.columns, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("removed_lines"))
+
 
-    rows = cut.join(removed, row, "left")
-    kept = F.when(F.col("_gone").isNull(), F.col(chunks)).otherwise(
-        F.filter(chunks, lambda c, i: ~F.array_contains("_gone", i)))
-    rows = rows.withColumn(text, F.array_join(F.transform(kept, lambda c: c["t"]), "\n"))
-    return rows.select(*docs.columns, F.coalesce("_gone_lines", F.lit(0).cast("long")).alias("removed_lines"))
+def _around(side: str, own: str, first: str) -> str:
+    """SQL: how many lines two surroundings (lists) share from their beginning."""
+    return f"""coalesce(list_position(list_transform(range(1, greatest(len({own}.{side}), len({first}.{side})) + 1),
+      lambda k: coalesce({own}.{side}[k] = {first}.{side}[k], false)), false) - 1, len({own}.{side}))"""
 
 
-#: DuckDB: the same result by way of one row per line, windows and grouping by chunk text.
+#: DuckDB: the same result by way of lists of lines per document, windows over chunk texts, and one row per line.
 SQL = f"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS i
-  FROM documents WHERE text IS NOT NULL),
+WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM docs),
 hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
 marked AS (
-  SELECT *, CASE WHEN (h + {ROLL} * coalesce(lag(h) OVER w, 0)) % 3 = 0 THEN 1 ELSE 0 END AS cut
+  SELECT doc_id, i AS hi, coalesce((h + {ROLL} * lag(h) OVER w) % {DIVISOR} <> 0, false) AS cut,
+         lag(line) OVER w || chr(10) || line AS t
   FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-numbered AS (
-  SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-  FROM marked),
+spread AS (
+  SELECT doc_id, hi, t, coalesce(lag(hi) OVER w - 1, 1) AS start, lead(hi) OVER w AS stop
+  FROM marked WHERE cut WINDOW w AS (PARTITION BY doc_id ORDER BY hi)),
 chunks AS (
-  SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t
-  FROM numbered GROUP BY doc_id, chunk),
-ranked AS (
-  SELECT *, n >= 2 AND row_number() OVER (PARTITION BY t ORDER BY doc_id, chunk) > 1 AS gone FROM chunks),
+  SELECT s.doc_id, hi - 1 AS lo, hi, t, list_reverse(d.lines[start:hi - 2]) AS lefts,
+         d.lines[hi + 1:coalesce(stop, len(d.lines))] AS rights
+  FROM spread s JOIN docs d ON d.doc_id = s.doc_id
+  UNION ALL
+  SELECT doc_id, i, i, line, [], [] FROM lines
+  WHERE length(line) - length(replace(line, ' ', '')) >= {LONG_LINE - 1}),
+firsts AS (SELECT * FROM chunks QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id, lo) = 1),
+gone AS (
+  SELECT c.doc_id, unnest(range(
+      greatest(c.lo - {_around('lefts', 'c', 'f')}, if(c.doc_id = f.doc_id, f.hi + 1, 1)),
+      c.hi + {_around('rights', 'c', 'f')} + 1)) AS i
+  FROM chunks c JOIN firsts f ON f.t = c.t AND (f.doc_id <> c.doc_id OR f.lo <> c.lo)),
 texts AS (
-  SELECT doc_id, coalesce(string_agg(t, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS text,
-         coalesce(sum(n) FILTER (gone), 0)::BIGINT AS removed_lines
-  FROM ranked GROUP BY doc_id)
+  SELECT l.doc_id, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS text, count(g.i) AS removed_lines
+  FROM lines l LEFT JOIN (SELECT DISTINCT doc_id, i FROM gone) g ON g.doc_id = l.doc_id AND g.i = l.i
+  GROUP BY l.doc_id)
 SELECT d.doc_id, t.text, coalesce(t.removed_lines, 0) AS removed_lines
 FROM documents d LEFT JOIN texts t ON t.doc_id = d.doc_id
 """

@@ -87,8 +87,8 @@ class PieceModel:
             self.automaton.add_word(s, (len(s), i))
         self.automaton.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
-        self.parts = WordTable(self._encode_part, limit=200_000)
-        self.units = WordTable(self._encode_unit, limit=250_000)
+        self.parts = WordTable(self._encode_part, limit=100_000)
+        self.units = WordTable(self._encode_unit, limit=125_000)
 
     def merged(self, text: str) -> list[str]:
         """Plain merging: the best-scored adjacent pair first, the leftmost of equals."""

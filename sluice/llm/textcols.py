@@ -131,17 +131,21 @@ class Characters:
 
 
 class WordTable:
-    """Value per word, computed on first sight and kept up to a number of entries."""
+    """Value per word, computed on first sight.  Two generations of at most ``limit`` words are kept: when the younger is full it
+    becomes the older one, and a word found there moves back to the younger, so words that go on occurring stay."""
 
-    def __init__(self, make: Callable[[str], object], limit: int = 800_000) -> None:
-        self.make, self.limit, self.known = make, limit, {}
+    def __init__(self, make: Callable[[str], object], limit: int = 400_000) -> None:
+        self.make, self.limit, self.known, self.older = make, limit, {}, {}
 
     def __call__(self, words: list[str]) -> list:
-        known, make = self.known, self.make
-        if len(known) + len(words) > self.limit:
-            known.clear()
-        out = list(map(known.get, words))
+        out = list(map(self.known.get, words))
         for i, value in enumerate(out):
             if value is None:
-                known[words[i]] = out[i] = make(words[i])
+                word = words[i]
+                value = self.older.get(word)
+                if value is None:
+                    value = self.make(word)
+                if len(self.known) >= self.limit:
+                    self.known, self.older = {}, self.known
+                self.known[word] = out[i] = value
         return out

@@ -31,7 +31,7 @@ _SAFE = rf"^[ -~\t\n\rÀ-ÖØ-Þ{_LETTERS}]*$"
 _PLAIN = rf"^[{_LETTERS}., \t\n\r]*$"  # words, stops, commas ...
 _DOUBLE = r"[.,][.,]"  # ... none adjacent: then each stands for itself
 _BETWEEN = rf"'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ \t\n\r0-9{_LETTERS}]+"  # all but letter runs
-_WORDS = 80_000  # words kept per worker process: some 15 MB
+_WORDS = 75_000  # words kept per generation and worker process: some 30 MB in all
 
 
 def _byte_alphabet() -> dict[int, str]:

@@ -107,3 +107,13 @@ def test_long_texts_of_unlearned_languages_go(spark):
     ids = {r.doc_id for r in kept.select("doc_id").collect()}
     clean = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
     assert not ids & {10**9 + i for i in range(3)} and clean <= ids
+
+
+def test_exact_copies_leave_one_document(spark):
+    rng = np.random.default_rng(4)
+    texts = ["\n".join(" ".join(f"w{x}" for x in rng.integers(0, 10**6, 12)) for _ in range(n)) for n in (1, 3, 35, 1, 3, 35, 3, 3)]
+    rows = [(10 * i + c, t, "en", "s", len(t)) for i, t in enumerate(texts) for c in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = stage(corpus_pipeline.lines(spark, docs, SF), "copies")
+    left = corpus_pipeline.near_duplicates(spark, out, SF).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(10 * i, t) for i, t in enumerate(texts)]
