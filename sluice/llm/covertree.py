@@ -8,8 +8,8 @@ within its recorded covering radius (the true largest distance, not the nominal
 The tree is built in three steps.  Level 1 under the root is fitted on a bounded sample: a greedy net of
 at most ``pivots`` vectors.  All vectors go to their nearest pivot, and each pivot's vectors are cut
 into blocks of about ``block_rows`` by their distance to it (cuts from a histogram of distances; a hot pivot becomes
-many blocks, and near copies mostly stay together).  Each block grows its lower levels in one task.  The traversal starts at pairs of pivots
-and of blocks, pruned by their covering radii in Spark joins; every pair of blocks that is left is a
+many blocks, and near copies mostly stay together).  Each block grows its lower levels in one task.  The traversal starts at all pairs
+of blocks (made by joins), pruned by the blocks' covering radii; every pair of blocks that is left is a
 row, whose two subtrees are traversed together in one task: node pairs further apart than the
 threshold and both covering radii are dropped, the others expand to their children, down to single
 vectors, whose cosine is compared in double precision.
@@ -39,6 +39,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
+def commonest_length(rows: DataFrame, column: str) -> int:
+    """The length most lists of a column have (the smaller at a tie; 0 without rows): a histogram of lengths, of which one row is
+    read."""
+    lengths = rows.groupBy(F.size(column).alias("length")).agg(F.count("*").alias("n"))
+    first = lengths.orderBy(F.desc("n"), "length").limit(1).collect()
+    return first[0]["length"] if first else 0
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     """Rows scaled to length one."""
     top = np.abs(x).max(axis=1, keepdims=True) if x.size else np.ones((len(x), 1))
@@ -245,8 +253,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, pivots: int = 16, sam
 
     One row per input row: ``vec_id``, ``n_links`` (other rows linked directly, exact copies included),
     ``component_id`` (smallest vec_id reachable, itself included), ``kept`` (vec_id = component_id).  Null and zero vectors and
-    those with null or non-finite components link with nothing and are their own component; vectors of
-    another dimension than the commonest one are refused.  Repeated rows link like any others; a null vec_id is kept as a
+    those with null or non-finite components link with nothing and are their own component; so do vectors of
+    another length than the commonest one (at a tie, the smaller length is the commonest), empty ones among them.  Repeated rows link like any others; a null vec_id is kept as a
     row of its own without links.  An empty table gives an empty result."""
     if not 0 < cosine <= 1:
         raise ValueError("cosine must lie in (0, 1]")
@@ -256,13 +264,12 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, pivots: int = 16, sam
     finite = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) <= 1.7976931348623157e308))
     usable = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
     rows = stage(rows.withColumn("ok", usable), "vectors")
+    length = commonest_length(rows.where("ok"), "v")
+    rows = rows.withColumn("ok", F.col("ok") & F.coalesce(F.size("v") == length, F.lit(False)))
     one = stage(rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")),
                 "distinct-vectors")
 
     sample = one.select("id", "v").orderBy(F.xxhash64("id")).limit(sample_rows).toArrow()  # bounded
-    sizes = {len(v) for v in sample.column("v").to_pylist()}
-    if len(sizes) > 1:
-        raise ValueError("vectors of several dimensions")
     x = _unit(_matrix(sample.column("v").combine_chunks())) if sample.num_rows else np.zeros((0, 1))
     net = x[greedy_net(x, 1.0, pivots)[0]] if len(x) else x
 
@@ -326,8 +333,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, pivots: int = 16, sam
 
 
 def _block_pairs(blocks: DataFrame, tau: float) -> DataFrame:
-    """Pairs of blocks that can hold a pair within ``tau``: pairs of pivot groups first (bounded by their
-    covering balls), then blocks of the surviving groups, by equi-joins down the tree."""
+    """Pairs of blocks that can hold a pair within ``tau``: every pair of blocks is produced by joins over the pairs of pivots, and
+    kept if their covering balls come near enough.  Pivots have no balls of their own, so nothing is pruned above blocks."""
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.stack([np.frombuffer(v, dtype="<f8") for v in batch.column(i).to_pylist()])

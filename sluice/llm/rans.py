@@ -118,7 +118,8 @@ def decode_block(words: bytes, states: bytes, n_ids: int, table: FrequencyTable,
 
 
 def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Tokens in ascending doc_id order (null first): ``part``, ``at`` (ids before it in its part),
+    """Tokens in ascending doc_id order (null first; rows of equal doc_id by the hash of their text, so that an id which many rows share is
+    cut over several parts): ``part``, ``at`` (ids before it in its part),
     ``doc_id``, ``n``, ``ids`` (little-endian unsigned 16-bit, or 32-bit if the vocabulary needs it)."""
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -142,7 +143,8 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 total += int(ends[-1])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")) \
-        .repartitionByRange(n_parts, "doc_id").sortWithinPartitions("doc_id") \
+        .withColumn("tie", F.xxhash64("text")) \
+        .repartitionByRange(n_parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie") \
         .mapInArrow(run, "part int, at long, doc_id long, n long, ids binary")
 
 

@@ -25,16 +25,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from sluice.llm.covertree import commonest_length
 from sluice.llm.staging import stage
 
 
-def quantized(vectors: DataFrame, factor: float, id_col: str, vector_col: str) -> DataFrame:
-    """``(id, v)``: floor(factor * component), components as doubles; rows with a null id or vector, or with null
-    or non-finite components, do not take part."""
+def quantized(vectors: DataFrame, factor: float, id_col: str, vector_col: str, length: int | None = None) -> DataFrame:
+    """``(id, v)``: floor(factor * component), components as doubles; rows with a null id or vector, an empty one, or one with null
+    or non-finite components, do not take part, nor do vectors of another length than ``length``, if given."""
     v = F.col("v")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     fine = F.forall(v, lambda x: x.isNotNull() & (F.abs(x) <= 1.7976931348623157e308))
-    return rows.where(F.col("id").isNotNull() & v.isNotNull() & fine).select(
+    sized = F.size(v) == length if length else F.size(v) > 0
+    return rows.where(F.col("id").isNotNull() & v.isNotNull() & fine & sized).select(
         "id", F.transform(v, lambda x: F.floor(x * F.lit(float(factor))).cast("long")).alias("v"))
 
 
@@ -135,11 +137,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 6
     ``query_id, rank, vec_id, score``: rank from 1, ties to the smaller vec_id, fewer than ``k`` rows if there are fewer
     candidates.  Components become floor(factor * x).  Rows with null or non-finite components (or a null
     id) take part neither as query nor as candidate; zero vectors do.  Repeated candidate rows count each;
-    equal query rows are asked once.  All vectors must have one dimension."""
-    blocks = stage(quantized(vectors, factor, id_col, vector_col).mapInArrow(
+    equal query rows are asked once.  Only vectors of the commonest length among the candidates (at a tie, the smaller one) take part."""
+    length = commonest_length(quantized(vectors, factor, id_col, vector_col), "v")
+    blocks = stage(quantized(vectors, factor, id_col, vector_col, length).mapInArrow(
         _blocks(block_rows), "first long, ids array<long>, x binary, wide boolean")
         .withColumn("block", F.monotonically_increasing_id()), "topk-blocks")
-    asked = stage(quantized(queries, factor, id_col, vector_col).dropDuplicates(["id", "v"]).mapInArrow(
+    asked = stage(quantized(queries, factor, id_col, vector_col, length).dropDuplicates(["id", "v"]).mapInArrow(
         _blocks(query_rows), "first long, ids array<long>, x binary, wide boolean")
         .select("ids", "x", "wide"), "topk-queries")
     n_blocks = blocks.count()
@@ -160,8 +163,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 6
                 _, ids, lists = known
                 q_ids = np.array(batch.column(4)[row].as_py(), dtype=np.int64)
                 q = _matrix(batch.column(5)[row].as_py(), len(q_ids), batch.column(6)[row].as_py())
-                if q.shape[1] != lists.x.shape[1]:
-                    raise ValueError("vectors of several dimensions")
                 out: list[tuple] = []
                 for i, rows in enumerate(nra(lists, q, k, ids[:, None] == q_ids[None, :])):
                     scores = lists.x[rows] @ q[i]  # final scores of what can still qualify

@@ -93,3 +93,14 @@ def test_edge_tables(spark):
     assert sorted((str(r.vec_id), r.n_links, r.kept) for r in only) == [("3", 0, True), ("None", 0, True)]
     same = near_vectors(spark.createDataFrame([(7, [1.0, 2.0]), (7, [1.0, 2.0]), (9, [2.0, 4.0])], schema)).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in same) == [(7, 2, 7), (7, 2, 7), (9, 2, 7)]
+
+
+def test_vectors_of_other_lengths_link_with_nothing(spark):
+    rows = [(1, [1.0, 2.0, 3.0]), (2, [1.0, 2.0, 3.1]), (3, [1.0, 2.0]), (4, [1.0, 2.0, 3.0, 4.0]), (5, []), (6, [1.0, 2.0])]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1), sample_rows=1).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [
+        (1, 0, 1), (2, 0, 2), (3, 1, 3), (4, 0, 4), (5, 0, 5), (6, 1, 3)]
+    rows.append((7, [1.0, 2.0, 3.0]))
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1), sample_rows=1).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [
+        (1, 2, 1), (2, 2, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 2, 1)]

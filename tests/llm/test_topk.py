@@ -71,3 +71,10 @@ def test_edge_tables(spark):
     twice = spark.createDataFrame([(20, [1.0]), (20, [1.0]), (3, [0.5]), (3, [0.5])], schema)
     assert sorted(tuple(r) for r in top_k(twice, twice.where("vec_id = 20")).collect()) == \
         [(20, 1, 3, 2048), (20, 2, 3, 2048)]
+
+
+def test_vectors_of_other_lengths_take_no_part(spark):
+    rows = [(20, [1.0, 0.5]), (1, [0.5, 0.5]), (2, []), (3, [1.0]), (40, [1.0, 2.0, 3.0]), (60, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    got = top_k(df, df.where("vec_id % 20 = 0")).collect()
+    assert [tuple(r) for r in got] == [(20, 1, 1, 64 * 32 + 32 * 32)]
