@@ -7,8 +7,8 @@ does not move them.  A line of ``LONG_LINE`` or more words is a chunk by itself.
 
 Chunks that occur more than once in the whole corpus are candidates by hash; the two lines are then compared byte by byte (grouped and
 joined by the text itself; long lines by their SHA-256).  Of equal chunks the first - by doc_id, then position - stays.  Every
-other one is removed together with the lines around it, line by line as far as they equal those around the first one (by their
-SHA-256), up to the next chunk on either side, which has its own occurrences.  So a repeated passage goes whole, edges
+other one is removed together with the lines around it, line by line as far as they equal those around the first one (by the first
+half of their SHA-256), up to the next chunk on either side, which has its own occurrences.  So a repeated passage goes whole, edges
 and lines between chunks included, and so does an exact copy; the lines of the first occurrence stay in the same document.
 
 The corpus is staged once with row numbers.  Only candidates travel with their two lines and the hashes of their
@@ -53,7 +53,8 @@ def _pair(end: Column) -> Column:
 
 
 def _sha(line: Column) -> Column:
-    return F.unhex(F.sha2(line.cast("binary"), 256))
+    """The first 128 bits of a line's SHA-256."""
+    return F.substring(F.unhex(F.sha2(line.cast("binary"), 256)), 1, 16)
 
 
 def _keys(cut: DataFrame) -> DataFrame:
