@@ -11,9 +11,10 @@ other one is removed together with the lines around it, line by line as far as t
 half of their SHA-256), up to the next chunk on either side, which has its own occurrences.  So a repeated passage goes whole, edges
 and lines between chunks included, and so does an exact copy; the lines of the first occurrence stay in the same document.
 
-The corpus is staged once with row numbers.  Only candidates travel with their two lines and the hashes of their
-surroundings; counting and finding the first occurrence are aggregates with map-side combine, and the join that marks the
-other occurrences is a plain equi-join of two shuffled tables, which AQE splits at a hot chunk.
+The corpus is staged once with row numbers.  Hashes alone are counted and matched; each text then travels once to the numbers of
+its repeated chunks, where the candidates get their two lines and the hashes of their surroundings.  Counting and finding the
+first occurrence are aggregates with map-side combine, and the joins that find candidates and mark the other occurrences are plain
+equi-joins of two shuffled tables, which AQE splits at a hot chunk.
 """
 
 from __future__ import annotations
@@ -58,20 +59,21 @@ def _sha(line: Column) -> Column:
 
 
 def _keys(cut: DataFrame) -> DataFrame:
-    """One row per chunk: the hash of its text."""
+    """One row per chunk: the hash of its text and its number (from 0) in its document, pairs before long lines."""
     pairs = F.transform("_ends", lambda e: F.xxhash64(_pair(e)))
     singles = F.transform("_longs", lambda i: F.xxhash64(F.element_at("_lines", i)))
-    return cut.select(F.explode(F.concat(pairs, singles)).alias("key"))
+    return cut.select("row", F.posexplode(F.concat(pairs, singles)).alias("slot", "key"))
 
 
 def _chunks(cut: DataFrame) -> DataFrame:
-    """One row per chunk: ``key``, its first and last line ``lo`` and ``hi``, ``t`` (its two lines, or a long line's SHA-256), and the
-    hashes of the lines around it: ``left`` (nearest first) back to the start of the chunk before, ``right`` to the end of the
-    one after.  A long line has no surroundings."""
+    """One row per chunk whose number is in ``_slots``: ``key``, its first and last line ``lo`` and ``hi``, ``t`` (its two lines, or
+    a long line's SHA-256), and the hashes of the lines around it: ``left`` (nearest first) back to the start of the chunk before,
+    ``right`` to the end of the one after.  A long line has no surroundings."""
     cut = cut.withColumn("_shas", F.transform("_lines", _sha))
-    n = F.size("_lines")
+    n, pairs = F.size("_lines"), F.size("_ends")
 
-    def pair(end: Column, i: Column) -> Column:
+    def pair(i: Column) -> Column:
+        end = F.get("_ends", i)
         start = F.when(i > 0, F.get("_ends", i - 1) - 1).otherwise(1)
         stop = F.coalesce(F.get("_ends", i + 1), n)
         text = _pair(end)
@@ -81,10 +83,11 @@ def _chunks(cut: DataFrame) -> DataFrame:
 
     def single(i: Column) -> Column:
         nothing = F.array().cast("array<binary>")
-        line = F.element_at("_lines", i)
-        return F.struct(i.alias("lo"), i.alias("hi"), F.xxhash64(line).alias("key"), F.sha2(line.cast("binary"), 256).alias("t"),
+        at = F.get("_longs", i)
+        line = F.element_at("_lines", at)
+        return F.struct(at.alias("lo"), at.alias("hi"), F.xxhash64(line).alias("key"), F.sha2(line.cast("binary"), 256).alias("t"),
                         nothing.alias("left"), nothing.alias("right"))
-    every = F.concat(F.transform("_ends", pair), F.transform("_longs", single))
+    every = F.transform("_slots", lambda k: F.when(k < pairs, pair(k)).otherwise(single(k - pairs)))
     return cut.select("row", "id", F.explode(every).alias("c")).select("row", "id", "c.*")
 
 
@@ -108,10 +111,11 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     doc_id = next(c for c in docs.columns if c.lower() == "doc_id")
     held = stage(docs.withColumn(text, F.col(text).cast("string")).withColumn(row, F.monotonically_increasing_id()),
                  "lines", compression="zstd")
-    cut = _with_lines(held.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text")), "text", divisor)
-
-    repeated = _keys(cut).groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-    candidates = stage(_chunks(cut).join(repeated, "key", "left_semi"), "line-candidates", compression="zstd")
+    rows = held.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    keys = _keys(_with_lines(rows, "text", divisor))
+    repeated = keys.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
+    slots = keys.join(repeated, "key", "left_semi").groupBy("row").agg(F.collect_list("slot").alias("_slots"))
+    candidates = stage(_chunks(_with_lines(rows.join(slots, "row"), "text", divisor)), "line-candidates", compression="zstd")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "lo", "hi", "left", "right")
     firsts = stage(candidates.groupBy("key", "t").agg(F.min(place).alias("first"), F.count("*").alias("k"))
                    .where("k > 1").select("key", "t", "first"), "line-firsts", compression="zstd")
