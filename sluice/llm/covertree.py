@@ -5,14 +5,18 @@ root of radius 2, which covers everything, and below it nested levels of halving
 1, 1/2, 1/4 ...: every node is a vector, is its own first child, and every vector under it lies
 within its recorded covering radius (the true largest distance, not the nominal one).
 
-The tree is built in three steps.  Level 1 under the root is fitted on a bounded sample: a greedy net of
-at most ``pivots`` vectors.  All vectors go to their nearest pivot, and each pivot's vectors are cut
-into blocks of about ``block_rows`` by their distance to it (cuts from a histogram of distances; a hot pivot becomes
-many blocks, and near copies mostly stay together).  Each block grows its lower levels in one task.  The traversal starts at all pairs
-of blocks (made by joins), pruned by the blocks' covering radii; every pair of blocks that is left is a
-row, whose two subtrees are traversed together in one task: node pairs further apart than the
-threshold and both covering radii are dropped, the others expand to their children, down to single
-vectors, whose cosine is compared in double precision.
+The tree is built in three steps.  Its upper levels (`Net`) are fitted on a bounded sample: greedy nets of halving radii, at most
+``fanout`` centres under a node (a level that needs more centres repeats its radius below), split as long as a node
+stands for more than ``block_rows`` rows.  All vectors go to their nearest leaf of the net, which gives the true covering radius of
+every node; small nodes are closed or bundled with their siblings, and the rows of a leaf that is still
+too large are cut by their distance to it (a histogram; equal distances by hash).  Each block so made, of
+about ``block_rows`` rows, grows its lower levels in one task.
+
+The traversal starts at the root paired with itself.  Each step is a join of the pairs that are left with the children of
+both sides, pruned by covering radii; pairs of leaves become pairs of their blocks, pruned by the blocks' own balls.  Every
+pair of blocks that is left is a row, whose two subtrees are traversed together in one task: node
+pairs further apart than the threshold and both covering radii are dropped, the others expand to their
+children, down to single vectors, whose cosine is compared in double precision.
 
 Exact copies are collapsed to one vector with a count before the tree.  A pair of blocks returns the
 number of links by vector and a spanning forest of the links, never the pairs.
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.llm.components import Forest, connected_components
 from sluice.llm.staging import stage
@@ -169,28 +173,147 @@ def dual_traversal(a: Subtree, b: Subtree, tau: float) -> tuple[np.ndarray, np.n
     return rows_a[first], rows_b[second]
 
 
-_BINS = 1000  # of the distance to the pivot, 0 to 2
+_BINS = 64  # of the distance to the leaf's centre, 0 to 2
 
 
-def _cut_blocks(sizes: dict[tuple[int, int], int], pivots: int, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first block, number of blocks) by pivot and bin of the distance to it: neighbouring bins share a block of
-    about ``block_rows`` rows; a bin with more rows than that gets several."""
-    first = np.zeros((pivots, _BINS + 1), dtype=np.int64)
-    parts = np.ones((pivots, _BINS + 1), dtype=np.int64)
-    block = -1
-    for p in range(pivots):
-        held = block_rows  # every pivot starts a block
-        for b in range(_BINS + 1):
-            n = sizes.get((p, b), 0)
-            if not n:
+class Net:
+    """The upper levels of the tree.  Node 0 is the root; every node's centre is a vector of the sample and the first centre among its
+    children (nested), so each centre belongs to one leaf.  ``paths`` lists by leaf the nodes from the root down to it."""
+
+    def __init__(self, x: np.ndarray, tau: float, fanout: int, leaf_rows: int) -> None:
+        self.centre, self.kids = [0] * bool(len(x)), [[]] * bool(len(x))
+        self.paths: list[list[int]] = []
+        work = [([0], np.arange(len(x)), 1.0)] if len(x) else []
+        while work:
+            path, members, radius = work.pop()
+            centres, owner = np.zeros(1, np.int64), np.zeros(len(members), np.int64)
+            if len(members) > leaf_rows:
+                while radius >= tau / 4 and len(centres) == 1:
+                    centres, owner = greedy_net(x[members], radius, fanout)
+                    if len(centres) < fanout:
+                        radius /= 2
+            if len(centres) == 1:
+                self.paths.append(path)
+                continue
+            kids = list(range(len(self.centre), len(self.centre) + len(centres)))
+            self.kids[path[-1]] = kids
+            self.centre += members[centres].tolist()
+            self.kids += [[] for _ in kids]
+            for c in reversed(range(len(centres))):
+                mine = members[owner == c]
+                mine = np.concatenate([members[centres[c:c + 1]], mine[mine != members[centres[c]]]])
+                work.append(([*path, kids[c]], mine, radius))
+        self.depth = max(map(len, self.paths), default=0)
+        leaf_of = {self.centre[path[-1]]: leaf for leaf, path in enumerate(self.paths)}
+        #: by leaf and level the leaf that has the centre of its node on that level (below the leaf's own level: itself)
+        self.up = np.array([[leaf_of[self.centre[path[min(level, len(path) - 1)]]] for level in range(self.depth)]
+                            for path in self.paths], dtype=np.int64).reshape(len(self.paths), self.depth)
+        self.x = x[[self.centre[path[-1]] for path in self.paths]] if len(x) else np.zeros((0, x.shape[1]))
+
+
+class Cells:
+    """The net with its small nodes closed: ``kids`` by node (a cell has itself alone), ``x`` and ``radius`` by node, ``cell`` by
+    leaf of the net, ``rows`` by cell."""
+
+    def __init__(self, net: Net, found: dict[int, tuple[int, list[float]]], block_rows: int) -> None:
+        """``found``: by leaf its number of rows and their largest distance to the centre of each level."""
+        nodes = len(net.centre)
+        rows, radius = np.zeros(nodes, np.int64), np.zeros(nodes)
+        leaves: list[list[int]] = [[] for _ in range(nodes)]
+        self.x = np.zeros((nodes, net.x.shape[1]))
+        for leaf, path in enumerate(net.paths):
+            n, far = found.get(leaf, (0, [0.0] * net.depth))
+            for level, node in enumerate(path):
+                rows[node] += n
+                radius[node] = max(radius[node], far[level])
+                leaves[node].append(leaf)
+                self.x[node] = net.x[net.up[leaf, level]]
+        self.radius = radius
+        self.kids: dict[int, list[int]] = {}
+        self.rows: dict[int, int] = {}
+        self.cell = np.zeros(len(net.paths), dtype=np.int64)
+        self.depth = 0
+        work = [(0, 0)] if nodes else []
+        while work:
+            node, depth = work.pop()
+            self.depth = max(self.depth, depth)
+            if rows[node] <= block_rows or not net.kids[node]:
+                self._close(node, [node], rows, leaves)
+                continue
+            small = [k for k in net.kids[node] if 0 < rows[k] <= block_rows]
+            large = [k for k in net.kids[node] if rows[k] > block_rows]
+            self.kids[node] = list(large)
+            while small:
+                held = 0
+                bundle = []
+                while small and held + rows[small[0]] <= block_rows:
+                    held += rows[small[0]]
+                    bundle.append(small.pop(0))
+                name = bundle[0] if len(bundle) == 1 else len(self.x)
+                if len(bundle) > 1:  # a node of its own about its first member's centre
+                    reach = _distances(self.x[bundle[:1]], self.x[bundle])[0] + self.radius[bundle]
+                    self.x = np.concatenate([self.x, self.x[bundle[:1]]])
+                    self.radius = np.append(self.radius, reach.max() + _SLACK)
+                self._close(name, bundle, rows, leaves)
+                self.kids[node].append(name)
+                self.depth = max(self.depth, depth + 1)
+            work += [(k, depth + 1) for k in large]
+
+    def _close(self, name: int, members: list[int], rows: np.ndarray, leaves: list[list[int]]) -> None:
+        self.kids[name] = [name]
+        self.rows[name] = int(sum(rows[m] for m in members))
+        for m in members:
+            self.cell[leaves[m]] = name
+
+    def blocks(self, sizes: dict[tuple[int, int], int], block_rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first block, number of blocks) by cell and bin of the distance to its centre; ``sizes`` has the bins of cells with more
+        than ``block_rows`` rows.  Neighbouring bins share a block; a bin with more rows gets several."""
+        first = np.zeros((len(self.x), _BINS + 1), dtype=np.int64)
+        parts = np.ones((len(self.x), _BINS + 1), dtype=np.int64)
+        block = -1
+        for cell, total in sorted(self.rows.items()):
+            if total <= block_rows:
+                block += 1
+                first[cell] = block
                 continue
-            if held + n > block_rows:
-                block, held = block + 1, 0
-            first[p, b], parts[p, b] = block, max(1, -(-n // block_rows))
-            held += n
-            if parts[p, b] > 1:
-                block, held = block + parts[p, b] - 1, block_rows
-    return first, parts
+            held = block_rows  # every cell starts a block
+            for b in range(_BINS + 1):
+                n = sizes.get((cell, b), 0)
+                if not n:
+                    continue
+                if held + n > block_rows:
+                    block, held = block + 1, 0
+                first[cell, b], parts[cell, b] = block, max(1, -(-n // block_rows))
+                held += n
+                if parts[cell, b] > 1:
+                    block, held = block + parts[cell, b] - 1, block_rows
+        return first, parts
+
+
+def cell_pairs(spark: SparkSession, cells: Cells, tau: float) -> DataFrame:
+    """Pairs of cells (``a``, ``b``; each pair once, a cell with itself included) that can hold a pair within ``tau``: from the root
+    down, one join with the children of both sides and one pruning by covering radii per level."""
+    x, radius = cells.x, cells.radius
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(i).to_numpy() for i in range(2))
+            keep = np.zeros(len(a), dtype=bool)
+            for at in range(0, len(a), 1 << 14):  # bounded memory
+                s = slice(at, at + (1 << 14))
+                d = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.einsum("ij,ij->i", x[a[s]], x[b[s]])))
+                keep[s] = d <= tau + radius[a[s]] + radius[b[s]] + _SLACK
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+
+    kids = spark.createDataFrame([(n, k) for n, ks in cells.kids.items() for k in ks], "node long, kid long")
+    left, right = kids.toDF("a", "next_a"), kids.toDF("b", "next_b")
+    pairs = spark.createDataFrame([(0, 0)] if cells.kids else [], "a long, b long")
+    for level in range(cells.depth):
+        pairs = pairs.join(left, "a").join(right, "b").where((F.col("a") != F.col("b")) | (F.col("next_a") <= F.col("next_b"))) \
+            .select(F.col("next_a").alias("a"), F.col("next_b").alias("b")).mapInArrow(near, "a long, b long")
+        if level % 3 == 2:
+            pairs = stage(pairs, "cell-pairs")
+    return pairs
 
 
 def _grow_block(key: tuple, batches: Iterator[pa.RecordBatch], tau: float) -> Iterator[pa.RecordBatch]:
@@ -203,12 +326,12 @@ def _grow_block(key: tuple, batches: Iterator[pa.RecordBatch], tau: float) -> It
     centre = centre / norm if norm > 1e-9 else tree.x[0]
     radius = float(_distances(tree.x, centre[None, :]).max())
     yield pa.RecordBatch.from_arrays(
-        [pa.array([rows.column("pivot")[0].as_py()], pa.int32()), pa.array([key[0].as_py()], pa.int64()),
+        [pa.array([rows.column("cell")[0].as_py()], pa.int64()), pa.array([key[0].as_py()], pa.int64()),
          pa.array([centre.astype("<f8").tobytes()], pa.binary()), pa.array([radius]),
          pa.array([rows.column("id").to_pylist()], pa.list_(pa.int64())),
          pa.array([rows.column("copies").to_pylist()], pa.list_(pa.int64())),
          pa.array([tree.dump(raw)], pa.binary())],
-        names=["pivot", "block", "centre", "radius", "ids", "copies", "tree"])
+        names=["cell", "block", "centre", "radius", "ids", "copies", "tree"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch], cosine: float, tau: float) -> Iterator[pa.RecordBatch]:
@@ -247,7 +370,7 @@ def _compare(batches: Iterator[pa.RecordBatch], cosine: float, tau: float) -> It
                 names=["node", "other", "links"])
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.95, pivots: int = 16, sample_rows: int = 4096,
+def near_vectors(vectors: DataFrame, cosine: float = 0.95, fanout: int = 16, sample_rows: int = 4096,
                  block_rows: int = 2048, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Classes of vectors linked by a cosine of at least ``cosine``.
 
@@ -256,8 +379,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, pivots: int = 16, sam
     those with null or non-finite components link with nothing and are their own component; so do vectors of
     another length than the commonest one (at a tie, the smaller length is the commonest), empty ones among them.  Repeated rows link like any others; a null vec_id is kept as a
     row of its own without links.  An empty table gives an empty result."""
-    if not 0 < cosine <= 1:
-        raise ValueError("cosine must lie in (0, 1]")
+    if not 0 < cosine <= 1 or fanout < 2:
+        raise ValueError("cosine must lie in (0, 1], fanout must be at least 2")
     tau = float(np.sqrt(2.0 - 2.0 * cosine))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                           F.col(vector_col).cast("array<double>").alias("v"))
@@ -271,46 +394,56 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, pivots: int = 16, sam
 
     sample = one.select("id", "v").orderBy(F.xxhash64("id")).limit(sample_rows).toArrow()  # bounded
     x = _unit(_matrix(sample.column("v").combine_chunks())) if sample.num_rows else np.zeros((0, 1))
-    net = x[greedy_net(x, 1.0, pivots)[0]] if len(x) else x
+    total = one.count()
+    net = Net(x, tau, fanout, max(1, block_rows * len(x) // max(1, total)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = _matrix(batch.column(2))
-            y = _unit(raw)
-            d = _distances(y, net)
-            pivot = d.argmin(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pivot.astype(np.int32)), pa.array(d[np.arange(len(y)), pivot]),
-                 batch.column(0), batch.column(1),
-                 pa.array([r.tobytes() for r in raw.astype("<f8")], pa.binary())],
-                names=["pivot", "d", "id", "copies", "x"])
+            for at in range(0, batch.num_rows, 1024):  # bounded memory
+                part = batch.slice(at, 1024)
+                raw = _matrix(part.column(2))
+                d = _distances(_unit(raw), net.x)
+                leaf = d.argmin(axis=1)
+                far = np.take_along_axis(d, net.up[leaf], axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf), pa.array(d[np.arange(len(d)), leaf]),
+                     pa.array(list(far), pa.list_(pa.float64())), part.column(0), part.column(1),
+                     pa.array([r.tobytes() for r in raw.astype("<f8")], pa.binary())],
+                    names=["leaf", "d", "far", "id", "copies", "x"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _compare(batches, cosine, tau)
 
     placed = stage(one.select("id", "copies", "v").mapInArrow(
-        assign, "pivot int, d double, id long, copies long, x binary")
+        assign, "leaf long, d double, far array<double>, id long, copies long, x binary")
         .withColumn("bin", F.least(F.lit(_BINS), F.floor(F.col("d") * (_BINS / 2))).cast("int")), "placed")
-    sizes = {(r["pivot"], r["bin"]): r["count"] for r in placed.groupBy("pivot", "bin").count().collect()}  # bounded
-    first, parts = _cut_blocks(sizes, max(1, len(net)), block_rows)
+    furthest = [F.max(F.get("far", F.lit(level))).alias(f"far_{level}") for level in range(net.depth)]
+    found = {r[0]: (r[1], list(r[2:])) for r in
+             placed.groupBy("leaf").agg(F.count("*").alias("n"), *furthest).collect()}  # at most a row per sampled vector
+    cells = Cells(net, found, block_rows)
+    large = [leaf for leaf, (n, _) in found.items() if n > block_rows]
+    sizes = {(int(cells.cell[r["leaf"]]), r["bin"]): r["count"] for r in
+             placed.where(F.col("leaf").isin(large)).groupBy("leaf", "bin").count().collect()}  # bounded
+    first, parts = cells.blocks(sizes, block_rows)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pivot, at, ids = (batch.column(i).to_numpy() for i in range(3))
+            leaf, at, ids = (batch.column(i).to_numpy() for i in range(3))
             spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+            cell = cells.cell[leaf]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(first[pivot, at] + spread % parts[pivot, at]), *(batch.column(i) for i in (0, 2, 3, 4))],
-                names=["block", "pivot", "id", "copies", "x"])
+                [pa.array(first[cell, at] + spread % parts[cell, at]), pa.array(cell), *(batch.column(i) for i in (2, 3, 4))],
+                names=["block", "cell", "id", "copies", "x"])
 
     def grow(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _grow_block(key, batches, tau)
 
-    # a block holds about block_rows rows whatever the pivot holds, and however many partitions there are
-    blocks = stage(placed.select("pivot", "bin", "id", "copies", "x")
-                   .mapInArrow(number, "block long, pivot int, id long, copies long, x binary")
-                   .groupBy("block").applyInArrow(grow, "pivot int, block long, centre binary, radius double, "
+    # a block holds about block_rows rows whatever the cell holds, and however many partitions there are
+    blocks = stage(placed.select("leaf", "bin", "id", "copies", "x")
+                   .mapInArrow(number, "block long, cell long, id long, copies long, x binary")
+                   .groupBy("block").applyInArrow(grow, "cell long, block long, centre binary, radius double, "
                                                         "ids array<long>, copies array<long>, tree binary"), "blocks")
-    pairs = _block_pairs(blocks, tau)
+    pairs = _block_pairs(blocks, cell_pairs(vectors.sparkSession, cells, tau), tau)
     payload = blocks.select("block", "ids", "copies", "tree")
     left = payload.select(*[F.col(c).alias(f"a_{c}") for c in payload.columns])
     right = payload.select(*[F.col(c).alias(f"b_{c}") for c in payload.columns])
@@ -332,9 +465,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, pivots: int = 16, sam
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
-def _block_pairs(blocks: DataFrame, tau: float) -> DataFrame:
-    """Pairs of blocks that can hold a pair within ``tau``: every pair of blocks is produced by joins over the pairs of pivots, and
-    kept if their covering balls come near enough.  Pivots have no balls of their own, so nothing is pruned above blocks."""
+def _block_pairs(blocks: DataFrame, pairs: DataFrame, tau: float) -> DataFrame:
+    """The pairs of cells that are left, joined with the blocks of both, and kept if the blocks' covering balls come near enough."""
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.stack([np.frombuffer(v, dtype="<f8") for v in batch.column(i).to_pylist()])
@@ -345,18 +477,10 @@ def _block_pairs(blocks: DataFrame, tau: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(3).filter(keep)],
                                              names=["a_block", "b_block"])
 
-    nodes = blocks.select("pivot", "block", "centre", "radius")
-    groups = nodes.select("pivot").distinct()
-    # the root's children, each with every group from its own number on (at most `pivots` of them)
-    top = groups.select(F.col("pivot").alias("a_pivot"), F.explode(F.sequence(
-        "pivot", F.lit(_most_pivot(groups)))).alias("b_pivot"))
+    nodes = blocks.select("cell", "block", "centre", "radius")
     a = nodes.select(*[F.col(c).alias(f"a_{c}") for c in nodes.columns])
     b = nodes.select(*[F.col(c).alias(f"b_{c}") for c in nodes.columns])
-    pairs = top.join(a, "a_pivot").join(b, "b_pivot").where(
-        (F.col("a_pivot") < F.col("b_pivot")) | (F.col("a_block") <= F.col("b_block")))
-    return pairs.select("a_block", "a_centre", "a_radius", "b_block", "b_centre", "b_radius").mapInArrow(
+    both = pairs.join(a, F.col("a") == F.col("a_cell")).join(b, F.col("b") == F.col("b_cell")).where(
+        (F.col("a") != F.col("b")) | (F.col("a_block") <= F.col("b_block")))
+    return both.select("a_block", "a_centre", "a_radius", "b_block", "b_centre", "b_radius").mapInArrow(
         near, "a_block long, b_block long")
-
-
-def _most_pivot(groups: DataFrame) -> int:
-    return groups.agg(F.coalesce(F.max("pivot"), F.lit(0))).first()[0]

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from sluice.llm.covertree import Subtree, dual_traversal, greedy_net, near_vectors
+from sluice.llm.covertree import Cells, Net, Subtree, _distances, _unit, cell_pairs, dual_traversal, greedy_net, near_vectors
 
 
 def cloud(rng, n, dim, copies, spread):
@@ -78,7 +78,7 @@ def test_classes_match_brute_force(spark, block_rows):
              (5004, [None] + [1.0] * 15), (5005, [0.0] * 16)]
     df = spark.createDataFrame([(i, v, 1, "k") for i, v in rows],
                                "vec_id long, embedding array<float>, v int, component_id string")
-    out = near_vectors(df.repartition(6), block_rows=block_rows, pivots=4, sample_rows=64)
+    out = near_vectors(df.repartition(6), block_rows=block_rows, fanout=4, sample_rows=64)
     assert out.columns == ["vec_id", "n_links", "component_id", "kept"]
     got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
     want = brute(rows, 0.95)
@@ -86,6 +86,39 @@ def test_classes_match_brute_force(spark, block_rows):
     assert all(r.kept == (r.vec_id == r.component_id) for r in out.collect())
 
 
+def test_net_prunes_pairs_of_cells_level_by_level(spark):
+    rng = np.random.default_rng(2)
+    middles = np.repeat(rng.normal(size=(60, 4)), 50, axis=0)
+    x = _unit(rng.permutation(middles + 0.02 * rng.normal(size=middles.shape)))
+    tau, block_rows = float(np.sqrt(0.1)), 60
+    net = Net(x[:600], tau, 4, 12)
+    assert net.depth > 2 and len(set(map(tuple, net.paths))) == len(net.paths)
+    d = _distances(x, net.x)
+    leaf = d.argmin(axis=1)
+    far = np.take_along_axis(d, net.up[leaf], axis=1)
+    found = {k: (int((leaf == k).sum()), far[leaf == k].max(axis=0).tolist()) for k in np.unique(leaf).tolist()}
+    cells = Cells(net, found, block_rows)
+    cell = cells.cell[leaf]
+    assert {c: int((cell == c).sum()) for c in set(cell.tolist())} == cells.rows
+    for c in cells.rows:  # every cell's ball covers its rows
+        assert _distances(x[cell == c], cells.x[c:c + 1]).max() <= cells.radius[c] + 1e-6
+    pairs = [(r.a, r.b) for r in cell_pairs(spark, cells, tau).collect()]
+    got = {tuple(sorted(p)) for p in pairs}
+    assert len(got) == len(pairs)
+    i, j = np.nonzero(x @ x.T >= 0.95)
+    assert {tuple(sorted(p)) for p in zip(cell[i].tolist(), cell[j].tolist())} <= got
+    n = len(cells.rows)
+    assert n > 20 and len(got) < 0.5 * n * (n + 1) / 2
+
+
+def test_one_dense_leaf_is_cut_into_blocks(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(100, 8)), np.ones((300, 8)) + 0.001 * rng.normal(size=(300, 8))])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    out = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block_rows=40, sample_rows=50)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out.collect()} == brute(rows, 0.95)
+
+
 def test_edge_tables(spark):
     schema = "vec_id long, embedding array<float>"
     assert near_vectors(spark.createDataFrame([], schema)).collect() == []
