@@ -132,20 +132,30 @@ class Characters:
 
 class WordTable:
     """Value per word, computed on first sight.  Two generations of at most ``limit`` words are kept: when the younger is full it
-    becomes the older one, and a word found there moves back to the younger, so words that go on occurring stay."""
+    becomes the older one, and a word found there moves back to the younger, so words that go on occurring stay.  With
+    ``many``, ``make`` gives the values of a list of words at once."""
 
-    def __init__(self, make: Callable[[str], object], limit: int = 400_000) -> None:
-        self.make, self.limit, self.known, self.older = make, limit, {}, {}
+    def __init__(self, make: Callable, limit: int = 400_000, many: bool = False) -> None:
+        self.make = make if many else lambda words: list(map(make, words))
+        self.limit, self.known, self.older = limit, {}, {}
 
     def __call__(self, words: list[str]) -> list:
         out = list(map(self.known.get, words))
-        for i, value in enumerate(out):
-            if value is None:
-                word = words[i]
-                value = self.older.get(word)
-                if value is None:
-                    value = self.make(word)
-                if len(self.known) >= self.limit:
-                    self.known, self.older = {}, self.known
-                self.known[word] = out[i] = value
+        missing = [i for i, value in enumerate(out) if value is None]
+        if not missing:
+            return out
+        wanted = [words[i] for i in missing]
+        values = list(map(self.older.get, wanted))
+        new = [k for k, value in enumerate(values) if value is None]
+        for k, value in zip(new, self.make([wanted[k] for k in new])):
+            values[k] = value
+        for i, value in zip(missing, values):
+            out[i] = value
+        at = 0
+        while at < len(wanted):
+            if len(self.known) >= self.limit:
+                self.known, self.older = {}, self.known
+            end = at + self.limit - len(self.known)
+            self.known.update(zip(wanted[at:end], values[at:end]))
+            at = end
         return out

@@ -70,12 +70,13 @@ class WordBpe:
         self.known = self.known and not any(re.search(r"\s", t) for t in self.special)
         self.alphabet = _byte_alphabet()
         self.vocab_size = max(self.library.get_vocab().values()) + 1
-        self.words = WordTable(self._word, _WORDS)
+        self.words = WordTable(self._encode_each, _WORDS, many=True)
 
-    def _word(self, word: str) -> bytes:
-        if not word.isascii():
-            word = "".join(map(self.alphabet.__getitem__, word.encode()))
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+    def _encode_each(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as little-endian bytes."""
+        tokenize, letter = self.model.tokenize, self.alphabet.__getitem__
+        return [array("I", [t.id for t in tokenize(w if w.isascii() else "".join(map(letter, w.encode())))]).tobytes()
+                for w in words]
 
     def encode(self, text: str | None) -> list[int]:
         """One text by the library's whole pipeline; null: none."""
