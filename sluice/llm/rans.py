@@ -156,8 +156,14 @@ def _count_ids(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                got = np.bincount(np.frombuffer(ids.as_buffer(), dtype=kind))
+            rows = batch.column(0).cast(pa.binary())
+            if not len(rows):
+                continue
+            _, offsets, data = rows.buffers()
+            ends = np.frombuffer(offsets, dtype="<i4")[rows.offset:rows.offset + len(rows) + 1]
+            flat = np.frombuffer(data, dtype=np.uint8)[ends[0]:ends[-1]].view(kind)  # all rows of the batch
+            for at in range(0, len(flat), 1 << 20):  # bounded memory
+                got = np.bincount(flat[at:at + (1 << 20)])
                 if len(got) > len(counts):
                     got, counts = counts, got
                 counts[:len(got)] += got
