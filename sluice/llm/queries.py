@@ -13,7 +13,7 @@ from sluice.llm.packing import pack_documents
 from sluice.llm.periodic import periodic_runs
 from sluice.llm.pieces import code_pieces
 from sluice.llm.quality import resample
-from sluice.llm.rans import read_token_files, write_token_files
+from sluice.llm.rans import document_checksums, read_token_stretches, write_token_files
 from sluice.llm.simhash import simhash_groups
 from sluice.llm.topk import top_k
 from sluice.llm.toxicity import toxicity
@@ -60,8 +60,7 @@ def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written, read back and summed up by document."""
     path = scratch_path(spark, "token-files")
     write_token_files(_table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=2)
-    return read_token_files(spark, path).select(
-        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return document_checksums(read_token_stretches(spark, path)).withColumnRenamed("crc32", "ids_crc32")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ A block holds whole documents (about 2**18 ids): ``start`` (ids before it in the
 lanes (id i belongs to lane i mod 1024, step i div 1024; the last step is filled up with the
 commonest id).  Lanes have 64-bit states of at least 2**31, 32-bit renormalization.  Every 128
 steps there is a checkpoint: the word position (8 bytes) and the 1024 lane states, from which
-decoding can start without what lies before.
+decoding can start without what lies before.  A block of over 2**19 ids holds a document of over 2**18; its
+stretches between checkpoints can be decoded by different tasks (``read_token_stretches``).
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,6 +36,8 @@ SCALE_BITS = 20
 LANES = 1024
 CHECKPOINT_STEPS = 128
 BLOCK_IDS = 1 << 18
+LONG_IDS = 2 * BLOCK_IDS  # only a block with a document of over BLOCK_IDS is longer
+_CRC_POLYNOMIAL = 0xEDB88320  # fixed value: CRC-32, lowest bit first
 _LOW = np.uint64(1 << 31)
 _U32 = np.uint64(32)
 
@@ -226,32 +230,147 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     rows.mapInArrow(run, _BLOCK).write.partitionBy("part").parquet(f"{path}/blocks")
 
 
+def _model(spark: SparkSession, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, frequencies) of a file set."""
+    model = spark.read.parquet(f"{path}/model").orderBy("id").collect()  # bounded: the vocabulary
+    return np.array([r["id"] for r in model], dtype=np.int64), np.array([r["freq"] for r in model], dtype=np.int64)
+
+
+def _blocks_of(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_BLOCK).parquet(f"{path}/blocks").select(
+        "start", "doc_ids", "lengths", "n_ids", "words", "states", "crc32")
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The blocks of the batches, checked against their checksums: start, doc_ids, lengths, n_ids, words, states."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            start, docs, lengths, n_ids, words, states, crc = (batch.column(c)[i].as_py() for c in range(7))
+            if zlib.crc32(states, zlib.crc32(words)) != crc:
+                raise ValueError(f"damaged block at id {start}")
+            yield start, docs, np.array(lengths, dtype=np.int64), n_ids, words, states
+
+
+def _binaries(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The ids between ``ends``, as little-endian unsigned 32-bit each."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+        None, pa.py_buffer((4 * ends).astype(np.int32).tobytes()), pa.py_buffer(flat.astype("<u4").tobytes())])
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Documents of a file set: ``doc_id``, ``start`` (ids before it), ``n_tokens``, ``ids``
     (little-endian unsigned 32-bit).  Blocks decode independently; a block whose checksum does not
     match raises an error."""
-    model = spark.read.parquet(f"{path}/model").orderBy("id").collect()  # bounded: the vocabulary
-    ids = np.array([r["id"] for r in model], dtype=np.int64)
-    freqs = np.array([r["freq"] for r in model], dtype=np.int64)
+    ids, freqs = _model(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = FrequencyTable(ids, freqs)
+        for start, docs, lengths, n_ids, words, states in _rows_of(batches):
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs, pa.int64()), pa.array(start + ends[:-1]), pa.array(lengths),
+                 _binaries(decode_block(words, states, n_ids, table), ends)],
+                names=["doc_id", "start", "n_tokens", "ids"])
+
+    return _blocks_of(spark, path).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+
+
+def read_token_stretches(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of ``read_token_files`` in stretches: ``doc_id``, ``start``, ``n_tokens`` (of the document), ``at``
+    (ids of the document before the stretch), ``ids``.  Documents of blocks of usual size are one stretch each.  Longer blocks
+    are cut at their checkpoints and dealt out, so that one document is decoded by many tasks and no row holds it
+    whole."""
+    ids, freqs = _model(spark, path)
+    blocks = _blocks_of(spark, path)
+    out = "doc_id long, start long, n_tokens long, at long, ids binary"
+    names = ["doc_id", "start", "n_tokens", "at", "ids"]
+    cut_names = ["doc_ids", "starts", "lengths", "first", "n", "words", "state"]
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = FrequencyTable(ids, freqs)
+        for start, docs, lengths, n_ids, words, states in _rows_of(batches):
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs, pa.int64()), pa.array(start + ends[:-1]), pa.array(lengths),
+                 pa.array(np.zeros(len(docs), dtype=np.int64)),
+                 _binaries(decode_block(words, states, n_ids, table), ends)], names=names)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per checkpoint: the documents it touches, its first id in the file set, its words and its state."""
+        for start, docs, lengths, n_ids, words, states in _rows_of(batches):
+            marks = np.frombuffer(states, dtype="<u8").reshape(-1, LANES + 1)
+            places = np.append(marks[:, 0].astype(np.int64) * 4, len(words))
+            ends = np.cumsum(lengths)
+            size = CHECKPOINT_STEPS * LANES
+            for c in range(len(marks)):
+                first, last = c * size, min(n_ids, (c + 1) * size)
+                a, b = np.searchsorted(ends, first, side="right"), np.searchsorted(ends, last, side="left") + 1
+                state = np.concatenate([[np.uint64(0)], marks[c, 1:]]).astype("<u8").tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([docs[a:b]], pa.list_(pa.int64())),
+                     pa.array([start + ends[a:b] - lengths[a:b]], pa.list_(pa.int64())),
+                     pa.array([lengths[a:b]], pa.list_(pa.int64())), pa.array([start + first]),
+                     pa.array([last - first]), pa.array([words[places[c]:places[c + 1]]]), pa.array([state])],
+                    names=cut_names)
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = FrequencyTable(ids, freqs)
         for batch in batches:
             for i in range(batch.num_rows):
-                start, docs, lengths, n_ids, words, states, crc = (
-                    batch.column(c)[i].as_py() for c in range(7))
-                if zlib.crc32(states, zlib.crc32(words)) != crc:
-                    raise ValueError(f"damaged block at id {start}")
-                flat = decode_block(words, states, n_ids, table)
-                ends = np.concatenate([[0], np.cumsum(np.array(lengths, dtype=np.int64))])
+                docs, starts, lengths, first, n, words, state = (batch.column(c)[i].as_py() for c in range(7))
+                starts, lengths = np.array(starts, dtype=np.int64), np.array(lengths, dtype=np.int64)
+                begin = np.maximum(starts, first)
+                ends = np.append(begin - first, n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs, pa.int64()), pa.array(start + ends[:-1]),
-                     pa.array(np.diff(ends)),
-                     pa.Array.from_buffers(pa.binary(), len(docs), [
-                         None, pa.py_buffer((4 * ends).astype(np.int32).tobytes()),
-                         pa.py_buffer(flat.astype("<u4").tobytes())])],
-                    names=["doc_id", "start", "n_tokens", "ids"])
+                    [pa.array(docs, pa.int64()), pa.array(starts), pa.array(lengths), pa.array(begin - starts),
+                     _binaries(decode_block(words, state, n, table), ends)], names=names)
+
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.where(F.col("n_ids") > LONG_IDS).mapInArrow(
+        cut, "doc_ids array<long>, starts array<long>, lengths array<long>, first long, n long, words binary, state binary") \
+        .repartition(n_parts, "first").mapInArrow(stretches, out)
+    return blocks.where(F.col("n_ids") <= LONG_IDS).mapInArrow(whole, out).unionAll(dealt)
+
+
+def crc32_joined(parts: list[tuple[int, int]]) -> int:
+    """CRC-32 of byte strings after each other, from the (crc32, size) of each: a checksum moves by n bytes when it is
+    multiplied, as a polynomial over bits, by x to the power 8n."""
+    def times(a: int, b: int) -> int:
+        product = 0
+        for bit in range(31, -1, -1):
+            if a >> bit & 1:
+                product ^= b
+            b = b >> 1 ^ (_CRC_POLYNOMIAL if b & 1 else 0)
+        return product
+
+    total = 0
+    for crc, size in parts:
+        moved, power, left = total, 1 << 23, size  # x to the power 8
+        while left:
+            if left & 1:
+                moved = times(power, moved)
+            power, left = times(power, power), left >> 1
+        total = moved ^ crc
+    return total
+
+
+def document_checksums(stretches: DataFrame) -> DataFrame:
+    """``doc_id``, ``start``, ``n_tokens`` and ``crc32`` of a document's ids from the rows of ``read_token_stretches``.  Only checksums
+    are shuffled, and a document's are as many as its stretches."""
+    parts = stretches.select("doc_id", "start", "n_tokens", F.struct(
+        "at", F.octet_length("ids").cast("long").alias("size"), F.crc32("ids").alias("crc")).alias("part")) \
+        .groupBy("doc_id", "start", "n_tokens").agg(F.sort_array(F.collect_list("part")).alias("parts"))
 
-    return spark.read.schema(_BLOCK).parquet(f"{path}/blocks").select(
-        "start", "doc_ids", "lengths", "n_ids", "words", "states", "crc32").mapInArrow(
-        run, "doc_id long, start long, n_tokens long, ids binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = pc.list_value_length(batch.column(3)).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = batch.column(3).flatten()
+            sizes, crcs = (flat.field(c).to_numpy(zero_copy_only=False) for c in (1, 2))
+            ends = np.cumsum(counts)
+            joined = crcs[ends - counts].astype(np.int64)
+            for i in np.flatnonzero(counts > 1):
+                at = slice(ends[i] - counts[i], ends[i])
+                joined[i] = crc32_joined(list(zip(crcs[at].tolist(), sizes[at].tolist())))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(joined)], names=["doc_id", "start", "n_tokens", "crc32"])
+
+    return parts.mapInArrow(run, "doc_id long, start long, n_tokens long, crc32 long")

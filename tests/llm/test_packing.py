@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from hypothesis import given, strategies as st
 from tokenizers import Tokenizer
 
 from sluice.llm import rans
@@ -158,10 +159,34 @@ def test_token_files(spark, library, tmp_path):
     assert len(got) == len(TEXTS)
 
 
+def test_a_huge_document_is_decoded_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "huge")
+    words = [f"{'abcdefghij'[i * i % 10]}{i % 7}" for i in range(400_000)]
+    rows = [(1, "one"), (2, " ".join(words)), (3, "three"), (None, "none"), (2, "two")]
+    rans.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), path, PATH)
+    whole = {r.start: r for r in rans.read_token_files(spark, path).collect()}
+    parts = rans.read_token_stretches(spark, path).selectExpr("*", "spark_partition_id() as task").collect()
+    longest = max(whole.values(), key=lambda r: r.n_tokens)
+    assert longest.n_tokens > rans.LONG_IDS
+    assert len({r.task for r in parts if r.start == longest.start}) > 1
+    for start, r in whole.items():
+        mine = sorted((p for p in parts if p.start == start), key=lambda p: p["at"])
+        assert b"".join(p.ids for p in mine) == r.ids and {(p.doc_id, p.n_tokens) for p in mine} == {(r.doc_id, r.n_tokens)}
+        assert [p["at"] for p in mine] == np.cumsum([0, *(len(p.ids) // 4 for p in mine[:-1])]).tolist()
+    sums = {r.start: (r.doc_id, r.n_tokens, r.crc32) for r in rans.document_checksums(rans.read_token_stretches(spark, path)).collect()}
+    assert sums == {start: (r.doc_id, r.n_tokens, zlib.crc32(r.ids)) for start, r in whole.items()}
+
+
+@given(st.lists(st.binary(max_size=40), min_size=1, max_size=6))
+def test_joined_checksums(parts):
+    assert rans.crc32_joined([(zlib.crc32(p), len(p)) for p in parts]) == zlib.crc32(b"".join(parts))
+
+
 def test_token_files_nulls_and_empty_table(spark, tmp_path):
     schema = "doc_id long, text string"
     rans.write_token_files(spark.createDataFrame([], schema), str(tmp_path / "none"), PATH)
     assert rans.read_token_files(spark, str(tmp_path / "none")).collect() == []
+    assert rans.document_checksums(rans.read_token_stretches(spark, str(tmp_path / "none"))).collect() == []
     rows = spark.createDataFrame([(3, None), (None, "a"), (3, "b"), (3, "b")], schema)
     rans.write_token_files(rows, str(tmp_path / "some"), PATH)
     got = rans.read_token_files(spark, str(tmp_path / "some")).orderBy("start").collect()
@@ -180,3 +205,5 @@ def test_damaged_block_is_refused(spark, tmp_path):
     spark.read.parquet(path + "/model").write.parquet(other + "/model")
     with pytest.raises(Exception, match="damaged block"):
         rans.read_token_files(spark, other).collect()
+    with pytest.raises(Exception, match="damaged block"):
+        rans.read_token_stretches(spark, other).collect()
