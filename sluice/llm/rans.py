@@ -37,6 +37,7 @@ LANES = 1024
 CHECKPOINT_STEPS = 128
 BLOCK_IDS = 1 << 18
 LONG_IDS = 2 * BLOCK_IDS  # only a block with a document of over BLOCK_IDS is longer
+_WORDS = 300_000  # words kept per generation and worker process: some 120 MB in all
 _CRC_POLYNOMIAL = 0xEDB88320  # fixed value: CRC-32, lowest bit first
 _LOW = np.uint64(1 << 31)
 _U32 = np.uint64(32)
@@ -128,7 +129,7 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordBpe.load(tokenizer)
+        encoder = WordBpe.load(tokenizer, _WORDS)
         kind = _id_type(max(encoder.vocab_size, end_id + 1))
         part, total = TaskContext.get().partitionId(), 0
         for whole in batches:

@@ -45,16 +45,16 @@ def _byte_alphabet() -> dict[int, str]:
 class WordBpe:
     """Encoder of one tokenizer file; ``encode(text)`` gives a uint32 array."""
 
-    _loaded: dict[str, "WordBpe"] = {}
+    _loaded: dict[tuple[str, int], "WordBpe"] = {}
 
     @classmethod
-    def load(cls, path: str) -> "WordBpe":
-        """One encoder per worker process and file."""
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+    def load(cls, path: str, words: int = _WORDS) -> "WordBpe":
+        """One encoder per worker process, file and number of words kept."""
+        if (path, words) not in cls._loaded:
+            cls._loaded[path, words] = cls(path, words)
+        return cls._loaded[path, words]
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, words: int = _WORDS) -> None:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
@@ -70,7 +70,7 @@ class WordBpe:
         self.known = self.known and not any(re.search(r"\s", t) for t in self.special)
         self.alphabet = _byte_alphabet()
         self.vocab_size = max(self.library.get_vocab().values()) + 1
-        self.words = WordTable(self._encode_each, _WORDS, many=True)
+        self.words = WordTable(self._encode_each, words, many=True)
 
     def _encode_each(self, words: list[str]) -> list[bytes]:
         """The ids of each word, as little-endian bytes."""
