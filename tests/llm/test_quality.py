@@ -115,3 +115,48 @@ def test_the_mix_of_rows_decides_not_that_of_labels(spark):
     clean = docs.where(F.col("doc_id").isin(good + bad[:10]))
     kept = {r.doc_id for r in resample(clean, even).where("sampled").collect()}
     assert np.mean([i in kept for i in good]) >= 0.9
+
+
+def brute_noise(doc_id, text):
+    def mix(x):
+        x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD % 2**64
+        x = (x ^ x >> 33) * 0xC4CEB9FE1A85EC53 % 2**64
+        return x ^ x >> 33
+    bits = mix((mix(doc_id) + len(text.encode())) % 2**64) >> 11
+    return -math.log(-math.log((bits + 0.5) / 2.0**53))
+
+
+def test_resample_is_brute_force(spark):
+    rng = np.random.default_rng(5)
+    texts = {i: " ".join(f"w{w}" for w in rng.zipf(1.5, rng.integers(3, 30)) % 50 + (40 if i % 2 else 0)) for i in range(80)}
+    texts |= {100 + i: texts[i] for i in range(10)} | {200: None, 201: "", 202: " \n"}
+    quality = {i: i % 2 for i in range(30)} | {300: 1, 40: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in resample(docs, spark.createDataFrame(list(quality.items()), "doc_id long, quality int"), share=0.4,
+                                         sharpness=3.0).collect()}
+
+    def count(rows):
+        return sum(np.bincount(features(pa.array([t]))[0], minlength=BUCKETS) for t in sorted(rows))
+    full = {i: t for i, t in texts.items() if t and t.strip()}
+    raw, target = count(set(full.values())), count({full[i] for i, q in quality.items() if q and i in full})
+    p_raw = (raw + 1) / (raw.sum() + BUCKETS)
+    logs = np.log((target + p_raw * BUCKETS) / (target.sum() + BUCKETS) / p_raw)
+    ratio = {i: logs[features(pa.array([t]))[0]].mean() for i, t in full.items()}
+    keys = {i: 3 * ratio[i] + brute_noise(i, full[i]) for i in full}
+    best = sorted(keys, key=keys.get, reverse=True)[:math.ceil(0.4 * len(keys))]
+    assert got.keys() == texts.keys() and {i for i, r in got.items() if r.sampled} == set(best)
+    for i, r in got.items():
+        assert (r.log_ratio is None) == (i not in full) and (i not in full or np.allclose(
+            [r.log_ratio, r.gumbel_key], [ratio[i], keys[i]], atol=1e-4))
+
+
+def test_inclusion_follows_the_weights(spark):
+    """Among many rows a row of weight w is above a floor t with probability 1 - exp(-w exp(-t))."""
+    texts = {0: "plain good words of prose", 1: "click here to win now"}
+    docs = spark.createDataFrame([(i, texts[i % 2]) for i in range(20_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    rows = resample(docs, labels, share=0.3, sharpness=0.2).toPandas()
+    share, ratio = rows.groupby(rows.doc_id % 2)["sampled"].mean(), rows.groupby(rows.doc_id % 2)["log_ratio"].mean()
+    assert 0.0 < share[1] < share[0] < 1.0 and rows["sampled"].sum() == 6_000
+    odds = math.log(1 - share[0]) / math.log(1 - share[1])
+    assert np.isclose(odds, math.exp(0.2 * (ratio[0] - ratio[1])), rtol=0.15)
