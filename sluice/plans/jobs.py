@@ -107,18 +107,20 @@ def checked_writes(spark, sf_dir):
     """What checks in the writing pass report: rows and null names of the chart rows, the same from the error of a limit, the rows
     of a union against its inputs, and rows and rejects per stream sink."""
     root = scratch_path(spark, "checked")
-    charts = rel.charts(spark, sf_dir)
-    rates = write_checked(charts, lambda df: df.write.parquet(f"{root}/charts"), {"name": 1.0, "date": 0.0})
+
+    def parquet(name: str):
+        return lambda df: df.write.option("compression", "zstd").parquet(f"{root}/{name}")
+    rates = write_checked(rel.charts(spark, sf_dir), parquet("charts"), {"name": 1.0, "date": 0.0})
     found = [("null names", rates["rows"], round(rates["rows"] * rates["nulls"]["name"]))]
     try:
-        write_checked(charts, lambda df: df.write.parquet(f"{root}/refused"), {"name": 0.0})
+        write_checked(spark.read.parquet(f"{root}/charts"), parquet("refused"), {"name": 0.0})
     except CheckFailed as exc:
         found.append(("null names, refused", exc.rates["rows"], round(exc.rates["rows"] * exc.rates["nulls"]["name"])))
-    trips = rel.trips(spark, sf_dir)
-    halves = [write_checked(trips.where(part), lambda df, n=n: df.write.parquet(f"{root}/half-{n}"))
+    trips = rel.staged_trips(spark, sf_dir)
+    halves = [write_checked(trips.where(part), parquet(f"half-{n}"))
               for n, part in enumerate(("file_month <= 6", "file_month > 6"))]
     both = union_all([spark.read.parquet(f"{root}/half-{n}") for n in range(2)])
-    whole = write_checked(both, lambda df: df.write.parquet(f"{root}/both"), expected_rows=sum(h["rows"] for h in halves))
+    whole = write_checked(both, parquet("both"), expected_rows=sum(h["rows"] for h in halves))
     found.append(("union", whole["rows"], 0))
 
     foreign = rel.table(spark, sf_dir, "events").select(F.col("props").alias("value"), F.lit(0).alias("partition"))
