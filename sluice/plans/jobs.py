@@ -200,7 +200,7 @@ def drifted_months(spark, sf_dir):
     """Months of three schemas read as one set: up to April without passengers and under an older column name, up to
     August as now, then with a column more."""
     root = scratch_path(spark, "trips-drifted")
-    trips = rel.trips(spark, sf_dir)
+    trips = rel.staged_trips(spark, sf_dir)
     by = [tr.FILE_YEAR, tr.FILE_MONTH]
     write_partitioned(trips.where("file_month <= 4").drop("passenger_count").withColumnRenamed("tip_amount", "tip"), root, by)
     write_partitioned(trips.where("file_month between 5 and 8"), root, by)
@@ -212,7 +212,7 @@ def drifted_months(spark, sf_dir):
 def partition_replaced(spark, sf_dir):
     """Folders by file year and month; a second load replaces those of 1997 and leaves the others alone."""
     root = scratch_path(spark, "trips-replaced")
-    trips, by = rel.trips(spark, sf_dir), [tr.FILE_YEAR, tr.FILE_MONTH]
+    trips, by = rel.staged_trips(spark, sf_dir), [tr.FILE_YEAR, tr.FILE_MONTH]
     write_partitioned(trips, root, by)
     write_partitioned(tr.within_month(trips.where("file_year = 1997")).withColumn("tip_amount", F.lit(0.0)), root, by)
     return spark.read.schema(trips.schema).parquet(root)
@@ -222,7 +222,7 @@ def compacted_folders(spark, sf_dir):
     """Months of the first quarter loaded in three parts, so that their folders hold small files; those folders are rewritten, the
     others keep their files.  One row per folder."""
     root, old = scratch_path(spark, "trips-small"), scratch_path(spark, "trips-small-files")
-    trips, by = rel.trips(spark, sf_dir), [tr.FILE_YEAR, tr.FILE_MONTH]
+    trips, by = rel.staged_trips(spark, sf_dir), [tr.FILE_YEAR, tr.FILE_MONTH]
     write_partitioned(trips.where("file_month > 3"), root, by)
     for load in range(3):
         trips.where((F.col("file_month") <= 3) & (F.pmod(F.col("do_location"), F.lit(3)) == load)).hint("rebalance", *by) \

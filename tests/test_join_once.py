@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.plans import jobs
 from sluice.plans import relations as rel
@@ -53,6 +54,14 @@ def _same(a, b) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def test_drifted_months(spark, sf, monkeypatch):
+    seen = _watch(monkeypatch, jobs, "write_partitioned")
+    got = jobs.drifted_months(spark, sf)
+    assert seen == [False] * 3
+    wanted = rel.trips(spark, sf).withColumn("passenger_count", F.when(F.col("file_month") > 4, F.col("passenger_count")))
+    assert _same(got, wanted)
+
+
 def test_checked_writes(spark, sf, monkeypatch):
     seen = _watch(monkeypatch, jobs, "write_checked")
     got = {r["check"]: (r.n_rows, r.n_bad) for r in jobs.checked_writes(spark, sf).collect()}
