@@ -164,11 +164,11 @@ def missing_months(spark, sf_dir):
 
 
 def _monthly_files(spark, sf_dir) -> str:
-    """Trips as monthly CSV files named by month, among other files of the same folder."""
+    """Trips as monthly CSV files named by month, among other files of the same folder (those of the first day, from the files
+    just written: the trips are joined once)."""
     root = scratch_path(spark, "monthly-csv")
-    trips = rel.trips(spark, sf_dir)
-    write_monthly_files(trips, root, "yellow_tripdata", tr.FILE_YEAR, tr.FILE_MONTH)
-    decoy = rel.trips(spark, sf_dir).where(F.dayofmonth(tr.PICKUP) == 1)
+    write_monthly_files(rel.trips(spark, sf_dir), root, "yellow_tripdata", tr.FILE_YEAR, tr.FILE_MONTH)
+    decoy = _read_yellow(spark, root).drop("source_file").where(F.dayofmonth(tr.PICKUP) == 1)
     write_monthly_files(decoy, root, "green_tripdata", tr.FILE_YEAR, tr.FILE_MONTH)
     return root
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.plans import jobs
+from sluice.plans import jobs, registry
 from sluice.plans import relations as rel
 
 
@@ -71,3 +71,13 @@ def test_checked_writes(spark, sf, monkeypatch):
     assert bad > 0 and got["null names"] == got["null names, refused"] == (charts.count(), bad)
     assert got["union"] == (rel.trips(spark, sf).count(), 0)
     assert got["stream rejects"] == (60, 30)
+
+
+def test_monthly_files(spark, sf, monkeypatch):
+    seen = _watch(monkeypatch, registry, "write_monthly_files")
+    root = registry._monthly_files(spark, sf)
+    assert seen == [True, False]
+    green = registry.with_file_month(registry.read_monthly(
+        spark, root, "green_tripdata_*.csv", schema=registry.StructType.fromDDL(registry.TRIP_CSV_SCHEMA))).drop("source_file")
+    assert green.count() > 0
+    assert _same(green, rel.trips(spark, sf).where("dayofmonth(pickup_ts) = 1").select(green.columns))
