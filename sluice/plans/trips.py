@@ -15,6 +15,8 @@ from sluice.operators.joins import attach_dimension, missing_keys
 from sluice.operators.ordering import take_sorted
 
 PICKUP, DROPOFF = "pickup_ts", "dropoff_ts"
+ZONES_AT_ONCE = 500_000  # a zone lookup of so many rows (some 60 MB) is broadcast
+SORTED_BYTES = 16 << 20  # of staged trips that one task sorts: some million rows, 200 MB in memory
 FILE_YEAR, FILE_MONTH = "file_year", "file_month"
 
 
@@ -138,19 +140,25 @@ def run_job(spark, trips_folder: str, zones_csv: str, out_folder: str, schema,
     A file's month comes from its name (``..._yyyy-MM...csv``).  Writes ``pickup_stats`` /
     ``dropoff_stats`` (Parquet; ``stat_files`` files each if given, else as many as the data make) and the
     cleaned trips with their zone as ``year=/month=`` partitions, each file sorted by pick-up
-    ascending and duration descending, of at most ``rows_per_file`` rows if given.
+    ascending and duration descending, of at most ``rows_per_file`` rows if given.  The cleaned trips of a
+    file are trips of its month, so they come by folder and are written without a shuffle, unless the zones are too many
+    to be broadcast.
     """
-    from sluice.session import scratch_path
+    from sluice.session import scratch_path, settings
     from sluice.sinks.files import write_parquet, write_partitioned
     from sluice.sources.files import read_csv, read_monthly, with_file_month
 
     staged = scratch_path(spark, "trips-clean")
     filed = with_file_month(read_monthly(spark, trips_folder, pattern, schema=schema)).drop("source_file")
-    with_trip_seconds(within_month(filed)).drop(FILE_YEAR, FILE_MONTH).write.parquet(staged)
+    with_trip_seconds(within_month(filed)).drop(FILE_YEAR, FILE_MONTH) \
+        .write.option("compression", "zstd").parquet(staged)
     trips = spark.read.parquet(staged)
     write_parquet(daily_stats(trips, "pickup"), f"{out_folder}/pickup_stats", files=stat_files)
     write_parquet(daily_stats(trips, "dropoff"), f"{out_folder}/dropoff_stats", files=stat_files)
     zones = read_csv(spark, zones_csv, sep=";").withColumn(
         "location_id", F.col("location_id").cast("bigint"))
-    write_partitioned(with_year_month(attach_zone(trips, zones)), f"{out_folder}/trips",
-                      ["year", "month"], sort_within=trip_order(), rows_per_file=rows_per_file)
+    few = zones.limit(ZONES_AT_ONCE + 1).count() <= ZONES_AT_ONCE
+    zoned = attach_zone(trips, F.broadcast(zones) if few else zones)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(SORTED_BYTES)}):
+        write_partitioned(with_year_month(zoned), f"{out_folder}/trips", ["year", "month"], sort_within=trip_order(),
+                          rows_per_file=rows_per_file, clustered=few)

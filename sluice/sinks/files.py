@@ -30,14 +30,15 @@ def write_parquet(df: DataFrame, path: str, files: int | None = None,
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parquet",
                       header: bool = True, sort_within: list[Column | str] | None = None,
-                      rows_per_file: int | None = None) -> None:
+                      rows_per_file: int | None = None, clustered: bool = False) -> None:
     """One folder per value of ``by`` (e.g. year=2020/month=1), dynamic overwrite: only the
     partitions present in ``df`` are replaced.  Rows are clustered by ``by`` first (few, large
     files per folder) with a *rebalance*: AQE splits a hot value over several tasks and
     merges small ones, so a month holding a third of the rows is not written by one task.
+    ``clustered`` says that the rows come by folder already (as read from files of one folder each) and need no shuffle.
     ``sort_within`` (names or expressions such as ``F.desc("x")``) sorts each file; ``rows_per_file`` bounds a
     file's rows."""
-    out = df.hint("rebalance", *by)
+    out = df if clustered else df.hint("rebalance", *by)
     if sort_within:
         out = out.sortWithinPartitions(*by, *sort_within)
     writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sluice.plans import jobs, registry
 from sluice.plans import relations as rel
+from sluice.plans import trips as tr
+from sluice.sinks import files
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +83,27 @@ def test_monthly_files(spark, sf, monkeypatch):
         spark, root, "green_tripdata_*.csv", schema=registry.StructType.fromDDL(registry.TRIP_CSV_SCHEMA))).drop("source_file")
     assert green.count() > 0
     assert _same(green, rel.trips(spark, sf).where("dayofmonth(pickup_ts) = 1").select(green.columns))
+
+
+@pytest.mark.parametrize("most", [tr.ZONES_AT_ONCE, 2])
+def test_cleaned_trips_are_not_shuffled(spark, sf, monkeypatch, most):
+    """With few zones; with many they are clustered again.  A zone listed twice gives its trips twice, as a left join does."""
+    plans, inner = [], files.write_partitioned
+
+    def watched(df, path, by, *args, **kwargs):
+        if path.endswith("/trips"):
+            plans.append((kwargs.get("clustered", False), path))
+        return inner(df, path, by, *args, **kwargs)
+    monkeypatch.setattr(files, "write_partitioned", watched)
+    monkeypatch.setattr(tr, "ZONES_AT_ONCE", most)
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    order = registry.trips_job_order(spark, sf).collect()
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+    assert [clustered for clustered, _ in plans] == [most > 2]
+    clean = tr.attach_zone(registry.clean_trips(spark, sf), rel.zones(spark, sf))
+    wanted = clean.groupBy(F.year("pickup_ts").alias("year"), F.month("pickup_ts").alias("month")).count().collect()
+    assert sorted(map(tuple, order)) == sorted((*r, 0) for r in wanted)
+    assert _same(registry.trips_job_stats(spark, sf), registry.daily_pickup_stats(spark, sf))
+    back = spark.read.parquet(plans[0][1])
+    columns = [c for c in clean.columns if c in back.columns]
+    assert _same(back.select(columns), clean.select(columns))
