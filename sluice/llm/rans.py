@@ -38,6 +38,7 @@ CHECKPOINT_STEPS = 128
 BLOCK_IDS = 1 << 18
 LONG_IDS = 2 * BLOCK_IDS  # only a block with a document of over BLOCK_IDS is longer
 _WORDS = 300_000  # words kept per generation and worker process: some 120 MB in all
+_SLICE_BYTES = 8 << 20  # text encoded at a time: words are looked up once a slice, so a larger one has fewer look-ups; some 130 MB
 _CRC_POLYNOMIAL = 0xEDB88320  # fixed value: CRC-32, lowest bit first
 _LOW = np.uint64(1 << 31)
 _U32 = np.uint64(32)
@@ -133,7 +134,7 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         kind = _id_type(max(encoder.vocab_size, end_id + 1))
         part, total = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for batch in slices(whole, 1):
+            for batch in slices(whole, 1, _SLICE_BYTES):
                 ids, ends = encoder.encode_column(batch.column(1))
                 rows = len(ends) - 1
                 ids = np.insert(ids, ends[1:], end_id).astype(kind)
