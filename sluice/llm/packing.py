@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -168,13 +169,14 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
                 piece = np.arange(len(doc)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
                 start = piece * capacity
                 length = np.minimum(sizes[doc] - start, capacity)
-                raw = memoryview(ids.tobytes())
-                at = (ends[doc] + start).tolist()
-                cut = [raw[4 * a:4 * (a + n)] for a, n in zip(at, length.tolist())]
+                # pieces lie one after another: Arrow gets the buffer (pa.array never releases memoryviews or what they show)
+                at = 4 * np.append(ends[doc] + start, ends[-1])
+                raw = memoryview(ids.view(np.uint8))
+                crcs = [zlib.crc32(raw[a:b]) for a, b in pairwise(at.tolist())]
+                cut = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(at), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)),
-                     pa.array(start), pa.array(length), pa.array(map(zlib.crc32, cut), pa.int64()),
-                     pa.array(cut, pa.binary())],
+                     pa.array(start), pa.array(length), pa.array(crcs, pa.int64()), cut.cast(pa.binary())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).mapInArrow(

@@ -1,5 +1,6 @@
 """Packing and token files: brute-force best fit, library ids, exact round trips."""
 
+import gc
 import random
 import zlib
 
@@ -11,7 +12,7 @@ from hypothesis import given, strategies as st
 from tokenizers import Tokenizer
 
 from sluice.llm import rans
-from sluice.llm.packing import CapacityTree, best_fit_plan, pack, pack_documents
+from sluice.llm.packing import CapacityTree, best_fit_plan, pack, pack_documents, pieces
 from sluice.llm.wordbpe import WordBpe
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -111,6 +112,33 @@ def test_pack_documents(spark, library):
         slow_best_fit([r.length for r in got], 512)
 
 
+class Taken:
+    """In place of a frame: gives the function that its tasks would run."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_pieces_leave_no_ids_in_the_worker(spark, library):
+    texts = ["a word " * 500, None, "", "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts)], names=["doc_id", "text"])
+    run = pieces(Taken(), PATH, 64, 1)
+
+    def views():  # each would keep the ids of its whole slice
+        gc.collect()
+        return sum(type(o) is memoryview for o in gc.get_objects())
+    before = views()
+    got = pa.Table.from_batches(run([batch])).to_pylist()
+    assert len(got) == 16 + 3 and views() == before
+    for i, text in enumerate(texts):
+        ids = b"".join(r["ids"] for r in got if r["doc_id"] == i)
+        assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids + [1]
+    assert all(r["ids_crc32"] == zlib.crc32(r["ids"]) and 4 * r["length"] == len(r["ids"]) for r in got)
+
+
 def test_pack_edge_cases(spark):
     schema = "doc_id long, text string"
     assert pack_documents(spark.createDataFrame([], schema), PATH).collect() == []
