@@ -29,7 +29,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluice.llm.components import Forest, connected_components
 from sluice.llm.staging import stage
@@ -43,10 +44,32 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def commonest_length(rows: DataFrame, column: str) -> int:
-    """The length most lists of a column have (the smaller at a tie; 0 without rows): a histogram of lengths, of which one row is
+def plain_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, str]:
+    """(``(id, v)``: ids as bigints, vectors as they are in single precision and as doubles otherwise, their column type)."""
+    single = vectors.select(vector_col).dtypes[0][1] == "array<float>"
+    kind = "array<float>" if single else "array<double>"
+    return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v")), kind
+
+
+def list_facts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By row of a column of lists its length (0 if null), whether it is a list of finite numbers, whether one of them is not zero; and
+    all numbers in order, as doubles."""
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = column.flatten()
+    values = flat.to_numpy(zero_copy_only=False).astype(np.float64) if len(flat) else np.zeros(0)
+    ends = np.cumsum(lengths)
+
+    def some(flags: np.ndarray) -> np.ndarray:
+        seen = np.concatenate([[0], np.cumsum(flags)])
+        return seen[ends] > seen[ends - lengths]
+    known = pc.is_valid(column).to_numpy(zero_copy_only=False)
+    return lengths, known & ~some(~np.isfinite(values)), some(values != 0), values  # a null among the numbers is read as NaN
+
+
+def commonest_length(rows: DataFrame, length: Column) -> int:
+    """The length most rows have (the smaller at a tie; 0 without rows): a histogram of lengths, of which one row is
     read."""
-    lengths = rows.groupBy(F.size(column).alias("length")).agg(F.count("*").alias("n"))
+    lengths = rows.groupBy(length.alias("length")).agg(F.count("*").alias("n"))
     first = lengths.orderBy(F.desc("n"), "length").limit(1).collect()
     return first[0]["length"] if first else 0
 
@@ -58,6 +81,14 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def true_cells(mask: np.ndarray) -> np.ndarray:
+    """Flat places of the true cells of a contiguous array with few of them: eight cells are looked at at once."""
+    flat = mask.reshape(-1)
+    whole = len(flat) & ~7
+    at = (np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).reshape(-1)
+    return np.concatenate([at[flat[at]], whole + np.flatnonzero(flat[whole:])])
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
 
@@ -387,7 +418,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, fanout: int = 16, sam
     finite = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) <= 1.7976931348623157e308))
     usable = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
     rows = stage(rows.withColumn("ok", usable), "vectors")
-    length = commonest_length(rows.where("ok"), "v")
+    length = commonest_length(rows.where("ok"), F.size("v"))
     rows = rows.withColumn("ok", F.col("ok") & F.coalesce(F.size("v") == length, F.lit(False)))
     one = stage(rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")),
                 "distinct-vectors")

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from sluice.llm.topk import SortedLists, nra, top_k
+from sluice.llm.topk import Asked, SortedLists, nra, qualified, top_k
 
 
 def brute(rows, queries, k, factor=64):
@@ -78,3 +78,43 @@ def test_vectors_of_other_lengths_take_no_part(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
     got = top_k(df, df.where("vec_id % 20 = 0")).collect()
     assert [tuple(r) for r in got] == [(20, 1, 1, 64 * 32 + 32 * 32)]
+
+
+def test_nothing_is_made_per_pair_of_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 0.2, (240, 8)).astype(np.float32)
+    x = x[np.argsort(x[:, 0])]  # later blocks are better for some queries
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    compared = []
+    kind = type(df)
+    run = kind.mapInArrow
+
+    def counted(self, *args, **more):
+        if "x" in self.columns:  # rows with a block's vectors
+            compared.append(self.count())
+        return run(self, *args, **more)
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    got = top_k(df, df.where("vec_id % 2 = 0"), k=5, block_rows=3, query_rows=1)
+    got = sorted(tuple(r) for r in got.collect())
+    monkeypatch.undo()
+    assert got == brute(rows, [r for r in rows if r[0] % 2 == 0], 5)
+    assert compared and max(compared) < 0.6 * 80 * 120
+
+
+def test_best_of_blocks_before_is_a_floor():
+    rng = np.random.default_rng(8)
+    x, q = rng.integers(-60, 61, (900, 16)), rng.integers(-60, 61, (40, 16))
+    ids = rng.permutation(1800)[:900]
+    asked = Asked(ids[:40], q, 7)
+    for at in range(0, 900, 300):
+        part = slice(at, at + 300)
+        asked.meet(SortedLists(x[part]), ids[part], np.argsort(ids[part], kind="stable"))
+    for i in range(40):
+        scores = x @ q[i]
+        want = [c for c in np.lexsort((ids, -scores)) if ids[c] != ids[i]][:7]
+        mine = asked.best[0] == i
+        assert asked.best[1][mine].tolist() == ids[want].tolist() and asked.best[2][mine].tolist() == scores[want].tolist()
+    none = (np.zeros(0, np.int64),) * 2
+    found, rows = qualified(SortedLists(x), q, 7, none, np.full(40, 10.0**6), first_depth=16)
+    assert len(found) == len(rows) == 0
