@@ -13,10 +13,13 @@ too large are cut by their distance to it (a histogram; equal distances by hash)
 about ``block_rows`` rows, grows its lower levels in one task.
 
 The traversal starts at the root paired with itself.  Each step is a join of the pairs that are left with the children of
-both sides, pruned by covering radii; pairs of leaves become pairs of their blocks, pruned by the blocks' own balls.  Every
-pair of blocks that is left is a row, whose two subtrees are traversed together in one task: node
+both sides, pruned by covering radii; pairs of leaves become pairs of their blocks, pruned by the blocks' own balls.  Blocks are
+dealt to tiles; a task holds the blocks of one tile while those of another pass by, so that a block travels once per pair of tiles, not
+once per pair of blocks.  The two subtrees of a pair of blocks are traversed together: node
 pairs further apart than the threshold and both covering radii are dropped, the others expand to their
-children, down to single vectors, whose cosine is compared in double precision.
+children, down to single vectors, whose cosine is compared in double precision.  While most pairs are left, a level is compared as a
+matrix product in single precision; that of the vectors themselves takes the directions in which the sample spreads most and,
+for all others, the product of the lengths left, which the cosine cannot exceed.
 
 Exact copies are collapsed to one vector with a count before the tree.  A pair of blocks returns the
 number of links by vector and a spanning forest of the links, never the pairs.
@@ -26,14 +29,16 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm.components import Forest, connected_components
+from sluice.llm.components import connected_components
 from sluice.llm.staging import stage
+from sluice.llm.textcols import free_memory, giving_back
 
 _SLACK = 1e-6  # added to every bound, far above rounding in double precision
 
@@ -51,19 +56,16 @@ def plain_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[Dat
     return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v")), kind
 
 
-def list_facts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """By row of a column of lists its length (0 if null), whether it is a list of finite numbers, whether one of them is not zero; and
-    all numbers in order, as doubles."""
+def list_facts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By row of a column of lists its length (0 if null) and whether it is a list of finite numbers; and all numbers in order, as
+    doubles."""
     lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = column.flatten()
     values = flat.to_numpy(zero_copy_only=False).astype(np.float64) if len(flat) else np.zeros(0)
     ends = np.cumsum(lengths)
-
-    def some(flags: np.ndarray) -> np.ndarray:
-        seen = np.concatenate([[0], np.cumsum(flags)])
-        return seen[ends] > seen[ends - lengths]
-    known = pc.is_valid(column).to_numpy(zero_copy_only=False)
-    return lengths, known & ~some(~np.isfinite(values)), some(values != 0), values  # a null among the numbers is read as NaN
+    odd = np.concatenate([[0], np.cumsum(~np.isfinite(values))])  # a null among the numbers is read as NaN
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    return lengths, known & (odd[ends] == odd[ends - lengths]), values
 
 
 def commonest_length(rows: DataFrame, length: Column) -> int:
@@ -99,22 +101,36 @@ def greedy_net(x: np.ndarray, radius: float, most: int | None = None) -> tuple[n
     centres: list[int] = []
     best = np.full(len(x), np.inf)
     owner = np.zeros(len(x), dtype=np.int64)
-    for i in range(len(x)):
-        if best[i] <= radius or (most is not None and len(centres) >= most):
+    for at in range(0, len(x), 128):
+        left = at + np.flatnonzero(best[at:at + 128] > radius)
+        if not len(left) or (most is not None and len(centres) >= most):
             continue
-        d = _distances(x, x[i:i + 1])[:, 0]
-        closer = d < best
-        best[closer], owner[closer] = d[closer], len(centres)
-        centres.append(i)
+        for i, d in zip(left.tolist(), _distances(x[left], x)):
+            if best[i] <= radius or (most is not None and len(centres) >= most):
+                continue
+            closer = d < best
+            best[closer], owner[closer] = d[closer], len(centres)
+            centres.append(i)
     return np.array(centres, dtype=np.int64), owner
 
 
+_DIRECTIONS = 15  # of a vector that are compared before all of it
+
+
+def spread_directions(x: np.ndarray) -> np.ndarray:
+    """Orthonormal columns: the directions in which the rows are longest."""
+    if not len(x):
+        return np.eye(x.shape[1])[:, :_DIRECTIONS]
+    return np.linalg.svd(x, full_matrices=False)[2][:_DIRECTIONS].T
+
+
 class Subtree:
     """Levels below a block: per level the centre rows, their parents' positions one level up, and covering
     radii.  The last level holds every vector."""
 
     def __init__(self, raw: np.ndarray, tau: float) -> None:
         self.x = x = _unit(raw)
+        self._sketch()
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # rows, parent, radius
         radius = 1.0
         groups = [np.arange(len(x))]
@@ -122,11 +138,26 @@ class Subtree:
         while True:
             rows, up, radii, below, of = [], [], [], [], []
             for g, members in enumerate(groups):
-                if radius < tau / 4 or len(members) == 1:
+                if len(members) == 1:
+                    rows.append(members[0])
+                    up.append(parents[g])
+                    radii.append(0.0)
+                    of.append(len(rows) - 1)
+                    below.append(members)
+                    continue
+                if radius < tau / 4:
                     centres, owner = np.arange(len(members)), np.arange(len(members))
                 else:
                     centres, owner = greedy_net(x[members], radius)
+                held = np.bincount(owner, minlength=len(centres))
                 for c, at in enumerate(centres.tolist()):
+                    if held[c] == 1:
+                        rows.append(members[at])
+                        up.append(parents[g])
+                        radii.append(0.0)
+                        of.append(len(rows) - 1)
+                        below.append(members[at:at + 1])
+                        continue
                     mine = members[owner == c] if len(centres) < len(members) else members[at:at + 1]
                     mine = np.concatenate([[members[at]], mine[mine != members[at]]])
                     d = _distances(x[mine], x[mine[:1]])[:, 0]
@@ -144,15 +175,24 @@ class Subtree:
     def dump(self, raw: np.ndarray) -> bytes:
         """The tree with its unscaled vectors, in single precision where that is exact."""
         single = raw.astype(np.float32)
-        return pickle.dumps((single if (single == raw).all() else raw, self.levels), protocol=5)
+        levels = [(rows.astype(np.int32), up.astype(np.int32), radii) for rows, up, radii in self.levels]
+        return pickle.dumps((single if (single == raw).all() else raw, levels), protocol=5)
 
     @classmethod
-    def load(cls, blob: bytes) -> "Subtree":
+    def load(cls, blob: bytes, basis: np.ndarray | None = None) -> "Subtree":
+        """``basis``: orthonormal columns, the directions to compare first (by default the first components)."""
         tree = cls.__new__(cls)
         raw, tree.levels = pickle.loads(blob)
         tree.x = _unit(raw.astype(np.float64))
+        tree._sketch(basis)
         return tree
 
+    def _sketch(self, basis: np.ndarray | None = None) -> None:
+        """By vector, in single precision, its share in some directions and the length of the rest."""
+        y = self.x[:, :_DIRECTIONS] if basis is None else self.x @ basis
+        rest = np.sqrt(np.maximum(0.0, 1.0 - (y * y).sum(axis=1, keepdims=True)))
+        self.sketch = np.concatenate([y, rest], axis=1).astype(np.float32)
+
     def children(self, level: int) -> list[np.ndarray]:
         """Positions at ``level`` by parent position one level up."""
         up = self.levels[level][1]
@@ -175,33 +215,66 @@ def _expand(first: np.ndarray, second: np.ndarray, left: list[np.ndarray],
     return a, b
 
 
+_SINGLE_SLACK = 1e-5  # of a cosine in single precision
+_STRIP = 256  # rows of a matrix product at a time
+_PAIR_COST = 16  # cells of a product that take as long as a pair of its own
+
+
+def _level(tree: Subtree, level: int) -> tuple[np.ndarray, np.ndarray]:
+    rows, _, radius = tree.levels[min(level, len(tree.levels) - 1)]
+    return rows, radius
+
+
+def _dense(a: Subtree, b: Subtree, level: int, tau: float, last: bool) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of nodes of a level that are near enough, by products in single precision."""
+    (rows_a, rad_a), (rows_b, rad_b) = _level(a, level), _level(b, level)
+    left, right = (a.sketch[rows_a], b.sketch[rows_b]) if last else (t.x[rows].astype(np.float32) for t, rows in ((a, rows_a), (b, rows_b)))
+    right = np.ascontiguousarray(right.T)
+    found = [np.zeros(0, np.int64)]
+    for at in range(0, len(rows_a), _STRIP):
+        dots = left[at:at + _STRIP] @ right
+        if last:
+            near = dots >= np.float32(1.0 - tau * tau / 2 - _SINGLE_SLACK)
+        else:
+            reach = np.minimum(2.0, tau + rad_a[at:at + _STRIP, None] + rad_b[None, :] + _SLACK).astype(np.float32)
+            near = dots >= np.float32(1.0 - _SINGLE_SLACK) - reach * reach / 2
+        found.append(at * len(rows_b) + true_cells(near))
+    places = np.concatenate(found)
+    return places // len(rows_b), places % len(rows_b)
+
+
 def dual_traversal(a: Subtree, b: Subtree, tau: float) -> tuple[np.ndarray, np.ndarray]:
     """Candidate row pairs of two subtrees: all pairs within ``tau`` are among them."""
     depth = max(len(a.levels), len(b.levels))
-    rows_a, _, rad_a = a.levels[0]
-    rows_b, _, rad_b = b.levels[0]
-    if len(rows_a) * len(rows_b) == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    near = _distances(a.x[rows_a], b.x[rows_b]) <= tau + rad_a[:, None] + rad_b[None, :] + _SLACK
-    first, second = np.nonzero(near)
-    for level in range(1, depth):
-        own = [np.arange(len(rows_a))[i:i + 1] for i in range(len(rows_a))]
-        left = a.children(level) if level < len(a.levels) else own
-        own = [np.arange(len(rows_b))[i:i + 1] for i in range(len(rows_b))]
-        right = b.children(level) if level < len(b.levels) else own
-        first, second = _expand(first, second, left, right)
-        if level < len(a.levels):
-            rows_a, _, rad_a = a.levels[level]
-        if level < len(b.levels):
-            rows_b, _, rad_b = b.levels[level]
-        keep = np.zeros(len(first), dtype=bool)
-        for at in range(0, len(first), 1 << 18):  # bounded memory
-            s = slice(at, at + (1 << 18))
-            dots = np.einsum("ij,ij->i", a.x[rows_a[first[s]]], b.x[rows_b[second[s]]])
-            d = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dots))
-            keep[s] = d <= tau + rad_a[first[s]] + rad_b[second[s]] + _SLACK
-        first, second = first[keep], second[keep]
-    return rows_a[first], rows_b[second]
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(a.x) * len(b.x) == 0:
+        return none
+    pairs: tuple[np.ndarray, np.ndarray] | None = None  # positions at the level; None: (nearly) all
+    for level in range(depth):
+        last = level == depth - 1
+        (rows_a, rad_a), (rows_b, rad_b) = _level(a, level), _level(b, level)
+        if pairs is None:
+            if not last and len(rows_a) * len(rows_b) > len(a.x) * len(b.x) / 8:
+                continue  # as dear as the vectors themselves
+            pairs = _dense(a, b, level, tau, last)
+        else:
+            below = [t.children(level) if level < len(t.levels) else [np.array([i]) for i in range(len(rows))]
+                     for t, rows in ((a, rows_a), (b, rows_b))]
+            held = [np.array([len(c) for c in kids])[side] for kids, side in zip(below, pairs)]
+            if (held[0] * held[1]).sum() * _PAIR_COST > len(rows_a) * len(rows_b):
+                pairs = _dense(a, b, level, tau, last)
+            else:
+                first, second = _expand(*pairs, *below)
+                keep = np.zeros(len(first), dtype=bool)
+                for at in range(0, len(first), 1 << 14):  # bounded memory
+                    s = slice(at, at + (1 << 14))
+                    dots = np.einsum("ij,ij->i", a.x[rows_a[first[s]]], b.x[rows_b[second[s]]])
+                    d = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dots))
+                    keep[s] = d <= tau + rad_a[first[s]] + rad_b[second[s]] + _SLACK
+                pairs = first[keep], second[keep]
+        if not len(pairs[0]):
+            return none
+    return rows_a[pairs[0]], rows_b[pairs[1]]
 
 
 _BINS = 64  # of the distance to the leaf's centre, 0 to 2
@@ -341,16 +414,16 @@ def cell_pairs(spark: SparkSession, cells: Cells, tau: float) -> DataFrame:
     pairs = spark.createDataFrame([(0, 0)] if cells.kids else [], "a long, b long")
     for level in range(cells.depth):
         pairs = pairs.join(left, "a").join(right, "b").where((F.col("a") != F.col("b")) | (F.col("next_a") <= F.col("next_b"))) \
-            .select(F.col("next_a").alias("a"), F.col("next_b").alias("b")).mapInArrow(near, "a long, b long")
+            .select(F.col("next_a").alias("a"), F.col("next_b").alias("b")).mapInArrow(giving_back(near), "a long, b long")
         if level % 3 == 2:
             pairs = stage(pairs, "cell-pairs")
     return pairs
 
 
-def _grow_block(key: tuple, batches: Iterator[pa.RecordBatch], tau: float) -> Iterator[pa.RecordBatch]:
+def _grow_block(key: tuple, batches: Iterator[pa.RecordBatch], tau: float, kind: str) -> Iterator[pa.RecordBatch]:
     """The rows of one block -> one row with its subtree, centre and covering radius."""
     rows = pa.Table.from_batches(list(batches)).sort_by("id")
-    raw = np.stack([np.frombuffer(x.as_buffer(), dtype="<f8") for x in rows.column("x")])
+    raw = np.stack([np.frombuffer(x.as_buffer(), dtype=kind) for x in rows.column("x")]).astype(np.float64)
     tree = Subtree(raw, tau)
     centre = tree.x.mean(axis=0)
     norm = np.sqrt((centre * centre).sum())
@@ -365,40 +438,86 @@ def _grow_block(key: tuple, batches: Iterator[pa.RecordBatch], tau: float) -> It
         names=["cell", "block", "centre", "radius", "ids", "copies", "tree"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch], cosine: float, tau: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of blocks -> link counts by vector (``other`` null) and a spanning forest of the links."""
-    last: tuple[int, Subtree] | None = None  # pairs come sorted by their first block
+def _stars(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the nodes 0 to n - 1 -> (nodes, smallest node reachable) of those that reach a smaller one."""
+    low = np.arange(n)
+    while len(u):
+        np.minimum.at(low, np.maximum(low[u], low[v]), np.minimum(low[u], low[v]))
+        while (low[low] != low).any():
+            low = low[low]
+        apart = low[u] != low[v]
+        u, v = u[apart], v[apart]
+    nodes = np.flatnonzero(low != np.arange(n))
+    return nodes, low[nodes]
+
+
+class Held(NamedTuple):
+    number: int
+    ids: np.ndarray
+    copies: np.ndarray
+    tree: Subtree
+
+
+def _links(a: Held, b: Held, cosine: float, tau: float) -> tuple[np.ndarray, ...] | None:
+    """Of a pair of blocks: (vector, other, links, whether it is a link): link counts by vector and a spanning forest of the links."""
+    i, j = dual_traversal(a.tree, b.tree, tau)
+    if a.number == b.number:
+        i, j = i[i < j], j[i < j]
+    sure = np.zeros(len(i), dtype=bool)
+    for at in range(0, len(i), 1 << 14):  # bounded memory
+        s = slice(at, at + (1 << 14))
+        sure[s] = np.einsum("ij,ij->i", a.tree.x[i[s]], b.tree.x[j[s]]) >= cosine
+    i, j = i[sure].astype(np.int64), j[sure].astype(np.int64)
+    if not len(i):
+        return None
+    ids = a.ids if a.number == b.number else np.concatenate([a.ids, b.ids])
+    j_at = j if a.number == b.number else len(a.ids) + j
+    counts = np.bincount(i, weights=b.copies[j], minlength=len(ids)) + np.bincount(j_at, weights=a.copies[i], minlength=len(ids))
+    found = np.flatnonzero(counts)
+    u, v = _stars(i, j_at, len(ids))
+    return (np.concatenate([ids[found], ids[u]]), np.concatenate([np.full(len(found), -1), ids[v]]),
+            np.concatenate([counts[found].astype(np.int64), np.zeros(len(u), np.int64)]),
+            np.concatenate([np.zeros(len(found), bool), np.ones(len(u), bool)]))
+
+
+def _compare(batches: Iterator[pa.RecordBatch], cosine: float, tau: float, basis: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows (job, others, block, ids, copies, tree), by job the blocks to hold (``others`` null) before those that pass by and are
+    compared with the held ``others`` -> link counts by vector (``other`` null) and a spanning forest of the links."""
+    job, held = None, {}
     for batch in batches:
         for row in range(batch.num_rows):
-            a, ids_a, n_a, tree_a, b, ids_b, n_b, tree_b = (c[row].as_py() for c in batch.columns)
-            ids_a, ids_b = np.array(ids_a), np.array(ids_b)
-            if last is None or last[0] != a:
-                last = (a, Subtree.load(tree_a))
-            left = last[1]
-            right = left if a == b else Subtree.load(tree_b)
-            i, j = dual_traversal(left, right, tau)
-            if a == b:
-                i, j = i[i < j], j[i < j]
-            sure = np.zeros(len(i), dtype=bool)
-            for at in range(0, len(i), 1 << 18):
-                s = slice(at, at + (1 << 18))
-                sure[s] = np.einsum("ij,ij->i", left.x[i[s]], right.x[j[s]]) >= cosine
-            i, j = i[sure], j[sure]
-            if not len(i):
+            if job != (now := batch.column(0)[row].as_py()):
+                job, held = now, {}
+            others = batch.column(1)[row].as_py()
+            mine = Held(batch.column(2)[row].as_py(), batch.column(3)[row].values.to_numpy(), batch.column(4)[row].values.to_numpy(),
+                        Subtree.load(batch.column(5)[row].as_py(), basis))
+            if others is None:
+                held[mine.number] = mine
                 continue
-            nodes = np.concatenate([ids_a[i], ids_b[j]])
-            weights = np.concatenate([np.array(n_b)[j], np.array(n_a)[i]])
-            found, at = np.unique(nodes, return_inverse=True)
-            counts = np.bincount(at, weights=weights).astype(np.int64)
-            forest = Forest()
-            for u, v in zip(ids_a[i].tolist(), ids_b[j].tolist()):
-                forest.link(u, v)
-            u, v = forest.stars()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([found, np.array(u, dtype=np.int64)])),
-                 pa.array([*[None] * len(found), *v], pa.int64()),
-                 pa.array(np.concatenate([counts, np.zeros(len(u), np.int64)]))],
-                names=["node", "other", "links"])
+            found = [x for other in sorted(others) if (x := _links(held[other], mine, cosine, tau))]
+            if found:
+                node, other, links, linked = (np.concatenate(c) for c in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(other, mask=~linked), pa.array(links)],
+                                                 names=["node", "other", "links"])
+
+
+_TILE = 64  # blocks that a task holds at most
+
+
+def _jobs(blocks: DataFrame, pairs: DataFrame, n_blocks: int, cores: int) -> DataFrame:
+    """Pairs of blocks dealt to pairs of tiles, some for each core: rows for ``_compare``, every job in a partition of its own."""
+    tiles = max(1, round((6 * cores) ** 0.5))
+    tile = max(1, min(_TILE, -(-n_blocks // tiles)))
+    tiles = max(1, -(-n_blocks // tile))
+    numbered = pairs.withColumn("job", F.floor(F.col("a_block") / tile) * tiles + F.floor(F.col("b_block") / tile))
+    numbered = stage(numbered, "block-pairs")
+    needed = numbered.select("job", F.col("a_block").alias("block"), F.lit(None).cast("array<long>").alias("others")).distinct().unionAll(
+        numbered.groupBy("job", F.col("b_block").alias("block")).agg(F.collect_list("a_block").alias("others"))
+        .select("job", "block", "others"))
+    # twice as many ranges as jobs: each job has its own, where hashes would put some jobs together
+    return needed.join(blocks.select("block", "ids", "copies", "tree"), "block").withColumn("passing", F.col("others").isNotNull()) \
+        .repartitionByRange(tiles * (tiles + 1), "job").sortWithinPartitions("job", "passing", "block") \
+        .select("job", "others", "block", "ids", "copies", "tree")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.95, fanout: int = 16, sample_rows: int = 4096,
@@ -413,11 +532,13 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, fanout: int = 16, sam
     if not 0 < cosine <= 1 or fanout < 2:
         raise ValueError("cosine must lie in (0, 1], fanout must be at least 2")
     tau = float(np.sqrt(2.0 - 2.0 * cosine))
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
-                          F.col(vector_col).cast("array<double>").alias("v"))
-    finite = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) <= 1.7976931348623157e308))
-    usable = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
-    rows = stage(rows.withColumn("ok", usable), "vectors")
+    plain, listed = plain_vectors(vectors, id_col, vector_col)
+    kind = "<f4" if listed == "array<float>" else "<f8"
+
+    odd = F.array(*[F.lit(x) for x in (float("inf"), float("-inf"), float("nan"))]).cast(listed)
+    finite = ~F.arrays_overlap("v", odd)  # null where a component is null
+    usable = F.coalesce(F.col("vec_id").isNotNull() & finite & ((F.array_max("v") != 0) | (F.array_min("v") != 0)), F.lit(False))
+    rows = stage(plain.select(F.col("id").alias("vec_id"), "v").withColumn("ok", usable), "vectors")
     length = commonest_length(rows.where("ok"), F.size("v"))
     rows = rows.withColumn("ok", F.col("ok") & F.coalesce(F.size("v") == length, F.lit(False)))
     one = stage(rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")),
@@ -427,11 +548,12 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, fanout: int = 16, sam
     x = _unit(_matrix(sample.column("v").combine_chunks())) if sample.num_rows else np.zeros((0, 1))
     total = one.count()
     net = Net(x, tau, fanout, max(1, block_rows * len(x) // max(1, total)))
+    basis = spread_directions(x)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):  # bounded memory
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 256):  # bounded memory
+                part = batch.slice(at, 256)
                 raw = _matrix(part.column(2))
                 d = _distances(_unit(raw), net.x)
                 leaf = d.argmin(axis=1)
@@ -439,14 +561,14 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, fanout: int = 16, sam
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(leaf), pa.array(d[np.arange(len(d)), leaf]),
                      pa.array(list(far), pa.list_(pa.float64())), part.column(0), part.column(1),
-                     pa.array([r.tobytes() for r in raw.astype("<f8")], pa.binary())],
+                     pa.array([r.tobytes() for r in raw.astype(kind)], pa.binary())],
                     names=["leaf", "d", "far", "id", "copies", "x"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _compare(batches, cosine, tau)
+        return _compare(batches, cosine, tau, basis)
 
     placed = stage(one.select("id", "copies", "v").mapInArrow(
-        assign, "leaf long, d double, far array<double>, id long, copies long, x binary")
+        giving_back(assign), "leaf long, d double, far array<double>, id long, copies long, x binary")
         .withColumn("bin", F.least(F.lit(_BINS), F.floor(F.col("d") * (_BINS / 2))).cast("int")), "placed")
     furthest = [F.max(F.get("far", F.lit(level))).alias(f"far_{level}") for level in range(net.depth)]
     found = {r[0]: (r[1], list(r[2:])) for r in
@@ -467,21 +589,18 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, fanout: int = 16, sam
                 names=["block", "cell", "id", "copies", "x"])
 
     def grow(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _grow_block(key, batches, tau)
+        yield from _grow_block(key, batches, tau, kind)
+        free_memory()
 
     # a block holds about block_rows rows whatever the cell holds, and however many partitions there are
     blocks = stage(placed.select("leaf", "bin", "id", "copies", "x")
-                   .mapInArrow(number, "block long, cell long, id long, copies long, x binary")
+                   .mapInArrow(giving_back(number), "block long, cell long, id long, copies long, x binary")
                    .groupBy("block").applyInArrow(grow, "cell long, block long, centre binary, radius double, "
                                                         "ids array<long>, copies array<long>, tree binary"), "blocks")
     pairs = _block_pairs(blocks, cell_pairs(vectors.sparkSession, cells, tau), tau)
-    payload = blocks.select("block", "ids", "copies", "tree")
-    left = payload.select(*[F.col(c).alias(f"a_{c}") for c in payload.columns])
-    right = payload.select(*[F.col(c).alias(f"b_{c}") for c in payload.columns])
-    jobs = pairs.join(right, "b_block").join(left, "a_block").select(
-        "a_block", "a_ids", "a_copies", "a_tree", "b_block", "b_ids", "b_copies", "b_tree") \
-        .sortWithinPartitions("a_block")
-    found = stage(jobs.mapInArrow(compare, "node long, other long, links long"), "vector-links")
+    last = blocks.agg(F.max("block")).first()[0]
+    jobs = _jobs(blocks, pairs, (-1 if last is None else last) + 1, vectors.sparkSession.sparkContext.defaultParallelism)
+    found = stage(jobs.mapInArrow(giving_back(compare), "node long, other long, links long"), "vector-links")
 
     counts = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
     comps = connected_components(found.where("other is not null").select("node", "other"))
@@ -514,4 +633,4 @@ def _block_pairs(blocks: DataFrame, pairs: DataFrame, tau: float) -> DataFrame:
     both = pairs.join(a, F.col("a") == F.col("a_cell")).join(b, F.col("b") == F.col("b_cell")).where(
         (F.col("a") != F.col("b")) | (F.col("a_block") <= F.col("b_block")))
     return both.select("a_block", "a_centre", "a_radius", "b_block", "b_centre", "b_radius").mapInArrow(
-        near, "a_block long, b_block long")
+        giving_back(near), "a_block long, b_block long")

@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from sluice.llm.covertree import commonest_length, list_facts, plain_vectors, true_cells
 from sluice.llm.staging import small_batches, stage
+from sluice.llm.textcols import giving_back
 
 
 def _fine(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By row (id, v) the length of its vector, and whether it takes part; all components of all rows."""
-    lengths, finite, _, values = list_facts(batch.column(1))
+    lengths, finite, values = list_facts(batch.column(1))
     return lengths, finite & (lengths > 0) & batch.column(0).is_valid().to_numpy(zero_copy_only=False), values
 
 
@@ -312,7 +313,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 6
 
     # twice as many ranges as jobs: each job has its own, where hashes would put some jobs together
     found = stage(held.unionAll(passing).repartitionByRange(2 * tiles * stripes, "job").sortWithinPartitions("job", "kind", "block")
-                  .mapInArrow(compare, "q_block long, q_row int, query_id long, vec_id long, score long"), "topk-found")
+                  .mapInArrow(giving_back(compare), "q_block long, q_row int, query_id long, vec_id long, score long"), "topk-found")
     order = Window.partitionBy("q_block", "q_row", "query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from sluice.llm.covertree import Cells, Net, Subtree, _distances, _unit, cell_pairs, dual_traversal, greedy_net, near_vectors
+from sluice.llm.covertree import (Cells, Net, Subtree, _distances, _stars, _unit, cell_pairs, dual_traversal, greedy_net,
+                                  near_vectors, spread_directions)
 
 
 def cloud(rng, n, dim, copies, spread):
@@ -137,3 +138,42 @@ def test_vectors_of_other_lengths_link_with_nothing(spark):
     got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1), sample_rows=1).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [
         (1, 2, 1), (2, 2, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 2, 1)]
+
+
+def test_a_block_travels_once_per_pair_of_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = cloud(rng, 300, 64, 100, 0.04)
+    x = np.concatenate([x, x[:1] + 0.001 * rng.normal(size=(60, 64))]).astype(np.float32)  # a large group of near copies
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    compared = []
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    kind = type(df)
+    run = kind.mapInArrow
+
+    def counted(self, *args, **more):
+        trees = sum(c.endswith("tree") for c in self.columns)
+        if trees:
+            compared.append(trees * self.count())
+        return run(self, *args, **more)
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(df, block_rows=4, sample_rows=64).collect()}
+    monkeypatch.undo()
+    assert got == brute(rows, 0.95)
+    assert compared and max(compared) < 115 * 116 / 4  # at least 115 blocks: half of their pairs, were they all compared
+
+
+def test_products_keep_what_the_steps_keep():
+    rng = np.random.default_rng(5)
+    tau = float(np.sqrt(0.1))
+    for dim in (2, 16, 40):
+        a, b = (_unit(cloud(rng, 200, dim, 200, 0.05).astype(float)) for _ in range(2))
+        b[:100] = a[:100] + 0.02
+        basis = spread_directions(a)
+        assert np.allclose(basis.T @ basis, np.eye(basis.shape[1]))
+        left, right = (Subtree.load(Subtree(x, tau).dump(x), basis) for x in (a, b))
+        got = set(zip(*(x.tolist() for x in dual_traversal(left, right, tau))))
+        assert set(zip(*(x.tolist() for x in np.nonzero(left.x @ right.x.T >= 0.95)))) <= got
+        assert len(got) < 0.5 * 160000 or dim == 2
+    links = np.array([[0, 1], [3, 2], [2, 5], [5, 3], [7, 6], [6, 1]])
+    nodes, low = _stars(links[:, 0], links[:, 1], 9)
+    assert dict(zip(nodes.tolist(), low.tolist())) == {1: 0, 3: 2, 5: 2, 6: 0, 7: 0}
